@@ -88,7 +88,8 @@ def impute(df: DataFrame, series: Series, columns, across: str | None = None) ->
             *[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_e_{c}") for c in columns],
         ).withColumn("_all", F.lit(0))
         # One row per key: ordered over all keys, cut like any other series.
-        keys = Series.measure(ends, ("_all",), (across, *series.keys))
+        keys = Series.measure(ends, ("_all",), (across, *series.keys),
+                              probe=df.select(*series.keys).distinct())
         moved = drop_lookback(with_lookback(ends, keys, 1).withColumns(
             {f"_q_{c}": F.lag(f"_l_{c}").over(keys.window()) for c in columns}))
         carry = fill(moved, keys, {f"_pk_{c}": f"_q_{c}" for c in columns},

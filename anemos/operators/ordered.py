@@ -51,13 +51,18 @@ class Series:
     cuts: tuple[DataFrame, ...] = field(default=())
 
     @classmethod
-    def measure(cls, df: DataFrame, keys, order, rows_per_segment: int | None = None) -> Series:
+    def measure(cls, df: DataFrame, keys, order, rows_per_segment: int | None = None,
+                probe: DataFrame | None = None) -> Series:
         """Count rows per key once and lay out the cuts of hot keys.
 
         Heavy tails are cut again, up to LEVELS times, until slices fit.
+        ``probe`` is a cheaper table with at least as many rows as any key of
+        ``df``; while it is small, ``df`` itself is not counted.
         """
         limit = rows_per_segment or ROWS_PER_SEGMENT
         plan = cls(tuple(keys), tuple(order))
+        if probe is not None and probe.count() <= limit:
+            return plan
         for level in range(LEVELS):
             found = plan._hot(df, limit, level)
             if found is None:

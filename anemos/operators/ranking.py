@@ -86,13 +86,13 @@ def rank_spots(peaks: DataFrame, rules: RankingRules = RankingRules()) -> DataFr
         + rules.hours_weight * scaled["session_hours"]))
 
 
-def ranking_table(ranked: DataFrame, ordinal: str) -> DataFrame:
+def ranking_table(ranked: DataFrame, ordinal: str, spots: DataFrame) -> DataFrame:
     """Position by score (ties in configured order) with rounded display columns.
 
     One row per spot, and still cut when there are very many spots.
     """
     one = ranked.withColumns({"_all": F.lit(0), "_down": -F.col("score")})
-    series = Series.measure(one, ("_all",), ("_down", ordinal))
+    series = Series.measure(one, ("_all",), ("_down", ordinal), probe=spots)
     return number_rows(one, series, "position").select(
         "position", "spot_id", band_name(quality_band("peak_quality")).alias("signal"),
         F.bround("peak_quality", 2).alias("peak_quality"),
@@ -136,3 +136,8 @@ def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
 def top_n(df: DataFrame, by: str, name: str, n: int = 8) -> DataFrame:
     return df.where(F.col(by) > 0).orderBy(F.desc(by), F.asc(name)).limit(n)
 
+
+
+def fresh_snapshot(snapshot: DataFrame, stamp: str, now: Column, max_age_s: int) -> DataFrame:
+    """Snapshot rows young enough to serve; rows without a stamp are stale."""
+    return snapshot.where(F.col(stamp) >= now - F.expr(f"INTERVAL {max_age_s} SECONDS")).drop(stamp)

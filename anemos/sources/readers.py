@@ -27,8 +27,13 @@ def parse_hourly_payloads(lines: DataFrame, text: str = "value") -> DataFrame:
 
 
 def hourly_rows(payloads: DataFrame, columns=RAW_COLUMNS) -> DataFrame:
-    """Parallel arrays to one row per hour; empty documents give none, times are UTC."""
-    arrays = [F.col(f"hourly.{c}").alias(c) for c in ("time", *columns)]
+    """Parallel arrays to one row per hour; empty documents give none, times are UTC.
+
+    A field that was not landed becomes a column of nulls.
+    """
+    nulls = F.transform("hourly.time", lambda _: F.lit(None).cast("double"))
+    arrays = [F.col("hourly.time").alias("time")]
+    arrays += [F.coalesce(F.col(f"hourly.{c}"), nulls).alias(c) for c in columns]
     rows = payloads.where(F.size("hourly.time") > 0).select("spot_id", F.inline(F.arrays_zip(*arrays)))
     return missing_to_null(rows.withColumn("time", F.to_timestamp("time").cast("timestamp_ntz")))
 
@@ -56,11 +61,12 @@ def read_metric_text(spark: SparkSession, path: str) -> DataFrame:
     return parse_samples(spark.read.text(path))
 
 
-def read_reports(spark: SparkSession, path: str, glob: str, schema=schemas.RUN_SUMMARY) -> DataFrame:
-    """Report documents by file pattern; unreadable files are left out."""
+def read_reports(spark: SparkSession, path: str, glob: str, schema=schemas.RUN_SUMMARY,
+                 one_per_file: bool = True) -> DataFrame:
+    """Report documents by file pattern; unreadable documents are left out."""
     with_bad = schemas.StructType([*schema.fields, schemas.StructField("_corrupt_record", schemas.StringType())])
     found = (
-        spark.read.schema(with_bad).option("multiLine", True).option("pathGlobFilter", glob)
+        spark.read.schema(with_bad).option("multiLine", one_per_file).option("pathGlobFilter", glob)
         .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     )
     return found.where(F.col(schema.fieldNames()[0]).isNotNull()).drop("_corrupt_record")
@@ -81,7 +87,7 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PREDICTION_EVENT).option("mode", "DROPMALFORMED").json(path)
 
 
-def read_slice(spark: SparkSession, path: str, dataset: str, spot_id: str) -> DataFrame:
+def read_slice(spark: SparkSession, path: str, dataset: str, spot_id) -> DataFrame:
     """One stored slice in time order; only its partition is read."""
     found = (
         spark.read.parquet(path).where((F.col("dataset_name") == dataset) & (F.col("spot_id") == spot_id))
@@ -97,3 +103,8 @@ def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path)
     return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
                         F.sha2("content", 256).alias("digest"))
+
+
+def read_retained(spark: SparkSession, path: str, days: int, today: Column) -> DataFrame:
+    """Rows within the retention; a filter on the partition column, so old days are not read."""
+    return spark.read.parquet(path).where(F.col("day") > F.date_sub(F.to_date(today), days))
