@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from anemos.functions.text import sanitize_name
 from anemos.operators.ordered import Series, running_totals
 from anemos.params import DriftRules
 
@@ -139,3 +140,10 @@ def drift_breakdown(gauges: DataFrame) -> DataFrame:
     hits = gauges.where("metric = 'drift_detected'").groupBy(
         F.lit("column").alias("kind"), F.col("column").alias("name")).agg(F.sum("value").alias("value"))
     return shares.unionByName(hits)
+
+
+def metric_lines(gauges: DataFrame, prefix: str, version: str) -> DataFrame:
+    """Gauge lines of text: prefix.dataset.version.column.metric:value|g."""
+    parts = [F.lit(prefix), F.col("dataset"), F.lit(version), F.col("column"), F.col("metric")]
+    path = F.concat_ws(".", *[sanitize_name(p) for p in parts])
+    return gauges.select(F.concat(path, F.lit(":"), F.col("value").cast("string"), F.lit("|g")).alias("line"))

@@ -102,11 +102,12 @@ def time_split(df: DataFrame, days: int, time: str = "prediction_timestamp", ord
     return midpoint_split(df, (), (order,))
 
 
-def midpoint_split(df: DataFrame, keys, order, rows_per_segment: int | None = None) -> DataFrame:
+def midpoint_split(df: DataFrame, keys, order, rows_per_segment: int | None = None,
+                   series: Series | None = None) -> DataFrame:
     """Add ``side``: the first half of each key is reference; keys under two rows go."""
     one = df if keys else df.withColumn("_all", F.lit(0))
     by = tuple(keys) or ("_all",)
-    series = Series.measure(one, by, order, rows_per_segment)
+    series = series or Series.measure(one, by, order, rows_per_segment)
     numbered = number_rows(one, series, "_position", "_count")
     half = F.floor(F.col("_count") / 2)
     return (

@@ -9,6 +9,7 @@ from anemos.functions.quality import band_name, clamp, quality_band, ride_drive_
 from anemos.functions.temporal import micros
 from anemos.operators.ordered import Series, number_rows
 from anemos.params import RankingRules
+from anemos.session import settle
 
 
 def forecast_peak(forecast: DataFrame, spots: DataFrame, rules: RankingRules = RankingRules()) -> DataFrame:
@@ -76,9 +77,13 @@ def minmax(df: DataFrame, columns) -> dict[str, Column]:
 
 
 def rank_spots(peaks: DataFrame, rules: RankingRules = RankingRules()) -> DataFrame:
-    """Composite score from scaled quality, ride/drive ratio and hours."""
-    cards = peaks.withColumn(
-        "ride_drive_ratio", ride_drive_ratio("peak_quality", "drive_minutes", "session_hours", rules))
+    """Composite score from scaled quality, ride/drive ratio and hours.
+
+    The cards (one row per spot) are settled first: both the bounds and the
+    scores read them, and the scoring below must not run twice.
+    """
+    cards = settle(peaks.withColumn(
+        "ride_drive_ratio", ride_drive_ratio("peak_quality", "drive_minutes", "session_hours", rules)), "cards")
     scaled = minmax(cards, ("peak_quality", "ride_drive_ratio", "session_hours"))
     return cards.withColumn("score", (
         rules.quality_weight * scaled["peak_quality"]
@@ -86,13 +91,13 @@ def rank_spots(peaks: DataFrame, rules: RankingRules = RankingRules()) -> DataFr
         + rules.hours_weight * scaled["session_hours"]))
 
 
-def ranking_table(ranked: DataFrame, ordinal: str, spots: DataFrame) -> DataFrame:
+def ranking_table(ranked: DataFrame, ordinal: str) -> DataFrame:
     """Position by score (ties in configured order) with rounded display columns.
 
     One row per spot, and still cut when there are very many spots.
     """
     one = ranked.withColumns({"_all": F.lit(0), "_down": -F.col("score")})
-    series = Series.measure(one, ("_all",), ("_down", ordinal), probe=spots)
+    series = Series.measure(one, ("_all",), ("_down", ordinal), probe=ranked)
     return number_rows(one, series, "position").select(
         "position", "spot_id", band_name(quality_band("peak_quality")).alias("signal"),
         F.bround("peak_quality", 2).alias("peak_quality"),

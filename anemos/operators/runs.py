@@ -139,15 +139,16 @@ def group_runs(history: DataFrame, key: str, order) -> DataFrame:
 def select_run_summary(history: DataFrame, wanted: DataFrame, key: str, order) -> DataFrame:
     """Latest summary if its run id fits (or none is asked or stored), else the newest with that id.
 
-    ``wanted`` holds one (key, wanted_run_id) row per request.
+    ``wanted`` holds (key, wanted_run_id) requests. The history is reduced to
+    one row per key and per (key, run id) before the requests join it.
     """
-    rest = [c for c in history.columns if c != key]
-    row, at = F.struct(*rest), F.struct(*order)
-    asked = history.join(wanted, key).groupBy(key, "wanted_run_id").agg(
-        F.max_by(row, at).alias("_latest"),
-        F.max_by(row, F.when(F.col("run_id") == F.col("wanted_run_id"), at)).alias("_exact"))
+    fields = [c for c in history.columns if c != key]
+    asked = wanted.distinct()
+    latest = latest_per_key(history, (key,), order).select(key, F.struct(*fields).alias("_latest"))
+    exact = latest_per_key(history.where(F.col("run_id").isNotNull()), (key, "run_id"), order).select(
+        key, F.col("run_id").alias("wanted_run_id"), F.struct(*fields).alias("_exact"))
+    both = asked.join(latest, key).join(exact, [key, "wanted_run_id"], "left")
     fits = F.col("wanted_run_id").isNull() | F.col("_latest.run_id").isNull() | (
         F.col("_latest.run_id") == F.col("wanted_run_id"))
-    chosen = F.when(fits, F.col("_latest")).otherwise(F.col("_exact"))
-    return asked.withColumn("_row", chosen).where(F.col("_row").isNotNull()).select(
-        key, "wanted_run_id", "_row.*")
+    row = F.when(fits, F.col("_latest")).otherwise(F.col("_exact"))
+    return both.withColumn("_row", row).where(F.col("_row").isNotNull()).select(key, "wanted_run_id", "_row.*")

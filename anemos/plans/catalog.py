@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from anemos.plans import feature_queries, join_queries, source_queries  # noqa: F401
+from anemos.plans import event_queries, feature_queries, join_queries, metric_queries, source_queries  # noqa: F401
 from anemos.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -246,7 +246,7 @@ TABLE_SQL = RANK_SQL + """, signal AS (SELECT *, CASE CAST(round_even(peak_quali
 
 @query("ranking_table", TABLE_SQL)
 def ranking_table(t: Tables):
-    return ranking.ranking_table(ranked(t), "user_id", t.spots)
+    return ranking.ranking_table(ranked(t), "user_id")
 
 
 @query("topk_with_rest", """WITH c AS (SELECT CAST(user_id AS VARCHAR) AS model_version, count(*) AS predictions FROM events GROUP BY 1),
@@ -347,4 +347,4 @@ def score_and_rank(t: Tables):
     """Score the horizon of every spot and rank the spots (the rule label is the scorer)."""
     hours = fx.horizon(fx.label_rows(t.features, F.lit(12.0)), ("spot_id",), ("time", "event_id"), 14)
     peaks = ranking.forecast_peak(hours, t.spots)
-    return ranking.ranking_table(ranking.rank_spots(peaks), "user_id", t.spots)
+    return ranking.ranking_table(ranking.rank_spots(peaks), "user_id")

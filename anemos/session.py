@@ -46,3 +46,15 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df, name: str):
+    """Write a result to the shared folder and read it back.
+
+    Used where a small result of a long plan is needed more than once: it is
+    computed once, and a lost executor costs a re-read, not a recomputation.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
