@@ -106,15 +106,14 @@ def training_metrics_long(runs: DataFrame) -> DataFrame:
     version = F.col("registered_model_version")
     cells = [F.struct(F.lit(name).alias("metric"), F.col(c).cast("double").alias("value"))
              for c, name in fields.items()]
-    cells.append(F.struct(F.lit("training_model_registered"),
-                          (F.coalesce(version, F.lit("")) != "").cast("int").cast("double")))
-    cells.append(F.struct(F.lit("training_registered_model_version"),
-                          F.when(version.rlike("^[0-9]+$"), version.cast("double"))))
+    cells.append(F.struct(F.lit("training_model_registered").alias("metric"),
+                          (F.coalesce(version, F.lit("")) != "").cast("int").cast("double").alias("value")))
+    cells.append(F.struct(F.lit("training_registered_model_version").alias("metric"),
+                          F.when(version.rlike("^[0-9]+$"), version.cast("double")).alias("value")))
     extra = F.transform(F.map_entries("run_metrics"), lambda e: F.struct(
-        F.concat(F.lit("training_metric_"), e["key"]), e["value"]))
+        F.concat(F.lit("training_metric_"), e["key"]).alias("metric"), e["value"].alias("value")))
     every = F.concat(F.array(*cells), extra)
-    return runs.select("run_id", F.inline(every)).toDF("run_id", "metric", "value").where(
-        F.col("value").isNotNull())
+    return runs.select("run_id", F.inline(every)).where(F.col("value").isNotNull())
 
 
 def stage_overview(runs: DataFrame) -> DataFrame:
