@@ -240,9 +240,10 @@ def drift_report(t: Tables):
 
 
 _DRIFT_COLUMNS = ("wind_speed_10m", "wind_gusts_10m", "temperature_2m", "relative_humidity_2m")
-_SPOT_SQL = with_sql("readings", f""", n AS (SELECT *, row_number() OVER (PARTITION BY spot_id ORDER BY time, event_id) AS p, count(*) OVER (PARTITION BY spot_id) AS c FROM readings),
+SPOT_PART = f""", n AS (SELECT *, row_number() OVER (PARTITION BY spot_id ORDER BY time, event_id) AS p, count(*) OVER (PARTITION BY spot_id) AS c FROM readings),
     sd AS (SELECT *, CASE WHEN p <= c // 2 THEN 'reference' ELSE 'current' END AS side FROM n WHERE c >= 2),
-    melted AS ({_melt_sql('sd', _DRIFT_COLUMNS, 'spot_id')}), {ks_sql('melted', 'spot_id')}""")
+    melted AS ({_melt_sql('sd', _DRIFT_COLUMNS, 'spot_id')}), {ks_sql('melted', 'spot_id')}"""
+_SPOT_SQL = with_sql("readings", SPOT_PART)
 
 
 def spot_verdict(t: Tables):
@@ -277,7 +278,7 @@ def drift_predictions(t: Tables):
     return rounded(found, "statistic", "score").drop("method", "threshold")
 
 
-GAUGE_SQL = _SPOT_SQL + REPORT_SQL + f""", hd AS (SELECT spot_id, {_HEADER} FROM verdict GROUP BY spot_id),
+GAUGE_PART = REPORT_SQL + f""", hd AS (SELECT spot_id, {_HEADER} FROM verdict GROUP BY spot_id),
     gauges AS (SELECT spot_id AS dataset, 'dataset' AS "column", 'threshold' AS metric, 0.15e0 AS value FROM hd
       UNION ALL SELECT spot_id, 'dataset', 'drifted_column_count', drifted_column_count FROM hd
       UNION ALL SELECT spot_id, 'dataset', 'share_of_drifted_columns', share_of_drifted_columns FROM hd
@@ -285,6 +286,7 @@ GAUGE_SQL = _SPOT_SQL + REPORT_SQL + f""", hd AS (SELECT spot_id, {_HEADER} FROM
       UNION ALL SELECT spot_id, "column", 'drift_detected', CASE WHEN drifted THEN 1 ELSE 0 END FROM verdict
       UNION ALL SELECT spot_id, "column", 'drift_score', score FROM verdict WHERE score IS NOT NULL
       UNION ALL SELECT spot_id, "column", 'threshold', 0.05e0 FROM verdict) """
+GAUGE_SQL = _SPOT_SQL + GAUGE_PART
 
 
 def spot_gauges(t: Tables):

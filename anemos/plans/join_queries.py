@@ -124,9 +124,9 @@ def null_fractions(t: Tables):
     return rounded(q.null_fractions(t.features, ("wind_speed_10m", "gust_factor", "wind_steadiness", "temperature_2m")), "null_fraction")
 
 
-def _violation_sql(source: str, ids: str) -> str:
+def _violation_sql(source: str, ids: str, ranges=VALUE_RANGES) -> str:
     parts = []
-    for c, (lo, hi) in VALUE_RANGES.items():
+    for c, (lo, hi) in ranges.items():
         test = " OR ".join(x for x in (f"{c} < {lo}e0" if lo is not None else "", f"{c} > {hi}e0" if hi is not None else "") if x)
         low = "NULL" if lo is None else f"{lo}e0"
         high = "NULL" if hi is None else f"{hi}e0"

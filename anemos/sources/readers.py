@@ -108,3 +108,11 @@ def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
 def read_retained(spark: SparkSession, path: str, days: int, today: Column) -> DataFrame:
     """Rows within the retention; a filter on the partition column, so old days are not read."""
     return spark.read.parquet(path).where(F.col("day") > F.date_sub(F.to_date(today), days))
+
+
+def read_bucketed_slice(spark: SparkSession, path: str, buckets: int, dataset: str, spot_id: str) -> DataFrame:
+    """One slice of a bucketed store: one bucket directory is read."""
+    bucket = F.pmod(F.xxhash64(F.lit(dataset), F.lit(spot_id)), F.lit(buckets))
+    return spark.read.parquet(path).where(
+        (F.col("dataset_name") == dataset) & (F.col("bucket") == bucket) & (F.col("spot_id") == spot_id)
+    ).drop("bucket")

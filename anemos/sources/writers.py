@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anemos.params import StoreLayout
@@ -104,3 +105,42 @@ def table_fingerprint(df: DataFrame, columns) -> DataFrame:
     text = F.concat_ws("|", F.col("rows").cast("string"), F.coalesce(F.col("a").cast("string"), F.lit("0")),
                        F.coalesce(F.col("b").cast("string"), F.lit("0")))
     return sums.select("rows", F.sha2(text, 256).alias("digest"))
+
+
+def slice_bucket(buckets: int, *keys) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+
+
+def replace_slices(df: DataFrame, path: str, buckets: int, keys=("dataset_name", "spot_id")) -> None:
+    """Replace slices in a store of fixed size buckets: for very many spots.
+
+    One directory per spot would mean millions of small files. Here slices are
+    hashed into buckets; a bucket that receives slices is rewritten with its
+    other slices kept, and dynamic overwrite leaves the other buckets alone.
+    Rows are sorted by slice, so file statistics still skip to one slice.
+    ``df`` is read twice and should be a stored table.
+    """
+    require_columns(df, keys, "slice write")
+    new = df.withColumn("bucket", slice_bucket(buckets, *keys))
+    slices = new.select(*keys, "bucket").distinct()
+    stored = stored_table(df.sparkSession, path)
+    if stored is not None:
+        touched = slices.select(keys[0], "bucket").distinct()
+        kept = stored.join(touched, [keys[0], "bucket"], "left_semi").join(slices, list(keys), "left_anti")
+        new = new.unionByName(kept.select(new.columns))
+    (
+        new.hint("rebalance", F.col(keys[0]), F.col("bucket"))
+        .sortWithinPartitions(keys[0], "bucket", *keys[1:])
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(keys[0], "bucket").parquet(path)
+    )
+
+
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, or None where nothing was written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
