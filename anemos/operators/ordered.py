@@ -126,15 +126,15 @@ class Series:
         by = [*self.keys, SEG] if self.cuts else list(self.keys)
         return Window.partitionBy(*by)
 
-    def segments(self):
+    def segments(self, descending: bool = False):
         """Window over the one-row-per-segment state of a hot key."""
-        return Window.partitionBy(*self.keys).orderBy(SEG)
+        return Window.partitionBy(*self.keys).orderBy(F.desc(SEG) if descending else F.asc(SEG))
 
 
+# Growing frames only: Spark walks them once. A shrinking frame (current row to
+# the end) is recomputed for every row, so looking back means sorting downwards.
 _BEFORE = (Window.unboundedPreceding, -1)
-_AFTER = (1, Window.unboundedFollowing)
 _UP_TO = (Window.unboundedPreceding, 0)
-_FROM = (0, Window.unboundedFollowing)
 
 
 def _attach(rows: DataFrame, state: DataFrame, series: Series) -> DataFrame:
@@ -149,10 +149,10 @@ def fill(df: DataFrame, series: Series, forward: dict[str, str] | None = None,
     """
     forward, backward = forward or {}, backward or {}
     cut = series.cut(df)
-    w = series.window()
+    up, down = series.window().rowsBetween(*_UP_TO), series.window(descending=True).rowsBetween(*_UP_TO)
     out = cut.withColumns({
-        **{n: F.last(c, ignorenulls=True).over(w.rowsBetween(*_UP_TO)) for n, c in forward.items()},
-        **{n: F.first(c, ignorenulls=True).over(w.rowsBetween(*_FROM)) for n, c in backward.items()},
+        **{n: F.last(c, ignorenulls=True).over(up) for n, c in forward.items()},
+        **{n: F.last(c, ignorenulls=True).over(down) for n, c in backward.items()},
     })
     if series.is_cut:
         at = F.struct(*series.order)
@@ -160,11 +160,12 @@ def fill(df: DataFrame, series: Series, forward: dict[str, str] | None = None,
             *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_f_{n}") for n, c in forward.items()],
             *[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_b_{n}") for n, c in backward.items()],
         )
-        ws = series.segments()
+        earlier = series.segments().rowsBetween(*_BEFORE)
+        later = series.segments(descending=True).rowsBetween(*_BEFORE)
         state = edge.select(
             *series.keys, SEG,
-            *[F.last(f"_f_{n}", True).over(ws.rowsBetween(*_BEFORE)).alias(f"_f_{n}") for n in forward],
-            *[F.first(f"_b_{n}", True).over(ws.rowsBetween(*_AFTER)).alias(f"_b_{n}") for n in backward],
+            *[F.last(f"_f_{n}", True).over(earlier).alias(f"_f_{n}") for n in forward],
+            *[F.last(f"_b_{n}", True).over(later).alias(f"_b_{n}") for n in backward],
         )
         out = _attach(out, state, series).withColumns({
             **{n: F.coalesce(n, f"_f_{n}") for n in forward},

@@ -111,13 +111,13 @@ def ranking_table(ranked: DataFrame, ordinal: str) -> DataFrame:
 def topk_with_rest(df: DataFrame, name: str, value: str, k: int = 8) -> DataFrame:
     """The k largest rows plus one row for the rest (count and sum).
 
-    The k-th pair is found by a top-k sort and compared as a scalar, so the
-    full table is neither sorted nor gathered.
+    The k-th row is found by a top-k sort and compared as a scalar, so the full
+    table is neither sorted nor gathered.
     """
     top = df.orderBy(F.desc(value), F.asc(name)).limit(k)
-    last = top.agg(F.min(value)).scalar()
-    edge = top.where(F.col(value) == last).agg(F.max(name)).scalar()
-    is_top = (F.col(value) > last) | ((F.col(value) == last) & (F.col(name) <= edge))
+    edge = top.agg(F.max_by(F.struct(F.col(value).alias("v"), F.col(name).alias("n")),
+                            F.struct(-F.col(value), F.col(name)))).scalar()
+    is_top = (F.col(value) > edge["v"]) | ((F.col(value) == edge["v"]) & (F.col(name) <= edge["n"]))
     label = F.when(is_top, F.col(name)).otherwise("(rest)")
     return df.groupBy(label.alias(name)).agg(
         F.count("*").alias("entries"), F.sum(value).alias(value))

@@ -150,9 +150,12 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._read[name]
 
     def _bind(self, table: str, expressions) -> DataFrame:
         return self.table(table).selectExpr(*expressions)

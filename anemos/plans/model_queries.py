@@ -32,14 +32,14 @@ def training_set(t: Tables):
 
 @query("holdout_split", with_sql("features labelled", _SPLIT_SQL + "SELECT spot_id, event_id, split FROM sp"))
 def holdout_split(t: Tables):
-    rows = fx.label_rows(t.features, F.lit(12.0)).select("spot_id", "event_id")
+    rows = settle(fx.label_rows(t.features, F.lit(12.0)).select("spot_id", "event_id"), "labelled")
     return ml.holdout_split(rows, ("spot_id", "event_id"))
 
 
 @query("training_counts", with_sql("features labelled", _SPLIT_SQL + """SELECT count(*) AS training_rows, 14 AS training_features,
     CAST(sum(CASE WHEN split='train' THEN 1 ELSE 0 END) AS BIGINT) AS train_rows, CAST(sum(CASE WHEN split='test' THEN 1 ELSE 0 END) AS BIGINT) AS test_rows FROM sp"""))
 def training_counts(t: Tables):
-    rows = fx.label_rows(t.features, F.lit(12.0)).select("spot_id", "event_id")
+    rows = settle(fx.label_rows(t.features, F.lit(12.0)).select("spot_id", "event_id"), "labelled")
     return ml.training_counts(ml.holdout_split(rows, ("spot_id", "event_id")))
 
 

@@ -32,8 +32,8 @@ def query(key: str, sql: str | None = None):
 
 
 def r6(c) -> Column:
-    """Six decimals; the added zero turns -0.0 into 0.0."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 6) + F.lit(0.0)
+    """Six decimals without decimal arithmetic; the added zero turns -0.0 into 0.0."""
+    return F.rint((F.col(c) if isinstance(c, str) else c) * F.lit(1e6)) / F.lit(1e6) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
