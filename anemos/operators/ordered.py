@@ -196,7 +196,7 @@ def running_totals(df: DataFrame, series: Series, sums: dict[str, str],
             *[F.sum(f"_t_{c}").over(everything).alias(f"_w_{n}") for n, c in totals.items()],
         )
         out = _attach(out, state, series).withColumns({
-            **{n: F.col(n) + F.coalesce(F.col(f"_p_{n}"), F.lit(0)) for n in sums},
+            **{n: F.coalesce(F.col(n) + F.col(f"_p_{n}"), n, f"_p_{n}") for n in sums},
             **{n: F.coalesce(F.col(f"_w_{n}"), F.col(n)) for n in totals},
         }).drop(*[f"_p_{n}" for n in sums], *[f"_w_{n}" for n in totals])
     return out.drop(SEG)

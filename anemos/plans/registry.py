@@ -32,8 +32,9 @@ def query(key: str, sql: str | None = None):
 
 
 def r6(c) -> Column:
-    """Six decimals without decimal arithmetic; the added zero turns -0.0 into 0.0."""
-    return F.rint((F.col(c) if isinstance(c, str) else c) * F.lit(1e6)) / F.lit(1e6) + F.lit(0.0)
+    """Six decimals, half away from zero, without decimal arithmetic; -0.0 becomes 0.0."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.signum(x) * F.floor(F.abs(x) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
