@@ -63,16 +63,17 @@ def mean_quality(forecast: DataFrame) -> DataFrame:
 def minmax(df: DataFrame, columns) -> dict[str, Column]:
     """Min-max scaled columns; equal values scale to 1 if positive, else 0.
 
-    The bounds come from one scalar subquery, so nothing is shuffled.
+    The bounds are one aggregated row, read ahead of the plan that uses them.
+    ``df`` should be stored, as it is read again by that plan.
     """
-    bounds = df.agg(F.struct(*[
-        f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))
-    ])).scalar()
+    bounds = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
     out = {}
     for c in columns:
         lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
-        out[c] = F.when(lo == hi, F.when(hi > 0, 1.0).otherwise(0.0)).otherwise(
-            (F.col(c) - lo) / (hi - lo))
+        if lo is None or lo == hi:
+            out[c] = F.lit(1.0 if hi is not None and hi > 0 else 0.0)
+        else:
+            out[c] = (F.col(c) - lo) / (hi - lo)
     return out
 
 

@@ -45,24 +45,25 @@ SAMPLES = [
     "'requests_total' AS name", "event_type AS endpoint", "CAST(user_id % 3 AS VARCHAR(20)) AS result",
     "ts", "value", "event_id",
 ]
-# Run documents: an order is a run, its line items are the spots of the run.
+# Run documents: twelve consecutive events are a run, each event a spot of it. A
+# document has twelve spots at most, whatever the distribution of the table.
+RUN_NO = "CAST(floor(event_id / 12) AS BIGINT)"
 RUN_HEADER = [
-    "CAST(o_orderkey AS VARCHAR(20)) AS run_id", "o_orderkey", "o_orderpriority AS dataset",
-    "CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'succeeded' END AS run_status",
-    "o_orderdate AS generated_at",
-    "CASE o_custkey % 7 WHEN 0 THEN 'off' WHEN 1 THEN 'always' WHEN 2 THEN 'drift' "
+    f"CAST({RUN_NO} AS VARCHAR(20)) AS run_id", f"{RUN_NO} AS run_no",
+    "'set-' || CAST(user_id % 5 AS VARCHAR(20)) AS dataset",
+    "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'succeeded' END AS run_status", "ts AS generated_at",
+    "CASE user_id % 7 WHEN 0 THEN 'off' WHEN 1 THEN 'always' WHEN 2 THEN 'drift' "
     "WHEN 3 THEN 'new-data' WHEN 4 THEN 'Drift-Only' WHEN 5 THEN NULL ELSE 'always' END AS retraining_mode",
-    "CAST(o_totalprice AS DOUBLE) AS total", "o_custkey",
+    "value AS total", "user_id AS owner",
 ]
 RUN_SPOT = [
-    "l_orderkey", "'s' || CAST(l_suppkey AS VARCHAR(20)) || '-' || CAST(l_linenumber AS VARCHAR(20)) "
-    "|| '-' || CAST(l_partkey AS VARCHAR(20)) AS spot_id",
-    "CASE l_returnflag WHEN 'A' THEN 'stored' WHEN 'N' THEN 'skipped' ELSE 'failed' END AS status",
-    "CAST(l_quantity AS BIGINT) AS ingest_rows",
-    "CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0 END AS stored_rows",
-    "l_returnflag <> 'R' AS validation_passed",
-    "CASE WHEN l_returnflag = 'R' THEN CAST(l_tax * 100 AS BIGINT) ELSE 0 END AS range_violation_count",
-    "CASE WHEN l_returnflag = 'A' THEN l_discount END AS max_numeric_abs_delta",
+    f"{RUN_NO} AS run_no", "'s' || CAST(user_id AS VARCHAR(20)) || '-' || CAST(event_id AS VARCHAR(20)) AS spot_id",
+    "CASE WHEN event_type IN ('view', 'click') THEN 'stored' WHEN event_type = 'purchase' THEN 'skipped' ELSE 'failed' END AS status",
+    "CAST(floor(value) AS BIGINT) AS ingest_rows",
+    "CASE WHEN event_type IN ('view', 'click') THEN CAST(floor(value) AS BIGINT) ELSE 0 END AS stored_rows",
+    "event_type <> 'error' AS validation_passed",
+    "CASE WHEN event_type = 'error' THEN event_id % 7 ELSE 0 END AS range_violation_count",
+    "CASE WHEN event_type IN ('view', 'click') THEN CAST(event_id % 11 AS DOUBLE) / 100.0e0 END AS max_numeric_abs_delta",
 ]
 
 
@@ -124,8 +125,8 @@ _BASE = {
     "prediction_events": select_list(PREDICTIONS, "events", "event_id % 2 = 1"),
     "observed": select_list(OBSERVED, "events", "event_id % 2 = 0"),
     "samples": select_list(SAMPLES, "events"),
-    "runs": select_list(RUN_HEADER, "orders"),
-    "run_spots": select_list(RUN_SPOT, "lineitem"),
+    "runs": select_list(RUN_HEADER, "events", "event_id % 12 = 0"),
+    "run_spots": select_list(RUN_SPOT, "events"),
 }
 
 
@@ -203,31 +204,28 @@ class Tables:
 
     @cached_property
     def run_spots(self) -> DataFrame:
-        return self._bind("lineitem", RUN_SPOT)
+        return self._bind("events", RUN_SPOT)
 
     @cached_property
     def run_headers(self) -> DataFrame:
-        return self._bind("orders", RUN_HEADER)
+        return self.table("events").where("event_id % 12 = 0").selectExpr(*RUN_HEADER)
 
     @cached_property
     def runs(self) -> DataFrame:
-        """Run documents: header, stage maps and the array of spot structs.
-
-        A run holds a handful of spots by construction, so the array is small.
-        """
-        fields = [c.split(" AS ")[-1] for c in RUN_SPOT if c != "l_orderkey"]
-        spots = self.run_spots.groupBy("l_orderkey").agg(
+        """Run documents: header, stage maps and the array of spot structs (twelve at most)."""
+        fields = [c.split(" AS ")[-1] for c in RUN_SPOT[1:]]
+        spots = self.run_spots.groupBy("run_no").agg(
             F.array_sort(F.collect_list(F.struct(*fields))).alias("spots"))
         named = lambda s: F.transform(F.filter("spots", s), lambda x: x["spot_id"])
         durations = F.map_filter(
             F.create_map(*[x for i, stage in enumerate(("fetch", "engineer", "validate", "store"))
-                           for x in (F.lit(stage), F.when(F.col("o_custkey") % (i + 3) != 0,
-                                                          F.round(F.col("total") / (1000.0 * (i + 1)), 2)))]),
+                           for x in (F.lit(stage), F.when(F.col("owner") % (i + 3) != 0,
+                                                          F.col("total") / F.lit(float(i + 1))))]),
             lambda _, v: v.isNotNull())
         failures = F.create_map(
             F.lit("validate"), F.size(F.filter("spots", lambda x: x["status"] == "failed")).cast("bigint"),
             F.lit("store"), F.when(F.col("run_status") == "failed", 1).otherwise(0).cast("bigint"))
-        return self.run_headers.join(spots, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        return self.run_headers.join(spots, "run_no").select(
             "run_id", "dataset", "run_status", "generated_at", "retraining_mode",
             named(lambda x: x["status"] == "stored").alias("stored_spots"),
             named(lambda x: (x["status"] == "stored") & (x["max_numeric_abs_delta"] >= 0.08)).alias("drifted_spots"),

@@ -116,18 +116,18 @@ def alert_hold(t: Tables):
 
 # Run documents ---------------------------------------------------------------
 
-@query("run_rollup", with_sql("run_spots", """SELECT CAST(l_orderkey AS VARCHAR) AS run_id, count(*) AS expected_spots, CAST(sum(CASE WHEN ingest_rows>0 THEN 1 ELSE 0 END) AS BIGINT) AS fetched_spots,
+@query("run_rollup", with_sql("run_spots", """SELECT CAST(run_no AS VARCHAR) AS run_id, count(*) AS expected_spots, CAST(sum(CASE WHEN ingest_rows>0 THEN 1 ELSE 0 END) AS BIGINT) AS fetched_spots,
     CAST(sum(CASE WHEN validation_passed THEN 1 ELSE 0 END) AS BIGINT) AS validated_spots, CAST(sum(CASE WHEN status='stored' THEN 1 ELSE 0 END) AS BIGINT) AS stored_spots,
     CAST(sum(CASE WHEN status='skipped' THEN 1 ELSE 0 END) AS BIGINT) AS skipped_spots, CAST(sum(CASE WHEN status='failed' THEN 1 ELSE 0 END) AS BIGINT) AS failed_spots FROM run_spots GROUP BY 1"""))
 def run_rollup(t: Tables):
-    return rn.run_rollup(t.run_spots.withColumn("run_id", F.col("l_orderkey").cast("string")))
+    return rn.run_rollup(t.run_spots.withColumn("run_id", F.col("run_no").cast("string")))
 
 
-_DOC = """, spots AS (SELECT l_orderkey, count(*) AS n, sum(CASE WHEN status='stored' THEN 1 ELSE 0 END) AS stored, sum(CASE WHEN status='failed' THEN 1 ELSE 0 END) AS failed,
+_DOC = """, spots AS (SELECT run_no, count(*) AS n, sum(CASE WHEN status='stored' THEN 1 ELSE 0 END) AS stored, sum(CASE WHEN status='failed' THEN 1 ELSE 0 END) AS failed,
     sum(CASE WHEN status='stored' AND max_numeric_abs_delta >= 0.08 THEN 1 ELSE 0 END) AS drifted FROM run_spots GROUP BY 1),
-    doc AS (SELECT r.*, s.* FROM runs r JOIN spots s ON o_orderkey = l_orderkey) """
+    doc AS (SELECT * FROM runs JOIN spots USING (run_no)) """
 _STAGES = ", st AS (" + " UNION ALL ".join(
-    f"SELECT run_id, '{stage}' AS stage, CASE WHEN o_custkey % {i + 3} <> 0 THEN round(total/({i + 1}*1000e0),2) END AS duration, {fail} AS failures FROM doc"
+    f"SELECT run_id, '{stage}' AS stage, CASE WHEN owner % {i + 3} <> 0 THEN total/{i + 1}e0 END AS duration, {fail} AS failures FROM doc"
     for i, (stage, fail) in enumerate((("fetch", "0"), ("engineer", "0"), ("validate", "failed"), ("store", "CASE WHEN run_status='failed' THEN 1 ELSE 0 END")))
 ) + ") "
 
@@ -163,7 +163,7 @@ _SUMMARY = _DOC + _STAGES + """, mt AS (
     UNION ALL SELECT run_id, 'feature_' || stage || '_failure_count', failures FROM st WHERE stage IN ('validate','store')
     UNION ALL SELECT run_id, 'feature_' || spot_id || '_' || k, v FROM (SELECT d.run_id, spot_id, unnest(['ingest_rows','stored_rows','validation_passed','range_violation_count','max_numeric_abs_delta']) AS k,
       unnest([CAST(ingest_rows AS DOUBLE), CAST(stored_rows AS DOUBLE), CASE WHEN validation_passed THEN 1e0 ELSE 0e0 END, CAST(range_violation_count AS DOUBLE), max_numeric_abs_delta]) AS v
-      FROM run_spots s JOIN doc d ON d.l_orderkey = s.l_orderkey) WHERE v IS NOT NULL) """
+      FROM run_spots s JOIN doc d ON d.run_no = s.run_no) WHERE v IS NOT NULL) """
 
 
 @query("summary_metrics_long", with_sql("runs run_spots", _SUMMARY + "SELECT run_id, metric, value FROM mt"))
@@ -172,7 +172,7 @@ def summary_metrics_long(t: Tables):
 
 
 @query("stage_overview", with_sql("runs run_spots", """SELECT run_id, dataset, spot_id, status, ingest_rows, stored_rows, validation_passed, range_violation_count, max_numeric_abs_delta
-    FROM runs JOIN run_spots ON o_orderkey = l_orderkey"""))
+    FROM runs JOIN run_spots USING (run_no)"""))
 def stage_overview(t: Tables):
     return rn.stage_overview(t.runs)
 
@@ -192,13 +192,13 @@ def training_metrics_long(t: Tables):
     return rn.training_metrics_long(docs)
 
 
-@query("select_run_summary", with_sql("runs", """, l AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY generated_at DESC, o_orderkey DESC) AS rn FROM runs),
-    w AS (SELECT dataset, CAST(NULL AS VARCHAR) AS wanted FROM runs GROUP BY 1 UNION ALL SELECT dataset, run_id FROM runs WHERE o_custkey % 50 = 0),
+@query("select_run_summary", with_sql("runs", """, l AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY generated_at DESC, run_no DESC) AS rn FROM runs),
+    w AS (SELECT dataset, CAST(NULL AS VARCHAR) AS wanted FROM runs GROUP BY 1 UNION ALL SELECT dataset, run_id FROM runs WHERE owner % 50 = 0),
     c AS (SELECT w.dataset, w.wanted, CASE WHEN wanted IS NULL THEN l.run_id ELSE wanted END AS run_id FROM w JOIN l ON l.dataset = w.dataset AND l.rn = 1)
     SELECT c.dataset, coalesce(wanted,'-') AS wanted_run_id, c.run_id, r.run_status FROM c JOIN runs r USING (run_id)"""))
 def select_run_summary(t: Tables):
-    history = t.run_headers.select("dataset", "run_id", "run_status", "generated_at", "o_orderkey")
+    history = t.run_headers.select("dataset", "run_id", "run_status", "generated_at", "run_no")
     latest = t.run_headers.select("dataset", F.lit(None).cast("string").alias("wanted_run_id")).distinct()
-    named = t.run_headers.where("o_custkey % 50 = 0").select("dataset", F.col("run_id").alias("wanted_run_id"))
-    found = rn.select_run_summary(history, latest.unionByName(named), "dataset", ("generated_at", "o_orderkey"))
+    named = t.run_headers.where("owner % 50 = 0").select("dataset", F.col("run_id").alias("wanted_run_id"))
+    found = rn.select_run_summary(history, latest.unionByName(named), "dataset", ("generated_at", "run_no"))
     return found.select("dataset", F.coalesce("wanted_run_id", F.lit("-")).alias("wanted_run_id"), "run_id", "run_status")

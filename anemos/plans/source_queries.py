@@ -200,9 +200,7 @@ def event_scan(t: Tables):
     return events.withColumn("ids", F.array_join("requested_spot_ids", "|")).drop("requested_spot_ids", "spot_name")
 
 
-@query("report_scan", """SELECT CAST(o_orderkey AS VARCHAR) AS run_id, o_orderpriority AS dataset,
-    CASE WHEN o_orderstatus='F' THEN 'failed' ELSE 'succeeded' END AS run_status, count(*) AS spots FROM orders
-    JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL""")
+@query("report_scan", with_sql("runs run_spots", """SELECT run_id, dataset, run_status, count(*) AS spots FROM runs JOIN run_spots USING (run_no) GROUP BY ALL"""))
 def report_scan(t: Tables):
     path = fresh_path(t.spark, "reports")
     t.runs.write.json(path)
@@ -210,26 +208,26 @@ def report_scan(t: Tables):
     return found.select("run_id", "dataset", "run_status", F.size("spots").cast("bigint").alias("spots"))
 
 
-_MAINTAINED = """, h AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY generated_at DESC, o_orderkey DESC) AS rn FROM runs),
-    p AS (SELECT dataset, o_custkey AS mark, row_number() OVER (PARTITION BY dataset ORDER BY generated_at DESC, o_orderkey DESC) AS rn
-      FROM runs WHERE o_orderkey % 5 = 0 AND dataset <> '5-LOW')"""
+_MAINTAINED = """, h AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY generated_at DESC, run_no DESC) AS rn FROM runs),
+    p AS (SELECT dataset, owner AS mark, row_number() OVER (PARTITION BY dataset ORDER BY generated_at DESC, run_no DESC) AS rn
+      FROM runs WHERE run_no % 5 = 0 AND dataset <> 'set-4')"""
 
 
 @query("report_latest_patch", with_sql("runs", _MAINTAINED + """ SELECT h.dataset, h.run_id, h.run_status, coalesce(p.mark, -1) AS mark
     FROM (SELECT * FROM h WHERE rn=1) h LEFT JOIN (SELECT * FROM p WHERE rn=1) p USING (dataset)"""))
 def report_latest_patch(t: Tables):
-    history = t.run_headers.select("dataset", "run_id", "run_status", "generated_at", "o_orderkey")
-    patches = t.run_headers.where("o_orderkey % 5 = 0 AND dataset <> '5-LOW'").select(
-        "dataset", F.col("generated_at").alias("patched_at"), F.col("o_orderkey").alias("patch_id"), F.col("o_custkey").alias("mark"))
-    latest = runs.latest_with_patch(history, patches, "dataset", ("generated_at", "o_orderkey"), "mark")
+    history = t.run_headers.select("dataset", "run_id", "run_status", "generated_at", "run_no")
+    patches = t.run_headers.where("run_no % 5 = 0 AND dataset <> 'set-4'").select(
+        "dataset", F.col("generated_at").alias("patched_at"), F.col("run_no").alias("patch_id"), F.col("owner").alias("mark"))
+    latest = runs.latest_with_patch(history, patches, "dataset", ("generated_at", "run_no"), "mark")
     return latest.select("dataset", "run_id", "run_status", F.coalesce("mark", F.lit(-1)).alias("mark"))
 
 
-@query("latest_per_key", with_sql("runs", """, h AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY generated_at DESC, o_orderkey DESC) AS rn,
+@query("latest_per_key", with_sql("runs", """, h AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY generated_at DESC, run_no DESC) AS rn,
     count(*) OVER (PARTITION BY dataset) AS runs FROM runs)
     SELECT dataset, runs, run_id AS latest_run_id, run_status AS latest_status FROM h WHERE rn = 1"""))
 def latest_per_key(t: Tables):
-    return runs.group_runs(t.run_headers, "dataset", ("generated_at", "o_orderkey"))
+    return runs.group_runs(t.run_headers, "dataset", ("generated_at", "run_no"))
 
 
 def metric_lines(t: Tables):
@@ -300,8 +298,8 @@ def class_accuracy_query(t: Tables):
     return rounded(class_accuracy(scored(t), "actual", "predicted"), "value")
 
 
-@query("fresh_snapshot", with_sql("runs", """SELECT run_id, dataset FROM runs WHERE generated_at IS NOT NULL AND o_orderkey % 4 <> 0
-    AND TIMESTAMP '1999-01-01 06:00:00' - generated_at <= INTERVAL 25200 SECOND"""))
+@query("fresh_snapshot", with_sql("runs", """SELECT run_id, dataset FROM runs WHERE generated_at IS NOT NULL AND run_no % 4 <> 0
+    AND TIMESTAMP '2024-01-15 06:00:00' - generated_at <= INTERVAL 25200 SECOND"""))
 def fresh_snapshot(t: Tables):
-    stamped = t.run_headers.withColumn("written_at", F.when(F.col("o_orderkey") % 4 != 0, F.col("generated_at")))
-    return ranking.fresh_snapshot(stamped, "written_at", F.expr("TIMESTAMP_NTZ '1999-01-01 06:00:00'"), 25200).select("run_id", "dataset")
+    stamped = t.run_headers.withColumn("written_at", F.when(F.col("run_no") % 4 != 0, F.col("generated_at")))
+    return ranking.fresh_snapshot(stamped, "written_at", F.expr("TIMESTAMP_NTZ '2024-01-15 06:00:00'"), 25200).select("run_id", "dataset")
