@@ -9,7 +9,8 @@ Keys below the limit keep a single segment, so ordinary data pays one count.
 Size bounds: a table of N rows has at most N / rows_per_segment hot keys, and
 each is cut into about OVERSPLIT * n / rows_per_segment slices, so the hot-key
 table and the per-segment state are a few MB even for 10^12 rows. That is what
-makes them safe to broadcast; ``HOT_LIMIT`` stops a job that breaks the bound.
+makes them safe to broadcast. Should more than ``HOT_LIMIT`` keys be hot, the
+segments are made larger until they are not.
 """
 
 from __future__ import annotations
@@ -64,40 +65,44 @@ class Series:
         if probe is not None and probe.count() <= limit:
             return plan
         for level in range(LEVELS):
-            found = plan._hot(df, limit, level)
-            if found is None:
+            table = plan._hot_table(df, limit, level)
+            hot = table.limit(HOT_LIMIT + 1).collect()
+            while len(hot) > HOT_LIMIT:
+                limit *= 4
+                table = plan._hot_table(df, limit, level)
+                hot = table.limit(HOT_LIMIT + 1).collect()
+            if not hot:
                 break
-            plan = cls(plan.keys, plan.order, (*plan.cuts, found))
+            # Read back as local rows, so that later plans do not count again.
+            cut = df.sparkSession.createDataFrame(hot, table.schema)
+            plan = cls(plan.keys, plan.order, (*plan.cuts, cut))
         return plan
 
     @property
     def is_cut(self) -> bool:
         return bool(self.cuts)
 
-    def _hot(self, df: DataFrame, limit: int, level: int) -> DataFrame | None:
+    def _groups(self, level: int) -> list[str]:
+        return [*self.keys, *[f"_s{i}" for i in range(level)]]
+
+    def _hot_table(self, df: DataFrame, limit: int, level: int) -> DataFrame:
+        """Groups above the limit whose values differ, with their span and slice count."""
         at = self._with_segments(df)
-        group = [*self.keys, *[f"_s{i}" for i in range(level)]]
         x = _scale(df, self.order[0])
         if level:
             at = at.where(F.col(f"_s{level - 1}") > 0)
-        hot = (
-            at.groupBy(*group)
+        return (
+            at.groupBy(*self._groups(level))
             .agg(F.count("*").alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
             .where((F.col("_n") > limit) & (F.col("_lo") < F.col("_hi")))
             .withColumn("_slices", F.ceil(F.col("_n") / limit) * OVERSPLIT)
         )
-        rows = hot.limit(HOT_LIMIT + 1).collect()
-        if not rows:
-            return None
-        if len(rows) > HOT_LIMIT:
-            raise ValueError(f"more than {HOT_LIMIT} hot keys; raise rows_per_segment")
-        return df.sparkSession.createDataFrame(rows, hot.schema)
 
     def _with_segments(self, df: DataFrame) -> DataFrame:
         x = _scale(df, self.order[0])
         out = df
         for level, cut in enumerate(self.cuts):
-            group = [*self.keys, *[f"_s{i}" for i in range(level)]]
+            group = self._groups(level)
             width = (F.col("_hi") - F.col("_lo")) / F.col("_slices")
             slot = F.least(F.floor((x - F.col("_lo")) / width), F.col("_slices") - 1) + 1
             out = (

@@ -8,7 +8,7 @@ from anemos.functions.quality import quality_band
 from anemos.operators import asof, ranking
 from anemos.operators import features as fx
 from anemos.operators import quality as q
-from anemos.params import VALUE_RANGES
+from anemos.params import ENGINEERED_COLUMNS, VALUE_RANGES
 from anemos.plans.bindings import Tables, with_sql
 from anemos.plans.feature_queries import _FORECAST_SQL, forecast
 from anemos.plans.registry import query, r6, rounded
@@ -165,14 +165,20 @@ def roundtrip_delta(t: Tables):
     return found.withColumn("max_abs_delta", F.round("max_abs_delta", 4))
 
 
-@query("column_diff", """SELECT c AS "column", CASE WHEN c LIKE 'wind_speed_80m' OR c IN ('wind_speed_120m','wind_direction_80m','cape','lifted_index','hour_of_day_sin','hour_of_day_cos',
-    'day_of_year_sin','day_of_year_cos','wind_direction_10m_sin','wind_direction_10m_cos','gust_excess_10m','gust_factor','shore_alignment','wind_steadiness',
-    'shore_orientation_deg','lat','lon','drive_minutes') THEN 'new' ELSE 'shared' END AS status FROM (SELECT unnest(['spot_id','user_id','event_id','time','wind_speed_10m',
-    'wind_gusts_10m','wind_direction_10m','temperature_2m','relative_humidity_2m','wind_speed_80m','wind_speed_120m','wind_direction_80m','cape','lifted_index',
-    'hour_of_day_sin','hour_of_day_cos','day_of_year_sin','day_of_year_cos','wind_direction_10m_sin','wind_direction_10m_cos','gust_excess_10m','gust_factor',
-    'shore_alignment','wind_steadiness','shore_orientation_deg','lat','lon','drive_minutes']) AS c)""")
+_SHARED = ("spot_id", "user_id", "event_id", "time", "wind_speed_10m", "wind_gusts_10m", "wind_direction_10m", "temperature_2m",
+           "relative_humidity_2m")
+_NEW = ("wind_speed_80m", "wind_speed_120m", "wind_direction_80m", "cape", "lifted_index", *ENGINEERED_COLUMNS, "shore_orientation_deg",
+        "lat", "lon", "drive_minutes")
+
+
+@query("column_diff", with_sql("features", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{status}' AS status, count({c}) AS filled_rows FROM features"""
+    for status, names in (("shared", _SHARED), ("new", _NEW)) for c in names)))
 def column_diff(t: Tables):
-    return q.column_diff(t.readings, t.features)
+    """Columns before and after feature engineering, with their filled rows."""
+    filled = t.features.agg(*[F.count(c).alias(c) for c in t.features.columns])
+    long = filled.unpivot([], filled.columns, "column", "filled_rows")
+    return q.column_diff(t.readings, t.features).join(long, "column")
 
 
 @query("field_parity", """WITH a AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cust, o_orderstatus AS status, o_totalprice AS total FROM orders WHERE o_orderkey % 11 <> 0),
