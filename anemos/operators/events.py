@@ -10,6 +10,8 @@ from anemos.functions.text import normalize_id_list, normalize_label
 from anemos.operators.ordered import Series, number_rows
 from anemos.params import RetentionRules
 
+SALTS = 64
+
 
 def flatten_predictions(payloads: DataFrame, endpoint: Column, logged_at: Column,
                         requested: Column) -> DataFrame:
@@ -41,8 +43,17 @@ def _cutoff(df: DataFrame, time: str, days: int) -> Column:
 
 
 def _newest(df: DataFrame, order, rows: int) -> DataFrame:
-    w = Window.partitionBy("model_version").orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= rows).drop("_rn")
+    """Newest rows per model in two steps.
+
+    Every map task sends up to ``rows`` rows of a model, which for one huge
+    model adds up. Salted parts of a model are limited first, each in its own
+    task; their survivors are few.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(SALTS)))
+    for keys in (("model_version", "_salt"), ("model_version",)):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        salted = salted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= rows).drop("_rn")
+    return salted.drop("_salt")
 
 
 def retain_by_time(df: DataFrame, rules: RetentionRules, model: str | None = None) -> DataFrame:

@@ -13,6 +13,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # Sessions of one busy key are merged on the map side before they are shuffled.
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return spark
 
 
