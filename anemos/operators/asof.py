@@ -37,9 +37,10 @@ def one_per_instant(df: DataFrame, keys, time: str, order: str, keep: str = "fir
 
 
 def _neighbours(left, right, keys, left_time, right_time, left_id, payload, after: bool,
-                rows_per_segment) -> DataFrame:
+                rows_per_segment, series: Series | None = None) -> DataFrame:
     line = _timeline(left, right, keys, left_time, right_time, left_id, payload)
-    series = Series.measure(line, keys, (_T, _SIDE, _ID), rows_per_segment)
+    order = (_T, _SIDE, _ID)
+    series = series.ordered_by(*order) if series else Series.measure(line, keys, order, rows_per_segment)
     found = fill(line, series, {"_prev": "_right"}, {"_next": "_right"} if after else None)
     return found.where(F.col("_left").isNotNull())
 
@@ -50,15 +51,16 @@ def _distance(a, b) -> Column:
 
 def nearest_join(left: DataFrame, right: DataFrame, keys, left_time: str, right_time: str,
                  left_id: str, payload, tie: str = "later", tolerance_s: float | None = None,
-                 matched: str = "matched_time", rows_per_segment: int | None = None) -> DataFrame:
+                 matched: str = "matched_time", rows_per_segment: int | None = None,
+                 series: Series | None = None) -> DataFrame:
     """Each left row with the right row nearest in time, or nulls.
 
     ``tie`` picks the earlier or later row at equal distance; the tolerance is
     inclusive. The right side holds one row per key and instant (see
-    ``one_per_instant``).
+    ``one_per_instant``). ``series`` spares the count where the cuts are known.
     """
     n = _neighbours(left, right, keys, left_time, right_time, left_id, payload, True,
-                    rows_per_segment)
+                    rows_per_segment, series)
     before, after = _distance(_T, "_prev._rt"), _distance(_T, "_next._rt")
     later_wins = (after <= before) if tie == "later" else (after < before)
     best = F.when(F.col("_prev").isNull() | (F.col("_next").isNotNull() & later_wins),
@@ -98,12 +100,12 @@ def regular_grid(df: DataFrame, keys, time: str, step: str, grid: str = "grid_ti
 
 
 def grid_sample(df: DataFrame, grid_source: DataFrame, keys, time: str, step: str, payload,
-                rows_per_segment: int | None = None) -> DataFrame:
+                rows_per_segment: int | None = None, series: Series | None = None) -> DataFrame:
     """Sample rows on a regular grid; each point takes the nearest row, later on ties."""
     grid = regular_grid(grid_source, keys, time, step)
     return nearest_join(
         grid, df, keys, "grid_time", time, "grid_time", payload, tie="later", matched=time,
-        rows_per_segment=rows_per_segment,
+        rows_per_segment=rows_per_segment, series=series,
     ).where(F.col(time).isNotNull())
 
 

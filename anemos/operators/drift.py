@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anemos.functions.text import sanitize_name
+from anemos.operators import ordered
 from anemos.operators.ordered import Series, running_totals
 from anemos.params import DriftRules
 
@@ -68,7 +69,11 @@ def drift_ks(df: DataFrame, columns, by=(), rows_per_segment: int | None = None)
     distinct values does not end up in one task.
     """
     melted = _melt(df, columns, by, "double")
-    series = Series.measure(melted, (*by, "column"), ("value",), rows_per_segment)
+    # A group has at least as many rows as any of its columns has values.
+    largest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    series = Series((*by, "column"), ("value",))
+    if largest > (rows_per_segment or ordered.ROWS_PER_SEGMENT):
+        series = Series.measure(melted, series.keys, series.order, rows_per_segment)
     walked = running_totals(_side_counts(melted, by), series, {"_ca": "_a", "_cb": "_b"},
                             {"_ta": "_a", "_tb": "_b"})
     gap = F.abs(F.try_divide("_ca", "_ta") - F.try_divide("_cb", "_tb"))

@@ -44,7 +44,6 @@ class Series:
     """How rows of one key are ordered, and which keys need cutting.
 
     ``order`` starts with the column to cut along and ends in a unique column.
-    Rows whose first order column is null stay in the first segment.
     """
 
     keys: tuple[str, ...]
@@ -78,6 +77,14 @@ class Series:
             plan = cls(plan.keys, plan.order, (*plan.cuts, cut))
         return plan
 
+    def ordered_by(self, *order: str) -> Series:
+        """The same cuts for a table that names its order columns differently.
+
+        Cuts measured on one table fit any table whose keys hold no more rows,
+        such as a filtered or derived one.
+        """
+        return Series(self.keys, order, self.cuts)
+
     @property
     def is_cut(self) -> bool:
         return bool(self.cuts)
@@ -104,10 +111,13 @@ class Series:
         for level, cut in enumerate(self.cuts):
             group = self._groups(level)
             width = (F.col("_hi") - F.col("_lo")) / F.col("_slices")
-            slot = F.least(F.floor((x - F.col("_lo")) / width), F.col("_slices") - 1) + 1
+            # Values outside the measured span belong to the first or last slice,
+            # nulls (which sort first) to the first.
+            at = F.coalesce(F.floor((x - F.col("_lo")) / width), F.lit(0))
+            slot = F.greatest(F.least(at, F.col("_slices") - 1), F.lit(0)) + 1
             out = (
                 out.join(F.broadcast(cut), group, "left")
-                .withColumn(f"_s{level}", F.coalesce(slot, F.lit(0)).cast("bigint"))
+                .withColumn(f"_s{level}", F.when(F.col("_lo").isNull(), 0).otherwise(slot).cast("bigint"))
                 .drop("_n", "_lo", "_hi", "_slices")
             )
         return out

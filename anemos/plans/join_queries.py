@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from anemos.functions.quality import quality_band
+from anemos.functions.temporal import local_time
+from anemos.functions.wind import compass_point
 from anemos.operators import asof, ranking
 from anemos.operators import features as fx
 from anemos.operators import quality as q
@@ -12,6 +14,7 @@ from anemos.params import ENGINEERED_COLUMNS, VALUE_RANGES
 from anemos.plans.bindings import Tables, with_sql
 from anemos.plans.feature_queries import _FORECAST_SQL, forecast
 from anemos.plans.registry import query, r6, rounded
+from anemos.session import settle
 
 
 @query("enrich_spots", with_sql("readings spots", """SELECT event_id, lat, lon, shore_orientation_deg FROM readings JOIN spots USING (spot_id)"""))
@@ -92,7 +95,8 @@ GRID_SQL = """, span AS (SELECT spot_id, min(time) AS lo, max(time) AS hi FROM f
 
 def grid_sampled(t: Tables):
     labelled = fx.label_rows(t.features, F.lit(12.0)).select("spot_id", "time", "quality_index")
-    return asof.grid_sample(labelled, t.readings.select("spot_id", "time"), ("spot_id",), "time", "6 HOURS", ("quality_index",))
+    return asof.grid_sample(labelled, t.readings.select("spot_id", "time"), ("spot_id",), "time", "6 HOURS", ("quality_index",),
+                            series=t.spot_series)
 
 
 @query("grid_sample_nearest", with_sql("features labelled", GRID_SQL + "SELECT spot_id, grid_time, time, quality_index FROM sampled"))
@@ -232,8 +236,8 @@ RANK_SQL = _PEAK_SQL + """, cards AS (SELECT *, CASE WHEN peak_quality<=0 OR ses
       +0.1e0*CASE WHEN h0=h1 THEN CASE WHEN h1>0 THEN 1e0 ELSE 0e0 END ELSE (session_hours-h0)/(h1-h0) END AS score FROM cards, b) """
 
 
-def ranked(t: Tables):
-    return ranking.rank_spots(ranking.forecast_peak(forecast(t), t.spots))
+def ranked(t: Tables, hours=None):
+    return ranking.rank_spots(ranking.forecast_peak(forecast(t) if hours is None else hours, t.spots))
 
 
 @query("rank_spots", RANK_SQL + """SELECT spot_id, peak_quality, session_hours, drive_minutes, round(ratio,6)+0e0 AS ride_drive_ratio, round(score,6)+0e0 AS score
@@ -329,17 +333,16 @@ GRID_CELLS_SQL = RANK_SQL + """, w AS (SELECT spot_id, date_trunc('hour', time):
 
 @query("quality_grid", GRID_CELLS_SQL)
 def quality_grid(t: Tables):
-    from anemos.functions.temporal import local_time
-    from anemos.functions.wind import compass_point
-
-    cells = forecast(t).select(
+    # A few hours per spot, read by the cells and by the ranking.
+    hours = settle(forecast(t).select("spot_id", "event_id", "time", "quality_index"), "hours")
+    cells = hours.select(
         "spot_id", "event_id", "time", F.greatest(quality_band("quality_index"), F.lit(1)).alias("quality"),
         F.date_trunc("hour", "time").cast("timestamp_ntz").alias("hour"))
     wind = pivoted_wind(t).withColumnsRenamed({"10m": "wind", "gusts": "gust"})
     directions = t.readings.select("spot_id", "time", "event_id", F.col("wind_direction_10m").alias("deg"))
     with_wind = cells.join(wind, ["spot_id", "hour"], "left").drop("hour")
     with_direction = asof.first_match_join(with_wind, directions, ("spot_id",), "time", "time", "event_id", ("deg",))
-    cards = ranked(t).select("spot_id", "score", "drive_minutes", "session_hours")
+    cards = ranked(t, hours).select("spot_id", "score", "drive_minutes", "session_hours")
     text = F.concat(compass_point("deg"), F.lit(" ("), F.format_string("%.0f", "deg"), F.lit("°)"))
     grid = with_direction.join(cards, "spot_id", "left").select(
         "spot_id", "event_id", "time", (F.col("time") + F.expr("INTERVAL 1 HOUR")).alias("time_end"), "quality",

@@ -103,3 +103,11 @@ def test_time_order_columns_are_cut_too(spark):
     series = o.Series.measure(df, ("k",), ("t", "id"), 10)
     assert series.is_cut
     assert [r.p for r in o.number_rows(df, series, "p").orderBy("id").collect()] == list(range(1, 101))
+
+
+def test_cuts_fit_a_wider_table_and_nulls_come_first(spark):
+    """Cuts measured on a part still order rows outside its span, and null order values."""
+    df = spark.range(-50, 150).select(F.lit("k").alias("k"), "id", F.when(F.col("id") >= -40, F.col("id").cast("double")).alias("t"))
+    series = o.Series.measure(df.where("id >= 0 AND id < 100"), ("k",), ("t", "id"), 10)
+    assert series.is_cut
+    assert [r.p for r in o.number_rows(df, series, "p").orderBy("id").collect()] == list(range(1, 201))
