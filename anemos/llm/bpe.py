@@ -7,26 +7,27 @@ merged together, in rounds over one flat array (``Bpe.merge_words``).
 
 Defined results: a null or empty text has no ids; no ids decode to an empty text; the
 strings of special tokens in a text become their ids; ids outside the vocabulary
-decode to nothing. Repeated rows give repeated results. Extra columns do not matter,
-as the functions work on one column.
+decode to nothing. Repeated rows give repeated results. Columns other than those named are
+not read.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from anemos.llm.textarrays import mix, span_sums
 
 #: Characters of text encoded together; slots of a worker's table of words; ids it holds before it starts anew.
-TOGETHER, SLOTS, MOST_IDS = 1 << 18, 1 << 21, 1 << 24
+TOGETHER, SLOTS, MOST_IDS = 1 << 18, 1 << 20, 1 << 23
 #: The pattern that cuts words in files of this kind (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -243,39 +244,49 @@ def encoder(path: str, bpe: Bpe) -> Encoder:
     return _ENCODERS[path]
 
 
-def encode_with(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
-    """A column function: text to its ids (array<int>)."""
-    shared = spark.sparkContext.broadcast(Bpe(path))  # a vocabulary: some tens of thousands of entries
+def encode(df: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns and ``ids`` (array<int>) of each text.
 
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = encoder(path, shared.value)
-        for column in batches:
-            parts = list(own.encode(column))
-            bounds = [np.zeros(1, dtype=np.int64)]
-            for _, ends in parts:
-                bounds.append(ends[1:] + bounds[-1][-1])
-            flat = np.concatenate([f for f, _ in parts]) if parts else np.zeros(0, dtype=np.int32)
-            yield pa.ListArray.from_arrays(pa.array(np.concatenate(bounds), pa.int32()), pa.array(flat, pa.int32()))
+    Ids leave a worker as soon as some texts are encoded, so it never holds those of a whole batch.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(Bpe(path))  # a vocabulary: some tens of thousands of entries
+    own = df.select(*keep, F.col(text_col).alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker = encoder(path, shared.value)
+        for batch in batches:
+            row = 0
+            for flat, bounds in worker.encode(batch.column(len(keep))):
+                n = len(bounds) - 1
+                ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i).slice(row, n) for i in range(len(keep))), ids], names=[*keep, "ids"])
+                row += n
 
-    return encode
+    return own.mapInArrow(run, T.StructType([*own.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
-def decode_with(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
-    """A column function: ids to text. The file names no decoder, so tokens are joined by a space."""
-    shared = spark.sparkContext.broadcast(Bpe(path).tokens)
+def decode(df: DataFrame, path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns and ``text`` of each list of ids. The file names no decoder, so tokens are joined by a space."""
+    shared = df.sparkSession.sparkContext.broadcast(Bpe(path).tokens)
+    own = df.select(*keep, F.col(ids_col).alias("_ids"))
 
-    @F.arrow_udf("string")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = shared.value
         name, known = tokens.__getitem__, len(tokens)
-        for column in batches:
-            out = []
-            for ids in column:
-                ids = ids.values.to_numpy() if ids.is_valid else np.zeros(0, dtype=np.int32)
-                if len(ids) and (ids.min() < 0 or ids.max() >= known):
-                    ids = ids[(ids >= 0) & (ids < known)]
-                out.append(" ".join(map(name, ids.tolist())))
-            yield pa.array(out, pa.string())
-
-    return decode
+        for batch in batches:
+            column, texts, size, row = batch.column(len(keep)), [], 0, 0
+            for at in range(len(column)):
+                ids = column[at].values
+                ids = ids.to_numpy(zero_copy_only=False) if ids is not None else np.zeros(0, dtype=np.int32)
+                if len(ids) and not (ids.min() >= 0 and ids.max() < known):
+                    ids = ids[(ids >= 0) & (ids < known)].astype(np.int64)
+                texts.append(" ".join(map(name, ids.tolist())))
+                size += len(ids)
+                if size >= TOGETHER or at == len(column) - 1:
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(i).slice(row, len(texts)) for i in range(len(keep))), pa.array(texts, pa.string())],
+                        names=[*keep, "text"])
+                    row, texts, size = at + 1, [], 0
+
+    return own.mapInArrow(run, T.StructType([*own.schema.fields[:-1], T.StructField("text", T.StringType())]))
