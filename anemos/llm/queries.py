@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemos.llm import bpe, packing
-from anemos.session import settle
+from anemos.llm import bpe, langid, neardup, neighbours, packing, quality, urlfilter, warc
+from anemos.session import fresh_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,12 +32,11 @@ def word_vocabulary() -> str:
 @query
 def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text they decode to, as digests."""
-    encode, decode = bpe.encode_with(spark, word_vocabulary()), bpe.decode_with(spark, word_vocabulary())
-    coded = table(spark, sf_dir, "documents").select("doc_id", encode("text").alias("ids"))
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(decode("ids"), 256).alias("decoded_sha256"))
+    coded = bpe.encode(table(spark, sf_dir, "documents"), word_vocabulary()).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"))
+    return bpe.decode(coded, word_vocabulary(), keep=("doc_id", "n_tokens", "ids_sha256")).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 @query
@@ -45,3 +44,80 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and packed into sequences of 2048 tokens."""
     pieces = packing.cut_documents(table(spark, sf_dir, "documents"), word_vocabulary())
     return packing.pack(settle(pieces, "pieces"))
+
+
+#: Rules of the url query (host with its subdomains, path prefix).
+PLACES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
+          ("com/fr/", "allow"), ("com/de/", "block"))
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every url: the longest place rule that fits, else the method's own rules, else allow."""
+    rules = [urlfilter.place_rule(*p) for p in PLACES] + urlfilter.SPAM_RULES
+    out = urlfilter.filter_urls(table(spark, sf_dir, "pages"), "page_id", rules)
+    named = F.col("rule").isin([p for p, _ in PLACES])
+    return out.select("page_id", "host", "path", F.when(named, F.col("rule")).alias("rule"), "verdict",
+                      F.when(~named, F.col("rule")).alias("own_rule"))
+
+
+def _places_sql() -> str:
+    rows = ", ".join(f"('{h}', '/{p}', '{h}/{p}', '{v}')" for place, v in PLACES for h, _, p in [place.partition("/")])
+    words = ", ".join(f"'{w}'" for w in urlfilter.SPAM_WORDS)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH places(rule_host, rule_path, rule, verdict) AS (VALUES {rows}),
+parts AS (SELECT row_number() OVER () AS n, page_id,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (SELECT n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{lower}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+fits AS (SELECT n, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+    FROM split JOIN places ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY n),
+words AS (SELECT n, min('host word ' || w) AS own_rule FROM split, (SELECT unnest([{words}]) AS w)
+    WHERE regexp_matches(host, '\\b' || w || '\\b') GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN own_rule IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+    CASE WHEN rule IS NULL THEN own_rule END AS own_rule
+FROM split LEFT JOIN fits USING (n) LEFT JOIN words USING (n)"""
+
+
+ORACLES["op2_url_filter"] = _places_sql()
+
+
+@query
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as a content-addressed archive and read its records back."""
+    path = fresh_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.records(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    predict = langid.predict_with(spark, langid.fit(langid.learning_rows(docs)))
+    found = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"),
+                        predict(F.col("text")).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"),
+                        F.col("found.ambiguous").alias("ambiguous"))
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probability of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, quality.grades(table(spark, sf_dir, "labels")))
+    return docs.select("doc_id", quality.rate_with(spark, model)("text").alias("rated")).select("doc_id", "rated.*")
+
+
+@query
+def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.9."""
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 5)
