@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from anemos.llm.textarrays import _BYTE, Texts, chunks, mix, span_sums, word_hashes, words
 
-#: Rated texts to fit on at most; hashed features; steps of the fit; strength of the pull to zero; tail to keep.
-RATED, FEATURES, STEPS, PULL, KEEP = 6000, 1 << 16, 150, 2e-4, 0.5
+#: Rated texts to fit on at most; hashed features; rated texts that must hold a feature for it to get a weight; steps of
+#: the fit; strength of the pull to zero; tail to keep.
+RATED, FEATURES, COMMON, STEPS, PULL, KEEP = 6000, 1 << 18, 20, 300, 1e-5, 0.5
 _SHAPE = np.array([3 if b >= 128 else 1 if 65 <= b <= 90 else 0 if 97 <= b <= 122 else 2 if 48 <= b <= 57 else b
                    for b in range(256)], dtype=np.uint8)
 
@@ -48,7 +49,7 @@ def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     same[1:] = hashes[1:] == hashes[:-1]
     same[spans.bounds[:-1][spans.bounds[:-1] < len(hashes)]] = 0
     flat = np.stack([hashes, shapes, mix(same + np.uint64(2))], axis=1).reshape(-1)
-    return (flat >> np.uint64(48)).astype(np.int32), spans.bounds * 3
+    return (flat >> np.uint64(46)).astype(np.int32), spans.bounds * 3
 
 
 @dataclass
@@ -137,8 +138,11 @@ def fit(docs: DataFrame, ratings: DataFrame, rated: int = RATED) -> Model | None
     if rows["grade"].nunique() < 2:
         return None
     bounds = np.concatenate(([0], np.cumsum([len(x) for x in rows["at"]])))
-    return fit_ordinal(np.concatenate(rows["at"].to_list()), np.concatenate(rows["value"].to_list()), bounds,
-                       rows["grade"].to_numpy())
+    at, value = np.concatenate(rows["at"].to_list()), np.concatenate(rows["value"].to_list())
+    # What only a few texts hold would be learned by heart.
+    kept = np.bincount(at, minlength=FEATURES)[at] >= min(COMMON, len(rows) // 10)
+    bounds = np.concatenate(([0], np.cumsum(kept)))[bounds]
+    return fit_ordinal(at[kept], value[kept], bounds, rows["grade"].to_numpy())
 
 
 def rate_with(spark: SparkSession, model: Model | None, keep: float = KEEP) -> Callable[[Column | str], Column]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemos.llm import bpe, langid, neardup, neighbours, packing, quality, urlfilter, warc
+from anemos.llm import bpe, jaccard, langid, neardup, neighbours, packing, quality, urlfilter, warc
 from anemos.session import fresh_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,9 @@ def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 5)
+
+
+@query
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked at a Jaccard similarity of 0.75 of their 5-word shingles."""
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
