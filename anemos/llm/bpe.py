@@ -63,10 +63,13 @@ class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model, kinds = spec["model"], [n["type"] for n in spec["normalizer"]["normalizers"]]
-        split = spec["pre_tokenizer"]["pretokenizers"][0]
-        if (model["type"], kinds, split["pattern"]["Regex"], split["behavior"], split["invert"], spec["decoder"],
-                model["unk_token"]) != ("BPE", ["NFC", "Replace", "Lowercase"], PATTERN, "Removed", True, None, None):
+        model, split = spec["model"], {}
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        if "pretokenizers" in (spec["pre_tokenizer"] or {}):
+            split = spec["pre_tokenizer"]["pretokenizers"][0]
+        if (model["type"], kinds, split.get("pattern"), split.get("behavior"), split.get("invert"), spec["decoder"],
+                model["unk_token"]) != ("BPE", ["NFC", "Replace", "Lowercase"], {"Regex": PATTERN}, "Removed", True,
+                                        None, None):
             raise ValueError(f"{path}: not a lower-case byte-level BPE file with word ends")
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
         self.kinds = code_kinds()

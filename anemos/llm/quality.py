@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from anemos.llm.textarrays import _BYTE, Texts, chunks, mix, span_sums, word_hashes, words
 
 #: Rated texts to fit on at most; hashed features; rated texts that must hold a feature for it to get a weight; steps of
-#: the fit; strength of the pull to zero; tail to keep.
-RATED, FEATURES, COMMON, STEPS, PULL, KEEP = 6000, 1 << 18, 20, 300, 1e-5, 0.5
+#: the fit; pull to zero, shared by all rated texts; tail to keep.
+RATED, FEATURES, COMMON, STEPS, PULL, KEEP = 6000, 1 << 18, 20, 300, 0.06, 0.4
 _SHAPE = np.array([3 if b >= 128 else 1 if 65 <= b <= 90 else 0 if 97 <= b <= 122 else 2 if 48 <= b <= 57 else b
                    for b in range(256)], dtype=np.uint8)
 
@@ -102,7 +102,7 @@ def fit_ordinal(at: np.ndarray, value: np.ndarray, bounds: np.ndarray, grades: n
         by_threshold = by_threshold[1:-1]
         above = np.cumsum(by_threshold[::-1])[::-1]
         slope_of = np.concatenate((above[:1], above[1:] * steps,
-                                   np.bincount(at, value * by_score[row], minlength=FEATURES) + PULL * weights))
+                                   np.bincount(at, value * by_score[row], minlength=FEATURES) + PULL / len(grades) * weights))
         for k, (s, power) in enumerate(((0.9, 1), (0.99, 2))):
             state[k] = s * state[k] + (1 - s) * slope_of ** power
         free = free - 0.1 * (state[0] / (1 - 0.9 ** step)) / (np.sqrt(state[1] / (1 - 0.99 ** step)) + 1e-8)
@@ -132,13 +132,15 @@ def fit(docs: DataFrame, ratings: DataFrame, rated: int = RATED) -> Model | None
     """Fit on at most ``rated`` rated documents. ``docs``: doc_id, text; ``ratings``: doc_id, grade (from 0)."""
     usable = ratings.select("doc_id", "grade").where("doc_id IS NOT NULL AND grade IS NOT NULL")
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(rated)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``rated`` rows
-    # An id that several documents share could bring more rows than ratings.
-    rows = rated_features(texts.select("grade", "text").limit(2 * rated)).toPandas()
+    # At most ``rated`` rows are sent, and as many texts come back: of documents that share an id, the smallest text.
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id").groupBy(
+        "doc_id", "grade").agg(F.min("text").alias("text"))
+    rows = rated_features(texts).toPandas()
     if rows["grade"].nunique() < 2:
         return None
     bounds = np.concatenate(([0], np.cumsum([len(x) for x in rows["at"]])))
-    at, value = np.concatenate(rows["at"].to_list()), np.concatenate(rows["value"].to_list())
+    at = np.concatenate(rows["at"].to_list()).astype(np.int64)
+    value = np.concatenate(rows["value"].to_list())
     # What only a few texts hold would be learned by heart.
     kept = np.bincount(at, minlength=FEATURES)[at] >= min(COMMON, len(rows) // 10)
     bounds = np.concatenate(([0], np.cumsum(kept)))[bounds]
