@@ -1,13 +1,14 @@
 """N-gram Jaccard join: all documents whose sets of word shingles overlap enough, by T-occurrence search.
 
-Two sets that reach the threshold share a shingle among the first of each, in any one
-order of all shingles (prefix filter). Frequent shingles, which are counted first, come last in
-that order, so a passage that many documents share brings nobody together. Documents tied by a
-shared early shingle form blocks; no link leaves a block. Inside a block every document asks
-for those that occur often enough in the inverted lists of its shingles: short lists are
-merged and counted, the longest ones are only probed by binary search for what the merge left
-(DivideSkip). Links between documents that are already in one component aren't looked for, so a
-group of thousands of near copies costs one verified link per document.
+Sets that reach the threshold share a number of shingles among the first of each, in any one
+order of all shingles (prefix filter with a count). Frequent shingles, which are counted first,
+come last in that order. A document of whose first shingles too few are held by any other one
+has no link and is left out; this is repeated with what remains, so documents that merely share
+some passage go. The others form blocks by shared first shingles, and no link leaves a block.
+Inside a block every document asks for those that occur often enough in the inverted lists of its
+shingles: short lists are merged and counted, the longest ones are only probed by binary search
+for what the merge left (DivideSkip). Links between documents that are already in one component
+aren't looked for, so a group of thousands of near copies costs one verified link per document.
 
 Equal sets within an input partition are represented by one; a block above a bound is cut into
 tiles, and each pair of tiles is a task. Nothing is capped: every link is within or between tiles.
@@ -37,7 +38,9 @@ WORDS, PERCENT = 5, 75
 FREQUENT = 1e-4
 #: Shingles handled at once by a scan; shingles of a tile; weight of merging against probing in DivideSkip.
 TOGETHER, TILE, MU = 1 << 21, 1 << 21, 0.01
-POSTING, CANDIDATE, COPY, DOCUMENT = range(4)
+#: Percent of a set that similar sets must share among their first shingles; rounds of leaving out what shares less.
+SHARE, ROUNDS = 15, 3
+POSTING, SHARED, COPY, DOCUMENT = range(4)
 
 
 def least_overlap(a, b, percent: int = PERCENT):
@@ -76,8 +79,11 @@ def frequent_shingles(docs: DataFrame, text_col: str, words: int = WORDS) -> tup
 
 
 def first_shingles(own: np.ndarray, frequent: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The part of a set that any set reaching the threshold shares something of: rare ones by hash, then by count."""
-    wanted = len(own) - -(-percent * len(own) // 100) + 1
+    """The part of a set of which any set reaching the threshold shares ``needed`` with its own first part.
+
+    Rare shingles come first, by hash, then frequent ones by count.
+    """
+    wanted = len(own) - -(-percent * len(own) // 100) + max(1, SHARE * len(own) // 100)
     if not len(frequent):
         return own[:wanted]
     at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
@@ -90,7 +96,8 @@ def first_shingles(own: np.ndarray, frequent: np.ndarray, counts: np.ndarray, pe
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, frequent: Broadcast, words: int, percent: int) -> DataFrame:
-    """Rows by kind: POSTING (shingle, a: id), CANDIDATE and COPY (a, b: ids), DOCUMENT (a: id, b: size of its set).
+    """Rows by kind: POSTING (shingle, a: id, b: 1 if it is known to be shared), SHARED (shingle, a: id), COPY (a, b: ids),
+    DOCUMENT (a: id, b: size of its set).
 
     Equal sets and shared first shingles are already brought together within the task, so a
     group of very many documents leaves it as one posting per shingle.
@@ -131,12 +138,12 @@ def postings(docs: DataFrame, id_col: str, text_col: str, frequent: Broadcast, w
         order = np.argsort(shingle, kind="stable")
         shingle, doc = shingle[order], doc[order]
         starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
-        head = np.repeat(doc[starts], np.diff(starts, append=len(doc)))
-        ties = np.unique(np.stack([doc, head])[:, doc != head], axis=1)
-        yield rows(CANDIDATE, None, ties[0], ties[1])
+        spread = np.diff(starts, append=len(doc))
+        several = np.repeat(spread > 1, spread)
+        yield rows(SHARED, shingle[several], doc[several], None)
         for low in range(0, len(starts), 50_000):
             at = starts[low:low + 50_000]
-            yield rows(POSTING, shingle[at], doc[at], None)
+            yield rows(POSTING, shingle[at], doc[at], several[at].astype(np.int64))
 
     def rows(kind: int, shingle, a, b) -> pa.RecordBatch:
         n = len(a)
@@ -150,33 +157,48 @@ def postings(docs: DataFrame, id_col: str, text_col: str, frequent: Broadcast, w
     return own.mapInArrow(scan, "kind byte, shingle long, a long, b long")
 
 
-def tie_postings(rows: DataFrame) -> DataFrame:
-    """Each posting tied to the first one of its shingle, as a CANDIDATE; other kinds pass: kind, a, b."""
-    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = head = None
+def find_shared(rows: DataFrame) -> DataFrame:
+    """Postings whose shingle has another one, as SHARED; other kinds pass."""
+    names = ["kind", "shingle", "a", "b"]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_run = [np.zeros(0, dtype=np.int64)] * 3  # a row of the last shingle so far
         for batch in batches:
-            kind = batch.column(0).to_numpy()
-            is_posting = kind == POSTING
+            is_posting = batch.column(0).to_numpy() == POSTING
             passing = batch.filter(pa.array(~is_posting))
             if len(passing):
-                yield pa.RecordBatch.from_arrays([passing.column(i) for i in (0, 2, 3)], names=["kind", "a", "b"])
-            shingle = batch.column(1).to_numpy()[is_posting]
+                yield passing
+            own = batch.filter(pa.array(is_posting))
+            shingle, doc, known = (np.concatenate((o, own.column(i).to_numpy(zero_copy_only=False).astype(np.int64)))
+                                   for o, i in zip(open_run, (1, 2, 3), strict=True))
             if not len(shingle):
                 continue
-            doc = batch.column(2).to_numpy(zero_copy_only=False)[is_posting].astype(np.int64)
             starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
-            firsts = doc[starts]
-            if shingle[0] == last:
-                firsts[0] = head
-            last, head = shingle[-1], firsts[-1]
-            heads = np.repeat(firsts, np.diff(starts, append=len(doc)))
-            ties = np.unique(np.stack([doc, heads])[:, doc != heads], axis=1)
-            if ties.shape[1]:
+            spread = np.diff(starts, append=len(doc))
+            several = np.repeat(spread > 1, spread)
+            fresh = np.flatnonzero(several & (known == 0))
+            if len(fresh):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(ties.shape[1], CANDIDATE, dtype=np.int8)), pa.array(ties[0]), pa.array(ties[1])],
-                    names=["kind", "a", "b"])
+                    [pa.array(np.full(len(fresh), SHARED, dtype=np.int8)), pa.array(shingle[fresh]), pa.array(doc[fresh]),
+                     pa.nulls(len(fresh), pa.int64())], names=names)
+            open_run = [shingle[-1:], doc[-1:], np.maximum(known[-1:], several[-1:].astype(np.int64))]
+
+    return rows.repartition("shingle").sortWithinPartitions("shingle", "a").mapInArrow(
+        find, "kind byte, shingle long, a long, b long")
+
 
-    return rows.repartition("shingle").sortWithinPartitions("shingle", "a").mapInArrow(tie, "kind byte, a long, b long")
+def blocks_of(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Documents that may have a link, with their block: id, component. ``shared``: shingle, id; ``sizes``: id, n."""
+    smallest = F.ceil(F.col("n") * percent / 100)
+    least = F.greatest(F.lit(1), F.floor(smallest * SHARE / 100))
+    needed = sizes.groupBy("id").agg(F.min(least).alias("least"))
+    for _ in range(ROUNDS):
+        enough = shared.groupBy("id").agg(F.count("*").alias("held")).join(needed, "id").where("held >= least").select("id")
+        shared = shared.join(enough, "id", "left_semi")
+        several = shared.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1").select("shingle")
+        shared = settle(shared.join(several, "shingle", "left_semi"), "shared")
+    heads = shared.groupBy("shingle").agg(F.min("id").alias("head"))
+    return components(shared.join(heads, "shingle").select("id", "head"), "id", "head")
 
 
 def search_block(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
@@ -283,13 +305,14 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per row: the id, n_shingles, component_id (the smallest id reachable by links)."""
     spark = docs.sparkSession
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, text_col, words))
-    ties = settle(tie_postings(postings(docs, id_col, text_col, frequent, words, percent)), "ties")
-    sizes = ties.where(F.col("kind") == DOCUMENT).select(F.col("a").alias("id"), F.col("b").alias("n"))
-    blocks = settle(components(ties.where(F.col("kind") == CANDIDATE).select("a", "b")), "blocks")
+    rows = settle(find_shared(postings(docs, id_col, text_col, frequent, words, percent)), "postings")
+    sizes = rows.where(F.col("kind") == DOCUMENT).select(F.col("a").alias("id"), F.col("b").alias("n"))
+    shared = rows.where(F.col("kind") == SHARED).select("shingle", F.col("a").alias("id"))
+    blocks = settle(blocks_of(shared, sizes, percent), "blocks")
     tiles = blocks.join(sizes, "id").groupBy("component").agg(F.ceil(F.sum("n") / tile).alias("tiles"))
     dealt = blocks.join(tiles, "component").select("id", F.col("component").alias("block"), "tiles")
     found = search_blocks(docs, dealt, id_col, text_col, words, percent)
-    links = settle(found.union(ties.where(F.col("kind") == COPY).select("a", "b")), "similar")
+    links = settle(found.union(rows.where(F.col("kind") == COPY).select("a", "b")), "similar")
     groups = components(links)
     return sizes.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles")).join(
         groups, F.col(id_col) == F.col("id"), "left").select(
