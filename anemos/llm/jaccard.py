@@ -2,9 +2,11 @@
 
 Sets that reach the threshold share a number of shingles among the first of each, in any one
 order of all shingles (prefix filter with a count). Frequent shingles, which are counted first,
-come last in that order. A document of whose first shingles too few are held by any other one
-has no link and is left out; this is repeated with what remains, so documents that merely share
-some passage go. The others form blocks by shared first shingles, and no link leaves a block.
+come last in that order. A document of whose first shingles too few are held by any other one has
+no link and is left out. Of the rest, only the rarest of the shared first shingles count: as many as
+make sure that similar documents still have one in common. So a passage that many documents
+share, always more frequent than what near copies of one text share, brings nobody together.
+Documents tied by such a shingle form blocks, and no link leaves a block.
 Inside a block every document asks for those that occur often enough in the inverted lists of its
 shingles: short lists are merged and counted, the longest ones are only probed by binary search
 for what the merge left (DivideSkip). Links between documents that are already in one component
@@ -38,8 +40,8 @@ WORDS, PERCENT = 5, 75
 FREQUENT = 1e-4
 #: Shingles handled at once by a scan; shingles of a tile; weight of merging against probing in DivideSkip.
 TOGETHER, TILE, MU = 1 << 21, 1 << 21, 0.01
-#: Percent of a set that similar sets must share among their first shingles; rounds of leaving out what shares less.
-SHARE, ROUNDS = 15, 3
+#: Percent of the smaller set that similar sets must share among their first shingles.
+SHARE = 15
 POSTING, SHARED, COPY, DOCUMENT = range(4)
 
 
@@ -96,11 +98,11 @@ def first_shingles(own: np.ndarray, frequent: np.ndarray, counts: np.ndarray, pe
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, frequent: Broadcast, words: int, percent: int) -> DataFrame:
-    """Rows by kind: POSTING (shingle, a: id, b: 1 if it is known to be shared), SHARED (shingle, a: id), COPY (a, b: ids),
-    DOCUMENT (a: id, b: size of its set).
+    """Rows by kind: POSTING (shingle, a: id), SHARED (shingle, a: id, b: number of holders), COPY (a, b: ids), DOCUMENT
+    (a: id, b: size of its set).
 
-    Equal sets and shared first shingles are already brought together within the task, so a
-    group of very many documents leaves it as one posting per shingle.
+    Of equal sets in a task only the first is posted. Frequent shingles, whose number of holders is
+    known, need no posting, so no shingle has more postings than the bound of being frequent.
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, counts = frequent.value
@@ -133,72 +135,112 @@ def postings(docs: DataFrame, id_col: str, text_col: str, frequent: Broadcast, w
             yield from together(held)
 
     def together(held: list[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        heavy, counts = frequent.value
         shingle = np.concatenate([s for _, s in held])
         doc = np.repeat(np.array([d for d, _ in held], dtype=np.int64), [len(s) for _, s in held])
-        order = np.argsort(shingle, kind="stable")
-        shingle, doc = shingle[order], doc[order]
-        starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
-        spread = np.diff(starts, append=len(doc))
-        several = np.repeat(spread > 1, spread)
-        yield rows(SHARED, shingle[several], doc[several], None)
-        for low in range(0, len(starts), 50_000):
-            at = starts[low:low + 50_000]
-            yield rows(POSTING, shingle[at], doc[at], several[at].astype(np.int64))
-
-    def rows(kind: int, shingle, a, b) -> pa.RecordBatch:
+        at = np.minimum(np.searchsorted(heavy, shingle), max(0, len(heavy) - 1))
+        common = heavy[at] == shingle if len(heavy) else np.zeros(len(shingle), dtype=bool)
+        yield rows(SHARED, None, doc[common], counts[at[common]], shingle[common])
+        shingle, doc = shingle[~common], doc[~common]
+        for low in range(0, len(shingle), 50_000):
+            yield rows(POSTING, shingle[low:low + 50_000], doc[low:low + 50_000], None)
+
+    def rows(kind: int, key, a, b, shingle=None) -> pa.RecordBatch:
+        """``key`` deals the rows; those that have none are dealt evenly, and alike if the task runs again."""
         n = len(a)
-        if shingle is None:  # dealt evenly, and alike if the task runs again
-            shingle = mix(np.array(pa.array(a).fill_null(0), dtype=np.int64).view(np.uint64))
+        if key is None:
+            key = mix(np.array(pa.array(a).fill_null(0), dtype=np.int64).view(np.uint64))
+        shingle = key if kind == POSTING else shingle
         return pa.RecordBatch.from_arrays([
-            pa.array(np.full(n, kind, dtype=np.int8)), pa.array(shingle.view(np.int64)), pa.array(a, pa.int64()),
-            pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64())], names=["kind", "shingle", "a", "b"])
+            pa.array(np.full(n, kind, dtype=np.int8)), pa.array(key.view(np.int64)), pa.array(a, pa.int64()),
+            pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64()),
+            pa.nulls(n, pa.int64()) if shingle is None else pa.array(shingle.view(np.int64))],
+            names=["kind", "key", "a", "b", "shingle"])
 
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return own.mapInArrow(scan, "kind byte, shingle long, a long, b long")
+    return own.mapInArrow(scan, "kind byte, key long, a long, b long, shingle long")
 
 
 def find_shared(rows: DataFrame) -> DataFrame:
-    """Postings whose shingle has another one, as SHARED; other kinds pass."""
-    names = ["kind", "shingle", "a", "b"]
-
+    """Postings whose shingle has another one, as SHARED with the number of holders; other kinds pass."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_run = [np.zeros(0, dtype=np.int64)] * 3  # a row of the last shingle so far
+        shingle, doc = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)  # postings of the last shingle so far
         for batch in batches:
             is_posting = batch.column(0).to_numpy() == POSTING
             passing = batch.filter(pa.array(~is_posting))
             if len(passing):
-                yield passing
+                yield pa.RecordBatch.from_arrays([passing.column(i) for i in (0, 4, 2, 3)], names=["kind", "shingle", "a", "b"])
             own = batch.filter(pa.array(is_posting))
-            shingle, doc, known = (np.concatenate((o, own.column(i).to_numpy(zero_copy_only=False).astype(np.int64)))
-                                   for o, i in zip(open_run, (1, 2, 3), strict=True))
-            if not len(shingle):
-                continue
-            starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
-            spread = np.diff(starts, append=len(doc))
-            several = np.repeat(spread > 1, spread)
-            fresh = np.flatnonzero(several & (known == 0))
-            if len(fresh):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(fresh), SHARED, dtype=np.int8)), pa.array(shingle[fresh]), pa.array(doc[fresh]),
-                     pa.nulls(len(fresh), pa.int64())], names=names)
-            open_run = [shingle[-1:], doc[-1:], np.maximum(known[-1:], several[-1:].astype(np.int64))]
-
-    return rows.repartition("shingle").sortWithinPartitions("shingle", "a").mapInArrow(
+            shingle = np.concatenate((shingle, own.column(1).to_numpy()))
+            doc = np.concatenate((doc, own.column(2).to_numpy(zero_copy_only=False).astype(np.int64)))
+            if len(shingle):
+                last = np.searchsorted(shingle, shingle[-1])
+                yield shared(shingle[:last], doc[:last])
+                shingle, doc = shingle[last:], doc[last:]
+        yield shared(shingle, doc)
+
+    def shared(shingle: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1]))) if len(shingle) else shingle
+        holders = np.repeat(np.diff(starts, append=len(doc)), np.diff(starts, append=len(doc))) if len(shingle) else shingle
+        several = holders > 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(several.sum(), SHARED, dtype=np.int8)), pa.array(shingle[several]), pa.array(doc[several]),
+             pa.array(holders[several])], names=["kind", "shingle", "a", "b"])
+
+    return rows.repartition("key").sortWithinPartitions("key", "a").mapInArrow(
         find, "kind byte, shingle long, a long, b long")
 
 
-def blocks_of(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Documents that may have a link, with their block: id, component. ``shared``: shingle, id; ``sizes``: id, n."""
-    smallest = F.ceil(F.col("n") * percent / 100)
-    least = F.greatest(F.lit(1), F.floor(smallest * SHARE / 100))
-    needed = sizes.groupBy("id").agg(F.min(least).alias("least"))
-    for _ in range(ROUNDS):
-        enough = shared.groupBy("id").agg(F.count("*").alias("held")).join(needed, "id").where("held >= least").select("id")
-        shared = shared.join(enough, "id", "left_semi")
-        several = shared.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1").select("shingle")
-        shared = settle(shared.join(several, "shingle", "left_semi"), "shared")
-    heads = shared.groupBy("shingle").agg(F.min("id").alias("head"))
-    return components(shared.join(heads, "shingle").select("id", "head"), "id", "head")
+def blocks_of(rows: DataFrame, percent: int) -> DataFrame:
+    """Documents that may have a link, with their block: id, component. ``rows``: of find_shared."""
+    # What a document shares with a similar one at least, among the first shingles of both.
+    smallest = F.floor((F.col("b") * percent + 99) / 100)
+    least = F.greatest(F.lit(1), F.floor(smallest * SHARE / 100)).cast("long")
+    both = rows.where(F.col("a").isNotNull() & F.col("kind").isin(SHARED, DOCUMENT)).select(
+        F.col("a").alias("id"), F.when(F.col("kind") == DOCUMENT, -1).otherwise(F.col("b")).alias("holders"),
+        F.when(F.col("kind") == DOCUMENT, least).otherwise(F.col("shingle")).alias("shingle"))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * 3
+        for batch in batches:
+            kept = [np.concatenate((k, batch.column(i).to_numpy())) for i, k in enumerate(kept)]
+            last = np.searchsorted(kept[0], kept[0][-1])  # all rows of a document at once
+            yield chosen(*(k[:last] for k in kept))
+            kept = [k[last:] for k in kept]
+        yield chosen(*kept)
+
+    def chosen(doc: np.ndarray, holders: np.ndarray, shingle: np.ndarray) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else doc
+        size = np.diff(starts, append=len(doc))
+        # Sizes of a document's set (several rows of one id: the smallest) come before its shingles.
+        heads = np.add.reduceat((holders < 0).astype(np.int64), starts) if len(doc) else doc
+        needed = np.where(heads > 0, shingle[starts], 1) if len(doc) else doc
+        place = np.arange(len(doc)) - np.repeat(starts + heads, size)
+        keep = (place >= 0) & (place <= np.repeat(size - heads - needed, size))
+        return pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(shingle[keep])], names=["id", "shingle"])
+
+    first = both.repartition("id").sortWithinPartitions("id", "holders", "shingle").mapInArrow(rarest, "id long, shingle long")
+    return components(tie(first), "id", "head")
+
+
+def tie(rows: DataFrame) -> DataFrame:
+    """Each id tied to the first one of its shingle: id, head."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = head = None
+        for batch in batches:
+            doc, shingle = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(doc):
+                continue
+            starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
+            firsts = doc[starts]
+            if shingle[0] == last:
+                firsts[0] = head
+            last, head = shingle[-1], firsts[-1]
+            ties = np.stack([doc, np.repeat(firsts, np.diff(starts, append=len(doc)))])
+            ties = np.unique(ties[:, ties[0] != ties[1]], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(ties[0]), pa.array(ties[1])], names=["id", "head"])
+
+    return rows.repartition("shingle").sortWithinPartitions("shingle", "id").mapInArrow(run, "id long, head long")
 
 
 def search_block(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
@@ -307,8 +349,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, text_col, words))
     rows = settle(find_shared(postings(docs, id_col, text_col, frequent, words, percent)), "postings")
     sizes = rows.where(F.col("kind") == DOCUMENT).select(F.col("a").alias("id"), F.col("b").alias("n"))
-    shared = rows.where(F.col("kind") == SHARED).select("shingle", F.col("a").alias("id"))
-    blocks = settle(blocks_of(shared, sizes, percent), "blocks")
+    blocks = settle(blocks_of(rows, percent), "blocks")
     tiles = blocks.join(sizes, "id").groupBy("component").agg(F.ceil(F.sum("n") / tile).alias("tiles"))
     dealt = blocks.join(tiles, "component").select("id", F.col("component").alias("block"), "tiles")
     found = search_blocks(docs, dealt, id_col, text_col, words, percent)
