@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from anemos.params import EXPECTED_UNITS, MAX_NULL_FRACTION, VALUE_RANGES
 
@@ -106,6 +107,11 @@ def require_units(checked: DataFrame, name: str = "field", unit: str = "unit") -
     return checked.where(F.when(F.col("status") == "rejected", bad.cast("boolean")).otherwise(True))
 
 
+def numeric_columns(df: DataFrame, keys=()) -> tuple[str, ...]:
+    """Columns that hold numbers, without the keys."""
+    return tuple(f.name for f in df.schema.fields if f.name not in keys and isinstance(f.dataType, NumericType))
+
+
 def round_trip(written: DataFrame, stored: DataFrame, keys, columns, by=()) -> DataFrame:
     """Rows on both sides and the largest absolute difference; null when they cannot match."""
     shared = [c for c in columns if c in written.columns and c in stored.columns]

@@ -10,8 +10,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemos.operators.features import engineer_features, enrich, fill_wind_profile, missing_to_null
+from anemos.operators.features import engineer_features, enrich, fill_wind_profile, horizon, impute, missing_to_null
 from anemos.operators.ordered import Series
+from anemos.params import LABEL_INPUTS, MODEL_FEATURES
 
 NOW = "TIMESTAMP '2024-01-30 00:00:00'"
 
@@ -36,7 +37,7 @@ PREDICTIONS = [
     "'s' || CAST(user_id % 6 AS VARCHAR(20)) AS spot_id",
 ]
 OBSERVED = [
-    "'s' || CAST(user_id % 6 AS VARCHAR(20)) AS spot_id", "ts AS time", "event_id",
+    "'s' || CAST(user_id % 6 AS VARCHAR(20)) AS spot_id", "ts + INTERVAL 20 MINUTE AS time", "event_id",
     "value AS wind_speed_10m", "value * (1.0e0 + (event_id % 50) / 100.0e0) AS wind_gusts_10m",
     "CAST((event_id * 37) % 360 AS DOUBLE) AS wind_direction_10m",
     "CAST((user_id % 6) * 45 AS DOUBLE) AS shore_orientation_deg",
@@ -46,10 +47,13 @@ SAMPLES = [
     "ts", "value", "event_id",
 ]
 # Run documents: twelve consecutive events are a run, each event a spot of it. A
-# document has twelve spots at most, whatever the distribution of the table.
+# document has twelve spots at most, whatever the distribution of the table. Its
+# header tells the first event's user and type, the last time and the largest value.
 RUN_NO = "CAST(floor(event_id / 12) AS BIGINT)"
+RUN_BASE = ["min_by(user_id, event_id) AS user_id", "min_by(event_type, event_id) AS event_type", "max(ts) AS ts",
+            "max(value) AS value"]
 RUN_HEADER = [
-    f"CAST({RUN_NO} AS VARCHAR(20)) AS run_id", f"{RUN_NO} AS run_no",
+    "CAST(run_no AS VARCHAR(20)) AS run_id", "run_no",
     "'set-' || CAST(user_id % 5 AS VARCHAR(20)) AS dataset",
     "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'succeeded' END AS run_status", "ts AS generated_at",
     "CASE user_id % 7 WHEN 0 THEN 'off' WHEN 1 THEN 'always' WHEN 2 THEN 'drift' "
@@ -108,6 +112,19 @@ def label_sql(minimum: str) -> str:
     WHEN wind_speed_10m/1.852e0 < 22 THEN 3 WHEN wind_speed_10m/1.852e0 <= 30 THEN 4 ELSE 3 END"""
 
 
+START = "TIMESTAMP '2024-01-20 06:30:00'"
+# The hours ahead of each spot, cut to the horizon first, then engineered and imputed like any other rows.
+_LAST = "last_value({c} IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_NEXT = "first_value({c} IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+AHEAD_FILLED = tuple(dict.fromkeys((*MODEL_FEATURES, *LABEL_INPUTS)))
+AHEAD_SQL = (
+    f"""ahead AS (SELECT * EXCLUDE (horizon_row) FROM (SELECT *, row_number() OVER (PARTITION BY spot_id ORDER BY time, event_id) AS horizon_row
+    FROM readings WHERE time >= date_trunc('hour', {START})) WHERE horizon_row <= 14),"""
+    + FEATURE_SQL.replace("joined", "ahead_joined").replace("readings r", "ahead r").replace("features AS", "ahead_features AS")
+    + ", ahead_ready AS (SELECT spot_id, user_id, event_id, time, lat, lon, shore_orientation_deg, "
+    + ", ".join(f"coalesce({_LAST.format(c=c)}, {_NEXT.format(c=c)}, 0e0) AS {c}" for c in AHEAD_FILLED)
+    + " FROM ahead_features WINDOW w AS (PARTITION BY spot_id ORDER BY time, event_id))")
+
 OBSERVED_SQL = f"""
 observed_features AS (SELECT spot_id, event_id, time, wind_speed_10m, wind_gusts_10m,
     CASE WHEN wind_speed_10m <> 0 THEN wind_gusts_10m/wind_speed_10m END AS gust_factor,
@@ -122,10 +139,13 @@ observed_labels AS (SELECT * FROM (SELECT *, CAST({label_sql('12')} AS BIGINT) A
 _BASE = {
     "readings": select_list(READINGS, "events"),
     "spots": select_list(SPOTS, "events", distinct=True),
-    "prediction_events": select_list(PREDICTIONS, "events", "event_id % 2 = 1"),
-    "observed": select_list(OBSERVED, "events", "event_id % 2 = 0"),
+    "prediction_events": select_list(PREDICTIONS, "events"),
+    "observed": select_list(OBSERVED, "events"),
+    "observed_repeats": "SELECT spot_id, time, event_id FROM observed UNION ALL "
+                        "SELECT spot_id, time, event_id + 1000000000 FROM observed WHERE event_id % 5 = 0",
+    "observed_once": "SELECT spot_id, time, min(event_id) AS event_id FROM observed_repeats GROUP BY 1, 2",
     "samples": select_list(SAMPLES, "events"),
-    "runs": select_list(RUN_HEADER, "events", "event_id % 12 = 0"),
+    "runs": select_list(RUN_HEADER, f"({select_list([f'{RUN_NO} AS run_no', *RUN_BASE], 'events')} GROUP BY 1)"),
     "run_spots": select_list(RUN_SPOT, "events"),
 }
 
@@ -136,6 +156,8 @@ def with_sql(names: str, body: str) -> str:
     for name in names.split():
         if name == "features":
             parts += [f"readings AS ({_BASE['readings']})", f"spots AS ({_BASE['spots']})", FEATURE_SQL]
+        elif name == "ahead":
+            parts += [f"readings AS ({_BASE['readings']})", f"spots AS ({_BASE['spots']})", AHEAD_SQL]
         elif name == "labelled":
             parts.append("labelled AS (SELECT * FROM (SELECT *, CAST(" + label_sql("12")
                          + " AS BIGINT) AS quality_index FROM features) WHERE quality_index IS NOT NULL)")
@@ -171,11 +193,17 @@ class Tables:
 
     @cached_property
     def predictions(self) -> DataFrame:
-        return self.table("events").where("event_id % 2 = 1").selectExpr(*PREDICTIONS)
+        return self._bind("events", PREDICTIONS)
 
     @cached_property
     def observed(self) -> DataFrame:
-        return self.table("events").where("event_id % 2 = 0").selectExpr(*OBSERVED)
+        return self._bind("events", OBSERVED)
+
+    @cached_property
+    def observed_repeats(self) -> DataFrame:
+        """Instants of observations, every fifth reported again under a later number."""
+        once = self.observed.select("spot_id", "time", "event_id")
+        return once.unionAll(once.where("event_id % 5 = 0").withColumn("event_id", F.col("event_id") + 1_000_000_000))
 
     @cached_property
     def samples(self) -> DataFrame:
@@ -202,13 +230,23 @@ class Tables:
         return engineer_features(fill_wind_profile(enrich(self.readings, self.spots.drop("user_id"))),
                                  self.spot_series)
 
+    @cached_property
+    def ahead(self) -> DataFrame:
+        """The next hours of every spot from START on: cut first, then engineered, then imputed (no row is dropped)."""
+        order = ("time", "event_id")
+        hours = horizon(self.readings, ("spot_id",), order, 14, F.expr(START)).drop("horizon_row")
+        series = Series(("spot_id",), order)  # a few rows per spot: nothing to cut
+        rows = engineer_features(fill_wind_profile(enrich(hours, self.spots.drop("user_id"))), series)
+        return impute(rows, series, AHEAD_FILLED)
+
     @cached_property
     def run_spots(self) -> DataFrame:
         return self._bind("events", RUN_SPOT)
 
     @cached_property
     def run_headers(self) -> DataFrame:
-        return self.table("events").where("event_id % 12 = 0").selectExpr(*RUN_HEADER)
+        first = self.table("events").groupBy(F.expr(RUN_NO).alias("run_no")).agg(*[F.expr(e) for e in RUN_BASE])
+        return first.selectExpr(*RUN_HEADER)
 
     @cached_property
     def runs(self) -> DataFrame:

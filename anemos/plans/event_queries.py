@@ -10,7 +10,7 @@ from anemos.operators import events as ev
 from anemos.operators import hindcast as h
 from anemos.operators import ranking
 from anemos.operators.features import label_rows, wind_steadiness
-from anemos.params import RetentionRules
+from anemos.params import MODEL_FEATURES, RetentionRules
 from anemos.plans.bindings import Tables, with_sql
 from anemos.plans.registry import query, r6, rounded
 from anemos.session import settle
@@ -259,15 +259,14 @@ def drift_per_spot(t: Tables):
 
 @query("drift_dataset", with_sql("features", f""", n AS (SELECT *, row_number() OVER (PARTITION BY spot_id ORDER BY time, event_id) AS p, count(*) OVER (PARTITION BY spot_id) AS c FROM features),
     sd AS (SELECT *, CASE WHEN p <= c // 2 THEN 'reference' ELSE 'current' END AS side FROM n WHERE c >= 2),
-    melted AS (SELECT side, "column", round(value,9) AS value FROM ({_melt_sql('sd', ('wind_speed_10m', 'wind_gusts_10m', 'gust_excess_10m', 'wind_steadiness', 'temperature_2m'))})), {ks_sql('melted')}""")
+    melted AS ({_melt_sql('sd', MODEL_FEATURES)}), {ks_sql('melted')}""")
     + REPORT_SQL + """ SELECT "column", round(statistic,6) AS statistic, round(score,6)+0e0 AS score, drifted FROM verdict""")
 def drift_dataset(t: Tables):
     """Whole dataset over the model features both halves share."""
-    allowed = ("wind_speed_10m", "wind_gusts_10m", "gust_excess_10m", "wind_steadiness", "temperature_2m")
     sides = ev.midpoint_split(t.features, ("spot_id",), ("time", "event_id"), series=t.spot_series)
-    wanted = d.shared_columns(sides, t.features, allowed)
+    wanted = d.shared_columns(sides, t.features, MODEL_FEATURES)
     # The test looks at the rows twice (size, then counts): settle the few columns it needs.
-    compared = settle(sides.select("side", *[F.round(c, 9).alias(c) for c in wanted]), "sides")
+    compared = settle(sides.select("side", *wanted), "sides")
     found = d.drift_verdict(d.drift_ks(compared, wanted))
     return rounded(found, "statistic", "score").select("column", "statistic", "score", "drifted")
 

@@ -9,7 +9,7 @@ from anemos.operators import features as fx
 from anemos.operators import ranking
 from anemos.operators.nights import night_intervals
 from anemos.params import ENGINEERED_COLUMNS, MODEL_FEATURES
-from anemos.plans.bindings import _TURN, _YEAR, Tables, label_sql, with_sql
+from anemos.plans.bindings import _TURN, _YEAR, START, Tables, label_sql, with_sql
 from anemos.plans.registry import query, r6, rounded
 
 _LOCAL = "(SELECT *, time + INTERVAL 1 HOUR AS lt FROM readings)"
@@ -228,10 +228,10 @@ def impute_carry(t: Tables):
     return fx.impute(rows, t.spot_series, _CARRY, across="user_id").drop("user_id", "time")
 
 
-@query("horizon_limit", with_sql("readings", """SELECT spot_id, event_id, horizon_row FROM (SELECT *, row_number() OVER
-    (PARTITION BY spot_id ORDER BY time, event_id) AS horizon_row FROM readings) WHERE horizon_row <= 14"""))
+@query("horizon_limit", with_sql("readings", f"""SELECT spot_id, event_id, horizon_row FROM (SELECT *, row_number() OVER
+    (PARTITION BY spot_id ORDER BY time, event_id) AS horizon_row FROM readings WHERE time >= date_trunc('hour', {START})) WHERE horizon_row <= 14"""))
 def horizon_limit(t: Tables):
-    return fx.horizon(t.readings, ("spot_id",), ("time", "event_id"), 14).select(
+    return fx.horizon(t.readings, ("spot_id",), ("time", "event_id"), 14, F.expr(START)).select(
         "spot_id", "event_id", F.col("horizon_row").cast("bigint").alias("horizon_row"))
 
 
@@ -256,17 +256,16 @@ def flat_window(t: Tables):
     return labelled.groupBy("spot_id").agg((F.max("quality_index") <= 1).alias("flat"))
 
 
-_FORECAST_SQL = with_sql("features labelled", f""", f AS (SELECT spot_id, event_id, time, lat, lon, quality_index, row_number() OVER
-    (PARTITION BY spot_id ORDER BY time, event_id) AS rn FROM labelled),
+_FORECAST_SQL = with_sql("ahead", f""", f AS (SELECT spot_id, event_id, time, lat, lon, CAST({label_sql('12')} AS BIGINT) AS quality_index FROM ahead_ready),
     fc AS (SELECT *, CASE quality_index WHEN 0 THEN 'Unsafe' WHEN 1 THEN 'Too Light' WHEN 2 THEN 'Marginal' WHEN 3 THEN 'Good Enough'
       WHEN 4 THEN 'Fun Day' ELSE 'Perfect Storm' END AS quality_name, quality_index >= 2 AS rideable,
       CASE WHEN spot_id LIKE '%7' THEN true ELSE {_solar_sql('lat','lon','time')} > -0.833e0 END AS daylight,
-      strftime(time,'%a %d %b %H:%M') AS display_time FROM f WHERE rn <= 14) """)
+      strftime(time,'%a %d %b %H:%M') AS display_time FROM f) """)
 
 
 def forecast(t: Tables):
-    """Labelled horizon rows per spot: the rule label stands in for the model."""
-    return fx.horizon(fx.label_rows(t.features, F.lit(12.0)), ("spot_id",), ("time", "event_id"), 14)
+    """Scored hours per spot: the rule label stands in for the model."""
+    return fx.label_rows(t.ahead, F.lit(12.0))
 
 
 def framed(t: Tables):

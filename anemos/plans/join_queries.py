@@ -45,10 +45,10 @@ def first_match_join(t: Tables):
 
 def _nearest_sql(tie: str, tolerance: str) -> str:
     pick = "dn <= dp" if tie == "later" else "dn < dp"
-    return with_sql("prediction_events observed", f""", b AS (SELECT p.seq, p.spot_id, p.forecast_time, o.time AS pt, o.event_id AS pe FROM prediction_events p
-      ASOF LEFT JOIN observed o ON p.spot_id = o.spot_id AND p.forecast_time >= o.time),
+    return with_sql("prediction_events observed observed_repeats observed_once", f""", b AS (SELECT p.seq, p.spot_id, p.forecast_time, o.time AS pt, o.event_id AS pe FROM prediction_events p
+      ASOF LEFT JOIN observed_once o ON p.spot_id = o.spot_id AND p.forecast_time >= o.time),
     a AS (SELECT p.seq, o.time AS nt, o.event_id AS ne FROM prediction_events p
-      ASOF LEFT JOIN observed o ON p.spot_id = o.spot_id AND p.forecast_time <= o.time),
+      ASOF LEFT JOIN observed_once o ON p.spot_id = o.spot_id AND p.forecast_time <= o.time),
     c AS (SELECT b.*, nt, ne, abs(epoch_us(forecast_time)-epoch_us(pt)) AS dp, abs(epoch_us(nt)-epoch_us(forecast_time)) AS dn FROM b JOIN a USING (seq)),
     d AS (SELECT seq, spot_id, CASE WHEN pt IS NULL OR (nt IS NOT NULL AND {pick}) THEN ne ELSE pe END AS e,
       CASE WHEN pt IS NULL OR (nt IS NOT NULL AND {pick}) THEN dn ELSE dp END AS dist FROM c)
@@ -56,7 +56,7 @@ def _nearest_sql(tie: str, tolerance: str) -> str:
 
 
 def _nearest(t: Tables, tie: str, tolerance: float | None):
-    right = t.observed.select("spot_id", "time", "event_id")
+    right = asof.one_per_instant(t.observed_repeats, ("spot_id",), "time", "event_id")
     found = asof.nearest_join(t.predictions.select("spot_id", "forecast_time", "seq"), right, ("spot_id",), "forecast_time",
                               "time", "seq", ("event_id",), tie=tie, tolerance_s=tolerance)
     return found.select("seq", "spot_id", F.coalesce("event_id", F.lit(-1)).alias("nearest"))
@@ -72,11 +72,11 @@ def asof_nearest(t: Tables):
     return _nearest(t, "earlier", None)
 
 
-@query("point_in_time_join", with_sql("prediction_events observed", """SELECT seq, spot_id, coalesce(CASE WHEN o.time >= forecast_time - INTERVAL 8 DAY
+@query("point_in_time_join", with_sql("prediction_events observed observed_repeats observed_once", """SELECT seq, spot_id, coalesce(CASE WHEN o.time >= forecast_time - INTERVAL 8 DAY
     THEN o.event_id END, -1) AS feature_row FROM (SELECT p.seq, p.spot_id, p.forecast_time, o.time, o.event_id FROM prediction_events p
-    ASOF LEFT JOIN observed o ON p.spot_id = o.spot_id AND p.forecast_time >= o.time) o"""))
+    ASOF LEFT JOIN observed_once o ON p.spot_id = o.spot_id AND p.forecast_time >= o.time) o"""))
 def point_in_time_join(t: Tables):
-    right = t.observed.select("spot_id", "time", "event_id")
+    right = asof.one_per_instant(t.observed_repeats, ("spot_id",), "time", "event_id")
     found = asof.point_in_time_join(t.predictions.select("spot_id", "forecast_time", "seq"), right, ("spot_id",), "forecast_time",
                                     "time", "seq", ("event_id",), ttl="8 DAYS")
     return found.select("seq", "spot_id", F.coalesce("event_id", F.lit(-1)).alias("feature_row"))
@@ -120,12 +120,17 @@ def snapshot_subset(t: Tables):
     return ranking.snapshot_subset(t.predictions.select("seq", "spot_id"), asked)
 
 
-@query("null_fractions", with_sql("features", """SELECT 'wind_speed_10m' AS "column", round(avg(CASE WHEN wind_speed_10m IS NULL THEN 1e0 ELSE 0e0 END),6) AS null_fraction FROM features
-    UNION ALL SELECT 'gust_factor', round(avg(CASE WHEN gust_factor IS NULL THEN 1e0 ELSE 0e0 END),6) FROM features
-    UNION ALL SELECT 'wind_steadiness', round(avg(CASE WHEN wind_steadiness IS NULL THEN 1e0 ELSE 0e0 END),6) FROM features
-    UNION ALL SELECT 'temperature_2m', 0e0"""))
+_SHARED = ("spot_id", "user_id", "event_id", "time", "wind_speed_10m", "wind_gusts_10m", "wind_direction_10m", "temperature_2m",
+           "relative_humidity_2m")
+_NEW = ("wind_speed_80m", "wind_speed_120m", "wind_direction_80m", "cape", "lifted_index", *ENGINEERED_COLUMNS, "shore_orientation_deg",
+        "lat", "lon", "drive_minutes")
+
+
+@query("null_fractions", with_sql("features", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", round(avg(CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END),6) AS null_fraction FROM features"""
+    for c in (*_SHARED, *_NEW))))
 def null_fractions(t: Tables):
-    return rounded(q.null_fractions(t.features, ("wind_speed_10m", "gust_factor", "wind_steadiness", "temperature_2m")), "null_fraction")
+    return rounded(q.null_fractions(t.features, t.features.columns), "null_fraction")
 
 
 def _violation_sql(source: str, ids: str, ranges=VALUE_RANGES) -> str:
@@ -143,7 +148,8 @@ def range_violations(t: Tables):
     return rounded(q.range_violations(t.features, ("event_id",)), "value")
 
 
-_CHECKED = ("wind_speed_10m", "wind_gusts_10m", "gust_factor", "wind_steadiness", "temperature_2m", "relative_humidity_2m")
+# Every column of a slice but its key.
+_CHECKED = tuple(c for c in (*_SHARED, *_NEW) if c != "spot_id")
 _NULLS = ", ".join(f"avg(CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END)" for c in _CHECKED)
 VERDICT_SQL = f""", viol AS (SELECT spot_id, count(*) AS n FROM ({_violation_sql('features', 'spot_id')}) GROUP BY spot_id),
     agg AS (SELECT spot_id, count(*) AS rows, greatest({_NULLS}) AS max_null FROM features GROUP BY spot_id),
@@ -154,27 +160,23 @@ VERDICT_SQL = f""", viol AS (SELECT spot_id, count(*) AS n FROM ({_violation_sql
 
 @query("validate_slices", with_sql("features", VERDICT_SQL + "SELECT * FROM verdict"))
 def validate_slices(t: Tables):
-    checked = q.validate_slices(t.features, (*_CHECKED, "precipitation"), columns=_CHECKED)
+    checked = q.validate_slices(t.features, (*_CHECKED, "precipitation"))
     return rounded(checked, "max_null_fraction")
 
 
-@query("roundtrip_delta", """WITH a AS (SELECT o_custkey, count(*) AS written_rows, CAST(sum(CASE WHEN o_custkey % 10 <> 0 OR o_orderkey % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT)
-    AS stored_rows, max(CASE WHEN o_orderkey % 3 = 0 THEN 0.25e0 ELSE 0e0 END) AS gap FROM orders GROUP BY 1)
-    SELECT o_custkey, written_rows, stored_rows, stored_rows AS matched_rows, round(CASE WHEN written_rows = stored_rows THEN gap END, 4) AS max_abs_delta FROM a""")
+@query("roundtrip_delta", with_sql("readings", """SELECT spot_id, count(*) AS written_rows, CAST(sum(CASE WHEN user_id % 10 <> 0 OR event_id % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS stored_rows,
+    CAST(sum(CASE WHEN user_id % 10 <> 0 OR event_id % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS matched_rows, round(CASE WHEN sum(CASE WHEN user_id % 10 <> 0 OR event_id % 2 = 0 THEN 0 ELSE 1 END) = 0
+    THEN max(CASE WHEN event_id % 31 = 0 THEN 0.5e0 WHEN event_id % 3 = 0 THEN 0.25e0 ELSE 0e0 END) END, 4) AS max_abs_delta FROM readings GROUP BY 1"""))
 def roundtrip_delta(t: Tables):
-    written = t.table("orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    stored = written.where("o_custkey % 10 <> 0 OR o_orderkey % 2 = 0").withColumn(
-        "o_totalprice", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") + 0.25).otherwise(F.col("o_totalprice")))
-    found = q.round_trip(written, stored, ("o_custkey", "o_orderkey"), ("o_totalprice",), by=("o_custkey",))
+    """Written against stored slices over every numeric column that both have."""
+    stored = t.readings.where("user_id % 10 <> 0 OR event_id % 2 = 0").withColumns({
+        "wind_gusts_10m": F.when(F.col("event_id") % 3 == 0, F.col("wind_gusts_10m") + 0.25).otherwise(F.col("wind_gusts_10m")),
+        "temperature_2m": F.when(F.col("event_id") % 31 == 0, F.col("temperature_2m") + 0.5).otherwise(F.col("temperature_2m"))})
+    keys = ("spot_id", "event_id")
+    found = q.round_trip(t.readings, stored, keys, q.numeric_columns(t.readings, keys), by=("spot_id",))
     return found.withColumn("max_abs_delta", F.round("max_abs_delta", 4))
 
 
-_SHARED = ("spot_id", "user_id", "event_id", "time", "wind_speed_10m", "wind_gusts_10m", "wind_direction_10m", "temperature_2m",
-           "relative_humidity_2m")
-_NEW = ("wind_speed_80m", "wind_speed_120m", "wind_direction_80m", "cape", "lifted_index", *ENGINEERED_COLUMNS, "shore_orientation_deg",
-        "lat", "lon", "drive_minutes")
-
-
 @query("column_diff", with_sql("features", " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", '{status}' AS status, count({c}) AS filled_rows FROM features"""
     for status, names in (("shared", _SHARED), ("new", _NEW)) for c in names)))
@@ -268,10 +270,10 @@ def topk_with_rest(t: Tables):
     return ranking.topk_with_rest(counts, "model_version", "predictions", 8)
 
 
-@query("union_by_name", """SELECT 'r' AS origin, event_id AS id, value, NULL AS note FROM events WHERE event_type = 'view'
+@query("union_by_name", """SELECT 'r' AS origin, event_id AS id, value, NULL AS note FROM events
     UNION ALL SELECT 'o', o_orderkey, NULL, o_orderpriority FROM orders""")
 def union_by_name(t: Tables):
-    a = t.table("events").where("event_type = 'view'").select(F.lit("r").alias("origin"), F.col("event_id").alias("id"), "value")
+    a = t.table("events").select(F.lit("r").alias("origin"), F.col("event_id").alias("id"), "value")
     b = t.table("orders").select(F.lit("o").alias("origin"), F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("note"))
     return a.unionByName(b, allowMissingColumns=True)
 
@@ -354,6 +356,5 @@ def quality_grid(t: Tables):
 @query("score_and_rank", TABLE_SQL)
 def score_and_rank(t: Tables):
     """Score the horizon of every spot and rank the spots (the rule label is the scorer)."""
-    hours = fx.horizon(fx.label_rows(t.features, F.lit(12.0)), ("spot_id",), ("time", "event_id"), 14)
-    peaks = ranking.forecast_peak(hours, t.spots)
+    peaks = ranking.forecast_peak(forecast(t), t.spots)
     return ranking.ranking_table(ranking.rank_spots(peaks), "user_id")

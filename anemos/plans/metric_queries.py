@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from anemos.operators import metrics as m
 from anemos.operators import runs as rn
+from anemos.params import LATENCY_BOUNDS
 from anemos.plans.bindings import Tables, with_sql
 from anemos.plans.registry import query, r6, rounded
 
@@ -61,7 +62,7 @@ def run_counters(t: Tables):
     return m.run_counters(t.samples)
 
 
-_BOUNDS = (0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
+_BOUNDS = LATENCY_BOUNDS
 _HIST_SQL = ", q AS (SELECT endpoint, result, value/50 AS latency FROM samples), hist AS (" + " UNION ALL ".join(
     f"SELECT endpoint, result, {b}e0 AS le, CAST(sum(CASE WHEN latency <= {b}e0 THEN 1 ELSE 0 END) AS BIGINT) AS cumulative FROM q GROUP BY 1,2" for b in _BOUNDS
 ) + " UNION ALL SELECT endpoint, result, 1e308, count(*) FROM q GROUP BY 1,2) "

@@ -64,10 +64,9 @@ def feature_importance(t: Tables):
 
 @query("score_batch")
 def score_batch(t: Tables):
-    """Engineer, limit to the horizon, impute per spot, predict."""
+    """Limit to the horizon, engineer, impute per spot, predict."""
     _, model = fitted(t)
-    ahead = fx.horizon(t.features, ("spot_id",), ("time", "event_id"), 14)
-    ready = fx.impute(ahead.select("spot_id", "time", "event_id", *MODEL_FEATURES), t.spot_series, MODEL_FEATURES)
+    ready = t.ahead.select("spot_id", "time", "event_id", *MODEL_FEATURES)
     return ml.score(model, ready).select("spot_id", "event_id", "time", r6("prediction").alias("quality_index"))
 
 

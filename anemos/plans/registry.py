@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemos.session import configure
+from anemos.session import checked
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +19,7 @@ def query(key: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             from anemos.plans.bindings import Tables
 
-            return fn(Tables(configure(spark), sf_dir))
+            return fn(Tables(checked(spark), sf_dir))
 
         if key in QUERIES:
             raise ValueError(f"query {key} is registered twice")

@@ -25,7 +25,7 @@ def _plain(df, *names):
 
 def repeated_events(events):
     """Prediction events in which every third row was delivered twice."""
-    rows = _stamp(events.where("event_id % 2 = 1").selectExpr(*PREDICTIONS), "prediction_timestamp", "forecast_time")
+    rows = _stamp(events.selectExpr(*PREDICTIONS), "prediction_timestamp", "forecast_time")
     times = F.when(F.col("seq") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return rows.withColumn("copy", F.explode(times)).drop("copy")
 
@@ -36,27 +36,30 @@ def requests(events):
 
 
 @query("stream_event_ingest", with_sql("prediction_events", """SELECT seq, prediction_timestamp, model_version, spot_id, quality_index FROM prediction_events
-    WHERE prediction_timestamp IS NOT NULL"""))
+    UNION ALL SELECT seq, prediction_timestamp, model_version, spot_id, quality_index FROM prediction_events WHERE prediction_timestamp IS NULL AND seq % 3 = 0"""))
 def stream_event_ingest(t: Tables):
     out = jobs.run_to_table(jobs.ingest_events(repeated_events(event_stream(t))), "events")
     return _plain(out, "prediction_timestamp").select("seq", "prediction_timestamp", "model_version", "spot_id", "quality_index")
 
 
-_CLOSED = "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
+def to_the_end(t: Tables, job, name: str):
+    """Run a windowed job over all requests and close it, so that the last windows come out too."""
+    end = jobs.end_folder(t.spark)
+    return jobs.run_to_table(job(jobs.with_end(requests(event_stream(t)), "ts", end)), name, end=end)
 
 
 @query("stream_request_counts", with_sql("samples", f""", w AS (SELECT date_trunc('minute', ts)::TIMESTAMP AS window_start, endpoint, count(*) AS requests,
-    CAST(sum(CASE WHEN value/50 <= 1e0 THEN 1 ELSE 0 END) AS BIGINT) AS le_6 FROM samples GROUP BY 1,2) SELECT * FROM w WHERE window_start + INTERVAL 1 MINUTE <= {_CLOSED}"""))
+    CAST(sum(CASE WHEN value/50 <= 1e0 THEN 1 ELSE 0 END) AS BIGINT) AS le_6 FROM samples GROUP BY 1,2) SELECT * FROM w"""))
 def stream_request_counts(t: Tables):
-    out = jobs.run_to_table(jobs.request_counts(requests(event_stream(t))), "requests")
+    out = to_the_end(t, jobs.request_counts, "requests")
     return _plain(out, "window_start").select("window_start", "endpoint", "requests", "le_6")
 
 
 @query("stream_error_rate", with_sql("samples", f""", e AS (SELECT unnest(generate_series(0, 14)) AS k, ts, endpoint, result FROM samples),
     w AS (SELECT (date_trunc('minute', ts) - to_minutes(k))::TIMESTAMP AS window_start, endpoint, CAST(sum(CASE WHEN result='1' THEN 1 ELSE 0 END) AS BIGINT) AS errors, count(*) AS requests FROM e GROUP BY 1,2)
-    SELECT window_start, endpoint, errors, requests, round(errors/900e0,6) AS rate, errors/900e0 > 0.001e0 AS firing FROM w WHERE window_start + INTERVAL 15 MINUTE <= {_CLOSED}"""))
+    SELECT window_start, endpoint, errors, requests, round(errors/900e0,6) AS rate, errors/900e0 > 0.001e0 AS firing FROM w"""))
 def stream_error_rate(t: Tables):
-    out = jobs.run_to_table(jobs.error_rate(requests(event_stream(t)), 0.001), "errors")
+    out = to_the_end(t, lambda rows: jobs.error_rate(rows, 0.001), "errors")
     return rounded(_plain(out, "window_start").drop("window_end"), "rate")
 
 
@@ -64,27 +67,27 @@ def stream_error_rate(t: Tables):
     l AS (SELECT *, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 30 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS st FROM b WINDOW w AS (PARTITION BY endpoint ORDER BY ts)),
     i AS (SELECT *, sum(st) OVER (PARTITION BY endpoint ORDER BY ts) AS k FROM l),
     s AS (SELECT endpoint, min(ts) AS breach_start, max(ts) AS breach_end, count(*) AS samples FROM i GROUP BY endpoint, k)
-    SELECT * FROM s WHERE breach_end >= breach_start + INTERVAL 15 MINUTE AND breach_end + INTERVAL 30 MINUTE <= {_CLOSED}"""))
+    SELECT * FROM s WHERE breach_end >= breach_start + INTERVAL 15 MINUTE"""))
 def stream_alert_sessions(t: Tables):
-    rows = requests(event_stream(t))
-    out = jobs.run_to_table(jobs.alert_sessions(rows, F.col("value") > 20, "30 minutes", 15), "sessions")
+    out = to_the_end(t, lambda rows: jobs.alert_sessions(rows, F.col("value") > 20, "30 minutes", 15), "sessions")
     return _plain(out.drop("window_end"), "breach_start", "breach_end")
 
 
 def outcomes(events):
     """Observed rows with an outcome already attached (a band of the wind value)."""
-    rows = _stamp(events.where("event_id % 2 = 0").selectExpr(*OBSERVED), "time")
+    rows = _stamp(events.selectExpr(*OBSERVED), "time")
     return rows.select("spot_id", "time", "event_id", quality_band(F.col("wind_speed_10m") / 60).alias("actual_quality_index"))
 
 
 @query("stream_hindcast", with_sql("prediction_events observed", """, o AS (SELECT spot_id, date_trunc('hour', time) AS h, arg_min(CAST(least(greatest(round_even(wind_speed_10m/60,0),0),5) AS BIGINT), (time, event_id)) AS actual_quality_index
-    FROM observed GROUP BY 1,2), edge AS (SELECT least((SELECT max(ts) FROM events WHERE event_id % 2 = 1), (SELECT max(ts) FROM events WHERE event_id % 2 = 0) + INTERVAL 120 HOUR) - INTERVAL 2 HOUR AS e)
-    SELECT seq, p.spot_id, h::TIMESTAMP AS forecast_hour, quality_index, actual_quality_index FROM prediction_events p JOIN o ON p.spot_id = o.spot_id AND date_trunc('hour', forecast_time) = h
-    WHERE h + INTERVAL 121 HOUR <= (SELECT e FROM edge)"""))
+    FROM observed GROUP BY 1,2)
+    SELECT seq, p.spot_id, h::TIMESTAMP AS forecast_hour, quality_index, actual_quality_index FROM prediction_events p JOIN o ON p.spot_id = o.spot_id AND date_trunc('hour', forecast_time) = h"""))
 def stream_hindcast(t: Tables):
-    made = _stamp(event_stream(t).where("event_id % 2 = 1").selectExpr(*PREDICTIONS), "forecast_time").select(
+    made = _stamp(event_stream(t).selectExpr(*PREDICTIONS), "forecast_time").select(
         "seq", "spot_id", "forecast_time", "quality_index")
-    out = jobs.run_to_table(jobs.late_truth(made, outcomes(event_stream(t))), "hindcast")
+    end = jobs.end_folder(t.spark)
+    joined = jobs.late_truth(jobs.with_end(made, "forecast_time", end), jobs.with_end(outcomes(event_stream(t)), "time", end))
+    out = jobs.run_to_table(joined, "hindcast", end=end)
     return _plain(out, "forecast_hour")
 
 

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Set the run-time options every job here relies on."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    # Sessions of one busy key are merged on the map side before they are shuffled.
-    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+UTC = ("UTC", "Etc/UTC", "GMT", "Z", "Zulu", "Universal", "Etc/GMT", "+00:00", "UCT")
+
+
+def checked(spark: SparkSession) -> SparkSession:
+    """Refuse a session whose time zone would shift the times that jobs here read; nothing is changed in it."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC:
+        raise ValueError(f"the session's time zone is {zone}; set spark.sql.session.timeZone to UTC")
     return spark
 
 
@@ -28,18 +30,23 @@ def local_session(app: str = "anemos", cores: str = "8", memory: str = "8g") ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Sessions of one busy key are merged on the map side before they are shuffled.
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     )
-    return configure(builder.getOrCreate())
+    return checked(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Root for written tables: the cluster's checkpoint folder.
 
-    Where the session names none (tests, one machine) a temporary folder is
-    chosen once and stored in the session, so later calls agree on it.
+    Where the session names none and driver and executors are one process (tests), a temporary
+    folder is chosen once and stored in the session. On a cluster that is an error, as
+    each executor would write to its own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="anemos-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -14,17 +14,31 @@ from anemos.session import fresh_path
 EVENT_KEY = ("prediction_timestamp", "model_version", "spot_id", "forecast_time")
 
 
-def _watermark(df: DataFrame, column: str, delay: str) -> DataFrame:
-    """Watermark a stream; a static frame passes unchanged."""
-    return df.withWatermark(column, delay) if df.isStreaming else df
+#: A time after all others. A row that carries it closes a stream (see ``with_end``).
+END = "TIMESTAMP '9000-01-01 00:00:00'"
+
+
+def _watermark(df: DataFrame, column: str, delay: str, wanted: Column | None = None) -> DataFrame:
+    """Watermark a stream and then drop its end mark; a static frame has neither.
+
+    Both tests are one expression over the event time, so Spark can't move a part of it
+    below the watermark, where the end mark would be lost.
+    """
+    if not df.isStreaming:
+        return df if wanted is None else df.where(wanted)
+    before_end = F.col(column) < F.expr(END)
+    return df.withWatermark(column, delay).where(F.when(before_end, F.lit(True) if wanted is None else wanted))
 
 
 def ingest_events(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Typed events without repeats. Rows without a prediction time cannot be tracked and go."""
-    rows = _watermark(events.where(F.col("prediction_timestamp").isNotNull()), "prediction_timestamp", delay)
-    if rows.isStreaming:
-        return rows.dropDuplicatesWithinWatermark(list(EVENT_KEY))
-    return rows.dropDuplicates(list(EVENT_KEY))
+    """Typed events without repeats. Rows without a prediction time can't be tracked: all of them pass."""
+    timed = events.where(F.col("prediction_timestamp").isNotNull())
+    untimed = events.where(F.col("prediction_timestamp").isNull())
+    if events.isStreaming:
+        once = timed.withWatermark("prediction_timestamp", delay).dropDuplicatesWithinWatermark(list(EVENT_KEY))
+    else:
+        once = timed.dropDuplicates(list(EVENT_KEY))
+    return once.unionByName(untimed)
 
 
 def request_counts(requests: DataFrame, delay: str = "10 minutes", bounds=LATENCY_BOUNDS) -> DataFrame:
@@ -47,7 +61,7 @@ def error_rate(requests: DataFrame, limit: float, delay: str = "10 minutes") ->
 
 def alert_sessions(samples: DataFrame, breach: Column, gap: str, hold_minutes: int, delay: str = "10 minutes") -> DataFrame:
     """Sessions of breaching samples that lasted at least the hold time."""
-    found = _watermark(samples.where(breach), "ts", delay).groupBy(F.session_window("ts", gap), "endpoint").agg(
+    found = _watermark(samples, "ts", delay, breach).groupBy(F.session_window("ts", gap), "endpoint").agg(
         F.min("ts").alias("breach_start"), F.max("ts").alias("breach_end"), F.count("*").alias("samples"))
     held = F.col("breach_end") >= F.col("breach_start") + F.expr(f"INTERVAL {hold_minutes} MINUTES")
     return found.where(held).select("endpoint", "breach_start", "breach_end", "samples",
@@ -75,15 +89,48 @@ def late_truth(predictions: DataFrame, observed: DataFrame, lag_hours: int = 120
 
 # Running ---------------------------------------------------------------------
 
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
-    """Process all available input into an append-only parquet table and read it."""
+_MARK = "at timestamp"
+
+
+def end_folder(spark: SparkSession, path: str | None = None) -> str:
+    """A folder for the end mark of a stream; without a path a fresh one."""
+    path = path or fresh_path(spark, "end")
+    spark.createDataFrame([], _MARK).write.mode("append").parquet(path)
+    return path
+
+
+def with_end(stream: DataFrame, time: str, folder: str) -> DataFrame:
+    """The stream and, once it is closed, a last row at END in ``time`` that lets open windows out."""
+    marks = stream.sparkSession.readStream.schema(_MARK).parquet(folder)
+    # No column is null: a join asks for keys that aren't, and Spark would ask before the watermark.
+    filler = {"string": F.lit(""), "timestamp": F.col("at"), "boolean": F.lit(False)}
+    return stream.unionByName(marks.select(*[
+        (F.col("at") if f.name == time else filler.get(f.dataType.simpleString(), F.lit(0))).cast(f.dataType).alias(f.name)
+        for f in stream.schema.fields]))
+
+
+def run_to_table(stream: DataFrame, name: str, out: str | None = None, state: str | None = None,
+                 end: str | None = None) -> DataFrame:
+    """Process all available input into an append-only parquet table and read it.
+
+    With ``out`` and ``state`` given, a later call goes on where this one stopped. ``end`` names the
+    folder of ``with_end``: the stream is then closed after its input, and windows that are still
+    open come out. Rows that arrive after that are late.
+    """
     spark = stream.sparkSession
-    out, state = fresh_path(spark, name), fresh_path(spark, f"{name}-checkpoint")
-    query = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", state).trigger(availableNow=True).start(out)
-    )
-    query.awaitTermination()
+    out, state = out or fresh_path(spark, name), state or fresh_path(spark, f"{name}-checkpoint")
+
+    def run() -> None:
+        query = (
+            stream.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", state).trigger(availableNow=True).start(out)
+        )
+        query.awaitTermination()
+
+    run()
+    if end:
+        spark.range(1).select(F.expr(END).alias("at")).write.mode("append").parquet(end)
+        run()
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -92,52 +139,73 @@ def _newest(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     return spark.read.parquet(f"{path}/version={batch_id - 1}") if batch_id > 0 else None
 
 
-def _run_batches(stream: DataFrame, step, name: str) -> None:
-    spark = stream.sparkSession
-    query = (
-        stream.writeStream.foreachBatch(step)
-        .option("checkpointLocation", fresh_path(spark, f"{name}-checkpoint"))
-        .trigger(availableNow=True).start()
-    )
+def _run_batches(stream: DataFrame, step, state: str) -> None:
+    query = stream.writeStream.foreachBatch(step).option("checkpointLocation", state).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def steadiness_feed(readings: DataFrame, rows: int = 3, rows_per_segment: int | None = None) -> DataFrame:
-    """Rolling steadiness over a live feed.
+def steadiness_feed(readings: DataFrame, rows: int = 3, rows_per_segment: int | None = None, delay: str = "1 DAY",
+                    out: str | None = None, state: str | None = None) -> DataFrame:
+    """Rolling steadiness over a live feed whose rows may come out of order.
 
-    State is the last ``rows - 1`` readings per spot, kept as a table version
-    per micro-batch; a batch that is repeated rewrites its own version only.
+    Kept per spot are the rows newer than ``delay`` before its newest one, and the ``rows - 1``
+    before these as context. A late row changes the rows after it, so all kept rows from the
+    earliest new one on are computed and written anew; the newest version of a row counts. Rows
+    older than the context can't be placed: they go to ``late_readings``. Versions are
+    written per micro-batch; a batch that is repeated rewrites its own. With ``out`` and
+    ``state`` given, a later call goes on where this one stopped.
     """
     spark = readings.sparkSession
-    out, tails = fresh_path(spark, "steadiness"), fresh_path(spark, "steadiness-state")
+    out, state = out or fresh_path(spark, "steadiness"), state or fresh_path(spark, "steadiness-checkpoint")
     order = ("time", "event_id")
+    place = F.struct(*order)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        previous = _newest(spark, tails, batch_id)
-        fresh = batch.withColumn("_new", F.lit(True))
-        rows_now = fresh if previous is None else fresh.unionByName(previous.withColumn("_new", F.lit(False)))
-        series = Series.measure(rows_now, ("spot_id",), order, rows_per_segment)
-        done = wind_steadiness(rows_now, series, rows)
-        done.where("_new").drop("_new").write.mode("overwrite").parquet(f"{out}/version={batch_id}")
-        last = Window.partitionBy("spot_id").orderBy(*[F.desc(c) for c in order])
-        keep = rows_now.drop("_new").withColumn("_rn", F.row_number().over(last)).where(F.col("_rn") < rows).drop("_rn")
-        keep.write.mode("overwrite").parquet(f"{tails}/version={batch_id}")
-
-    _run_batches(readings, step, "steadiness")
-    return spark.read.parquet(out).drop("version")
-
-
-def online_latest_feed(features: DataFrame, keys=("spot_id",), order=("time", "event_id")) -> DataFrame:
-    """Latest row per spot, merged per micro-batch into a new table version."""
+        previous = _newest(batch.sparkSession, f"{out}/tail", batch_id)
+        fresh, old = batch.withColumn("_state", F.lit("new")), None
+        if previous is not None:
+            old = previous
+            last = old.where("_state = 'context'").groupBy("spot_id").agg(F.max(place).alias("_last"))
+            placed = fresh.join(last, "spot_id", "left")
+            fits = F.col("_last").isNull() | (place > F.col("_last"))
+            placed.where(~fits).drop("_last", "_state").write.mode("overwrite").parquet(f"{out}/late/version={batch_id}")
+            fresh = placed.where(fits).drop("_last")
+        now = fresh if old is None else fresh.unionByName(old)
+        done = wind_steadiness(now, Series.measure(now, ("spot_id",), order, rows_per_segment), rows)
+        first = fresh.groupBy("spot_id").agg(F.min(place).alias("_first"))
+        done.join(first, "spot_id").where((F.col("_state") != "context") & (place >= F.col("_first"))).drop(
+            "_state", "_first").write.mode("overwrite").parquet(f"{out}/rows/version={batch_id}")
+        edges = now.groupBy("spot_id").agg((F.max("time") - F.expr(f"INTERVAL {delay}")).alias("_edge"))
+        split = now.drop("_state").join(edges, "spot_id")
+        young = split.where("time > _edge").withColumn("_state", F.lit("kept"))
+        newest = Window.partitionBy("spot_id").orderBy(*[F.desc(c) for c in order])
+        context = split.where("time <= _edge").withColumn("_rn", F.row_number().over(newest)).where(
+            F.col("_rn") < rows).drop("_rn").withColumn("_state", F.lit("context"))
+        young.unionByName(context).drop("_edge").write.mode("overwrite").parquet(f"{out}/tail/version={batch_id}")
+
+    _run_batches(readings, step, state)
+    versions = spark.read.parquet(f"{out}/rows")
+    fields = [c for c in versions.columns if c not in ("spot_id", "event_id", "version")]
+    return versions.groupBy("spot_id", "event_id").agg(F.max_by(F.struct(*fields), "version").alias("_row")).select(
+        "spot_id", "event_id", "_row.*")
+
+
+def late_readings(spark: SparkSession, out: str) -> DataFrame:
+    """Rows of a steadiness feed that came too late to be placed."""
+    return spark.read.parquet(f"{out}/late").drop("version")
+
+
+def online_latest_feed(features: DataFrame, keys=("spot_id",), order=("time", "event_id"), out: str | None = None,
+                       state: str | None = None) -> DataFrame:
+    """Latest row per spot, merged per micro-batch into a new table version; resumable like the others."""
     spark = features.sparkSession
-    path = fresh_path(spark, "online")
+    out, state = out or fresh_path(spark, "online"), state or fresh_path(spark, "online-checkpoint")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        previous = _newest(batch.sparkSession, path, batch_id)
+        previous = _newest(batch.sparkSession, out, batch_id)
         rows = batch if previous is None else batch.unionByName(previous)
-        latest_per_key(rows, keys, order).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        latest_per_key(rows, keys, order).write.mode("overwrite").parquet(f"{out}/version={batch_id}")
 
-    _run_batches(features, step, "online")
-    versions = spark.read.parquet(path)
+    _run_batches(features, step, state)
+    versions = spark.read.parquet(out)
     return versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")

@@ -24,49 +24,111 @@ def feed(spark, tmp_path_factory):
     return static, stream
 
 
-def closed(df, edge, column="window_end"):
-    return df.where(F.col(column) <= F.lit(edge))
-
-
-def last_time(static, minutes):
-    return static.agg((F.max("ts").cast("timestamp") - F.expr(f"INTERVAL {minutes} MINUTES")).alias("t")).first().t
+def run_closed(spark, job, stream, name, **paths):
+    end = jobs.end_folder(spark)
+    return jobs.run_to_table(job(jobs.with_end(sq.requests(stream), "ts", end)), name, end=end, **paths)
 
 
 def test_ingest(feed):
     static, stream = feed
     out = jobs.run_to_table(jobs.ingest_events(sq.repeated_events(stream())), "t-ingest")
-    assert rows(out, "seq") == rows(jobs.ingest_events(sq.repeated_events(static)), "seq")
+    twin = jobs.ingest_events(sq.repeated_events(static))
+    assert rows(out, "seq") == rows(twin, "seq")
+    assert twin.where("prediction_timestamp IS NULL").count() > 0
+
+
+def sessions(df):
+    return jobs.alert_sessions(df, F.col("value") > 20, "2 hours", 15)
+
 
+WINDOWED = [(jobs.request_counts, ("window_start", "endpoint", "requests")),
+            (lambda df: jobs.error_rate(df, 0.001), ("window_start", "endpoint", "requests", "errors")),
+            (sessions, ("endpoint", "breach_start", "breach_end", "samples"))]
 
-@pytest.mark.parametrize("job", [jobs.request_counts, lambda df: jobs.error_rate(df, 0.001)])
-def test_windows(feed, job):
+
+@pytest.mark.parametrize("job, names", WINDOWED)
+def test_windows_to_the_end(spark, feed, job, names):
     static, stream = feed
+    out = run_closed(spark, job, stream(), "t-windows")
+    twin = job(sq.requests(static))
+    assert rows(out, *names) == rows(twin, *names) and out.count() > 5
+
+
+def test_windows_after_a_restart(spark, feed, tmp_path):
+    """Half of the files, a stop, then the rest with the same folders: the batch twin's answer."""
+    static, _ = feed
+    files = sorted(static.inputFiles())
+    paths = {"out": str(tmp_path / "out"), "state": str(tmp_path / "state")}
+    folder = tmp_path / "in"
+    stream = lambda: spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    land(files[:4], folder)
+    end = jobs.end_folder(spark, str(tmp_path / "end"))
+    job = lambda: jobs.request_counts(jobs.with_end(sq.requests(stream()), "ts", end))
+    first = jobs.run_to_table(job(), "t-restart", **paths).count()
+    land(files[4:], folder)
+    out = jobs.run_to_table(job(), "t-restart", end=end, **paths)
     names = ("window_start", "endpoint", "requests")
-    out = jobs.run_to_table(job(sq.requests(stream())), "t-windows")
-    twin = closed(job(sq.requests(static)), last_time(static, 10))
-    assert rows(out, *names) == rows(twin, *names) and out.count() > 100
+    assert rows(out, *names) == rows(jobs.request_counts(sq.requests(static)), *names)
+    assert 0 < first < out.count()
 
 
-def test_sessions(feed):
-    static, stream = feed
-    job = lambda df: jobs.alert_sessions(sq.requests(df), F.col("value") > 20, "2 hours", 15)
-    names = ("endpoint", "breach_start", "breach_end", "samples")
-    out = jobs.run_to_table(job(stream()), "t-sessions")
-    assert rows(out, *names) == rows(closed(job(static), last_time(static, 10)), *names) and out.count() > 5
+def land(files, folder):
+    import os
+    import shutil
 
+    folder.mkdir(exist_ok=True)
+    for f in files:
+        copy = shutil.copy(f.removeprefix("file://"), folder)
+        # The stream takes files by age; copies of one moment would come in any order.
+        os.utime(copy, (1.7e9 + len(os.listdir(folder)),) * 2)
 
-def test_late_truth(feed):
+
+def test_late_truth(spark, feed):
     static, stream = feed
-    made = lambda df: df.where("event_id % 2 = 1").selectExpr(*sq.PREDICTIONS).withColumn("forecast_time", F.col("forecast_time").cast("timestamp")).select(
+    made = lambda df: df.selectExpr(*sq.PREDICTIONS).withColumn("forecast_time", F.col("forecast_time").cast("timestamp")).select(
         "seq", "spot_id", "forecast_time", "quality_index")
-    out = jobs.run_to_table(jobs.late_truth(made(stream()), sq.outcomes(stream())), "t-truth")
+    end = jobs.end_folder(spark)
+    joined = jobs.late_truth(jobs.with_end(made(stream()), "forecast_time", end), jobs.with_end(sq.outcomes(stream()), "time", end))
+    out = jobs.run_to_table(joined, "t-truth", end=end)
     twin = jobs.late_truth(made(static), sq.outcomes(static))
-    edge = static.where("event_id % 2 = 1").agg(F.max("ts").cast("timestamp").alias("t")).first().t
-    twin = twin.where(F.col("forecast_hour") + F.expr("INTERVAL 121 HOURS") <= F.lit(edge) - F.expr("INTERVAL 2 HOURS"))
     names = ("seq", "forecast_hour", "actual_quality_index")
     assert rows(out, *names) == rows(twin, *names) and out.count() > 20
 
 
+def batches(spark, folder, parts):
+    """Readings of spot a at some hours, one file per batch."""
+    from conftest import at
+
+    folder.mkdir(exist_ok=True)
+    for hours in parts:
+        spark.createDataFrame([("a", at(h), h, float(h * h % 7 + 1)) for h in hours],
+                              "spot_id string, time timestamp_ntz, event_id long, wind_speed_10m double").coalesce(1).write.mode(
+            "append").parquet(str(folder))
+
+
+def late_feed(spark, tmp_path, parts, split):
+    paths = {"out": str(tmp_path / "out"), "state": str(tmp_path / "state"), "delay": "1 DAY"}
+    stream = lambda: spark.readStream.schema(
+        "spot_id string, time timestamp_ntz, event_id long, wind_speed_10m double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for some in (parts[:split], parts[split:]):  # the second call restarts the feed
+        batches(spark, tmp_path / "in", some)
+        out = jobs.steadiness_feed(stream(), **paths)
+    twin = wind_steadiness(spark.read.parquet(str(tmp_path / "in")), Series(("spot_id",), ("time", "event_id")))
+    return ({r.event_id: r.wind_steadiness for r in x.collect()} for x in (out, twin))
+
+
+def test_steadiness_of_late_rows(spark, tmp_path):
+    got, want = late_feed(spark, tmp_path, [(1, 3, 4), (2, 5), (30,), (29, 31), (28, 60)], 2)
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(v, abs=1e-12) for k, v in want.items())
+
+
+def test_rows_older_than_the_context_go_aside(spark, tmp_path):
+    got, want = late_feed(spark, tmp_path, [(1, 2, 3, 4), (40, 41), (2,), (42,)], 2)
+    assert [r.event_id for r in jobs.late_readings(spark, str(tmp_path / "out")).collect()] == [2]
+    assert set(got) == set(want)
+
+
 @pytest.mark.parametrize("limit", [None, 15])
 def test_steadiness(feed, limit):
     static, stream = feed
