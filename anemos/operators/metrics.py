@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from anemos.operators.ordered import Series, drop_lookback, islands, with_lookback
 from anemos.params import LATENCY_BOUNDS
 
-SAMPLE_LINE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(\{[^}]*\})?\s+(.+?)(\s+\d+)?$"
-LABEL_PAIR = r'([a-zA-Z_][a-zA-Z0-9_]*)="([^"]*)"'
+# The text exposition format: a name, labels in braces, a value, an optional time in milliseconds. A label's
+# value is quoted and may hold braces, commas and escaped quotes, backslashes and line ends.
+_NAME, _KEY = "[a-zA-Z_:][a-zA-Z0-9_:]*", "[a-zA-Z_][a-zA-Z0-9_]*"
+_QUOTED = r'"((?:[^"\\\\]|\\\\.)*)"'.replace("\\\\", "\\")
+_LABEL = rf"({_KEY})[ \t]*=[ \t]*{_QUOTED}"
+_BARE_LABEL = _LABEL.replace("(?:", "\0").replace("(", "(?:").replace("\0", "(?:")
+_LABELS = rf"[ \t]*(?:{_BARE_LABEL}[ \t]*(?:,[ \t]*|(?=\}})))*"
+_LINE = rf"^[ \t]*({_NAME})(?:[ \t]*\{{({_LABELS})\}}[ \t]*|[ \t]+)([^ \t]+)(?:[ \t]+(-?[0-9]+))?[ \t]*$"
 
 
 def label(name: str) -> Column:
@@ -19,22 +25,27 @@ def label(name: str) -> Column:
     return F.coalesce(F.element_at("labels", name), F.lit(""))
 
 
+def _unescaped(quoted: Column) -> Column:
+    """A label value as meant: backslashes first go out of the way of the other two escapes."""
+    for written, meant in (("\\\\", "\0"), ('\\"', '"'), ("\\n", "\n"), ("\0", "\\")):
+        quoted = F.replace(quoted, F.lit(written), F.lit(meant))
+    return quoted
+
+
 def parse_samples(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Exposition text to samples; comments, blanks and malformed lines are skipped."""
-    kept = lines.where((F.col(text) != "") & ~F.col(text).startswith("#") & F.col(text).rlike(SAMPLE_LINE))
-    body = F.regexp_extract(text, SAMPLE_LINE, 2)
+    """Exposition text to samples: name, labels, value. Comments, blanks and lines that break the format are skipped."""
+    rest = [c for c in lines.columns if c != text]
+    part = lambda i: F.regexp_extract(text, _LINE, i)
     # A label written twice keeps its last value.
     pairs = F.reverse(F.arrays_zip(
-        F.regexp_extract_all(body, F.lit(LABEL_PAIR), 1).alias("k"),
-        F.regexp_extract_all(body, F.lit(LABEL_PAIR), 2).alias("v")))
+        F.regexp_extract_all("_body", F.lit(_LABEL), 1).alias("k"), F.regexp_extract_all("_body", F.lit(_LABEL), 2).alias("v")))
     unique = F.aggregate(
         pairs, F.create_map().cast("map<string,string>"),
         lambda m, p: F.when(F.map_contains_key(m, p["k"]), m).otherwise(
-            F.map_concat(m, F.create_map(p["k"], p["v"]))))
-    rest = [c for c in lines.columns if c != text]
-    return kept.select(
-        *rest, F.regexp_extract(text, SAMPLE_LINE, 1).alias("name"), unique.alias("labels"),
-        F.regexp_extract(text, SAMPLE_LINE, 3).try_cast("double").alias("value"))
+            F.map_concat(m, F.create_map(p["k"], _unescaped(p["v"])))))
+    found = lines.where(F.col(text).rlike(_LINE)).select(
+        *rest, part(1).alias("name"), part(2).alias("_body"), part(3).try_cast("double").alias("value"))
+    return found.where(F.col("value").isNotNull()).select(*rest, "name", unique.alias("labels"), "value")
 
 
 def select_samples(samples: DataFrame, name: str, *matchers: tuple[str, str, str]) -> DataFrame:

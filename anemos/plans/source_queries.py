@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from anemos.operators import quality as q
 from anemos.operators import ranking, runs
-from anemos.operators.events import flatten_predictions, normalize_events
+from anemos.operators.events import flatten_predictions, normalize_events, retain_by_time
 from anemos.operators.features import label_rows
 from anemos.operators.hindcast import class_accuracy, regression_metrics
-from anemos.operators.metrics import parse_samples
-from anemos.params import EVENT_LAYOUT, StoreLayout
+from anemos.params import EVENT_LAYOUT, RetentionRules, StoreLayout
 from anemos.plans.bindings import Tables, with_sql
 from anemos.plans.registry import query, r6, rounded
 from anemos.schemas import PREDICTION_PAYLOAD
@@ -38,7 +37,10 @@ def landed_payloads(t: Tables):
 @query("scan_hourly_payload", with_sql("readings", """SELECT spot_id, time, wind_speed_10m, wind_gusts_10m, temperature_2m
     FROM readings"""))
 def scan_hourly_payload(t: Tables):
-    documents = readers.parse_hourly_payloads(landed_payloads(t))
+    path = fresh_path(t.spark, "payloads")
+    landed_payloads(t).write.text(path)
+    t.spark.createDataFrame([('{"spot_id": "s1", "hourly": {"time": [',), ("",)], "value string").coalesce(1).write.mode("append").text(path)
+    documents = readers.read_hourly_payloads(t.spark, path, one_per_file=False).where("_corrupt_record IS NULL")
     return readers.hourly_rows(documents).select(
         "spot_id", "time", "wind_speed_10m", "wind_gusts_10m", "temperature_2m")
 
@@ -57,20 +59,28 @@ def unit_contract_check(t: Tables):
 @query("scan_entity_parquet", with_sql("readings spots", """SELECT 's' || CAST(user_id % 16 AS VARCHAR) AS spot_id, event_id, wind_speed_10m,
     s.lat FROM readings r JOIN (SELECT spot_id AS sid, lat FROM spots) s ON s.sid = 's' || CAST(r.user_id % 16 AS VARCHAR)"""))
 def scan_entity_parquet(t: Tables):
-    # One directory per spot stands for one file per spot: the name ends in ".parquet".
     path = fresh_path(t.spark, "entity")
-    named = t.readings.select(F.concat(F.lit("s"), F.col("user_id") % 16).alias("spot"), "event_id", "wind_speed_10m")
-    named.hint("rebalance", F.col("spot")).write.partitionBy("spot").parquet(path)
-    spot = F.regexp_extract(F.col("_metadata.file_path"), r"/spot=([^/]+)/", 1)
-    found = t.spark.read.parquet(path).withColumn("spot_id", spot).drop("spot")
-    return found.join(t.spots.select("spot_id", "lat"), "spot_id")
+    land_entities(t.readings.select(F.concat(F.lit("s"), F.col("user_id") % 16).alias("spot"), "event_id", "wind_speed_10m"), path)
+    return readers.read_entity_parquet(t.spark, path, t.spots.select("spot_id", "lat")).drop("file")
+
+
+def land_entities(rows, path: str) -> None:
+    """One folder per spot, as a delivery of one file per spot would be: ``<spot>.parquet``."""
+    named = rows.withColumn("file", F.concat("spot", F.lit(".parquet"))).drop("spot")
+    named.hint("rebalance", F.col("file")).write.partitionBy("file").parquet(path)
 
 
 @query("missing_entities", with_sql("spots", """SELECT spot_id FROM spots WHERE spot_id NOT IN
     (SELECT 's' || CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'signup' AND user_id % 4 <> 0)"""))
 def missing_entities(t: Tables):
-    loaded = t.table("events").where("event_type = 'signup' AND user_id % 4 <> 0").select(
-        F.concat(F.lit("s"), F.col("user_id")).alias("spot_id"))
+    """Spots whose file is missing, or was broken on its way (every fourth one)."""
+    path = fresh_path(t.spark, "entity")
+    landed = t.table("events").where("event_type = 'signup'").select(F.concat(F.lit("s"), F.col("user_id")).alias("spot"), "value", "user_id")
+    good = landed.where("user_id % 4 <> 0").select("spot", "value")
+    land_entities(good, path)
+    broken = landed.where("user_id % 4 = 0").select(F.concat("spot", F.lit(".parquet")).alias("file"), F.lit("not parquet").alias("value"))
+    broken.write.mode("append").partitionBy("file").text(path)
+    loaded = readers.read_entity_parquet(t.spark, path, t.spots, good.drop("spot").schema)
     return readers.missing_entities(t.spots, loaded).select("spot_id")
 
 
@@ -183,15 +193,22 @@ _EVENT_SCAN = """SELECT CASE WHEN seq % 103 = 0 THEN NULL ELSE prediction_timest
     quality_index, endpoint, model_version, spot_id, spot_id || '|x' AS ids FROM prediction_events"""
 
 
-@query("event_append_roundtrip", with_sql("prediction_events", _EVENT_SCAN))
+@query("event_append_roundtrip", with_sql("prediction_events", f""", s AS ({_EVENT_SCAN}), r AS (SELECT *, row_number() OVER (PARTITION BY model_version
+    ORDER BY prediction_timestamp DESC, forecast_time DESC) AS rn FROM s WHERE prediction_timestamp >= (SELECT max(prediction_timestamp) FROM s) - INTERVAL 10 DAY)
+    SELECT *, 'history' AS log FROM s UNION ALL SELECT * EXCLUDE (rn), 'working' FROM r WHERE rn <= 50"""))
 def event_append_roundtrip(t: Tables):
     history, working = fresh_path(t.spark, "history"), fresh_path(t.spark, "working")
     landed = _landed_events(t)
     # Two appends, as two runs would do.
     writers.append_events(landed.where("spot_id < 's3'"), history, working)
     writers.append_events(landed.where("spot_id >= 's3'"), history, working)
-    events = normalize_events(readers.read_event_log(t.spark, history))
-    return events.withColumn("ids", F.array_join("requested_spot_ids", "|")).drop("requested_spot_ids", "spot_name")
+    read = lambda path: normalize_events(readers.read_event_log(t.spark, path)).withColumn(
+        "ids", F.array_join("requested_spot_ids", "|")).drop("requested_spot_ids", "spot_name")
+    # The working log is trimmed to the newest events of each model; the history keeps all.
+    trimmed = fresh_path(t.spark, "trimmed")
+    kept = retain_by_time(read(working).withColumn("seq", F.xxhash64("spot_id", "forecast_time")), RetentionRules.explicit(50, 10))
+    writers.rewrite_log(kept.drop("seq").withColumnRenamed("ids", "requested_spot_ids"), trimmed)
+    return read(history).withColumn("log", F.lit("history")).unionByName(read(trimmed).withColumn("log", F.lit("working")))
 
 
 @query("event_scan", with_sql("prediction_events", _EVENT_SCAN))
@@ -216,7 +233,11 @@ _MAINTAINED = """, h AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER
 @query("report_latest_patch", with_sql("runs", _MAINTAINED + """ SELECT h.dataset, h.run_id, h.run_status, coalesce(p.mark, -1) AS mark
     FROM (SELECT * FROM h WHERE rn=1) h LEFT JOIN (SELECT * FROM p WHERE rn=1) p USING (dataset)"""))
 def report_latest_patch(t: Tables):
-    history = t.run_headers.select("dataset", "run_id", "run_status", "generated_at", "run_no")
+    path = fresh_path(t.spark, "report-history")
+    reports = t.run_headers.select("dataset", "run_id", "run_status", "generated_at", "run_no")
+    for half in (0, 1):  # two runs of the pipeline append to one history
+        writers.write_report_history(reports.where(F.col("run_no") % 2 == half), path)
+    history = t.spark.read.schema(reports.schema).json(path)
     patches = t.run_headers.where("run_no % 5 = 0 AND dataset <> 'set-4'").select(
         "dataset", F.col("generated_at").alias("patched_at"), F.col("run_no").alias("patch_id"), F.col("owner").alias("mark"))
     latest = runs.latest_with_patch(history, patches, "dataset", ("generated_at", "run_no"), "mark")
@@ -232,20 +253,24 @@ def latest_per_key(t: Tables):
 
 def metric_lines(t: Tables):
     """Samples rendered as exposition text, with comments and broken lines between."""
-    line = F.concat(F.col("name"), F.lit('{endpoint="'), F.col("endpoint"), F.lit('",result="'), F.col("result"),
-                    F.lit('"} '), F.col("value").cast("string"))
+    event = F.concat(F.lit('{event="'), F.col("event_id"), F.lit('"'))
+    line = F.concat(F.col("name"), event, F.lit(',endpoint="'), F.col("endpoint"), F.lit('",note="a}b\\"c",result="'), F.col("result"),
+                    F.lit('",} '), F.col("value").cast("string"), F.when(F.col("event_id") % 3 == 0, " 1700000000000").otherwise(""))
     kinds = F.array(line, F.when(F.col("event_id") % 10 == 0, F.lit("# HELP requests_total text")),
                     F.when(F.col("event_id") % 11 == 0, F.lit("not-a metric{ 1")),
-                    F.when(F.col("event_id") % 13 == 0, F.concat(F.lit("up "), (F.col("event_id") % 2).cast("string"))))
-    return t.samples.select("event_id", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("value"))
+                    F.when(F.col("event_id") % 13 == 0, F.concat(F.lit("up"), event, F.lit("} "), (F.col("event_id") % 2).cast("string"))))
+    return t.samples.select(F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("value"))
 
 
-@query("metric_text_scan", with_sql("samples", """SELECT event_id, name, endpoint, result, value FROM samples UNION ALL
-    SELECT event_id, 'up', '', '', CAST(event_id % 2 AS DOUBLE) FROM samples WHERE event_id % 13 = 0"""))
+@query("metric_text_scan", with_sql("samples", """SELECT event_id, name, endpoint, result, 'a}b"c' AS note, value FROM samples UNION ALL
+    SELECT event_id, 'up', '', '', '', CAST(event_id % 2 AS DOUBLE) FROM samples WHERE event_id % 13 = 0"""))
 def metric_text_scan(t: Tables):
-    parsed = parse_samples(metric_lines(t))
+    path = fresh_path(t.spark, "metric-text")
+    metric_lines(t).write.text(path)
+    parsed = readers.read_metric_text(t.spark, path)
     label = lambda k: F.coalesce(F.element_at("labels", k), F.lit("")).alias(k)
-    return parsed.select("event_id", "name", label("endpoint"), label("result"), "value")
+    return parsed.select(F.element_at("labels", "event").cast("long").alias("event_id"), "name", label("endpoint"),
+                         label("result"), label("note"), "value")
 
 
 @query("drive_minutes", """SELECT c_custkey, round(CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal / 60 END, 6)+0e0 AS minutes FROM customer""")

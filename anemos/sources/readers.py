@@ -11,12 +11,12 @@ from anemos.operators.metrics import parse_samples
 from anemos.params import RAW_COLUMNS
 
 
-def read_hourly_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed forecast documents, one JSON object per file; bad files keep only their text."""
+def read_hourly_payloads(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+    """Landed forecast documents, one JSON object per file (or per line); bad ones keep only their text."""
     with_bad = schemas.StructType([*schemas.HOURLY_PAYLOAD.fields,
                                    schemas.StructField("_corrupt_record", schemas.StringType())])
     return (
-        spark.read.schema(with_bad).option("multiLine", True)
+        spark.read.schema(with_bad).option("multiLine", one_per_file)
         .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     )
 
@@ -46,10 +46,15 @@ def hourly_units(payloads: DataFrame) -> DataFrame:
     return payloads.select("spot_id", F.inline(fields)).where("present").drop("present")
 
 
-def read_entity_parquet(spark: SparkSession, path: str, spots: DataFrame) -> DataFrame:
-    """One parquet file per spot, the spot taken from the file name."""
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.parquet$", 1)
-    return missing_to_null(spark.read.parquet(path).withColumn("spot_id", name)).join(spots, "spot_id")
+def read_entity_parquet(spark: SparkSession, path: str, spots: DataFrame, schema=None) -> DataFrame:
+    """One parquet file (or folder) per spot, named ``<spot>.parquet``; a large spot's folder holds several files.
+
+    With a schema given, files that can't be read are left out, so one bad file doesn't
+    keep the others from loading.
+    """
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)\.parquet(?:/[^/]*)?$", 1)
+    reader = spark.read if schema is None else spark.read.schema(schema).option("ignoreCorruptFiles", True)
+    return missing_to_null(reader.parquet(path).withColumn("spot_id", name)).join(spots, "spot_id")
 
 
 def missing_entities(spots: DataFrame, loaded: DataFrame) -> DataFrame:

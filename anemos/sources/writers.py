@@ -80,12 +80,14 @@ def append_events(events: DataFrame, history: str, working: str) -> None:
 
 def rewrite_log(retained: DataFrame, path: str) -> None:
     """Write a trimmed working log to a new place (never over the one being read)."""
-    retained.write.mode("errorifexists").json(path)
+    # Spark writes milliseconds unless told otherwise.
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    retained.write.mode("errorifexists").option("timestampNTZFormat", micros).option("timestampFormat", micros).json(path)
 
 
 def write_report_history(report: DataFrame, history: str) -> None:
     """Append to the history; "latest" is a view over it (``latest_with_patch``)."""
-    report.write.mode("append").json(history)
+    report.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(history)
 
 
 def evaluation_report(metrics: DataFrame, name: str = "metric", value: str = "value") -> DataFrame:

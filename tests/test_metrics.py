@@ -30,6 +30,14 @@ def test_parse(samples):
     assert samples.where("name = 'twice'").first()["labels"] == {"k": "2"}
 
 
+def test_labels_of_the_exposition_format(spark):
+    lines = ['m{a="x}y"} 1', 'm{a="q\\"r",b="c\\\\d\\ne",} 2 1700000000000', "m +Inf", "m{} NaN -5", "m { a = \"1\" , b=\"2\" } 3", 'm{a="open} 1',
+             "m{a=1} 1", "m word", "m", "9m 1", "m 1 2 3", " m{a=\"\"} 4 "]
+    got = m.parse_samples(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert [(r["labels"], str(r["value"])) for r in got] == [
+        ({"a": "x}y"}, "1.0"), ({"a": 'q"r', "b": "c\\d\ne"}, "2.0"), ({}, "inf"), ({}, "nan"), ({"a": "1", "b": "2"}, "3.0"), ({"a": ""}, "4.0")]
+
+
 def test_selectors_match_the_whole_value_and_absent_labels(samples):
     count = lambda *ms: m.select_samples(samples, "metric_a", *ms).count()
     assert count(("spot", "=", "a")) == 1 and count(("spot", "!=", "a")) == 1 and count(("spot", "=~", "a|b")) == 2
