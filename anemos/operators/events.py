@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from anemos.functions.temporal import seconds
 from anemos.functions.text import normalize_id_list, normalize_label
 from anemos.operators.ordered import Series, number_rows
-from anemos.params import RetentionRules
+from anemos.params import SALTS, RetentionRules
 
-SALTS = 64
 
 
 def flatten_predictions(payloads: DataFrame, endpoint: Column, logged_at: Column,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from anemos.functions import temporal, wind
 from anemos.functions.quality import quality_label
 from anemos.operators.ordered import Series, drop_lookback, fill, with_lookback
-from anemos.params import LABEL_INPUTS, LOCAL_ZONE, LabelRules
+from anemos.params import LABEL_INPUTS, LOCAL_ZONE, SALTS, LabelRules
 from anemos.schemas import require_columns
 
 
@@ -102,12 +102,17 @@ def impute(df: DataFrame, series: Series, columns, across: str | None = None) ->
 
 
 def horizon(df: DataFrame, keys, order, rows: int, start=None) -> DataFrame:
-    """First ``rows`` rows per key, from ``start`` on. Spark limits groups before the shuffle."""
+    """First ``rows`` rows per key, from the hour of ``start`` on.
+
+    Spark limits groups before the shuffle, but of a huge key every map task would still
+    send ``rows`` rows to one place: salted parts of a key are limited first.
+    """
     ahead = df if start is None else df.where(F.col(order[0]) >= F.date_trunc("hour", start))
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        ahead.withColumn("horizon_row", F.row_number().over(w)).where(F.col("horizon_row") <= rows)
-    )
+    ahead = ahead.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    for by in ((*keys, "_salt"), tuple(keys)):
+        w = Window.partitionBy(*by).orderBy(*order)
+        ahead = ahead.withColumn("horizon_row", F.row_number().over(w)).where(F.col("horizon_row") <= rows)
+    return ahead.drop("_salt")
 
 
 def label_rows(df: DataFrame, minimum_kn, rules: LabelRules = LabelRules()) -> DataFrame:

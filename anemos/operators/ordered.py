@@ -16,9 +16,11 @@ segments are made larger until they are not.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 ROWS_PER_SEGMENT = 20_000_000
 OVERSPLIT = 4
@@ -116,7 +118,7 @@ class Series:
             at = F.coalesce(F.floor((x - F.col("_lo")) / width), F.lit(0))
             slot = F.greatest(F.least(at, F.col("_slices") - 1), F.lit(0)) + 1
             out = (
-                out.join(F.broadcast(cut), group, "left")
+                _join_null_safe(out, F.broadcast(cut), group)
                 .withColumn(f"_s{level}", F.when(F.col("_lo").isNull(), 0).otherwise(slot).cast("bigint"))
                 .drop("_n", "_lo", "_hi", "_slices")
             )
@@ -152,8 +154,24 @@ _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO = (Window.unboundedPreceding, 0)
 
 
+#: Fields of a segment's state up to which it is sent to every task; more, or nested or text ones, and it is shuffled.
+SENT_FIELDS = 16
+
+
+def _join_null_safe(rows: DataFrame, side: DataFrame, names) -> DataFrame:
+    """Left join on columns of the same name in which a null meets a null."""
+    for n in names:
+        side = side.withColumnRenamed(n, f"_k_{n}")
+    same = [F.col(n).eqNullSafe(F.col(f"_k_{n}")) for n in names]
+    return rows.join(side, reduce(lambda a, b: a & b, same), "left").drop(*[f"_k_{n}" for n in names])
+
+
 def _attach(rows: DataFrame, state: DataFrame, series: Series) -> DataFrame:
-    return rows.join(F.broadcast(state), [*series.keys, SEG], "left")
+    names = [*series.keys, SEG]
+    fields = [f for f in state.schema.fields if f.name not in names]
+    # The number of segments is bounded, so narrow rows are; payloads of any width are not.
+    narrow = len(fields) <= SENT_FIELDS and all(isinstance(f.dataType, (NumericType, DatetimeType, BooleanType)) for f in fields)
+    return _join_null_safe(rows, F.broadcast(state) if narrow else state, names)
 
 
 def fill(df: DataFrame, series: Series, forward: dict[str, str] | None = None,

@@ -70,6 +70,8 @@ RETRAIN_ALIASES = {
     "on-success": "always", "on_success": "always",
     "drift": "drift", "drift-only": "drift", "drift_only": "drift",
 }
+# Parts of a key that are limited on their own before the key is.
+SALTS = 64
 FEATURE_STAGES = ("fetch", "engineer", "validate", "store")
 TRAINING_STAGES = ("train", "evaluate", "register")
 

@@ -1,7 +1,7 @@
 """Cut series must give what a plain window gives."""
 
 import pytest
-from conftest import at
+from conftest import at, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -111,3 +111,14 @@ def test_cuts_fit_a_wider_table_and_nulls_come_first(spark):
     series = o.Series.measure(df.where("id >= 0 AND id < 100"), ("k",), ("t", "id"), 10)
     assert series.is_cut
     assert [r.p for r in o.number_rows(df, series, "p").orderBy("id").collect()] == list(range(1, 201))
+
+
+def test_a_null_key_is_cut_like_any_other(spark):
+    rows_ = [(None, at(i), i, float(i % 7)) for i in range(200)] + [("b", at(i), 1000 + i, 1.0) for i in range(10)]
+    df = spark.createDataFrame(rows_, "spot_id string, time timestamp_ntz, event_id long, v double")
+    series = o.Series.measure(df, ("spot_id",), ("time", "event_id"), 20)
+    cut = series.cut(df)
+    assert cut.groupBy("spot_id", o.SEG).count().agg(F.max("count")).first()[0] <= 20
+    plain = o.Series(("spot_id",), ("time", "event_id"))
+    gaps = df.withColumn("v", F.when(F.col("event_id") % 50 == 0, F.col("v")))
+    assert rows(o.fill(gaps, series, {"x": "v"}), "event_id", "x") == rows(o.fill(gaps, plain, {"x": "v"}), "event_id", "x")
