@@ -42,16 +42,21 @@ def stage_states(runs: DataFrame, keys=("run_id",), stages=FEATURE_STAGES) -> Da
     )
 
 
+def handoff_rule(mode: Column, stored: Column, drifted: Column) -> Column:
+    """State of a hand-off from its mode, whether anything was stored, and whether anything drifted."""
+    return (
+        F.when(mode == "off", "disabled").when(~stored, "not_ready").when(mode == "always", "ready")
+        .when((mode == "drift") & drifted, "ready").when(mode == "drift", "waiting_for_drift")
+        .otherwise("unknown")
+    )
+
+
 def handoff_state(runs: DataFrame) -> DataFrame:
     """How a feature run hands over to training."""
     mode = F.lower(F.trim(F.coalesce("retraining_mode", F.lit("off"))))
     stored = (F.col("run_status") == "succeeded") & (F.size("stored_spots") > 0)
     drifted = F.size("drifted_spots") > 0
-    state = (
-        F.when(mode == "off", "disabled").when(~stored, "not_ready").when(mode == "always", "ready")
-        .when((mode == "drift") & drifted, "ready").when(mode == "drift", "waiting_for_drift")
-        .otherwise("unknown")
-    )
+    state = handoff_rule(mode, stored, drifted)
     return runs.select(
         "run_id", mode.alias("handoff_mode"), stored.alias("feature_persistence_ready"),
         drifted.alias("dataset_drift_detected"), state.alias("handoff_state"),

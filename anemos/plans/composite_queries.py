@@ -12,10 +12,12 @@ from anemos.operators import quality as q
 from anemos.operators.events import log_gauges
 from anemos.operators.hindcast import hindcast_metrics, shadow_from_log
 from anemos.operators.metrics import aggregate_samples, select_samples
+from anemos.operators.runs import handoff_rule, summary_metrics_long
 from anemos.params import VALUE_RANGES
 from anemos.plans.bindings import Tables, with_sql
 from anemos.plans.event_queries import GAUGE_PART, PAIRS_SQL, SPOT_PART, hindcast_pairs, ks_sql, spot_gauges
 from anemos.plans.join_queries import _CHECKED, _NULLS, GRID_SQL, _violation_sql, grid_sampled
+from anemos.plans.metric_queries import _SUMMARY
 from anemos.plans.registry import query, rounded
 from anemos.session import fresh_path, settle
 from anemos.sources.writers import replace_slices, shape_for_store, stored_table
@@ -66,9 +68,7 @@ def _previous(rows: DataFrame, path: str, dataset: str) -> DataFrame | None:
 def handoff(report: DataFrame, mode: str) -> DataFrame:
     """Run-level hand-off from the per-spot report."""
     totals = report.agg(F.count_if(F.col("stored_rows") > 0).alias("stored"), F.count_if("drifted").alias("drifted"))
-    state = F.when(F.lit(mode == "off"), "disabled").when(F.col("stored") == 0, "not_ready").when(
-        F.lit(mode == "always") | (F.col("drifted") > 0), "ready").otherwise("waiting_for_drift")
-    return totals.select(state.alias("handoff_state"))
+    return totals.select(handoff_rule(F.lit(mode), F.col("stored") > 0, F.col("drifted") > 0).alias("handoff_state"))
 
 
 _CURATE_SQL = f""", viol AS (SELECT spot_id, count(*) AS n FROM ({_violation_sql('features', 'spot_id', CURATE_RANGES)}) GROUP BY spot_id),
@@ -104,27 +104,31 @@ def backfill_events(t: Tables):
     return asof.anti_dedup(events, stored, ("spot_id", "forecast_time"))
 
 
-_ROLLUP_SQL = PAIRS_SQL + SPOT_PART + GAUGE_PART + """, lg AS (SELECT model_version, count(*) AS n, epoch_us(max(forecast_time))/1e6 AS f FROM prediction_events GROUP BY 1),
-    sh AS (SELECT spot_id, forecast_time, avg(CASE WHEN model_version='1' THEN quality_index END) AS a, avg(CASE WHEN model_version='2' THEN quality_index END) AS c
+_ROLLUP_SQL = PAIRS_SQL + SPOT_PART + GAUGE_PART + _SUMMARY + """, lg AS (SELECT model_version, count(*) AS n, epoch_us(max(forecast_time))/1e6 AS f FROM prediction_events GROUP BY 1),
+    sh AS (SELECT spot_id, seq // 8 AS hour, avg(CASE WHEN model_version='1' THEN quality_index END) AS a, avg(CASE WHEN model_version='2' THEN quality_index END) AS c
       FROM prediction_events WHERE model_version IN ('1','2') GROUP BY 1,2),
     long AS (SELECT 'prediction_log_rows' AS name, model_version AS label, CAST(n AS DOUBLE) AS value FROM lg UNION ALL SELECT 'prediction_log_latest_forecast', model_version, f FROM lg
       UNION ALL SELECT 'prediction_log_rows', '*', sum(n) FROM lg UNION ALL SELECT 'prediction_log_latest_forecast', '*', max(f) FROM lg
       UNION ALL SELECT 'hindcast_accuracy', '', avg(CASE WHEN round_even(quality_index,0) = actual_quality_index THEN 1e0 ELSE 0e0 END) FROM pairs
       UNION ALL SELECT 'hindcast_mae', '', avg(abs(quality_index-actual_quality_index)) FROM pairs
-      UNION ALL SELECT 'drift_' || metric, dataset, value FROM gauges WHERE "column" = 'dataset')
+      UNION ALL SELECT 'shadow_mean_abs_divergence', '', avg(abs(c-a)) FROM sh WHERE a IS NOT NULL AND c IS NOT NULL HAVING count(*) > 0
+      UNION ALL SELECT 'drift_' || metric, dataset, value FROM gauges WHERE "column" = 'dataset'
+      UNION ALL SELECT 'drift_column_' || metric, dataset || '.' || "column", value FROM gauges WHERE "column" <> 'dataset'
+      UNION ALL SELECT metric, run_id, value FROM mt)
     SELECT name, label, round(value,4)+0e0 AS value FROM long UNION ALL SELECT 'max by drift_share', '', round(max(value),4) FROM long WHERE name = 'drift_share_of_drifted_columns'"""
 
 
-@query("metrics_rollup", with_sql("prediction_events observed_labels readings", _ROLLUP_SQL))
+@query("metrics_rollup", with_sql("prediction_events observed_labels readings runs run_spots", _ROLLUP_SQL))
 def metrics_rollup(t: Tables):
-    """Log, hindcast, shadow and drift gauges as one sample table, and a selection over it."""
+    """Log, hindcast, shadow, drift and run-summary values as one sample table, and a selection over it."""
     def sample(df: DataFrame, name: str, label, value) -> DataFrame:
         return df.select(F.lit(name).alias("name"), label.alias("label"), value.cast("double").alias("value"))
 
     log = settle(log_gauges(t.predictions), "gauges")
     hind = settle(hindcast_metrics(hindcast_pairs(t)), "hindcast")
-    shadow = shadow_from_log(t.predictions, "1", "2")
-    drift = spot_gauges(t).where(F.col("column") == "dataset")
+    shadow = shadow_from_log(t.predictions.withColumn("forecast_time", F.floor(F.col("seq") / 8)), "1", "2")
+    gauges = spot_gauges(t)
+    whole = F.col("column") == "dataset"
     none = F.lit("")
     table = (
         sample(log, "prediction_log_rows", F.col("model_version"), F.col("row_count"))
@@ -132,7 +136,10 @@ def metrics_rollup(t: Tables):
         .unionByName(sample(hind, "hindcast_accuracy", none, F.col("accuracy")))
         .unionByName(sample(hind, "hindcast_mae", none, F.col("mae")))
         .unionByName(sample(shadow, "shadow_mean_abs_divergence", none, F.col("mean_abs_divergence")))
-        .unionByName(drift.select(F.concat(F.lit("drift_"), F.col("metric")).alias("name"), F.col("dataset").alias("label"), "value"))
+        .unionByName(gauges.select(
+            F.concat(F.when(whole, "drift_").otherwise("drift_column_"), F.col("metric")).alias("name"),
+            F.when(whole, F.col("dataset")).otherwise(F.concat_ws(".", "dataset", "column")).alias("label"), "value"))
+        .unionByName(summary_metrics_long(t.runs).select(F.col("metric").alias("name"), F.col("run_id").alias("label"), "value"))
     )
     stored = settle(table.withColumn("labels", F.create_map(F.lit("key"), F.col("label"))), "samples")
     worst = aggregate_samples(select_samples(stored, "drift_share_of_drifted_columns"), "max")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from anemos.operators import metrics as m
 from anemos.operators import runs as rn
-from anemos.params import LATENCY_BOUNDS
+from anemos.params import LATENCY_BOUNDS, TRAINING_STAGES
 from anemos.plans.bindings import Tables, with_sql
 from anemos.plans.registry import query, r6, rounded
 
@@ -193,6 +193,28 @@ def training_metrics_long(t: Tables):
     return rn.training_metrics_long(docs)
 
 
+_TRAINING = """WITH r AS (SELECT CAST(c_custkey AS VARCHAR) AS run_id, c_custkey AS k, c_acctbal AS d FROM customer),
+    st AS (SELECT run_id, 'train' AS stage, d AS duration, 0 AS failures FROM r
+      UNION ALL SELECT run_id, 'evaluate', CASE WHEN k % 4 <> 0 THEN d / 2 END, 0 FROM r
+      UNION ALL SELECT run_id, 'register', CASE WHEN k % 3 = 0 THEN d / 4 END, CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END FROM r)
+    SELECT run_id, stage, CASE WHEN failures>0 THEN 'failed' WHEN duration IS NOT NULL THEN 'succeeded' ELSE 'not_run' END AS state,
+    CAST(CASE WHEN failures>0 THEN -1 WHEN duration IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS state_value, duration AS duration_seconds,
+    CAST(failures AS BIGINT) AS failure_count FROM st"""
+
+
+@query("training_stage_overview", _TRAINING)
+def training_stage_overview(t: Tables):
+    """State of each training stage per training run."""
+    key, seconds = F.col("c_custkey"), F.col("c_acctbal")
+    durations = F.map_filter(F.create_map(
+        F.lit("train"), seconds, F.lit("evaluate"), F.when(key % 4 != 0, seconds / 2),
+        F.lit("register"), F.when(key % 3 == 0, seconds / 4)), lambda _, v: v.isNotNull())
+    failures = F.create_map(F.lit("register"), F.when(key % 5 == 0, 1).otherwise(0).cast("bigint"))
+    docs = t.table("customer").select(key.cast("string").alias("run_id"), durations.alias("stage_durations_seconds"),
+                                      failures.alias("stage_failure_counts"))
+    return rn.stage_states(docs, stages=TRAINING_STAGES)
+
+
 @query("select_run_summary", with_sql("runs", """, l AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY generated_at DESC, run_no DESC) AS rn FROM runs),
     w AS (SELECT dataset, CAST(NULL AS VARCHAR) AS wanted FROM runs GROUP BY 1 UNION ALL SELECT dataset, run_id FROM runs WHERE owner % 50 = 0),
     c AS (SELECT w.dataset, w.wanted, CASE WHEN wanted IS NULL THEN l.run_id ELSE wanted END AS run_id FROM w JOIN l ON l.dataset = w.dataset AND l.rn = 1)
