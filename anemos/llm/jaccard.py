@@ -38,8 +38,9 @@ from anemos.session import settle
 WORDS, PERCENT = 5, 75
 #: A shingle in more than this share of the documents is frequent. At most (average set size / share) shingles are.
 FREQUENT = 1e-4
-#: Shingles handled at once by a scan; shingles of a tile; weight of merging against probing in DivideSkip.
-TOGETHER, TILE, MU = 1 << 21, 1 << 21, 0.01
+#: Shingles handled at once by a scan; shingles of a tile; weight of merging against probing in DivideSkip; postings
+#: merged in the time of a probe.
+TOGETHER, TILE, MU, PROBE = 1 << 21, 1 << 21, 0.01, 8
 #: Percent of the smaller set that similar sets must share among their first shingles.
 SHARE = 15
 POSTING, SHARED, COPY, DOCUMENT = range(4)
@@ -266,6 +267,13 @@ def search_block(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT
         starts = np.searchsorted(keys, np.arange(lists.max() + 2) * n)
         members, lengths = keys % n, np.diff(starts)
         smallest = np.searchsorted(sizes, -(-percent * sizes // 100))
+
+        def merged(some: np.ndarray, low: int, high: int) -> np.ndarray:
+            """How many of these lists hold each document from low to high; zero below."""
+            spread = lengths[some]
+            held = members[np.repeat(starts[some] - np.cumsum(spread) + spread, spread) + np.arange(spread.sum())]
+            return np.bincount(held[(held >= low) & (held < high)], minlength=high)
+
         for asking in range(1, n):
             low, size = smallest[asking], sizes[asking]
             own = lists[bounds[asking]:bounds[asking + 1]]
@@ -276,13 +284,12 @@ def search_block(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT
             own = own[np.argsort(lengths[own], kind="stable")]
             n_long = min(int(least / (MU * np.log(lengths[own[-1]]) + 1)), least - 1)
             short, long = own[:len(own) - n_long], own[len(own) - n_long:]
-            spread = lengths[short]
-            merged = members[np.repeat(starts[short] - np.cumsum(spread) + spread, spread) + np.arange(spread.sum())]
-            merged = merged[(merged >= low) & (merged < asking)]
-            count = np.bincount(merged, minlength=asking) if len(merged) else np.zeros(asking, dtype=np.int64)
+            count = merged(short, low, asking)
             found = np.flatnonzero(count >= least - n_long)
-            found = found[found >= low]
             found = found[label[found] != label[asking]]
+            if len(found) * n_long * PROBE > lengths[long].sum():  # merging them too costs less than to probe them
+                count, long = count + merged(long, low, asking), long[:0]
+                found = found[count[found] >= least_overlap(size, sizes[found], percent)]
             found = found[np.argsort(-count[found], kind="stable")]
             while len(found):
                 # The likeliest of each component that isn't joined yet.
