@@ -346,10 +346,13 @@ def quality_grid(t: Tables):
     cells = hours.select(
         "spot_id", "event_id", "time", F.greatest(quality_band("quality_index"), F.lit(1)).alias("quality"),
         F.date_trunc("hour", "time").cast("timestamp_ntz").alias("hour"))
-    wind = pivoted_wind(t).withColumnsRenamed({"10m": "wind", "gusts": "gust"})
-    directions = t.readings.select("spot_id", "time", "event_id", F.col("wind_direction_10m").alias("deg"))
-    with_wind = cells.join(wind, ["spot_id", "hour"], "left").drop("hour")
-    with_direction = asof.first_match_join(with_wind, directions, ("spot_id",), "time", "time", "event_id", ("deg",))
+    # Only the hours of the cells are read on: the mean wind, and the direction of the hour's first reading.
+    hour = F.date_trunc("hour", "time").cast("timestamp_ntz")
+    seen = t.readings.withColumn("hour", hour).join(cells.select("spot_id", "hour").distinct(), ["spot_id", "hour"], "left_semi")
+    wind = seen.groupBy("spot_id", "hour").agg(
+        F.avg("wind_speed_10m").alias("wind"), F.avg("wind_gusts_10m").alias("gust"),
+        F.min_by("wind_direction_10m", F.struct("time", "event_id")).alias("deg"))
+    with_direction = cells.join(wind, ["spot_id", "hour"], "left")
     cards = ranked(t, hours).select("spot_id", "score", "drive_minutes", "session_hours")
     text = F.concat(compass_point("deg"), F.lit(" ("), F.format_string("%.0f", "deg"), F.lit("°)"))
     grid = with_direction.join(cards, "spot_id", "left").select(

@@ -70,6 +70,26 @@ def score_batch(t: Tables):
     return ml.score(model, ready).select("spot_id", "event_id", "time", r6("prediction").alias("quality_index"))
 
 
+@query("score_batch_rows", with_sql("ahead", "SELECT spot_id, event_id, time, true AS in_range FROM ahead_ready"))
+def score_batch_rows(t: Tables):
+    """What SQL can say of the scores: their rows, and that a forest stays within the grades it has seen."""
+    return score_batch(t).select("spot_id", "event_id", "time", F.col("quality_index").between(0, 5).alias("in_range"))
+
+
+@query("train_evaluate_counts", with_sql("features labelled", _SPLIT_SQL + """, c AS (SELECT count(*) AS n, CAST(sum(CASE WHEN split='train' THEN 1 ELSE 0 END) AS BIGINT) AS tr,
+    CAST(sum(CASE WHEN split='test' THEN 1 ELSE 0 END) AS BIGINT) AS te FROM sp), cls AS (SELECT DISTINCT quality_index AS k FROM labelled JOIN sp USING (spot_id, event_id) WHERE split='test')
+    SELECT 'training_rows' AS metric, CAST(n AS DOUBLE) AS exact, true AS in_bounds FROM c UNION ALL SELECT 'training_features', 14e0, true UNION ALL SELECT 'train_rows', tr, true FROM c
+    UNION ALL SELECT 'test_rows', te, true FROM c UNION ALL SELECT 'class_accuracy_' || k, NULL, true FROM cls
+    UNION ALL SELECT unnest(['overall_class_accuracy','mae','rmse','r2']), NULL, true"""))
+def train_evaluate_counts(t: Tables):
+    """What SQL can say of an evaluation: its metrics by name, exact counts, and bounds on the rest."""
+    counts = ("training_rows", "training_features", "train_rows", "test_rows")
+    value, name = F.col("value"), F.col("metric")
+    bounds = F.when(name == "mae", value < 0.5).when(name == "rmse", value < 1).when(name == "r2", value.between(0.5, 1)).when(
+        name == "overall_class_accuracy", value.between(0.7, 1)).when(name.isin(*counts), True).otherwise(value.between(0, 1))
+    return train_evaluate(t).select("metric", F.when(name.isin(*counts), value).alias("exact"), bounds.alias("in_bounds"))
+
+
 @query("train_evaluate")
 def train_evaluate(t: Tables):
     """Train on the split, score the test part, and report metrics and counts in long form."""
