@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from anemos.llm.textarrays import mix, span_sums
 
@@ -31,16 +33,31 @@ TOGETHER, SLOTS, MOST_IDS = 1 << 18, 1 << 20, 1 << 23
 #: The pattern that cuts words in files of this kind (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 OTHER, LETTER, NUMBER, SPACE = range(4)
+#: Added to the kind of a letter that has to be lower-cased by the library's own table.
+FRESH = 4
 
 
-def code_kinds() -> np.ndarray:
-    """What the pattern takes each code point for."""
-    every = "".join(map(chr, range(0x110000)))
-    kinds = np.zeros(len(every), dtype=np.uint8)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
-        for found in regex.finditer(pattern, every):
-            kinds[found.start():found.end()] = kind
-    return kinds
+@cache
+def code_kinds() -> tuple[np.ndarray, dict[int, str]]:
+    """What the pattern takes each code point for, and lower-case letters that Python doesn't know yet.
+
+    Libraries differ in their version of Unicode. The one that the file was made for decides.
+    """
+    codes = np.array([i for i in range(0x110000) if not 0xD800 <= i < 0xE000], dtype=np.uint32)
+    every = codes.tobytes().decode("utf-32-le")
+    found = np.concatenate([np.arange(*m.span()) for m in regex.finditer(r"[\p{L}\p{N}\p{White_Space}]+", every)])
+    likely = codes[found]
+    text = likely.tobytes().decode("utf-32-le")
+    kinds = np.zeros(0x110000, dtype=np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        pieces = pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(text)
+        for _, (low, high) in pieces:
+            kinds[likely[low:high]] = kind
+    lower = normalizers.Lowercase().normalize_str
+    fresh = [c for c in text if unicodedata.category(c) == "Cn"]
+    lowered = {ord(c): lower(c) for c in fresh if lower(c) != c}
+    kinds[list(lowered)] += FRESH
+    return kinds, lowered
 
 
 def code_hash(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -72,7 +89,7 @@ class Bpe:
                                         None, None):
             raise ValueError(f"{path}: not a lower-case byte-level BPE file with word ends")
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
-        self.kinds = code_kinds()
+        self.kinds, self.lower = code_kinds()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for token, i in [*vocab.items(), *self.special.items()]:
@@ -181,6 +198,10 @@ class Encoder:
                  for t in (unicodedata.normalize("NFC", t) for t in texts)]
         joined = "\n".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        if self.bpe.kinds[codes].max(initial=0) > SPACE:  # rare: letters that Python can't lower yet
+            joined = joined.translate(self.bpe.lower)
+            texts = [t.translate(self.bpe.lower) for t in texts]
+            codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         starts, ends = self._spans(codes)
         hashes = code_hash(codes, starts, ends)
         slot = (hashes % np.uint64(self.slots)).astype(np.int64)
