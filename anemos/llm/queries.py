@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemos.llm import bpe, jaccard, langid, neardup, neighbours, packing, quality, urlfilter, warc
+from anemos.llm import bpe, chat, jaccard, langid, neardup, neighbours, packing, quality, urlfilter, warc
 from anemos.session import fresh_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,32 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked at a Jaccard similarity of 0.75 of their 5-word shingles."""
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as seen by each of its speakers: digest of the text, and the spans to train on."""
+    seen = chat.perspectives(table(spark, sf_dir, "conversations"))
+    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string"))), ",")
+    trained = F.aggregate("spans", F.lit(0), lambda n, s: n + s["stop"] - s["start"])
+    return seen.select("conv_id", "speaker", "chunk", "turns", F.length("text").cast("long").alias("chars"),
+                       trained.cast("long").alias("trained_chars"), F.sha2("text", 256).alias("text_sha256"),
+                       listed.alias("spans"))
+
+
+ORACLES["op4_perspectives"] = f"""
+WITH t AS (SELECT conv_id, coalesce(turn, 0) AS turn, coalesce(nullif(trim(role), ''), 'unknown') AS role,
+    replace(coalesce(text, ''), '<|im_', '<' || chr(8203) || '|im_') AS content FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role NOT IN ('system', 'unknown')),
+x AS (SELECT t.conv_id, speaker, CAST(floor(turn / {chat.CHUNK}e0) AS BIGINT) AS chunk, turn, role, content, role = speaker AS mine,
+    '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = speaker THEN 'assistant'
+      ELSE 'user name=' || regexp_replace(role, '[^A-Za-z0-9_.-]', '_', 'g') END || chr(10) AS head,
+    content || '<|im_end|>' || chr(10) AS body FROM t JOIN p USING (conv_id)),
+o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, chunk ORDER BY turn, role, content
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop FROM x)
+SELECT conv_id, speaker, chunk, count(*) AS turns, CAST(max(stop) AS BIGINT) AS chars,
+    CAST(sum(CASE WHEN mine THEN length(body) ELSE 0 END) AS BIGINT) AS trained_chars,
+    sha256(string_agg(head || body, '' ORDER BY turn, role, content)) AS text_sha256,
+    coalesce(string_agg(CASE WHEN mine THEN CAST(stop - length(body) AS VARCHAR) || '-' || CAST(stop AS VARCHAR) END, ','
+      ORDER BY turn, role, content), '') AS spans
+FROM o GROUP BY 1, 2, 3"""
