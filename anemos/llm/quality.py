@@ -110,7 +110,7 @@ def fit_ordinal(at: np.ndarray, value: np.ndarray, bounds: np.ndarray, grades: n
 
 
 def rated_features(texts: DataFrame) -> DataFrame:
-    """Summed features of each text: grade, at (array<int>), value (array<double>). ``texts``: grade, text."""
+    """Summed features of each text: grade, at (array<int>), value (array<float>). ``texts``: grade, text."""
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for own in chunks(batch.column(1)):
@@ -122,10 +122,10 @@ def rated_features(texts: DataFrame) -> DataFrame:
                     value.append(counts / np.sqrt(max(1, (high - low) / 3)))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(own.first, len(own)), pa.array(at, pa.list_(pa.int32())),
-                    pa.array(value, pa.list_(pa.float64()))], names=["grade", "at", "value"])
+                    pa.array(value, pa.list_(pa.float32()))], names=["grade", "at", "value"])
 
     return texts.select(F.col("grade").cast("int").alias("grade"), "text").mapInArrow(
-        sums, "grade int, at array<int>, value array<double>")
+        sums, "grade int, at array<int>, value array<float>")
 
 
 def fit(docs: DataFrame, ratings: DataFrame, rated: int = RATED) -> Model | None:
@@ -135,16 +135,18 @@ def fit(docs: DataFrame, ratings: DataFrame, rated: int = RATED) -> Model | None
     # At most ``rated`` rows are sent, and as many texts come back: of documents that share an id, the smallest text.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id").groupBy(
         "doc_id", "grade").agg(F.min("text").alias("text"))
-    rows = rated_features(texts).toPandas()
-    if rows["grade"].nunique() < 2:
+    rows = rated_features(texts).toArrow().combine_chunks()
+    grades = rows.column("grade").to_numpy()
+    if len(np.unique(grades)) < 2:
         return None
-    bounds = np.concatenate(([0], np.cumsum([len(x) for x in rows["at"]])))
-    at = np.concatenate(rows["at"].to_list()).astype(np.int64)
-    value = np.concatenate(rows["value"].to_list())
+    lists = [rows.column(c).combine_chunks() for c in ("at", "value")]
+    lists = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in lists]
+    bounds = lists[0].offsets.to_numpy().astype(np.int64)
+    at, value = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
     # What only a few texts hold would be learned by heart.
-    kept = np.bincount(at, minlength=FEATURES)[at] >= min(COMMON, len(rows) // 10)
-    bounds = np.concatenate(([0], np.cumsum(kept)))[bounds]
-    return fit_ordinal(at[kept], value[kept], bounds, rows["grade"].to_numpy())
+    kept = np.bincount(at, minlength=FEATURES)[at] >= min(COMMON, len(grades) // 10)
+    bounds = np.concatenate(([0], np.cumsum(kept)))[bounds - bounds[0]]
+    return fit_ordinal(at[kept], value[kept], bounds, grades)
 
 
 def rate_with(spark: SparkSession, model: Model | None, keep: float = KEEP) -> Callable[[Column | str], Column]:
