@@ -1,13 +1,19 @@
 """Near duplicates among embeddings: a robust-pruned flat graph and range search on it.
 
-Vectors go to the two nearest of some clusters, so neighbouring clusters overlap. Each
-cluster is a shard (a large one is several, dealt by id). A shard's graph links every
-vector to candidates that robust pruning leaves. The lists of a vector from its shards are
-united to one flat graph. The search then runs shard by shard: from a few medoids it goes
-greedily to a vector's surroundings, and from there over all links as long as the cosine
-stays near the threshold. A vector that the greedy part doesn't lead back to itself (an
-audit that every search passes) starts again at itself. Pairs found are verified in
-double precision and counted in one of the clusters that both have.
+Centres that lie as close as near copies are one cluster, so a tight group isn't torn.
+Vectors go to their nearest cluster and to all that are hardly farther, so neighbouring
+clusters overlap. Each cluster is a shard (a large one is several, dealt by id). A shard's
+graph links every vector to candidates that robust pruning leaves. The lists of a vector
+from its shards are united to one flat graph. The search then runs shard by shard: from a
+few medoids it goes greedily to a vector's surroundings, and from there over all links as
+long as the cosine stays near the threshold; a vector whose surroundings are a large part of
+the shard is compared with all of it. A vector that the greedy part doesn't lead back to
+itself starts again at itself. Pairs found are verified in double precision and counted
+in the first of the clusters that both have.
+
+Recall is audited: some vectors are compared with all others. What their pairs need tells
+how far clusters overlap; then the links found are counted against theirs, and while
+they are too few, clusters overlap more and the search follows worse links.
 
 Equal vectors are compared once, with a weight. Pairs aren't written: a task gives each of its
 vectors a number of links and the smallest id of its local component.
@@ -20,6 +26,7 @@ lengths don't link; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +45,14 @@ SHARD, SAMPLE, PER_CLUSTER = 2048, 50_000, 10
 LINKS, KEPT, WIDTH, FAR, ALPHA = 16, 32, 40, 8, 1.2
 #: Medoids to start from; beam; how far below the threshold links are still followed; searches at once.
 MEDOIDS, BEAM, SLACK, BLOCK = 16, 24, 0.05, 256
+#: Part of a shard from which on a vector is compared with the whole shard; cosines nearer to the threshold are summed again.
+DENSE, CLOSE = 0.1, 1e-9
+#: How much less than with its nearest cluster a vector's cosine with others of its clusters may be; the last is all clusters.
+OVERLAPS = (0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.25, 0.5, 4.0)
+#: Vectors compared with all others; share of their pairs that clusters must hold, and of their links to be found.
+AUDITED, HELD, RECALL = 2000, 0.995, 0.99
+
+log = logging.getLogger(__name__)
 
 
 def centroids(vectors: DataFrame, count: int, shard_rows: int, sample: int = SAMPLE) -> dict[int, np.ndarray]:
@@ -60,13 +75,31 @@ def centroids(vectors: DataFrame, count: int, shard_rows: int, sample: int = SAM
     return out
 
 
-def memberships(vectors: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
-    """Each vector once per cluster it belongs to: cluster, other (its other cluster or null), and the columns it has.
+def merged(centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Centres ordered by cluster, and where each cluster starts: a centre takes all free ones that would link with it."""
+    leader = np.full(len(centres), -1)
+    for i in range(len(centres)):
+        if leader[i] < 0:
+            leader[(leader < 0) & (centres @ centres[i] >= threshold)] = i
+            leader[i] = i
+    order = np.argsort(leader, kind="stable")
+    return centres[order], np.unique(leader[order], return_index=True)[1]
+
+
+def gaps(units: np.ndarray, clusters: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How much less each row's cosine with each cluster (its nearest centre) is than with the row's nearest cluster."""
+    centres, starts = clusters
+    cos = np.maximum.reduceat(units @ centres.T, starts, axis=1)
+    return cos.max(axis=1, keepdims=True) - cos
+
+
+def memberships(vectors: DataFrame, clusters: dict[int, tuple[np.ndarray, np.ndarray]], overlap: float) -> DataFrame:
+    """Each vector once per cluster it belongs to: cluster, others (all its clusters, ascending), and the columns it has.
 
     A cluster's number also tells the length of its vectors.
     """
-    shared = vectors.sparkSession.sparkContext.broadcast(centres)  # at most SAMPLE / PER_CLUSTER vectors
-    base = max((len(c) for c in centres.values()), default=0) + 1
+    shared = vectors.sparkSession.sparkContext.broadcast(clusters)  # at most SAMPLE / PER_CLUSTER vectors
+    base = max((len(c[1]) for c in clusters.values()), default=0) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,21 +107,81 @@ def memberships(vectors: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame
             sizes = np.diff(column.offsets.to_numpy())
             for size in np.unique(sizes):
                 rows = np.flatnonzero(sizes == size)
-                part = batch.take(pa.array(rows))
-                # A length that the sample doesn't hold is one cluster.
-                own = shared.value.get(int(size), np.zeros((1, size)))
-                cos = unit(matrix(part.column("vector"))) @ own.T
-                order = np.argsort(-cos, axis=1, kind="stable")[:, :2] + base * int(size)
-                width = order.shape[1]
-                cluster = order.reshape(-1)
-                other = order[:, ::-1].reshape(-1) if width == 2 else np.full(len(rows), -1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cluster, pa.int64()), pa.array(other, pa.int64()),
-                     *part.take(pa.array(np.repeat(np.arange(len(rows)), width))).columns],
-                    names=["cluster", "other", *batch.schema.names])
+                for low in range(0, len(rows), 1024):
+                    part = batch.take(pa.array(rows[low:low + 1024]))
+                    # A length that the sample doesn't hold is one cluster.
+                    own = shared.value.get(int(size), (np.zeros((1, size)), np.zeros(1, dtype=int)))
+                    row, cluster = np.nonzero(gaps(unit(matrix(part.column("vector"))), own) <= overlap)
+                    cluster = cluster + base * int(size)
+                    edges = np.searchsorted(row, np.arange(part.num_rows + 1))
+                    every = [cluster[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cluster, pa.int64()), pa.array([every[r] for r in row], pa.list_(pa.int64())),
+                         *part.take(pa.array(row)).columns],
+                        names=["cluster", "others", *batch.schema.names])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema.fields)
-    return vectors.mapInArrow(run, f"cluster long, other long, {kinds}")
+    return vectors.mapInArrow(run, f"cluster long, others array<long>, {kinds}")
+
+
+def audit(vectors: DataFrame, clusters: dict[int, tuple[np.ndarray, np.ndarray]], threshold: float,
+          count: int = AUDITED) -> tuple[dict[int, int], np.ndarray]:
+    """Some vectors against all: the links of each that has any, and what share of its pairs clusters hold for each overlap.
+
+    The vectors are those with the smallest hashed ids. Each one's pairs count as a whole, so a
+    large group doesn't hide the small ones.
+    """
+    rows = vectors.select("vec_id", "vector").orderBy(F.xxhash64(F.col("vec_id"), F.lit("audit")), "vec_id").limit(count).toPandas()
+    asked = {}
+    for size, own in rows.groupby(rows["vector"].map(len)):
+        units = unit(np.array(own["vector"].to_list()))
+        held = clusters.get(int(size), (np.zeros((1, size)), np.zeros(1, dtype=int)))
+        asked[int(size)] = (own["vec_id"].to_numpy(), units, gaps(units, held), held)
+    shared = vectors.sparkSession.sparkContext.broadcast(asked)  # AUDITED vectors
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links, pairs = {}, {}
+        for batch in batches:
+            column, ids = batch.column("vector"), batch.column("vec_id").to_numpy()
+            weight = batch.column("weight").to_numpy()
+            sizes = np.diff(column.offsets.to_numpy())
+            for size in np.intersect1d(sizes, list(shared.value)):
+                rows = np.flatnonzero(sizes == size)
+                own, queries, apart, held = shared.value[int(size)]
+                if int(size) not in links:
+                    links[int(size)], pairs[int(size)] = np.zeros(len(own), int), np.zeros((len(own), len(OVERLAPS)), int)
+                for low in range(0, len(rows), 1024):
+                    part = rows[low:low + 1024]
+                    units = unit(matrix(column.take(pa.array(part))))
+                    q, r = np.nonzero(reaches(queries, units, threshold) & (own[:, None] != ids[part]))
+                    np.add.at(links[int(size)], q, weight[part[r]])
+                    need, away = np.zeros(len(q)), gaps(units, held)
+                    # Most pairs have the same nearest cluster.
+                    far = np.flatnonzero(apart.argmin(axis=1)[q] != away.argmin(axis=1)[r])
+                    for at in range(0, len(far), 1024):
+                        some = far[at:at + 1024]
+                        need[some] = np.maximum(apart[q[some]], away[r[some]]).min(axis=1)
+                    np.add.at(pairs[int(size)], (q, np.searchsorted(OVERLAPS, need)), 1)
+        for size, total in links.items():
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shared.value[size][0][some]), pa.array(total[some]), pa.array(list(pairs[size][some]), pa.list_(pa.int64()))],
+                names=["vec_id", "links", "pairs"])
+
+    told = vectors.select("vec_id", "vector", "weight").mapInArrow(run, "vec_id long, links long, pairs array<long>").groupBy(
+        "vec_id").agg(F.sum("links").alias("links"), *(F.sum(F.col("pairs")[i]).alias(f"p{i}") for i in range(len(OVERLAPS)))).toPandas()
+    pairs = told[[f"p{i}" for i in range(len(OVERLAPS))]].to_numpy(dtype=float)
+    share = (pairs.cumsum(axis=1) / pairs.sum(axis=1, keepdims=True)).mean(axis=0) if len(told) else np.ones(len(OVERLAPS))
+    return dict(zip(told["vec_id"].tolist(), told["links"].tolist(), strict=True)), share
+
+
+def reaches(queries: np.ndarray, units: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether each query's cosine with each row reaches the threshold, near it by the sum that single pairs get."""
+    cos = queries @ units.T
+    hit = cos >= threshold
+    row, node = np.nonzero(np.abs(cos - threshold) < CLOSE)
+    hit[row, node] = cosines(queries[row], units[node]) >= threshold
+    return hit
 
 
 def build_graph(units: np.ndarray) -> np.ndarray:
@@ -117,47 +210,51 @@ def medoids(units: np.ndarray, count: int = MEDOIDS) -> np.ndarray:
     return np.array(out, dtype=np.int32)
 
 
-def range_search(units: np.ndarray, links: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (a, b), a < b, of rows whose cosine is found to reach the threshold."""
-    n, starts = len(units), medoids(units)
-    keys = []
+def range_search(units: np.ndarray, links: np.ndarray, threshold: float, wider: int = 1) -> np.ndarray:
+    """Whether each two rows are found and their cosine reaches the threshold: a symmetric matrix, as a shard is small."""
+    n, starts, low_cos = len(units), medoids(units), threshold - SLACK * wider
+    pairs = np.zeros((n, n), dtype=bool)
     for low in range(0, n, BLOCK):
         own = np.arange(low, min(low + BLOCK, n))
         queries = units[own]
-        beam, cos = beam_search(queries, units, links, np.repeat(starts[None], len(own), axis=0), BEAM)
+        beam, cos = beam_search(queries, units, links, np.repeat(starts[None], len(own), axis=0), BEAM * wider)
         lost = np.flatnonzero(~(beam == own[:, None]).any(axis=1))
         if len(lost):
             start = np.concatenate((own[lost, None].astype(np.int32), beam[lost]), axis=1)
-            beam[lost], cos[lost] = beam_search(queries[lost], units, links, start, BEAM)
+            beam[lost], cos[lost] = beam_search(queries[lost], units, links, start, BEAM * wider)
         seen = np.zeros(len(own) * n, dtype=bool)
         row, place = np.nonzero(beam >= 0)
         seen[row * n + beam[row, place]] = True
-        row, place = np.nonzero((beam >= 0) & (cos >= threshold - SLACK))
+        row, place = np.nonzero((beam >= 0) & (cos >= low_cos))
         node = beam[row, place].astype(np.int64)
         while len(row):
+            dense = np.bincount(row, minlength=len(own)) > max(DENSE * n, BEAM * wider)
+            if dense.any():
+                pairs[own[dense]] |= reaches(queries[dense], units, threshold)
+                row, node = row[~dense[row]], node[~dense[row]]
             value = cosines(queries[row], units[node])
-            hit = (value >= threshold) & (own[row] != node)
-            a, b = own[row[hit]], node[hit]
-            keys.append(np.minimum(a, b) * n + np.maximum(a, b))
-            follow = value >= threshold - SLACK
+            hit = value >= threshold
+            pairs[own[row[hit]], node[hit]] = True
+            follow = value >= low_cos
             row, node = row[follow], node[follow]
+            fresh = np.zeros_like(seen)
             onward = links[node]
-            flat = (row[:, None] * n + onward)[onward >= 0]
-            flat = np.unique(flat[~seen[flat]])
-            seen[flat] = True
-            row, node = np.divmod(flat, n)
-    found = np.unique(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.int64)
-    return np.divmod(found, n)
+            fresh[(row[:, None] * n + onward)[onward >= 0]] = True
+            fresh &= ~seen
+            seen |= fresh
+            row, node = np.divmod(np.flatnonzero(fresh), n)
+    pairs |= pairs.T
+    np.fill_diagonal(pairs, False)
+    return pairs
 
 
-def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def local_roots(pairs: np.ndarray) -> np.ndarray:
     """The smallest row reachable from each row."""
+    n = len(pairs)
     root = np.arange(n)
     while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
+        new = np.concatenate([np.where(pairs[low:low + BLOCK], root, n).min(axis=1) for low in range(0, n, BLOCK)])
+        new = np.minimum(root, new)
         new = new[new]
         if (new == root).all():
             return root
@@ -166,8 +263,30 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def near_links(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHARD) -> DataFrame:
     """Weighted links and local components, per task: vec_id, links, root. ``vectors``: vec_id, vector, weight (stored)."""
-    count = vectors.count()
-    rows = settle(memberships(vectors, centroids(vectors, count, shard_rows)), "members")
+    fitted = centroids(vectors, vectors.count(), shard_rows)
+    clusters = {size: merged(centres, threshold) for size, centres in fitted.items()}
+    exact, held = audit(vectors, clusters, threshold)
+    level, wider = int(np.argmax(held >= HELD)), 1
+    known = vectors.sparkSession.createDataFrame(list(exact.items()), "vec_id long, exact long")
+    while True:
+        found = settle(found_links(vectors, clusters, OVERLAPS[level], threshold, shard_rows, wider), "found")
+        counts = found.join(F.broadcast(known), "vec_id").groupBy("vec_id", "exact").agg(F.sum("links").alias("links"))
+        shares = [r["links"] / r["exact"] for r in counts.collect()]
+        recall = sum(shares) / len(exact) if exact else 1.0
+        log.info("overlap %s holds %.4f of the pairs of %d vectors with links, %.4f of their links found", OVERLAPS[level],
+                 held[level], len(exact), recall)
+        if recall >= RECALL:
+            return found
+        if SLACK * wider > 2:
+            log.warning("only %.4f of the links of %d audited vectors are found", recall, len(exact))
+            return found
+        level, wider = min(level + 1, len(OVERLAPS) - 1), wider * 2
+
+
+def found_links(vectors: DataFrame, clusters: dict[int, tuple[np.ndarray, np.ndarray]], overlap: float, threshold: float,
+                shard_rows: int, wider: int) -> DataFrame:
+    """One search of all shards: vec_id, links, root."""
+    rows = settle(memberships(vectors, clusters, overlap), "members")
     parts = rows.groupBy("cluster").agg(F.ceil(F.count("*") / shard_rows).alias("parts"))
     dealt = settle(rows.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))), "shards")
 
@@ -180,39 +299,47 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: int
 
     lists = dealt.select("cluster", "part", "vec_id", "vector").groupBy("cluster", "part").applyInArrow(
         build, "vec_id long, links array<long>")
-    # At most two lists of KEPT ids for each vector.
+    # One list of KEPT ids for each cluster of a vector.
     graph = lists.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("links"))).alias("links"))
     # A cluster of several shards is searched by pairs of shards, so each pair of its vectors meets in a task.
     first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("with")
     tasks = dealt.join(graph, "vec_id").select("*", first).where(
         "parts = 1 OR with <> part").select("cluster", F.least("part", "with").alias("low"),
-                                           F.greatest("part", "with").alias("high"), "part", "other", "vec_id", "vector",
+                                           F.greatest("part", "with").alias("high"), "part", "others", "vec_id", "vector",
                                            "weight", "links")
 
     def find(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("vec_id")
         number = lambda name: table.column(name).combine_chunks().to_numpy()
-        ids, other, part, weight = number("vec_id"), number("other"), number("part"), number("weight")
+        ids, part, weight = number("vec_id"), number("part"), number("weight").astype(float)
         cluster, low, high = (number(x)[0] for x in ("cluster", "low", "high"))
         units = unit(matrix(table.column("vector").combine_chunks()))
-        column = table.column("links").combine_chunks()
-        sizes = np.diff(column.offsets.to_numpy())
-        named = column.flatten().to_numpy(zero_copy_only=False)
+        source, named = entries(table.column("links"))
         place = np.minimum(np.searchsorted(ids, named), len(ids) - 1)
         known = ids[place] == named
-        source = np.repeat(np.arange(len(ids)), sizes)[known]
-        links = np.full((len(ids), int(sizes.max(initial=1))), -1, dtype=np.int32)
-        links[source, np.arange(len(source)) - np.searchsorted(source, source)] = place[known]
-        a, b = range_search(units, links, threshold)
-        root = local_roots(len(ids), a, b)
-        # Two shards: pairs across, and those within the first only in its pair with the next shard.
-        within = part[a] == part[b]
-        span = ~within | (low == high) | ((part[a] == low) & (high == low + 1)) | (
-            (part[a] == high) & (low == high - 1) & (high == number("last")[0]))
-        both = (other[a] == other[b]) & (other[a] >= 0)
-        counted = span & (~both | (cluster < other[a]))
-        a, b = a[counted], b[counted]
-        total = np.bincount(a, weight[b], len(ids)) + np.bincount(b, weight[a], len(ids))
+        source, place = source[known], place[known]
+        at = np.arange(len(source)) - np.searchsorted(source, source)
+        links = np.full((len(ids), int(at.max(initial=0)) + 1), -1, dtype=np.int32)
+        links[source, at] = place
+        pairs = range_search(units, links, threshold, wider)
+        root = local_roots(pairs)
+        # Pairs that share an earlier cluster are counted there.
+        source, named = entries(table.column("others"))
+        source, named = source[named < cluster], named[named < cluster]
+        names, column = np.unique(named, return_inverse=True)
+        earlier = np.zeros((len(ids), len(names)), dtype=np.float32)
+        earlier[source, column] = 1
+        total = np.zeros(len(ids))
+        for start in range(0, len(ids), BLOCK):
+            own = slice(start, start + BLOCK)
+            # Two shards: pairs across, and those within the first only in its pair with the next shard.
+            within = part[own, None] == part
+            span = ~within | (low == high) | ((part == low) & (high == low + 1)) | (
+                (part == high) & (low == high - 1) & (high == number("last")[0]))
+            counted = pairs[own] & span
+            if len(names):
+                counted &= earlier[own] @ earlier.T == 0
+            total[own] = counted @ weight
         keep = (total > 0) | (root != np.arange(len(ids)))
         return pa.table({"vec_id": pa.array(ids[keep]), "links": pa.array(total[keep].astype(np.int64)),
                          "root": pa.array(ids[root[keep]])})
@@ -221,12 +348,18 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: int
     return last.groupBy("cluster", "low", "high").applyInArrow(find, "vec_id long, links long, root long")
 
 
+def entries(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All entries of a column of lists, each with its row."""
+    lists = column.combine_chunks()
+    return np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy(zero_copy_only=False)
+
+
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD,
                     shard_rows: int = SHARD) -> DataFrame:
     """One row per row: vec_id, n_links, component_id, kept (the smallest id of its component)."""
     valid = settle(usable(rows, id_col, vector_col), "vectors")
     same = settle(valid.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight")), "distinct")
-    found = settle(near_links(same.select("vec_id", "vector", "weight"), threshold, shard_rows), "found")
+    found = near_links(same.select("vec_id", "vector", "weight"), threshold, shard_rows)
     links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     groups = components(found, "vec_id", "root").withColumnRenamed("id", "vec_id")
     classes = same.join(links, "vec_id", "left").join(groups, "vec_id", "left").select(

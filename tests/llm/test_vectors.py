@@ -68,6 +68,21 @@ def test_near_duplicates(spark, shard_rows):
             assert (r["n_links"], r["component_id"]) == (0, r["vec_id"])
 
 
+def test_one_near_group_over_many_clusters(spark):
+    """A third of the rows are near copies of one vector, the others groups of ten: no group is torn by clusters."""
+    rng = np.random.default_rng(7)
+    near = lambda base, n, cos: np.repeat(base, n, axis=0) + np.sqrt(1 / cos - 1) * rng.normal(size=(n * len(base), 64))
+    vectors = np.concatenate((near(rng.normal(size=(1, 64)), 1000, 0.95), near(rng.normal(size=(200, 64)), 10, 0.93))).astype(np.float32)
+    cos = cosines(vectors)
+    np.fill_diagonal(cos, -1)
+    want = (cos >= 0.9).sum(axis=1)
+    got = {r["vec_id"]: r["n_links"] for r in neardup.near_duplicates(table(spark, vectors), shard_rows=128).collect()}
+    found = np.array([got[i] for i in range(len(vectors))])
+    assert (found <= want).all()
+    assert found[:1000].sum() >= 0.999 * want[:1000].sum()
+    assert found[1000:].sum() >= 0.99 * want[1000:].sum()
+
+
 def test_near_duplicates_of_nothing(spark):
     empty = spark.createDataFrame([], KIND)
     assert neardup.near_duplicates(empty).count() == 0
