@@ -132,12 +132,7 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation as seen by each of its speakers: digest of the text, and the spans to train on."""
-    seen = chat.perspectives(table(spark, sf_dir, "conversations"))
-    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string"))), ",")
-    trained = F.aggregate("spans", F.lit(0), lambda n, s: n + s["stop"] - s["start"])
-    return seen.select("conv_id", "speaker", "chunk", "turns", F.length("text").cast("long").alias("chars"),
-                       trained.cast("long").alias("trained_chars"), F.sha2("text", 256).alias("text_sha256"),
-                       listed.alias("spans"))
+    return chat.digests(chat.perspectives(table(spark, sf_dir, "conversations")))
 
 
 ORACLES["op4_perspectives"] = f"""

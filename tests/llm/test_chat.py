@@ -56,3 +56,30 @@ def test_query_equals_its_sql(spark):
     names = [d[0] for d in cursor.description]
     got = QUERIES["op4_perspectives"](spark, SMALL).select(*names).collect()
     assert Counter(map(tuple, got)) == Counter(cursor.fetchall()) and len(got) > 20
+
+
+def test_repeated_turns_are_cut(spark):
+    """A dialogue whose turn numbers repeat or are null, with many equal rows: groups stay small, and nothing is lost."""
+    import hashlib
+
+    rows = [(1, 0 if i % 3 else None, ("Ann", "Bob", "system")[i % 3], f"t{i % 50}") for i in range(700)]
+    rows += [(1, 5, "Ann", "same")] * 300 + ROWS[9:]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    seen = chat.perspectives(df.repartition(3), most=100, size=16).cache()
+    assert max(r["turns"] for r in seen.select("turns").collect()) <= 16
+    parts = defaultdict(list)
+    for r in seen.collect():
+        parts[r["conv_id"], r["speaker"], r["chunk"]].append((r["part"], r["parts"], r["turns"], r["text"], [tuple(s) for s in r["spans"]]))
+    got = {}
+    for key, own in parts.items():
+        own.sort()
+        assert [p[0] for p in own] == list(range(own[0][1]))
+        got[key] = (sum(p[2] for p in own), "".join(p[3] for p in own), [s for p in own for s in p[4]])
+    want = plain(rows, chat.CHUNK)
+    assert got == want and len(parts[1, "Ann", 0]) == 63
+    digests = {(r["conv_id"], r["speaker"], r["chunk"]): r for r in chat.digests(seen).collect()}
+    assert set(digests) == set(want)
+    for key, (n, text, spans) in want.items():
+        r = digests[key]
+        assert (r["turns"], r["chars"], r["trained_chars"]) == (n, len(text), sum(b - a for a, b in spans))
+        assert r["text_sha256"] == hashlib.sha256(text.encode()).hexdigest() and r["spans"] == ",".join(f"{a}-{b}" for a, b in spans)
