@@ -1,8 +1,9 @@
 """Approximate nearest neighbours: a hierarchical small-world graph per shard, kept as flat neighbour arrays.
 
-Rows are dealt to shards of about ``SHARD`` rows by a hash of their id, so a shard's graph
-fits a task however many rows there are. A shard's index is one row: vectors, ids, and for
-each layer the member nodes and a fixed number of neighbours of each. Layers are nested;
+Equal vectors are one row of the index, the smallest id with the ``k + 1`` smallest ids, of which
+no more can be in an answer. These rows are dealt to shards of about ``SHARD`` rows by a hash of
+their id, so a shard's graph fits a task however many rows there are. A shard's index is one
+row: vectors, ids, and for each layer the member nodes and a fixed number of neighbours of each. Layers are nested;
 a node's top layer follows from a hash of its id. Every query searches every shard from
 the top layer down, and the shards' results are merged. Scores of those found are exact.
 
@@ -29,7 +30,7 @@ from anemos.session import settle
 SHARD, LINKS, WIDTH, BEAM = 4096, 16, 64, 96
 #: Queries of a shard searched at once.
 BLOCK = 512
-INDEX = "shard long, ids binary, vectors binary, dimension int, layers array<binary>, links array<binary>"
+INDEX = "shard long, ids binary, same binary, counts binary, vectors binary, dimension int, layers array<binary>, links array<binary>"
 
 
 def build_shard(ids: np.ndarray, vectors: np.ndarray, links: int = LINKS, width: int = WIDTH) -> tuple:
@@ -56,15 +57,18 @@ def build_shard(ids: np.ndarray, vectors: np.ndarray, links: int = LINKS, width:
 
 
 def build(rows: DataFrame, shards: int) -> DataFrame:
-    """The index of usable rows (vec_id, vector): one row per shard."""
+    """The index of distinct vectors (vec_id, vector, same: ids of equal vectors): one row per shard."""
     def one(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("vec_id")
         ids = table.column("vec_id").combine_chunks().to_numpy(zero_copy_only=False)
         vectors = matrix(table.column("vector").combine_chunks())
+        same = table.column("same").combine_chunks()
         layers, links = build_shard(ids, vectors)
         return pa.table({
             "shard": pa.array([table.column("shard")[0].as_py()], pa.int64()),
             "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
+            "same": pa.array([same.flatten().to_numpy(zero_copy_only=False).astype(np.int64).tobytes()], pa.binary()),
+            "counts": pa.array([np.diff(same.offsets.to_numpy()).astype(np.int64).tobytes()], pa.binary()),
             "vectors": pa.array([vectors.tobytes()], pa.binary()),
             "dimension": pa.array([vectors.shape[1]], pa.int32()),
             "layers": pa.array([[x.tobytes() for x in layers]], pa.list_(pa.binary())),
@@ -79,6 +83,8 @@ class Shard:
 
     def __init__(self, row: dict):
         self.ids = np.frombuffer(row["ids"], dtype=np.int64)
+        self.same, self.counts = (np.frombuffer(row[c], dtype=np.int64) for c in ("same", "counts"))
+        self.first = np.cumsum(self.counts) - self.counts
         self.units = unit(np.frombuffer(row["vectors"]).reshape(len(self.ids), row["dimension"]))
         self.layers = [np.frombuffer(x, dtype=np.int32) for x in row["layers"]]
         self.links = []
@@ -125,15 +131,24 @@ def search(index: DataFrame, queries: DataFrame, k: int, shards: int, beam: int
 
     def answers(shard: Shard, ids: np.ndarray, units: np.ndarray) -> pa.RecordBatch:
         nodes, _ = shard.search(units, beam)
-        row, place = np.nonzero((nodes >= 0) & (shard.ids[nodes] != ids[:, None]))
+        row, place = np.nonzero(nodes >= 0)
         found = nodes[row, place]
         score = cosines(units[row], shard.units[found])
-        order = np.lexsort((shard.ids[found], -score, row))
-        row, found, score = row[order], found[order], score[order]
-        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        # One more than asked for, as the query itself may be the only row of a vector.
+        row, _, score, found = first(row, shard.ids[found], score, k + 1, found)
+        count = shard.counts[found]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(shard.first[found], count)
+        row, score, same = np.repeat(row, count), np.repeat(score, count), shard.same[at]
+        other = same != ids[row]
+        row, same, score = first(row[other], same[other], score[other], k)
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids[row[keep]]), pa.array(shard.ids[found[keep]]), pa.array(score[keep])],
-            names=["query_id", "vec_id", "score"])
+            [pa.array(ids[row]), pa.array(same), pa.array(score)], names=["query_id", "vec_id", "score"])
+
+    def first(row: np.ndarray, own: np.ndarray, score: np.ndarray, most: int, *more: np.ndarray) -> list[np.ndarray]:
+        """The best of each row, ties to the smaller id."""
+        order = np.lexsort((own, -score, row))
+        keep = order[np.arange(len(row)) - np.searchsorted(row[order], row[order]) < most]
+        return [x[keep] for x in (row, own, score, *more)]
 
     near = held.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "turn").mapInArrow(
         run, "query_id long, vec_id long, score double")
@@ -145,5 +160,9 @@ def search(index: DataFrame, queries: DataFrame, k: int, shards: int, beam: int
 def nearest(rows: DataFrame, id_col: str, vector_col: str, k: int, every: int = 50, shard_rows: int = SHARD) -> DataFrame:
     """Index all usable rows and search with those whose id is divisible by ``every``."""
     vectors = settle(usable(rows, id_col, vector_col), "vectors")
-    shards = max(1, -(-vectors.count() // shard_rows))
-    return search(settle(build(vectors, shards), "index"), vectors.where(F.col("vec_id") % every == 0), k, shards)
+    # The row limit is applied before the shuffle too, so a vector of very many rows is a few.
+    place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
+    distinct = settle(vectors.withColumn("place", place).where(F.col("place") <= k + 1).groupBy("vector").agg(
+        F.min("vec_id").alias("vec_id"), F.array_sort(F.collect_list("vec_id")).alias("same")), "distinct")
+    shards = max(1, -(-distinct.count() // shard_rows))
+    return search(settle(build(distinct, shards), "index"), vectors.where(F.col("vec_id") % every == 0), k, shards)

@@ -115,6 +115,23 @@ def test_fewer_candidates_and_ties(spark):
         (0, 1, 3, 1.0), (0, 2, 7, 1.0), (0, 3, 50, 0.0), (50, 1, 0, 0.0), (50, 2, 3, 0.0), (50, 3, 7, 0.0)]
 
 
+def test_many_equal_vectors(spark):
+    """A third of the rows are equal: their queries get the smallest other ids of the group."""
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(900, 24)).astype(np.float32)
+    equal = rng.permutation(900)[:300]
+    vectors[equal] = vectors[equal[0]]
+    got = neighbours.nearest(table(spark, vectors), "vec_id", "embedding", 5, every=10, shard_rows=450).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        by.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert set(by) == set(range(0, 900, 10))
+    asked = [q for q in by if q in set(equal.tolist())]
+    assert len(asked) > 20
+    for q in asked:
+        assert by[q] == [i for i in sorted(equal.tolist()) if i != q][:5]
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (170, 2))] + [(400 + i, 401 + i) for i in range(60)]
