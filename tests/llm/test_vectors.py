@@ -83,6 +83,16 @@ def test_one_near_group_over_many_clusters(spark):
     assert found[1000:].sum() >= 0.99 * want[1000:].sum()
 
 
+def test_audit_sees_pairs_between_clusters(spark):
+    angles = np.radians([44, 46, 5, 6])
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))], 1 + i) for i, a in enumerate(angles)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<double>, weight long")
+    links, held = neardup.audit(df, {2: (np.eye(2), np.arange(2))}, 0.95)
+    assert links == {0: 2, 1: 1, 2: 4, 3: 3}
+    # The first pair has a cluster in common only where clusters overlap by more than cos 44 - sin 44.
+    assert held.tolist() == [0.5] + [1.0] * (len(neardup.OVERLAPS) - 1)
+
+
 def test_near_duplicates_of_nothing(spark):
     empty = spark.createDataFrame([], KIND)
     assert neardup.near_duplicates(empty).count() == 0
