@@ -135,3 +135,15 @@ def test_fingerprint_follows_content_only(spark, tmp_path):
 def test_report_lines(spark):
     m = spark.createDataFrame([("rmse", 0.5), ("mae", 0.12345)], "metric string, value double")
     assert [r.line for r in writers.evaluation_report(m).collect()] == ["| mae | 0.1235 |", "| rmse | 0.5000 |"]
+
+
+def test_delivered_files_hold_all_events(spark):
+    from conftest import SMALL
+
+    from anemos.plans.bindings import Tables
+    from anemos.plans.source_queries import delivered
+
+    events = Tables(spark, SMALL).table("events").select("user_id", "event_type").collect()
+    signed = {r["user_id"] for r in events if r["event_type"] == "signup"}
+    want = sum(r["user_id"] in signed and r["user_id"] % 4 != 0 for r in events)
+    assert delivered(Tables(spark, SMALL)).count() == want > sum(r["event_type"] == "signup" for r in events)
