@@ -36,19 +36,25 @@ def local_session(app: str = "anemos", cores: str = "8", memory: str = "8g") ->
     return checked(builder.getOrCreate())
 
 
+#: The folder chosen for sessions that name none, by application.
+_CHOSEN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root for written tables: the cluster's checkpoint folder.
 
     Where the session names none and driver and executors are one process (tests), a temporary
-    folder is chosen once and stored in the session. On a cluster that is an error, as
-    each executor would write to its own disk.
+    folder is chosen once per application. On a cluster that is an error, as each executor would
+    write to its own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="anemos-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _CHOSEN:
+            _CHOSEN[app] = tempfile.mkdtemp(prefix="anemos-")
+        root = _CHOSEN[app]
     return root.rstrip("/")
 
 
