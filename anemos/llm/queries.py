@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemos.llm import bpe, chat, jaccard, langid, neardup, neighbours, packing, quality, urlfilter, warc
+from anemos.llm import bpe, chat, jaccard, langid, neardup, neighbours, packing, quality, urlfilter, warc, whitening
 from anemos.session import fresh_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +123,12 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 5)
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the eight whitened components of largest variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 8)
+
+
 @query
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked at a Jaccard similarity of 0.75 of their 5-word shingles."""
