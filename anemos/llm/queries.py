@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemos.llm import bpe, chat, jaccard, langid, neardup, neighbours, packing, quality, urlfilter, warc, whitening
+from anemos.llm import bpe, chat, jaccard, langid, neardup, neighbours, packing, quality, trie, urlfilter, warc, whitening
 from anemos.session import fresh_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,42 @@ SELECT conv_id, speaker, chunk, count(*) AS turns, CAST(max(stop) AS BIGINT) AS
     coalesce(string_agg(CASE WHEN mine THEN CAST(stop - length(body) AS VARCHAR) || '-' || CAST(stop AS VARCHAR) END, ','
       ORDER BY turn, role, content), '') AS spans
 FROM o GROUP BY 1, 2, 3"""
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations, one row per node."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+# A path's text is the digests of its turns, 32 signs each, so its nodes are its starts.
+ORACLES["op13_prefix_trie"] = """
+WITH bits AS (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS b)),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bits),
+placed AS (SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS turn,
+    length(coalesce(text, '')) AS chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+    coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT conv_id, count(*) AS own FROM placed GROUP BY 1),
+hashed AS (SELECT conv_id, own, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda x: CAST(ascii(x) AS BIGINT))), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 6 AS h FROM sizes, crc),
+plan AS (SELECT c.conv_id, c.conv_id - c.conv_id % 100 AS base, c.own, c.h, least(c.h, coalesce(b.own, 0)) AS k
+    FROM hashed c LEFT JOIN sizes b ON b.conv_id = c.conv_id - c.conv_id % 100),
+turns AS (SELECT p.conv_id, t.pos, t.turn, t.chars FROM plan p JOIN placed t ON t.conv_id = p.base AND t.pos <= p.k
+    UNION ALL SELECT p.conv_id, t.pos - p.h + p.k, t.turn, t.chars FROM plan p JOIN placed t ON t.conv_id = p.conv_id AND t.pos > p.h),
+starts AS (SELECT conv_id, pos, chars, string_agg(turn, '' ORDER BY pos) OVER (PARTITION BY conv_id ORDER BY pos) AS path FROM turns
+    UNION ALL SELECT conv_id, 0, 0, '' FROM plan),
+last AS (SELECT conv_id, max(pos) AS pos FROM starts GROUP BY 1),
+nodes AS (SELECT path, s.pos AS depth, min(s.conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    coalesce(string_agg(CASE WHEN last.pos = s.pos THEN CAST(s.conv_id AS VARCHAR) END, ',' ORDER BY s.conv_id), '') AS ends
+    FROM starts s JOIN last USING (conv_id) GROUP BY 1, 2),
+below AS (SELECT a.path, count(*) FILTER (WHERE b.depth = a.depth + 1) AS n_children FROM nodes a JOIN nodes b
+    ON a.path = left(b.path, 32 * (b.depth - 1)) AND b.depth = a.depth + 1 GROUP BY 1),
+counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN below USING (path)),
+above AS (SELECT left(path, 32 * d) AS top, n_children, (n_convs - 1) * chars AS saved
+    FROM (SELECT *, unnest(range(depth + 1)) AS d FROM counted)),
+under AS (SELECT top AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM above GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, u.n_leaves, u.saved_tokens, sha256(n.ends) AS ends_sha256
+FROM counted n JOIN under u USING (path) LEFT JOIN counted p ON n.depth > 0 AND p.path = left(n.path, 32 * (n.depth - 1))
+    AND p.depth = n.depth - 1"""
