@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemos.llm import bpe, chat, jaccard, langid, neardup, neighbours, packing, quality, trie, urlfilter, warc, whitening
+from anemos.llm import bpe, chat, jaccard, langid, neardup, neighbours, packing, quality, suffixes, trie, urlfilter, warc, whitening
 from anemos.session import fresh_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,6 +159,12 @@ SELECT conv_id, speaker, chunk, count(*) AS turns, CAST(max(stop) AS BIGINT) AS
 FROM o GROUP BY 1, 2, 3"""
 
 
+@query
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 100-byte strings that start earlier."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trie of all rebuilt conversations, one row per node."""
