@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from anemos.functions.probability import band_exit_p, chi_square_p
 from anemos.functions.text import sanitize_name
 from anemos.operators import ordered
 from anemos.operators.ordered import Series, running_totals
 from anemos.params import DriftRules
+from anemos.session import settle
 
 # Column names that carry predictions, times and identifiers.
 TIME_NAMES = ("prediction_timestamp", "timestamp", "created_at", "event_time", "time")
@@ -16,6 +18,11 @@ PREDICTION_NAMES = ("prediction", "predicted_quality_index", "quality_index", "s
 IDENTIFIER_NAMES = ("spot_id", "model_version", "request_id", "user_id", "session_id")
 NUMERIC = ("double", "float", "integer", "long", "short", "byte", "decimal")
 
+#: Rows of the reference up to which a column is tested for significance, beyond for distance.
+LARGE_SAMPLE = 1000
+#: Product of both sides' rows up to which the Kolmogorov-Smirnov p-value is exact.
+EXACT_PATHS = 10_000
+
 
 def shared_columns(reference: DataFrame, current: DataFrame, allowed=None) -> list[str]:
     """Columns on both sides in reference order, optionally within a list."""
@@ -61,8 +68,8 @@ def _side_counts(melted: DataFrame, by) -> DataFrame:
         F.count_if(F.col("side") == "current").alias("_b"))
 
 
-def drift_ks(df: DataFrame, columns, by=(), rows_per_segment: int | None = None) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov test per column (and group).
+def _walked(df: DataFrame, columns, by, rows_per_segment: int | None) -> tuple[DataFrame, DataFrame, Series]:
+    """Values per column (and group) with counts and running counts of both sides, the melted rows, and their series.
 
     Rows are counted per distinct value before anything is ordered. The running
     counts then go through the cut series, so a column with billions of
@@ -76,29 +83,89 @@ def drift_ks(df: DataFrame, columns, by=(), rows_per_segment: int | None = None)
         series = Series.measure(melted, series.keys, series.order, rows_per_segment)
     walked = running_totals(_side_counts(melted, by), series, {"_ca": "_a", "_cb": "_b"},
                             {"_ta": "_a", "_tb": "_b"})
-    gap = F.abs(F.try_divide("_ca", "_ta") - F.try_divide("_cb", "_tb"))
-    tested = walked.groupBy(*by, "column").agg(
-        F.max(gap).alias("statistic"), F.max("_ta").alias("reference_rows"),
-        F.max("_tb").alias("current_rows"))
-    p = kolmogorov_p(F.col("statistic"), F.col("reference_rows").cast("double"),
-                     F.col("current_rows").cast("double"))
-    return tested.withColumn("score", p).withColumn("method", F.lit("ks p_value"))
+    return walked, melted, series
+
+
+def _gap() -> Column:
+    """Distance of both distribution functions at a value."""
+    return F.abs(F.try_divide("_ca", "_ta") - F.try_divide("_cb", "_tb"))
+
+
+def _largest_gap() -> tuple[Column, ...]:
+    return F.max(_gap()).alias("statistic"), F.max("_ta").alias("reference_rows"), F.max("_tb").alias("current_rows")
+
+
+def _ks_score(tested: DataFrame, by) -> DataFrame:
+    """Add the p-value of a Kolmogorov-Smirnov statistic: exact where both sides are small, else asymptotic."""
+    n, m = F.col("reference_rows"), F.col("current_rows")
+    asymptotic = kolmogorov_p(F.col("statistic"), n.cast("double"), m.cast("double"))
+    gap = F.round(F.col("statistic") * n * m).cast("long")
+    small = n * m <= EXACT_PATHS
+    if not by:
+        return tested.withColumn("score", F.when(small, band_exit_p(gap, n, m)).otherwise(asymptotic))
+    # Many groups share sizes and statistic: each such case is followed once.
+    tested = settle(tested.withColumn("_gap", F.when(small, gap)), "tested")
+    names = ["_gap", "reference_rows", "current_rows"]
+    cases = tested.where("_gap IS NOT NULL").select(*names).distinct().withColumn("_exact", band_exit_p(F.col("_gap"), n, m))
+    return tested.join(cases, names, "left").withColumn("score", F.coalesce("_exact", asymptotic)).drop("_gap", "_exact")
+
+
+def drift_ks(df: DataFrame, columns, by=(), rows_per_segment: int | None = None) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov test per column (and group)."""
+    walked, _, _ = _walked(df, columns, by, rows_per_segment)
+    tested = walked.groupBy(*by, "column").agg(*_largest_gap())
+    return _ks_score(tested, by).withColumn("method", F.lit("ks p_value"))
+
+
+def drift_numeric(df: DataFrame, columns, by=(), large: int = LARGE_SAMPLE, rows_per_segment: int | None = None) -> DataFrame:
+    """The test that fits the size of the reference, per column (and group).
+
+    Up to ``large`` rows the Kolmogorov-Smirnov p-value. Beyond, where any difference is significant, the Wasserstein
+    distance in standard deviations of the reference (0.001 at least): the gap between both distribution functions
+    times the step to the next value, summed. A step may cross a cut of the series.
+    """
+    walked, melted, series = _walked(df, columns, by, rows_per_segment)
+    look = ordered.with_lookback(walked.withColumn("_gap", _gap()), series, 1)
+    w = series.window()
+    stepped = ordered.drop_lookback(look.withColumn("_area", F.lag("_gap").over(w) * (F.col("value") - F.lag("value").over(w))))
+    tested = _ks_score(stepped.groupBy(*by, "column").agg(*_largest_gap(), F.sum("_area").alias("_area")), by)
+    spread = melted.where("side = 'reference'").groupBy(*by, "column").agg(F.stddev_pop("value").alias("_spread"))
+    is_large = F.col("reference_rows") > large
+    out = tested.join(spread, [*by, "column"], "left").withColumn(
+        "distance", F.coalesce("_area", F.when(F.col("statistic").isNotNull(), 0.0)) / F.greatest("_spread", F.lit(0.001)))
+    return out.withColumns({"score": F.when(is_large, F.col("distance")).otherwise(F.col("score")),
+                            "method": F.when(is_large, "wasserstein distance").otherwise("ks p_value")}).drop("_area", "_spread")
 
 
 def drift_categorical(df: DataFrame, columns, by=()) -> DataFrame:
-    """Chi-square statistic and total-variation distance on category counts."""
+    """Category counts compared: chi-square statistic with its p-value, Jensen-Shannon and total-variation distance.
+
+    The score is the total-variation distance; ``drift_categories`` takes the test that fits the size.
+    """
     counts = _side_counts(_melt(df, columns, by, "string"), by)
     group = [*by, "column"]
     totals = counts.groupBy(*group).agg(F.sum("_a").alias("_ta"), F.sum("_b").alias("_tb"))
     a, b = F.col("_a").cast("double"), F.col("_b").cast("double")
     ta, tb = F.col("_ta").cast("double"), F.col("_tb").cast("double")
     chi = F.pow(a * F.sqrt(F.try_divide(tb, ta)) - b * F.sqrt(F.try_divide(ta, tb)), F.lit(2.0)) / (a + b)
+    p, q = F.try_divide(a, ta), F.try_divide(b, tb)
+    middle = (p + q) / 2
+    part = lambda x: F.when(x == 0, 0.0).otherwise(x * F.log(x / middle))
     return counts.join(totals, group).groupBy(*group).agg(
         F.sum(chi).alias("statistic"), F.max("_ta").alias("reference_rows"),
         F.max("_tb").alias("current_rows"),
         (F.count("*") - 1).alias("degrees_of_freedom"),
-        (F.lit(0.5) * F.sum(F.abs(F.try_divide(a, ta) - F.try_divide(b, tb)))).alias("score"),
-    ).withColumn("method", F.lit("total_variation"))
+        F.sqrt(F.greatest(F.sum(part(p) + part(q)) / 2, F.lit(0.0))).alias("jensen_shannon"),
+        (F.lit(0.5) * F.sum(F.abs(p - q))).alias("score"),
+    ).withColumns({"p_value": chi_square_p(F.col("statistic"), F.col("degrees_of_freedom")), "method": F.lit("total_variation")})
+
+
+def drift_categories(df: DataFrame, columns, by=(), large: int = LARGE_SAMPLE) -> DataFrame:
+    """The test that fits the size of the reference: chi-square p-value up to ``large`` rows, else the Jensen-Shannon distance."""
+    is_large = F.col("reference_rows") > large
+    return drift_categorical(df, columns, by).withColumns({
+        "score": F.when(is_large, F.col("jensen_shannon")).otherwise(F.col("p_value")),
+        "method": F.when(is_large, "jensen-shannon distance").otherwise("chi-square p_value")})
 
 
 def drift_verdict(tests: DataFrame, rules: DriftRules = DriftRules()) -> DataFrame:

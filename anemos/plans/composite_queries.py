@@ -118,7 +118,7 @@ _ROLLUP_SQL = PAIRS_SQL + SPOT_PART + GAUGE_PART + _SUMMARY + """, lg AS (SELECT
     SELECT name, label, round(value,4)+0e0 AS value FROM long UNION ALL SELECT 'max by drift_share', '', round(max(value),4) FROM long WHERE name = 'drift_share_of_drifted_columns'"""
 
 
-@query("metrics_rollup", with_sql("prediction_events observed_labels readings runs run_spots", _ROLLUP_SQL))
+@query("metrics_rollup", with_sql("prediction_events observed_labels features runs run_spots", _ROLLUP_SQL))
 def metrics_rollup(t: Tables):
     """Log, hindcast, shadow, drift and run-summary values as one sample table, and a selection over it."""
     def sample(df: DataFrame, name: str, label, value) -> DataFrame:

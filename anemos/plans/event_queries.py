@@ -181,7 +181,17 @@ def ks_sql(melted: str, by: str = "") -> str:
       WINDOW w AS ({part} ORDER BY value)),
     ks0 AS (SELECT {group}"column", max(abs(CASE WHEN ta>0 AND tb>0 THEN ca/CAST(ta AS DOUBLE) - cb/CAST(tb AS DOUBLE) END)) AS statistic, CAST(max(ta) AS BIGINT) AS reference_rows,
       CAST(max(tb) AS BIGINT) AS current_rows FROM cum GROUP BY ALL),
-    ks AS (SELECT *, {_p_sql('statistic', 'reference_rows', 'current_rows')} AS score FROM ks0)"""
+    cases AS (SELECT DISTINCT CAST(round(statistic * reference_rows * current_rows) AS BIGINT) AS gap, reference_rows, current_rows FROM ks0
+      WHERE statistic IS NOT NULL AND reference_rows * current_rows <= {d.EXACT_PATHS}),
+    paths AS (SELECT *, 0::BIGINT AS t, list_transform(range(reference_rows + 1), lambda i: CASE WHEN i = 0 THEN 1e0 ELSE 0e0 END) AS p FROM cases
+      UNION ALL SELECT gap, reference_rows, current_rows, t + 1, list_transform(range(reference_rows + 1), lambda i:
+        CASE WHEN t + 1 - i < 0 OR t + 1 - i > current_rows OR abs(i * current_rows - (t + 1 - i) * reference_rows) >= gap THEN 0e0
+        ELSE i / CAST(t + 1 AS DOUBLE) * coalesce(p[i], 0e0) + (t + 1 - i) / CAST(t + 1 AS DOUBLE) * p[i + 1] END)
+      FROM paths WHERE t < reference_rows + current_rows),
+    ends AS (SELECT gap, reference_rows, current_rows, CASE WHEN gap <= 0 THEN 1e0 ELSE least(greatest(1e0 - p[reference_rows + 1], 0e0), 1e0) END AS exact
+      FROM paths WHERE t = reference_rows + current_rows),
+    ks AS (SELECT ks0.*, coalesce(exact, {_p_sql('statistic', 'ks0.reference_rows', 'ks0.current_rows')}) AS score FROM ks0 LEFT JOIN ends
+      ON ends.reference_rows = ks0.reference_rows AND ends.current_rows = ks0.current_rows AND gap = CAST(round(statistic * ks0.reference_rows * ks0.current_rows) AS BIGINT))"""
 
 
 def _melt_sql(source: str, columns, by: str = "") -> str:
@@ -198,7 +208,7 @@ def _line_sides(t: Tables):
     return ev.time_split(drifting, 400, "l_shipdate", "l_orderkey")
 
 
-_LINE_SQL = ("WITH ls AS (" + _LINE_SIDES.replace("*,", "* REPLACE (CASE WHEN year(l_shipdate) >= 2001 THEN l_quantity + 2 ELSE l_quantity END AS l_quantity),")
+_LINE_SQL = ("WITH RECURSIVE ls AS (" + _LINE_SIDES.replace("*,", "* REPLACE (CASE WHEN year(l_shipdate) >= 2001 THEN l_quantity + 2 ELSE l_quantity END AS l_quantity),")
              + f"), melted AS ({_melt_sql('ls', _KS_COLUMNS)}), {ks_sql('melted')}")
 
 
@@ -213,16 +223,65 @@ _CAT_SQL = """WITH s AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, CASE
     c AS (SELECT "column", value, CAST(sum(CASE WHEN side='reference' THEN 1 ELSE 0 END) AS DOUBLE) AS a, CAST(sum(CASE WHEN side='current' THEN 1 ELSE 0 END) AS DOUBLE) AS b FROM m GROUP BY 1,2),
     x AS (SELECT *, sum(a) OVER (PARTITION BY "column") AS ta, sum(b) OVER (PARTITION BY "column") AS tb FROM c),
     cat AS (SELECT "column", sum(pow(a*sqrt(tb/ta)-b*sqrt(ta/tb),2)/(a+b)) AS statistic, CAST(max(ta) AS BIGINT) AS reference_rows, CAST(max(tb) AS BIGINT) AS current_rows,
-      count(*)-1 AS degrees_of_freedom, 0.5e0*sum(abs(a/ta-b/tb)) AS score FROM x GROUP BY 1)
-    SELECT "column", round(statistic,6) AS statistic, reference_rows, current_rows, degrees_of_freedom, round(score,6) AS score, score >= 0.1e0 AS drifted FROM cat"""
+      count(*)-1 AS degrees_of_freedom, 0.5e0*sum(abs(a/ta-b/tb)) AS score, sqrt(greatest(sum((CASE WHEN a=0 THEN 0e0 ELSE a/ta*ln(a/ta/((a/ta+b/tb)/2)) END)
+      + (CASE WHEN b=0 THEN 0e0 ELSE b/tb*ln(b/tb/((a/ta+b/tb)/2)) END))/2, 0e0)) AS jensen_shannon FROM x GROUP BY 1),
+    tail AS (SELECT *, CASE WHEN degrees_of_freedom < 1 OR statistic <= 0 THEN 1e0 ELSE least(greatest(1e0 - list_sum(list_transform(range(2000), lambda k:
+      exp((degrees_of_freedom/2e0+k)*ln(statistic/2)-statistic/2-lgamma(degrees_of_freedom/2e0+k+1)))), 0e0), 1e0) END AS p_value FROM cat)"""
+_CATEGORIES = """ SELECT "column", round(statistic,6) AS statistic, reference_rows, current_rows, degrees_of_freedom, round(jensen_shannon,6)+0e0 AS jensen_shannon,
+    round(p_value,6)+0e0 AS p_value, round(score,6) AS score, score >= 0.1e0 AS drifted FROM tail"""
 
 
-@query("drift_categorical", _CAT_SQL)
-def drift_categorical(t: Tables):
+def _order_sides(t: Tables):
     sides = ev.time_split(t.table("orders"), 400, "o_orderdate", "o_orderkey")
-    moved = sides.withColumn("o_orderstatus", F.when((F.col("side") == "current") & (F.col("o_orderkey") % 4 == 0), "F").otherwise(F.col("o_orderstatus")))
-    found = d.drift_verdict(d.drift_categorical(moved, ("o_orderstatus", "o_orderpriority")))
-    return rounded(found, "statistic", "score").drop("method", "threshold")
+    return sides.withColumn("o_orderstatus", F.when((F.col("side") == "current") & (F.col("o_orderkey") % 4 == 0), "F").otherwise(F.col("o_orderstatus")))
+
+
+@query("drift_categorical", _CAT_SQL + _CATEGORIES)
+def drift_categorical(t: Tables):
+    found = d.drift_verdict(d.drift_categorical(_order_sides(t), ("o_orderstatus", "o_orderpriority")))
+    return rounded(found, "statistic", "score", "p_value", "jensen_shannon").drop("method", "threshold")
+
+
+# Suppliers in three groups, so that small and large samples stand side by side.
+_CLASS = "CASE WHEN l_suppkey % 100 = 0 THEN 'few' WHEN l_suppkey % 100 < 5 THEN 'some' ELSE 'many' END"
+_SIZED_SQL = f"""WITH RECURSIVE ls0 AS ({_LINE_SIDES}), ls AS (SELECT * EXCLUDE (l_quantity), {_CLASS} AS class,
+    CASE WHEN year(l_shipdate) >= 2001 THEN l_quantity + 2 ELSE l_quantity END AS l_quantity FROM ls0),
+    melted AS ({_melt_sql('ls', _KS_COLUMNS, 'class')}), {ks_sql('melted', 'class')},
+    spread AS (SELECT class, "column", stddev_pop(value) AS spread FROM melted WHERE side='reference' GROUP BY ALL),
+    steps AS (SELECT class, "column", abs(ca/CAST(ta AS DOUBLE) - cb/CAST(tb AS DOUBLE)) * (lead(value) OVER (PARTITION BY class, "column" ORDER BY value) - value) AS area
+      FROM cum WHERE ta > 0 AND tb > 0),
+    areas AS (SELECT class, "column", coalesce(sum(area), 0e0) AS area FROM steps GROUP BY ALL),
+    sized AS (SELECT class, "column", statistic, reference_rows, current_rows, area / greatest(spread, 0.001e0) AS distance,
+      CASE WHEN reference_rows > 1000 THEN area / greatest(spread, 0.001e0) ELSE score END AS score,
+      CASE WHEN reference_rows > 1000 THEN 'wasserstein distance' ELSE 'ks p_value' END AS method
+      FROM ks LEFT JOIN areas USING (class, "column") LEFT JOIN spread USING (class, "column"))"""
+_SIZED = """ SELECT class, "column", round(statistic,6) AS statistic, reference_rows, current_rows, round(distance,6)+0e0 AS distance, round(score,6)+0e0 AS score,
+    method, coalesce(CASE WHEN reference_rows > 1000 THEN score >= 0.1e0 ELSE score <= 0.05e0 END, false) AS drifted FROM sized"""
+
+
+def _sized(t: Tables):
+    sides = settle(_line_sides(t).select(F.expr(_CLASS).alias("class"), "side", *_KS_COLUMNS), "sides")
+    return d.drift_verdict(d.drift_numeric(sides, _KS_COLUMNS, ("class",)))
+
+
+@query("drift_numeric", _SIZED_SQL + _SIZED)
+def drift_numeric(t: Tables):
+    """Large samples by distance, small ones by significance."""
+    return rounded(_sized(t), "statistic", "distance", "score").drop("threshold")
+
+
+@query("drift_categories", _CAT_SQL + """ SELECT "column", reference_rows > 1000 AS large, round(CASE WHEN reference_rows > 1000 THEN jensen_shannon ELSE p_value END,6)+0e0 AS score,
+    CASE WHEN reference_rows > 1000 THEN jensen_shannon >= 0.1e0 ELSE p_value <= 0.05e0 END AS drifted FROM tail""")
+def drift_categories(t: Tables):
+    found = d.drift_verdict(d.drift_categories(_order_sides(t), ("o_orderstatus", "o_orderpriority")))
+    return rounded(found, "score").select("column", (F.col("reference_rows") > d.LARGE_SAMPLE).alias("large"), "score", "drifted")
+
+
+@query("drift_report_sized", _SIZED_SQL + f""", verdict AS ({_SIZED}) SELECT class, {{header}} FROM verdict GROUP BY class""".replace("{header}", """max(reference_rows) AS reference_rows,
+    max(current_rows) AS current_rows, count(*) AS column_count, CAST(sum(CASE WHEN drifted THEN 1 ELSE 0 END) AS BIGINT) AS drifted_column_count,
+    round(avg(CASE WHEN drifted THEN 1e0 ELSE 0e0 END),6) AS share_of_drifted_columns, avg(CASE WHEN drifted THEN 1e0 ELSE 0e0 END) >= 0.15e0 AS dataset_drift"""))
+def drift_report_sized(t: Tables):
+    return rounded(d.drift_report(_sized(t), ("class",)), "share_of_drifted_columns")
 
 
 REPORT_SQL = """ , verdict AS (SELECT *, coalesce(score <= 0.05e0, false) AS drifted FROM ks)"""
@@ -239,15 +298,16 @@ def drift_report(t: Tables):
     return rounded(d.drift_report(_line_verdict(t)), "share_of_drifted_columns")
 
 
-_DRIFT_COLUMNS = ("wind_speed_10m", "wind_gusts_10m", "temperature_2m", "relative_humidity_2m")
-SPOT_PART = f""", n AS (SELECT *, row_number() OVER (PARTITION BY spot_id ORDER BY time, event_id) AS p, count(*) OVER (PARTITION BY spot_id) AS c FROM readings),
+_DRIFT_COLUMNS = MODEL_FEATURES
+SPOT_PART = f""", n AS (SELECT *, row_number() OVER (PARTITION BY spot_id ORDER BY time, event_id) AS p, count(*) OVER (PARTITION BY spot_id) AS c FROM features),
     sd AS (SELECT *, CASE WHEN p <= c // 2 THEN 'reference' ELSE 'current' END AS side FROM n WHERE c >= 2),
     melted AS ({_melt_sql('sd', _DRIFT_COLUMNS, 'spot_id')}), {ks_sql('melted', 'spot_id')}"""
-_SPOT_SQL = with_sql("readings", SPOT_PART)
+_SPOT_SQL = with_sql("features", SPOT_PART)
 
 
 def spot_verdict(t: Tables):
-    sides = ev.midpoint_split(t.readings, ("spot_id",), ("time", "event_id"), series=t.spot_series)
+    """Each spot's first half against its second, over all model features."""
+    sides = ev.midpoint_split(t.features, ("spot_id",), ("time", "event_id"), series=t.spot_series)
     sides = settle(sides.select("spot_id", "side", *_DRIFT_COLUMNS), "sides")
     return d.drift_verdict(d.drift_ks(sides, _DRIFT_COLUMNS, ("spot_id",)))
 

@@ -57,7 +57,7 @@ def test_every_sql_has_its_query():
 
 
 # With small segments most keys of the small tables are cut; the answers must not change.
-CUT = ("alert_hold", "asof_nearest", "counter_increase", "drift_dataset", "drift_ks", "drift_per_spot", "engineer_features",
+CUT = ("alert_hold", "asof_nearest", "counter_increase", "drift_dataset", "drift_ks", "drift_numeric", "drift_per_spot", "engineer_features",
        "grid_sample_nearest", "hindcast", "impute_carry", "impute_per_spot", "midpoint_split", "point_in_time_join", "ranking_table")
 
 
