@@ -68,15 +68,15 @@ def training_counts(split: DataFrame, features=MODEL_FEATURES) -> DataFrame:
 
 
 def build_model(algorithm: str = "random_forest", columns=MODEL_FEATURES, seed: int = 42,
-                trees: int = 200, depth: int = 30, rounds: int = 100) -> Pipeline:
+                trees: int = 200, depth: int = 30, rounds: int = 100, bootstrap: bool = True) -> Pipeline:
     """Seeded forest of ``trees`` trees as deep as Spark grows them, or ``rounds`` of gradient boosting; other names are refused."""
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features_vector")
     shared = dict(featuresCol="features_vector", labelCol=TARGET, predictionCol="prediction", seed=seed)
     if algorithm == "random_forest":
-        tree = RandomForestRegressor(numTrees=trees, maxDepth=depth, featureSubsetStrategy="all",
+        tree = RandomForestRegressor(numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", bootstrap=bootstrap,
                                      cacheNodeIds=True, maxMemoryInMB=1024, **shared)
     elif algorithm == "gradient_boosting":
-        tree = GBTRegressor(maxIter=rounds, maxDepth=3, **shared)
+        tree = GBTRegressor(maxIter=rounds, maxDepth=min(depth, 3), **shared)
     else:
         raise ValueError(f"unknown algorithm {algorithm}")
     return Pipeline(stages=[assembler, tree])

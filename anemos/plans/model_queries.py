@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from anemos.ml import store
 from anemos.ml import training as ml
 from anemos.operators import features as fx
 from anemos.operators import hindcast as h
@@ -43,11 +44,12 @@ def training_counts(t: Tables):
     return ml.training_counts(ml.holdout_split(rows, ("spot_id", "event_id")))
 
 
-def fitted(t: Tables):
-    """Settled, split training set and the forest fitted on its training part."""
+def fitted(t: Tables, algorithm: str = "random_forest"):
+    """Settled, split training set and the model of its training part: fitted once, then loaded from the model store."""
     rows = settle(training_rows(t), "training")
     split = ml.holdout_split(rows, ("spot_id", "event_id"))
-    return split, ml.build_model().fit(split.where("split = 'train'"))
+    model, _ = store.fit_once(split.where("split = 'train'").drop("split"), ml.build_model(algorithm))
+    return split, model
 
 
 @query("train_forest")
@@ -56,6 +58,34 @@ def train_forest(t: Tables):
     return ml.score(model, split.where("split = 'test'")).select("spot_id", "event_id", "quality_index", r6("prediction").alias("prediction"))
 
 
+@query("train_boosting")
+def train_boosting(t: Tables):
+    """The same training with boosting as its algorithm."""
+    split, model = fitted(t, "gradient_boosting")
+    return ml.score(model, split.where("split = 'test'")).select("spot_id", "event_id", "quality_index", r6("prediction").alias("prediction"))
+
+
+@query("train_boosting_rows", with_sql("features labelled", _SPLIT_SQL + """SELECT spot_id, event_id, quality_index, true AS near
+    FROM labelled JOIN sp USING (spot_id, event_id) WHERE split = 'test'"""))
+def train_boosting_rows(t: Tables):
+    """What SQL can say of boosting: the rows of the test part and their grades, and that no prediction is far off the scale."""
+    return train_boosting(t).select("spot_id", "event_id", "quality_index", F.col("prediction").between(-1, 6).alias("near"))
+
+
+@query("train_one_tree", with_sql("features labelled", """SELECT algorithm, spot_id, event_id, round(avg(quality_index) OVER (PARTITION BY algorithm, wind_speed_10m >= 40e0), 6)+0e0 AS prediction
+    FROM labelled, (SELECT unnest(['gradient_boosting', 'random_forest']) AS algorithm)"""))
+def train_one_tree(t: Tables):
+    """Models of a single split over a column of two values, whose predictions are the means of both parts."""
+    rows = settle(fx.label_rows(t.features, F.lit(12.0)).select(
+        "spot_id", "event_id", (F.col("wind_speed_10m") >= 40.0).cast("double").alias("strong"), ml.TARGET), "training")
+    out = None
+    for algorithm in ("gradient_boosting", "random_forest"):
+        model, _ = store.fit_once(rows, ml.build_model(algorithm, ("strong",), trees=1, depth=1, rounds=1, bootstrap=False))
+        part = ml.score(model, rows).select(F.lit(algorithm).alias("algorithm"), "spot_id", "event_id", r6("prediction").alias("prediction"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("feature_importance")
 def feature_importance(t: Tables):
     split, model = fitted(t)

@@ -138,10 +138,11 @@ def replace_slices(df: DataFrame, path: str, buckets: int, keys=("dataset_name",
     )
 
 
-def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+def stored_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame | None:
     """The table at a path, or None where nothing was written yet."""
     try:
-        return spark.read.parquet(path)
+        reader = spark.read.format(fmt)
+        return (reader.schema(schema) if schema else reader).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
