@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
+from anemos.session import settle
+
 ROWS_PER_SEGMENT = 20_000_000
 OVERSPLIT = 4
 LEVELS = 3
@@ -287,3 +289,17 @@ def islands(df: DataFrame, series: Series, flag: str) -> DataFrame:
         "_change", F.when(before.isNull() | before.eqNullSafe(F.col(flag)), 0).otherwise(1).cast("bigint")
     ))
     return running_totals(changed, series, {"island": "_change"}).drop("_change")
+
+
+def global_positions(df: DataFrame, order, position: str = "position") -> DataFrame:
+    """Add the 1-based place of each row in the order of the whole table, without gathering it.
+
+    Rows are dealt out by range and stored, so that every later read sees the same ranges; a range's
+    first place is the number of rows in the ranges before it (one row per range).
+    """
+    ranged = settle(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = counts.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(*_BEFORE)), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn("_inside", inside).join(F.broadcast(before), "_range").withColumn(
+        position, F.col("_start") + F.col("_inside")).drop("_range", "_inside", "_start")

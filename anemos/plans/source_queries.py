@@ -74,11 +74,20 @@ def land_entities(rows, path: str) -> None:
     (SELECT 's' || CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'signup' AND user_id % 4 <> 0)"""))
 def missing_entities(t: Tables):
     """Spots whose file is missing, or was broken on its way (every fourth one)."""
-    return readers.missing_entities(t.spots, delivered(t)).select("spot_id")
+    rows, _ = delivered(t)
+    return readers.missing_entities(t.spots, rows).select("spot_id")
+
+
+@query("entity_status", with_sql("spots", """SELECT spot_id, CASE WHEN user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup') THEN 'absent'
+    WHEN user_id % 4 = 0 THEN 'foreign' ELSE 'delivered' END AS status FROM spots"""))
+def entity_status(t: Tables):
+    """What became of each spot's delivery."""
+    _, report = delivered(t)
+    return readers.entity_status(t.spots.select("spot_id"), report)
 
 
 def delivered(t: Tables):
-    """All events of the spots that deliver, read back from one file per spot; a spot without a signup delivers none."""
+    """All events of the spots that deliver, read back from one file per spot, and the report of files; a spot without a signup delivers none."""
     path = fresh_path(t.spark, "entity")
     events = t.table("events")
     signed = events.where("event_type = 'signup'").select("user_id").distinct()
@@ -87,7 +96,7 @@ def delivered(t: Tables):
     land_entities(good, path)
     broken = landed.where("user_id % 4 = 0").select(F.concat("spot", F.lit(".parquet")).alias("file"), F.lit("not parquet").alias("value"))
     broken.write.mode("append").partitionBy("file").text(path)
-    return readers.read_entity_parquet(t.spark, path, t.spots, good.drop("spot").schema)
+    return readers.read_isolated(t.spark, path, good.drop("spot").schema)
 
 
 def _stored(t: Tables):
@@ -159,8 +168,12 @@ def offline_export(t: Tables):
 
 @query("entity_rows", with_sql("readings", "SELECT spot_id, time AS event_timestamp FROM readings WHERE user_id % 2 = 1"))
 def entity_rows(t: Tables):
+    """The entities to look features up for, as a file that other tools read."""
     name = F.when(F.col("user_id") % 2 == 0, "train").otherwise("forecast")
-    return writers.entity_rows(writers.shape_for_store(t.readings, "x").withColumn("dataset_name", name), "forecast")
+    found = writers.entity_rows(writers.shape_for_store(t.readings, "x").withColumn("dataset_name", name), "forecast")
+    path = fresh_path(t.spark, "entity-rows")
+    writers.write_entity_rows(found, path, "csv")
+    return t.spark.read.schema(found.schema).option("header", True).csv(path)
 
 
 def prediction_payloads(t: Tables):
@@ -219,7 +232,11 @@ def event_append_roundtrip(t: Tables):
 
 @query("event_scan", with_sql("prediction_events", _EVENT_SCAN))
 def event_scan(t: Tables):
-    events = normalize_events(_landed_events(t))
+    """A landed log read back: lines that are no event are left out, fields become times and lists."""
+    path = fresh_path(t.spark, "event-log")
+    _landed_events(t).write.json(path)
+    t.spark.createDataFrame([("{ broken",), ("",)], "value string").coalesce(1).write.mode("append").text(path)
+    events = normalize_events(readers.read_event_log(t.spark, path))
     return events.withColumn("ids", F.array_join("requested_spot_ids", "|")).drop("requested_spot_ids", "spot_name")
 
 
@@ -294,10 +311,38 @@ def drive_minutes(t: Tables):
     SELECT rows, sha256(rows || '|' || a || '|' || b) AS digest FROM s""")
 def table_fingerprint(t: Tables):
     """All columns; prices as cents and dates as text, which every engine prints alike."""
-    orders = t.table("orders").withColumns({
+    orders = _plain_orders(t)
+    return writers.table_fingerprint(orders, orders.columns)
+
+
+def _plain_orders(t: Tables):
+    return t.table("orders").withColumns({
         "o_totalprice": F.round(F.col("o_totalprice") * 100).cast("bigint"),
         "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")})
-    return writers.table_fingerprint(orders, orders.columns)
+
+
+_DIGESTED = """ s AS (SELECT count(*) AS rows, sum(CAST(('0x' || substr(h,1,15)) AS HUGEINT)) AS a, sum(CAST(('0x' || substr(h,17,15)) AS HUGEINT)) AS b FROM m)
+    SELECT rows, sha256(rows || '|' || a || '|' || b) AS digest FROM s"""
+
+
+@query("ordered_fingerprint", """WITH r AS (SELECT md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus,
+    CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), o_orderpriority)) AS h, o_orderdate FROM orders),
+    m AS (SELECT md5(row_number() OVER (ORDER BY o_orderdate, h) || '|' || h) AS h FROM r),""" + _DIGESTED)
+def ordered_fingerprint(t: Tables):
+    """All columns of all orders, by date: the order of rows counts."""
+    orders = _plain_orders(t)
+    return writers.ordered_fingerprint(orders, ("o_orderdate",), orders.columns)
+
+
+@query("directory_fingerprint", """WITH f AS (SELECT CAST(c_nationkey AS VARCHAR) AS file, sha256(string_agg(c_custkey || ' ' || c_mktsegment || chr(10), '' ORDER BY c_custkey)) AS digest
+    FROM customer GROUP BY 1), r AS (SELECT file, md5(file || '|' || digest) AS h FROM f),
+    m AS (SELECT md5(row_number() OVER (ORDER BY file, h) || '|' || h) AS h FROM r),""" + _DIGESTED)
+def directory_fingerprint(t: Tables):
+    """A folder with one text file per nation, its customers line by line, as one digest."""
+    path = fresh_path(t.spark, "directory")
+    lines = t.table("customer").select("c_nationkey", "c_custkey", F.concat_ws(" ", "c_custkey", "c_mktsegment").alias("value"))
+    lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").drop("c_custkey").write.partitionBy("c_nationkey").text(path)
+    return readers.directory_fingerprint(t.spark, path, r"c_nationkey=(\d+)/")
 
 
 def scored(t: Tables):
@@ -315,8 +360,9 @@ SCORED_SQL = """, scored AS (SELECT spot_id, event_id, quality_index AS actual,
     SELECT metric, printf('| %s | %.4f |', metric, v) AS line FROM m"""))
 def evaluation_report(t: Tables):
     m = regression_metrics(scored(t), "actual", "predicted")
-    long = m.unpivot([], ["mae", "rmse"], "metric", "value")
-    return writers.evaluation_report(long)
+    path = fresh_path(t.spark, "evaluation")
+    writers.write_evaluation_report(m.unpivot([], ["mae", "rmse"], "metric", "value"), path)
+    return t.spark.read.text(path).select(F.split("value", " ")[1].alias("metric"), F.col("value").alias("line"))
 
 
 @query("regression_metrics", with_sql("features labelled", SCORED_SQL + """ SELECT count(*) AS rows, round(avg(abs(predicted-actual)),6) AS mae,

@@ -9,6 +9,8 @@ from anemos import schemas
 from anemos.operators.features import missing_to_null
 from anemos.operators.metrics import parse_samples
 from anemos.params import RAW_COLUMNS
+from anemos.session import settle
+from anemos.sources.writers import ordered_fingerprint
 
 
 def read_hourly_payloads(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
@@ -46,15 +48,50 @@ def hourly_units(payloads: DataFrame) -> DataFrame:
     return payloads.select("spot_id", F.inline(fields)).where("present").drop("present")
 
 
-def read_entity_parquet(spark: SparkSession, path: str, spots: DataFrame, schema=None) -> DataFrame:
-    """One parquet file (or folder) per spot, named ``<spot>.parquet``; a large spot's folder holds several files.
+_SPOT_FILE = r"([^/=]+)\.parquet(?:/[^/]*)?$"
 
-    With a schema given, files that can't be read are left out, so one bad file doesn't
-    keep the others from loading.
+
+def _spot_of(path: str) -> Column:
+    return F.regexp_extract(F.col(path), _SPOT_FILE, 1)
+
+
+def read_entity_parquet(spark: SparkSession, path: str, spots: DataFrame) -> DataFrame:
+    """One parquet file (or folder) per spot, named ``<spot>.parquet``; a large spot's folder holds several files. Any bad file is an error."""
+    rows = spark.read.parquet(path).withColumn("spot_id", _spot_of("_metadata.file_path"))
+    return missing_to_null(rows).join(spots, "spot_id")
+
+
+def read_isolated(spark: SparkSession, path: str, schema) -> tuple[DataFrame, DataFrame]:
+    """The readable rows of one file (or folder) per spot, and a report of every landed file.
+
+    The report has file, spot_id, length and reason: ``ok``, ``foreign`` (no parquet footer) or ``torn`` (fewer rows could be
+    read than the footer names, whatever the cause: damaged pages, other types, a failing disk). Spark lists no file
+    without a byte, so an empty file counts as not landed. A file that is not ok gives no row, and neither do the other files of its spot, whose
+    data would be incomplete. Data is read once, page checksums are verified; footers are read a second time.
     """
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)\.parquet(?:/[^/]*)?$", 1)
-    reader = spark.read if schema is None else spark.read.schema(schema).option("ignoreCorruptFiles", True)
-    return missing_to_null(reader.parquet(path).withColumn("spot_id", name)).join(spots, "spot_id")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("length"))
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
+    # Without a column the rows of a file are those that its footer names.
+    promised = reader.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("promised"))
+    checked = reader.option("parquet.page.verify-checksum.enabled", True).parquet(path)
+    names = [f.name for f in schema.fields]
+    landed = settle(checked.select(F.col("_metadata.file_path").alias("file"), *names), "landed")
+    found = landed.groupBy("file").agg(F.count("*").alias("found"))
+    reason = F.when(F.col("promised").isNull() & F.col("found").isNull(), "foreign").when(
+        F.coalesce("found", F.lit(0)) != F.coalesce("promised", F.lit(0)), "torn").otherwise("ok")
+    report = settle(listed.join(promised, "file", "left").join(found, "file", "left").select(
+        "file", _spot_of("file").alias("spot_id"), "length", reason.alias("reason")), "files")
+    bad = report.where("reason <> 'ok'").select("spot_id").distinct()
+    rows = landed.withColumn("spot_id", _spot_of("file")).drop("file").join(bad, "spot_id", "left_anti")
+    return missing_to_null(rows), report
+
+
+def entity_status(spots: DataFrame, report: DataFrame) -> DataFrame:
+    """One row per spot: ``delivered``, ``absent``, or the reason of its worst file."""
+    worst = report.groupBy("spot_id").agg(F.max(F.when(F.col("reason") != "ok", F.col("reason"))).alias("bad"), F.count("*").alias("files"))
+    return spots.join(worst, "spot_id", "left").withColumn(
+        "status", F.coalesce("bad", F.when(F.col("files").isNull(), "absent").otherwise("delivered"))).drop("bad", "files")
 
 
 def missing_entities(spots: DataFrame, loaded: DataFrame) -> DataFrame:
@@ -103,11 +140,15 @@ def read_slice(spark: SparkSession, path: str, dataset: str, spot_id) -> DataFra
     return found.orderBy("time")
 
 
-def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """Digest per file; combine with ``table_fingerprint`` for a directory digest."""
+def file_fingerprints(spark: SparkSession, path: str, name: str = r"([^/]+)$") -> DataFrame:
+    """Digest per file, named by the part of its path that the pattern's group takes."""
     files = spark.read.format("binaryFile").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
-                        F.sha2("content", 256).alias("digest"))
+    return files.select(F.regexp_extract("path", name, 1).alias("file"), F.sha2("content", 256).alias("digest"))
+
+
+def directory_fingerprint(spark: SparkSession, path: str, name: str = r"([^/]+)$") -> DataFrame:
+    """One digest of all files in name order, names and contents (files without a byte are not listed)."""
+    return ordered_fingerprint(file_fingerprints(spark, path, name), ("file",), ("file", "digest"))
 
 
 def read_retained(spark: SparkSession, path: str, days: int, today: Column) -> DataFrame:

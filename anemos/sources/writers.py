@@ -6,9 +6,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from anemos.operators.ordered import global_positions
 from anemos.params import StoreLayout
 from anemos.schemas import require_columns
 
+#: Text formats write milliseconds unless told otherwise.
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 
 def check_contract(df: DataFrame, layout: StoreLayout) -> DataFrame:
     """The time field and every cluster field must be there; no job runs."""
@@ -67,7 +71,9 @@ def entity_rows(df: DataFrame, dataset: str) -> DataFrame:
 def write_entity_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     if fmt not in ("parquet", "csv"):
         raise ValueError("entity rows are written as parquet or csv")
-    df.write.mode("overwrite").format(fmt).option("header", True).save(path)
+    # Text files would keep milliseconds only.
+    df.write.mode("overwrite").format(fmt).option("header", True).option("timestampNTZFormat", MICROS).option(
+        "timestampFormat", MICROS).save(path)
 
 
 def append_events(events: DataFrame, history: str, working: str) -> None:
@@ -80,14 +86,17 @@ def append_events(events: DataFrame, history: str, working: str) -> None:
 
 def rewrite_log(retained: DataFrame, path: str) -> None:
     """Write a trimmed working log to a new place (never over the one being read)."""
-    # Spark writes milliseconds unless told otherwise.
-    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    retained.write.mode("errorifexists").option("timestampNTZFormat", micros).option("timestampFormat", micros).json(path)
+    retained.write.mode("errorifexists").option("timestampNTZFormat", MICROS).option("timestampFormat", MICROS).json(path)
 
 
 def write_report_history(report: DataFrame, history: str) -> None:
     """Append to the history; "latest" is a view over it (``latest_with_patch``)."""
-    report.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(history)
+    report.write.mode("append").option("timestampNTZFormat", MICROS).json(history)
+
+
+def write_evaluation_report(metrics: DataFrame, path: str) -> None:
+    """The report's lines in order as one text file: as many lines as there are metrics."""
+    evaluation_report(metrics).coalesce(1).select(F.col("line").alias("value")).write.mode("errorifexists").text(path)
 
 
 def evaluation_report(metrics: DataFrame, name: str = "metric", value: str = "value") -> DataFrame:
@@ -95,13 +104,17 @@ def evaluation_report(metrics: DataFrame, name: str = "metric", value: str = "va
     return metrics.select(name, F.format_string("| %s | %.4f |", F.col(name), F.col(value)).alias("line")).orderBy(name)
 
 
+def _row_text(columns) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
+
+
 def table_fingerprint(df: DataFrame, columns) -> DataFrame:
     """Digest of a table: same rows, same digest, in any file or partition order.
 
     Row digests are summed in two 60-bit lanes, so the work is one partial
-    aggregation. To make row order count, include a position column.
+    aggregation. ``ordered_fingerprint`` makes the order of rows count.
     """
-    row = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]))
+    row = F.md5(_row_text(columns))
     lane = lambda start: F.sum(F.conv(F.substring(row, start, 15), 16, 10).cast("decimal(20,0)"))
     sums = df.agg(F.count("*").alias("rows"), lane(1).alias("a"), lane(17).alias("b"))
     text = F.concat_ws("|", F.col("rows").cast("string"), F.coalesce(F.col("a").cast("string"), F.lit("0")),
@@ -109,6 +122,16 @@ def table_fingerprint(df: DataFrame, columns) -> DataFrame:
     return sums.select("rows", F.sha2(text, 256).alias("digest"))
 
 
+def ordered_fingerprint(df: DataFrame, order, columns) -> DataFrame:
+    """Digest of a table in an order: two rows that change places change it, partitions and files don't.
+
+    Each row is digested with its place, so the digest of a range of rows is a sum that needs
+    only the number of rows before it. Rows that tie in the order are placed by their content.
+    """
+    placed = global_positions(df.withColumn("_row", F.md5(_row_text(columns))), (*order, "_row"), "_place")
+    return table_fingerprint(placed, ("_place", "_row"))
+
+
 def slice_bucket(buckets: int, *keys) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 

@@ -132,6 +132,83 @@ def test_fingerprint_follows_content_only(spark, tmp_path):
     assert readers.file_fingerprints(spark, str(tmp_path)).select("digest").distinct().count() == 2
 
 
+def test_order_counts_in_the_ordered_fingerprint(spark):
+    df = spark.range(200).select("id", (F.col("id") % 7).alias("v"))
+    digest = lambda x: writers.ordered_fingerprint(x, ("id",), ("v",)).first()
+    swapped = df.withColumn("id", F.when(F.col("id") == 3, 4).when(F.col("id") == 4, 3).otherwise(F.col("id")))
+    assert digest(df) == digest(df.repartition(7)) == digest(df.orderBy(F.desc("id")).coalesce(1))
+    assert digest(df).digest != digest(swapped).digest and digest(swapped).rows == 200
+    assert writers.table_fingerprint(df, ("v",)).first() == writers.table_fingerprint(swapped, ("v",)).first()
+    ties = df.withColumn("id", F.lit(1))
+    assert digest(ties) == digest(ties.repartition(5)) and digest(df.limit(0)).rows == 0
+
+
+def test_positions_in_the_whole_table(spark):
+    from anemos.operators.ordered import global_positions
+
+    df = spark.range(500).select((F.col("id") * 37 % 500).alias("k")).repartition(6)
+    assert rows(global_positions(df, ("k",)), "k", "position") == [(i, i + 1) for i in range(500)]
+
+
+def test_directory_fingerprint(spark, tmp_path):
+    def folder(name, **files):
+        (tmp_path / name).mkdir()
+        for file, content in files.items():
+            (tmp_path / name / file).write_bytes(content)
+        return readers.directory_fingerprint(spark, str(tmp_path / name)).first().digest
+
+    one = folder("one", a=b"x", b=b"y")
+    assert one == folder("same", b=b"y", a=b"x")
+    assert len({one, folder("swapped", a=b"y", b=b"x"), folder("renamed", a=b"x", c=b"y"), folder("more", a=b"x", b=b"y", c=b"z")}) == 4
+    assert one == folder("empty", a=b"x", b=b"y", c=b"")  # Spark lists no file without a byte
+
+
+def land(folder, spot, values, groups=1):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    with pq.ParquetWriter(folder / f"{spot}.parquet", pa.schema([("v", pa.float64()), ("note", pa.string())]), write_page_checksum=True,
+                          compression="none", use_dictionary=False) as out:
+        for k in range(groups):
+            part = values[k::groups]
+            out.write_table(pa.table({"v": part, "note": [f"n{x}" for x in part]}))
+
+
+def test_bad_files_are_listed_and_give_no_row(spark, tmp_path):
+    for spot in ("good", "torn", "cut", "other", "folder"):
+        land(tmp_path, spot, [float(i) for i in range(4000)], 4)
+    data = bytearray((tmp_path / "torn.parquet").read_bytes())
+    import pyarrow.parquet as pq
+
+    at = pq.ParquetFile(tmp_path / "torn.parquet").metadata.row_group(2).column(0).data_page_offset
+    data[at + 40:at + 90] = b"\xff" * 50  # damaged values of the third row group
+    (tmp_path / "torn.parquet").write_bytes(data)
+    whole = (tmp_path / "cut.parquet").read_bytes()
+    (tmp_path / "cut.parquet").write_bytes(whole[:len(whole) // 2])
+    (tmp_path / "other.parquet").write_text("this is no parquet file")
+    (tmp_path / "void.parquet").write_bytes(b"")
+    # A spot of two files, one of them bad: its other rows would be half a delivery.
+    (tmp_path / "folder.parquet").rename(tmp_path / "part-0.parquet")
+    (tmp_path / "folder.parquet").mkdir()
+    (tmp_path / "part-0.parquet").rename(tmp_path / "folder.parquet" / "part-0.parquet")
+    (tmp_path / "folder.parquet" / "part-1.parquet").write_text("nothing")
+    schema = spark.createDataFrame([], "v double, note string").schema
+    found, report = readers.read_isolated(spark, str(tmp_path), schema)
+    assert rows(report.groupBy("spot_id", "reason").count(), "spot_id", "reason") == [
+        ("cut", "foreign"), ("folder", "foreign"), ("folder", "ok"), ("good", "ok"), ("other", "foreign"), ("torn", "torn")]
+    assert rows(found.groupBy("spot_id").agg(F.count("*").alias("n"), F.sum("v").alias("s")), "spot_id", "n", "s") == [("good", 4000, 7998000.0)]
+    spots = spark.createDataFrame([(s,) for s in ("good", "torn", "void", "folder", "never")], "spot_id string")
+    assert rows(readers.missing_entities(spots, found), "spot_id") == [("folder",), ("never",), ("torn",), ("void",)]
+    assert rows(readers.entity_status(spots, report), "spot_id", "status") == [
+        ("folder", "foreign"), ("good", "delivered"), ("never", "absent"), ("torn", "torn"), ("void", "absent")]
+
+
+def test_report_file(spark, tmp_path):
+    m = spark.createDataFrame([("rmse", 0.5), ("mae", 0.12345)], "metric string, value double")
+    writers.write_evaluation_report(m, str(tmp_path / "report"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "report")).collect()] == ["| mae | 0.1235 |", "| rmse | 0.5000 |"]
+
+
 def test_report_lines(spark):
     m = spark.createDataFrame([("rmse", 0.5), ("mae", 0.12345)], "metric string, value double")
     assert [r.line for r in writers.evaluation_report(m).collect()] == ["| mae | 0.1235 |", "| rmse | 0.5000 |"]
@@ -146,4 +223,4 @@ def test_delivered_files_hold_all_events(spark):
     events = Tables(spark, SMALL).table("events").select("user_id", "event_type").collect()
     signed = {r["user_id"] for r in events if r["event_type"] == "signup"}
     want = sum(r["user_id"] in signed and r["user_id"] % 4 != 0 for r in events)
-    assert delivered(Tables(spark, SMALL)).count() == want > sum(r["event_type"] == "signup" for r in events)
+    assert delivered(Tables(spark, SMALL))[0].count() == want > sum(r["event_type"] == "signup" for r in events)
