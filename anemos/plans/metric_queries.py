@@ -124,9 +124,9 @@ def run_rollup(t: Tables):
     return rn.run_rollup(t.run_spots.withColumn("run_id", F.col("run_no").cast("string")))
 
 
-_DOC = """, spots AS (SELECT run_no, count(*) AS n, sum(CASE WHEN status='stored' THEN 1 ELSE 0 END) AS stored, sum(CASE WHEN status='failed' THEN 1 ELSE 0 END) AS failed,
+_DOC = """, run_sums AS (SELECT run_no, count(*) AS n, sum(CASE WHEN status='stored' THEN 1 ELSE 0 END) AS stored, sum(CASE WHEN status='failed' THEN 1 ELSE 0 END) AS failed,
     sum(CASE WHEN status='stored' AND max_numeric_abs_delta >= 0.08 THEN 1 ELSE 0 END) AS drifted FROM run_spots GROUP BY 1),
-    doc AS (SELECT * FROM runs JOIN spots USING (run_no)) """
+    doc AS (SELECT * FROM runs JOIN run_sums USING (run_no)) """
 _STAGES = ", st AS (" + " UNION ALL ".join(
     f"SELECT run_id, '{stage}' AS stage, CASE WHEN owner % {i + 3} <> 0 THEN total/{i + 1}e0 END AS duration, {fail} AS failures FROM doc"
     for i, (stage, fail) in enumerate((("fetch", "0"), ("engineer", "0"), ("validate", "failed"), ("store", "CASE WHEN run_status='failed' THEN 1 ELSE 0 END")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from anemos.operators import quality as q
@@ -15,6 +17,7 @@ from anemos.plans.registry import query, r6, rounded
 from anemos.schemas import PREDICTION_PAYLOAD
 from anemos.session import fresh_path
 from anemos.sources import readers, writers
+from anemos.sources.slicestore import LatestView, SliceStore
 
 
 def landed_payloads(t: Tables):
@@ -101,16 +104,16 @@ def delivered(t: Tables):
 
 def _stored(t: Tables):
     """Two writes of supplier slices; the second replaces the slices it holds."""
-    path = fresh_path(t.spark, "slices")
+    store = SliceStore(t.spark, fresh_path(t.spark, "slices"))
     line = t.table("lineitem")
     shape = lambda df, extra: df.select(
         F.lit("train").alias("dataset_name"), (F.col("l_suppkey") % 40).alias("spot_id"),
         F.col("l_shipdate").alias("time"), "l_orderkey", "l_linenumber",
         (F.col("l_quantity") + extra).alias("wind_speed_10m"))
-    writers.write_slices(writers.shape_for_store(shape(line, 0.0), "train"), path)
+    store.replace(writers.shape_for_store(shape(line, 0.0), "train"))
     again = line.where("l_suppkey % 40 % 3 = 0 AND l_orderkey % 2 = 0")
-    writers.write_slices(writers.shape_for_store(shape(again, 100.0), "train"), path)
-    return path
+    store.replace(writers.shape_for_store(shape(again, 100.0), "train"))
+    return store
 
 
 _SLICES = """WITH stored AS (SELECT l_suppkey % 40 AS spot_id, l_orderkey, l_linenumber, l_shipdate AS forecast_time,
@@ -120,13 +123,30 @@ _SLICES = """WITH stored AS (SELECT l_suppkey % 40 AS spot_id, l_orderkey, l_lin
 
 @query("slice_replace", _SLICES + """SELECT CAST(spot_id AS BIGINT) AS spot_id, l_orderkey, l_linenumber, wind_speed_10m FROM stored""")
 def slice_replace(t: Tables):
-    return t.spark.read.parquet(_stored(t)).select(
+    return _stored(t).read("train").select(
         F.col("spot_id").cast("bigint").alias("spot_id"), "l_orderkey", "l_linenumber", "wind_speed_10m")
 
 
 @query("slice_read", _SLICES + """SELECT l_orderkey, l_linenumber, forecast_time AS time, wind_speed_10m FROM stored WHERE spot_id = 9""")
 def slice_read(t: Tables):
-    return readers.read_slice(t.spark, _stored(t), "train", 9)
+    found = _stored(t).read_slice("train", 9).withColumnRenamed("forecast_time", "time")
+    return found.select("l_orderkey", "l_linenumber", "time", "wind_speed_10m").orderBy("time")
+
+
+@query("materialize_range", with_sql("observed", """SELECT spot_id, event_id, time, round(wind_gusts_10m,6)+0e0 AS wind_gusts_10m,
+    TIMESTAMP '2024-01-28 00:00:00' AS reached FROM (SELECT *, row_number() OVER (PARTITION BY spot_id ORDER BY time DESC, event_id DESC) AS rn
+    FROM observed WHERE time <= TIMESTAMP '2024-01-28 00:00:00') WHERE rn = 1 AND time >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 8 DAY"""))
+def materialize_range(t: Tables):
+    """The latest row of each spot after ranges that overlap, one of them run twice, and a last one from the high-water mark on."""
+    view = LatestView(SliceStore(t.spark, fresh_path(t.spark, "online")), ("time", "event_id"))
+    day = lambda n: datetime(2024, 1, n)
+    source = t.observed.select("spot_id", "event_id", "time", "wind_gusts_10m")
+    for start, end in ((None, day(12)), (day(8), day(20)), (day(8), day(20))):
+        view.materialize(source, start, end)
+    view.catch_up(source, day(28))
+    fresh = view.fresh(F.expr("TIMESTAMP_NTZ '2024-01-30 00:00:00'"), 8)
+    return rounded(fresh, "wind_gusts_10m").select(
+        "spot_id", "event_id", "time", "wind_gusts_10m", F.lit(view.high_water()).cast("timestamp_ntz").alias("reached"))
 
 
 @query("write_contract", """SELECT endpoint, count(*) AS rows FROM (SELECT event_type AS endpoint FROM events)
