@@ -63,6 +63,17 @@ def with_daylight(df: DataFrame, lat: str, lon: str, utc_time: str, name: str) -
     )
 
 
+def noon_terms(day, lat, lon) -> tuple[Column, Column]:
+    """Of the solar day around a place's noon: minutes from the date's start to noon, and the cosine of the hour angle of sunset.
+
+    Declination and equation of time are those of noon. A cosine beyond one means that the sun stays up or down.
+    """
+    angle = F.lit(2.0 * math.pi / 365.0) * (F.dayofyear(col(day)) - 1 - col(lon) / 360.0)
+    declination, phi = _harmonics(DECLINATION, angle), F.radians(col(lat))
+    noon = 720.0 - 4.0 * col(lon) - 229.18 * _harmonics(EQUATION_OF_TIME, angle)
+    return noon, (F.lit(HORIZON_COS) - F.sin(phi) * F.sin(declination)) / (F.cos(phi) * F.cos(declination))
+
+
 def solar_elevation(lat, lon, utc_time) -> Column:
     known = col(lat).isNotNull() & col(lon).isNotNull() & col(utc_time).isNotNull()
     clipped = F.least(F.greatest(cos_zenith(lat, lon, utc_time), F.lit(-1.0)), F.lit(1.0))

@@ -1,9 +1,10 @@
 import math
 import random
 import statistics
+from datetime import timedelta
 
 import pytest
-from conftest import at, rows
+from conftest import START, at, rows
 from pyspark.sql import functions as F
 
 from anemos.operators import features as fx
@@ -117,3 +118,36 @@ def test_nights_of_a_winter_week(spark):
     # Polar night: one interval over the whole grid.
     pole = [r for r in out if r.spot_id == "pole"]
     assert [(r.night_start, r.night_end) for r in pole] == [(at(-24), at(48))]
+
+
+def test_nights_equal_a_walk_over_the_whole_grid(spark):
+    from anemos.functions.solar import is_daylight
+
+    places = [(float(lat), float(lon)) for lat in (-80, -66.5, -60, -34, 0, 23.4, 46, 59.9, 65.9, 66.2, 70) for lon in (-179.9, -75, 0, 8.5, 100, 179.9)]
+    data = [(f"p{i}", la, lo, START + timedelta(days=26 * (i % 14)), START + timedelta(days=26 * (i % 14) + 9, hours=5, minutes=7))
+            for i, (la, lo) in enumerate(places)]
+    spans = spark.createDataFrame(data, "spot_id string, lat double, lon double, start timestamp_ntz, end timestamp_ntz")
+    got = sorted(tuple(r) for r in night_intervals(spans, "lat", "lon", "start", "end").collect())
+    grid = []
+    for name, la, lo, a, b in data:
+        at, stop = a.replace(minute=0) - timedelta(days=1), b.replace(minute=0) + timedelta(hours=1, days=1)
+        while at <= stop:
+            grid.append((name, la, lo, at))
+            at += timedelta(minutes=5)
+    lit = spark.createDataFrame(grid, "spot_id string, lat double, lon double, at timestamp_ntz").select(
+        "spot_id", "at", is_daylight("lat", "lon", "at").alias("lit")).collect()
+    want, open_at, last = [], None, None
+    for r in sorted(lit, key=lambda r: (r.spot_id, r.at)):
+        if last is not None and last.spot_id != r.spot_id:
+            if open_at:
+                want.append((last.spot_id, open_at, last.at))
+            open_at = None
+        if not r.lit and open_at is None:
+            open_at = r.at
+        elif r.lit and open_at is not None:
+            want.append((r.spot_id, open_at, r.at))
+            open_at = None
+        last = r
+    if open_at:
+        want.append((last.spot_id, open_at, last.at))
+    assert got == sorted(want) and len(got) > 500
