@@ -12,8 +12,10 @@ itself starts again at itself. Pairs found are verified in double precision and
 in the first of the clusters that both have.
 
 Recall is audited: some vectors are compared with all others. What their pairs need tells
-how far clusters overlap; then the links found are counted against theirs, and while
-they are too few, clusters overlap more and the search follows worse links.
+how far clusters overlap, as long as a vector is in ``COPIES`` clusters on average at most; then the links found are
+counted against theirs, and while they are too few, clusters overlap more within that bound and the search follows worse
+links. Where that doesn't help, all vectors of the clusters whose audited vectors still miss links are
+compared with every vector, block by block, and the graph serves the others.
 
 Equal vectors are compared once, with a weight. Pairs aren't written: a task gives each of its
 vectors a number of links and the smallest id of its local component.
@@ -49,6 +51,8 @@ MEDOIDS, BEAM, SLACK, BLOCK = 16, 24, 0.05, 256
 DENSE, CLOSE = 0.1, 1e-9
 #: How much less than with its nearest cluster a vector's cosine with others of its clusters may be; the last is all clusters.
 OVERLAPS = (0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.25, 0.5, 4.0)
+#: Clusters a vector may be in on average; vectors of failing clusters that are compared with all at once.
+COPIES, TOGETHER = 8, 8192
 #: Vectors compared with all others; share of their pairs that clusters must hold, and of their links to be found.
 AUDITED, HELD, RECALL = 2000, 0.995, 0.99
 
@@ -125,8 +129,9 @@ def memberships(vectors: DataFrame, clusters: dict[int, tuple[np.ndarray, np.nda
 
 
 def audit(vectors: DataFrame, clusters: dict[int, tuple[np.ndarray, np.ndarray]], threshold: float,
-          count: int = AUDITED) -> tuple[dict[int, int], np.ndarray]:
-    """Some vectors against all: the links of each that has any, and what share of its pairs clusters hold for each overlap.
+          count: int = AUDITED) -> tuple[dict[int, int], np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
+    """Some vectors against all: the links of each that has any, what share of its pairs clusters hold for each overlap,
+    in how many clusters a vector is then, and each one's length and nearest cluster.
 
     The vectors are those with the smallest hashed ids. Each one's pairs count as a whole, so a
     large group doesn't hide the small ones.
@@ -172,7 +177,10 @@ def audit(vectors: DataFrame, clusters: dict[int, tuple[np.ndarray, np.ndarray]]
         "vec_id").agg(F.sum("links").alias("links"), *(F.sum(F.col("pairs")[i]).alias(f"p{i}") for i in range(len(OVERLAPS)))).toPandas()
     pairs = told[[f"p{i}" for i in range(len(OVERLAPS))]].to_numpy(dtype=float)
     share = (pairs.cumsum(axis=1) / pairs.sum(axis=1, keepdims=True)).mean(axis=0) if len(told) else np.ones(len(OVERLAPS))
-    return dict(zip(told["vec_id"].tolist(), told["links"].tolist(), strict=True)), share
+    copies = np.concatenate([(a[2][:, :, None] <= np.array(OVERLAPS)).sum(axis=1) for a in asked.values()]).mean(axis=0) if asked else np.ones(
+        len(OVERLAPS))
+    homes = {int(i): (size, int(c)) for size, (ids, _, apart, _) in asked.items() for i, c in zip(ids, apart.argmin(axis=1), strict=True)}
+    return dict(zip(told["vec_id"].tolist(), told["links"].tolist(), strict=True)), share, copies, homes
 
 
 def reaches(queries: np.ndarray, units: np.ndarray, threshold: float) -> np.ndarray:
@@ -265,22 +273,99 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: int
     """Weighted links and local components, per task: vec_id, links, root. ``vectors``: vec_id, vector, weight (stored)."""
     fitted = centroids(vectors, vectors.count(), shard_rows)
     clusters = {size: merged(centres, threshold) for size, centres in fitted.items()}
-    exact, held = audit(vectors, clusters, threshold)
-    level, wider = int(np.argmax(held >= HELD)), 1
+    exact, held, copies, homes = audit(vectors, clusters, threshold)
+    top = max(0, int((copies <= COPIES).sum()) - 1)
+    level, wider = min(int(np.argmax(held >= HELD)), top), 1
     known = vectors.sparkSession.createDataFrame(list(exact.items()), "vec_id long, exact long")
     while True:
         found = settle(found_links(vectors, clusters, OVERLAPS[level], threshold, shard_rows, wider), "found")
-        counts = found.join(F.broadcast(known), "vec_id").groupBy("vec_id", "exact").agg(F.sum("links").alias("links"))
-        shares = [r["links"] / r["exact"] for r in counts.collect()]
-        recall = sum(shares) / len(exact) if exact else 1.0
-        log.info("overlap %s holds %.4f of the pairs of %d vectors with links, %.4f of their links found", OVERLAPS[level],
-                 held[level], len(exact), recall)
+        counts = F.broadcast(known).join(found, "vec_id", "left").groupBy("vec_id", "exact").agg(F.sum("links").alias("links"))
+        shares = {r["vec_id"]: (r["links"] or 0) / r["exact"] for r in counts.collect()}
+        recall = sum(shares.values()) / len(exact) if exact else 1.0
+        log.info("overlap %s (%.1f clusters a vector) holds %.4f of the pairs of %d vectors with links, %.4f of their links found",
+                 OVERLAPS[level], copies[level], held[level], len(exact), recall)
         if recall >= RECALL:
             return found
-        if SLACK * wider > 2:
-            log.warning("only %.4f of the links of %d audited vectors are found", recall, len(exact))
-            return found
-        level, wider = min(level + 1, len(OVERLAPS) - 1), wider * 2
+        if level == top and SLACK * wider > 2:
+            break
+        level, wider = min(level + 1, top), wider * 2
+    failing = {homes[i] for i, share in shares.items() if share < RECALL}
+    log.info("vectors of %d clusters are compared with all", len(failing))
+    marked = settle(mark(vectors, clusters, failing), "marked")
+    others = found_links(marked.where("NOT failing").drop("failing"), clusters, OVERLAPS[level], threshold, shard_rows, wider)
+    return settle(others.unionByName(links_with_all(marked, threshold)), "found")
+
+
+def mark(vectors: DataFrame, clusters: dict[int, tuple[np.ndarray, np.ndarray]], failing: set[tuple[int, int]]) -> DataFrame:
+    """Add whether a vector's nearest cluster is one of the failing ones (length, cluster)."""
+    shared = vectors.sparkSession.sparkContext.broadcast((clusters, failing))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, bad = shared.value
+        for batch in batches:
+            column = batch.column("vector")
+            sizes = np.diff(column.offsets.to_numpy())
+            out = np.zeros(batch.num_rows, dtype=bool)
+            for size in np.unique(sizes):
+                rows = np.flatnonzero(sizes == size)
+                numbers = [c for n, c in bad if n == size]
+                for low in range(0, len(rows) if numbers else 0, 1024):
+                    part = rows[low:low + 1024]
+                    held = own.get(int(size), (np.zeros((1, size)), np.zeros(1, dtype=int)))
+                    out[part] = np.isin(gaps(unit(matrix(column.take(pa.array(part)))), held).argmin(axis=1), numbers)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "failing"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema.fields)
+    return vectors.mapInArrow(run, f"{kinds}, failing boolean")
+
+
+def links_with_all(marked: DataFrame, threshold: float) -> DataFrame:
+    """All links of the failing vectors: vec_id, links, root. Others get their links with failing ones only.
+
+    A block of some ``TOGETHER`` failing vectors at a time is sent to every task, so work is their number times all.
+    """
+    spark = marked.sparkSession
+    blocks = -(-marked.where("failing").count() // TOGETHER)
+    dealt = marked.withColumn("block", F.when(F.col("failing"), F.pmod(F.xxhash64(F.col("vec_id"), F.lit("block")), F.lit(blocks))))
+    out = None
+    for number in range(blocks):
+        block = dealt.where(F.col("block") == number).select("vec_id", "vector", "weight").toPandas()
+        asked = {int(size): (own["vec_id"].to_numpy(), unit(np.array(own["vector"].to_list())), own["weight"].to_numpy())
+                 for size, own in block.groupby(block["vector"].map(len))}
+        shared = spark.sparkContext.broadcast(asked)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                column = batch.column("vector")
+                ids, weight = batch.column("vec_id").to_numpy(), batch.column("weight").to_numpy()
+                failing = batch.column("failing").to_numpy(zero_copy_only=False)
+                sizes = np.diff(column.offsets.to_numpy())
+                for size in np.intersect1d(sizes, list(shared.value)):
+                    rows = np.flatnonzero(sizes == size)
+                    names, queries, weights = shared.value[int(size)]
+                    for low in range(0, len(rows), 1024):
+                        part = rows[low:low + 1024]
+                        hit = reaches(queries, unit(matrix(column.take(pa.array(part)))), threshold) & (names[:, None] != ids[part])
+                        q, r = np.nonzero(hit.any(axis=1))[0], np.nonzero(hit.any(axis=0))[0]
+                        hit, other = hit[np.ix_(q, r)], ids[part][r]
+                        root, back = names[q].copy(), other.copy()
+                        while len(q):  # the smallest id that each is linked to, over any number of links of this block
+                            new_back = np.minimum(back, np.where(hit, root[:, None], back[None]).min(axis=0))
+                            new_root = np.minimum(root, np.where(hit, new_back[None], root[:, None]).min(axis=1))
+                            if (new_root == root).all() and (new_back == back).all():
+                                break
+                            root, back = new_root, new_back
+                        # A failing vector is counted as a query, in its own block.
+                        told = np.where(failing[part][r], 0, weights[q] @ hit) if len(q) else np.zeros(0, dtype=np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.concatenate((names[q], other))),
+                             pa.array(np.concatenate((hit @ weight[part][r], told)).astype(np.int64)),
+                             pa.array(np.concatenate((root, back)))], names=["vec_id", "links", "root"])
+
+        part = settle(marked.mapInArrow(run, "vec_id long, links long, root long"), "with-all")
+        shared.unpersist()
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def found_links(vectors: DataFrame, clusters: dict[int, tuple[np.ndarray, np.ndarray]], overlap: float, threshold: float,

@@ -46,6 +46,29 @@ def plain_components(n, pairs):
     return [find(i) for i in range(n)]
 
 
+@pytest.mark.parametrize("together", [8192, 50])
+def test_vectors_that_clusters_tear_apart_are_compared_with_all(spark, monkeypatch, together):
+    """No overlap and no widening: links lost between clusters come back from the comparison in blocks."""
+    monkeypatch.setattr(neardup, "COPIES", 0)
+    monkeypatch.setattr(neardup, "OVERLAPS", (0.0, 4.0))
+    monkeypatch.setattr(neardup, "SLACK", 1.5)
+    monkeypatch.setattr(neardup, "TOGETHER", together)
+    rng = np.random.default_rng(8)
+    groups = rng.normal(size=(60, 24))
+    vectors = (np.repeat(groups, 6, axis=0) + 0.3 * rng.normal(size=(360, 24))).astype(np.float32)
+    vectors = np.concatenate((vectors, vectors[:5], rng.normal(size=(80, 24)).astype(np.float32)))
+    cos = cosines(vectors)
+    np.fill_diagonal(cos, -1)
+    called = []
+    real = neardup.links_with_all
+    monkeypatch.setattr(neardup, "links_with_all", lambda marked, t: called.append(marked.where("failing").count()) or real(marked, t))
+    got = {r["vec_id"]: r for r in neardup.near_duplicates(table(spark, vectors, ODD), shard_rows=64).collect()}
+    # All vectors are audited here, so each cluster that misses a link is known.
+    assert called and called[0] > 0
+    assert [got[i]["n_links"] for i in range(len(vectors))] == (cos >= 0.9).sum(axis=1).tolist()
+    assert [got[i]["component_id"] for i in range(len(vectors))] == plain_components(len(vectors), np.argwhere(np.triu(cos >= 0.9)))
+
+
 @pytest.mark.parametrize("shard_rows", [2048, 96])
 def test_near_duplicates(spark, shard_rows):
     vectors = groups_of_vectors()
@@ -87,7 +110,7 @@ def test_audit_sees_pairs_between_clusters(spark):
     angles = np.radians([44, 46, 5, 6])
     rows = [(i, [float(np.cos(a)), float(np.sin(a))], 1 + i) for i, a in enumerate(angles)]
     df = spark.createDataFrame(rows, "vec_id long, vector array<double>, weight long")
-    links, held = neardup.audit(df, {2: (np.eye(2), np.arange(2))}, 0.95)
+    links, held, _, _ = neardup.audit(df, {2: (np.eye(2), np.arange(2))}, 0.95)
     assert links == {0: 2, 1: 1, 2: 4, 3: 3}
     # The first pair has a cluster in common only where clusters overlap by more than cos 44 - sin 44.
     assert held.tolist() == [0.5] + [1.0] * (len(neardup.OVERLAPS) - 1)
