@@ -13,8 +13,8 @@ work but the digest of a chunk of many parts, which reads them one after the oth
 
 Defined results: turns are ordered by number, then role, then text, so repeated and tied rows
 have their place and are all rendered; a null turn counts as 0; a null text is an empty
-content; a null or blank role is the user ``unknown``, who gets no perspective of their own; a dialogue without
-speakers gives no row; rows without a dialogue id belong to none; markers inside a content are
+content; a null or blank role is shown as the user ``unknown``, who gets no perspective of their own (a speaker of
+that name does, and comes after it in a tie); a dialogue without speakers gives no row; rows without a dialogue id belong to none; markers inside a content are
 broken by a zero-width space, signs that a name can't hold become ``_``; an empty table
 gives no rows; columns other than the four named are not read.
 """
@@ -39,24 +39,25 @@ SYSTEM, UNKNOWN = "system", "unknown"
 
 def turns(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
           text_col: str = "text") -> DataFrame:
-    """Clean turns: conv_id, turn, role, content."""
-    role = F.coalesce(F.when(F.trim(role_col) != "", F.trim(role_col)), F.lit(UNKNOWN))
+    """Clean turns: conv_id, turn, role, content, named (whether the role is a name and not blank)."""
+    named = F.coalesce(F.trim(role_col) != "", F.lit(False))
+    role = F.when(named, F.trim(role_col)).otherwise(UNKNOWN)
     content = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(MARKER), F.lit(BROKEN))
     return rows.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("conv_id"), F.coalesce(F.col(turn_col), F.lit(0)).cast("long").alias("turn"),
-        role.alias("role"), content.alias("content"))
+        role.alias("role"), content.alias("content"), named.alias("named"))
 
 
-def head(role: Column, speaker: Column) -> Column:
-    """The opening line of a turn as seen by the speaker."""
+def head(role: Column, mine: Column) -> Column:
+    """The opening line of a turn; ``mine``: it is the speaker's own."""
     name = F.regexp_replace(role, "[^A-Za-z0-9_.-]", "_")
-    shown = F.when(role == SYSTEM, SYSTEM).when(role == speaker, "assistant").otherwise(F.concat(F.lit("user name="), name))
+    shown = F.when(role == SYSTEM, SYSTEM).when(mine, "assistant").otherwise(F.concat(F.lit("user name="), name))
     return F.concat(F.lit(START), shown, F.lit("\n"))
 
 
 def cut(rows: DataFrame, size: int) -> DataFrame:
     """Chunks of many rows in parts of ``size`` rows in order: conv_id, chunk, part, parts, turns."""
-    order = ("turn", "role", "content")
+    order = ("turn", "role", "content", "named")
     counted = rows.groupBy("conv_id", "chunk", *order).agg(F.count("*").alias("n"))
     # Ranges of the whole order, so one chunk can be in many; stored, as other samples would give other ranges.
     ranged = settle(counted.repartitionByRange("conv_id", "chunk", *order).withColumn("range", F.spark_partition_id()), "ranges")
@@ -83,14 +84,14 @@ def perspectives(rows: DataFrame, chunk: int = CHUNK, most: int = MOST, size: in
     assistant says. Chunks of at most ``most`` rows have one part.
     """
     clean = turns(rows, **columns).withColumn("chunk", F.floor(F.col("turn") / chunk))
-    talk = clean.where(~F.col("role").isin(SYSTEM, UNKNOWN))
+    talk = clean.where(F.col("named") & (F.col("role") != SYSTEM))
     # As many rows as dialogues have speakers; stored, so that the join can split a dialogue of very many chunks.
     speakers = settle(talk.select("conv_id", F.col("role").alias("speaker")).distinct(), "speakers")
     large = settle(clean.groupBy("conv_id", "chunk").count().where(F.col("count") > most).select("conv_id", "chunk"), "large")
     cuts = not large.isEmpty()
     usual = clean.join(large, ["conv_id", "chunk"], "left_anti") if cuts else clean
     chunks = usual.groupBy("conv_id", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "content"))).alias("turns")).select(
+        F.array_sort(F.collect_list(F.struct("turn", "role", "content", "named"))).alias("turns")).select(
         "conv_id", "chunk", F.lit(0).cast("long").alias("part"), F.lit(1).cast("long").alias("parts"), "turns")
     out = rendered(chunks, speakers)
     if cuts:
@@ -107,9 +108,9 @@ def perspectives(rows: DataFrame, chunk: int = CHUNK, most: int = MOST, size: in
 
 def rendered(chunks: DataFrame, speakers: DataFrame) -> DataFrame:
     """Each chunk or part as each of its dialogue's speakers has it, spans from its own start."""
+    mine = lambda t: t["named"] & (t["role"] == F.col("speaker"))
     seen = chunks.join(speakers, "conv_id").withColumn("pieces", F.transform("turns", lambda t: F.struct(
-        head(t["role"], F.col("speaker")).alias("head"), F.concat(t["content"], F.lit(STOP)).alias("body"),
-        (t["role"] == F.col("speaker")).alias("mine"))))
+        head(t["role"], mine(t)).alias("head"), F.concat(t["content"], F.lit(STOP)).alias("body"), mine(t).alias("mine"))))
     size = lambda p: (F.length(p["head"]) + F.length(p["body"])).cast("long")
     empty = F.array().cast("array<struct<start:bigint,stop:bigint>>")
     walked = F.aggregate(

@@ -143,19 +143,19 @@ def op4_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op4_perspectives"] = f"""
 WITH t AS (SELECT conv_id, coalesce(turn, 0) AS turn, coalesce(nullif(trim(role), ''), 'unknown') AS role,
-    replace(coalesce(text, ''), '<|im_', '<' || chr(8203) || '|im_') AS content FROM conversations WHERE conv_id IS NOT NULL),
-p AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role NOT IN ('system', 'unknown')),
-x AS (SELECT t.conv_id, speaker, CAST(floor(turn / {chat.CHUNK}e0) AS BIGINT) AS chunk, turn, role, content, role = speaker AS mine,
-    '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = speaker THEN 'assistant'
+    coalesce(trim(role) <> '', false) AS named, replace(coalesce(text, ''), '<|im_', '<' || chr(8203) || '|im_') AS content FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE named AND role <> 'system'),
+x AS (SELECT t.conv_id, speaker, CAST(floor(turn / {chat.CHUNK}e0) AS BIGINT) AS chunk, turn, role, content, named, named AND role = speaker AS mine,
+    '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN named AND role = speaker THEN 'assistant'
       ELSE 'user name=' || regexp_replace(role, '[^A-Za-z0-9_.-]', '_', 'g') END || chr(10) AS head,
     content || '<|im_end|>' || chr(10) AS body FROM t JOIN p USING (conv_id)),
-o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, chunk ORDER BY turn, role, content
+o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, chunk ORDER BY turn, role, content, named
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop FROM x)
 SELECT conv_id, speaker, chunk, count(*) AS turns, CAST(max(stop) AS BIGINT) AS chars,
     CAST(sum(CASE WHEN mine THEN length(body) ELSE 0 END) AS BIGINT) AS trained_chars,
-    sha256(string_agg(head || body, '' ORDER BY turn, role, content)) AS text_sha256,
+    sha256(string_agg(head || body, '' ORDER BY turn, role, content, named)) AS text_sha256,
     coalesce(string_agg(CASE WHEN mine THEN CAST(stop - length(body) AS VARCHAR) || '-' || CAST(stop AS VARCHAR) END, ','
-      ORDER BY turn, role, content), '') AS spans
+      ORDER BY turn, role, content, named), '') AS spans
 FROM o GROUP BY 1, 2, 3"""
 
 

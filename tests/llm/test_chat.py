@@ -83,3 +83,14 @@ def test_repeated_turns_are_cut(spark):
         r = digests[key]
         assert (r["turns"], r["chars"], r["trained_chars"]) == (n, len(text), sum(b - a for a, b in spans))
         assert r["text_sha256"] == hashlib.sha256(text.encode()).hexdigest() and r["spans"] == ",".join(f"{a}-{b}" for a, b in spans)
+
+
+def test_a_speaker_named_unknown(spark):
+    rows = [(1, 0, "unknown", "named"), (1, 1, " ", "blank"), (1, 2, "Ann", "hi"), (1, 3, None, "tie"), (1, 3, "unknown", "tie"), (2, 0, "", "alone")]
+    got = {r["speaker"]: r for r in chat.perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    turn = lambda who, text: f"<|im_start|>{who}\n{text}<|im_end|>\n"
+    assert set(got) == {"unknown", "Ann"}  # nobody speaks for a blank role
+    assert got["unknown"]["text"] == "".join((turn("assistant", "named"), turn("user name=unknown", "blank"), turn("user name=Ann", "hi"),
+                                              turn("user name=unknown", "tie"), turn("assistant", "tie")))
+    assert [got["unknown"]["text"][a:b] for a, b in got["unknown"]["spans"]] == ["named<|im_end|>\n", "tie<|im_end|>\n"]
+    assert got["Ann"]["text"].count("user name=unknown") == 4
