@@ -28,14 +28,22 @@ def clear_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.where((found["lang"] != "und") & ~found["ambiguous"])
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as make it differ from all columns."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of similar ones."""
     groups = jaccard.similar_documents(docs)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi")
-    same = Window.partitionBy("doc_id").orderBy(*(F.col(c) for c in docs.columns if c != "doc_id"))
-    return kept.withColumn("_copy", F.row_number().over(same)).where("_copy = 1").drop("_copy").union(
-        docs.where("doc_id IS NULL"))
+    first, copy = free_name(docs, "first"), free_name(docs, "copy")
+    firsts = groups.where("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct()
+    kept = docs.join(firsts, F.col("doc_id") == F.col(first), "left_semi")
+    same = Window.partitionBy("doc_id").orderBy(*(F.col(f"`{c}`") for c in docs.columns if c != "doc_id"))
+    return kept.withColumn(copy, F.row_number().over(same)).where(F.col(copy) == 1).drop(copy).union(docs.where("doc_id IS NULL"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
