@@ -231,3 +231,14 @@ def test_pipeline_stages(spark):
     assert pieces.select("doc_id").distinct().count() == single.count()
     for _, step in corpus_pipeline.STAGES:
         assert step(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_similar_stage_with_clashing_columns(spark):
+    """Columns named like the stage's own, in any case; repeated ids; a null id stays."""
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "a", 1, 5), (2, text, "b", 2, 6), (2, text, "b", 2, 7), (3, "another text of more than five words here", "c", 3, 8),
+            (3, "another text of more than five words here", "d", 3, 8), (None, text, "e", 4, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Copy string, first int, _copy int")
+    out = corpus_pipeline.one_of_similar(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(((r["doc_id"], r["Copy"]) for r in out.collect()), key=str) == sorted([(1, "a"), (3, "c"), (None, "e")], key=str)
