@@ -168,6 +168,17 @@ def drift_categories(df: DataFrame, columns, by=(), large: int = LARGE_SAMPLE) -
         "method": F.when(is_large, "jensen-shannon distance").otherwise("chi-square p_value")})
 
 
+def drift_predictions(sides: DataFrame, by=(), large: int = LARGE_SAMPLE) -> DataFrame:
+    """All prediction columns of a log with a ``side``, numbers and categories each by the test that fits."""
+    wanted = prediction_columns(sides.drop("side"))
+    numbers = [c for c in wanted if sides.schema[c].dataType.typeName() in NUMERIC]
+    others = [c for c in wanted if c not in numbers]
+    names = [*by, "column", "statistic", "reference_rows", "current_rows", "score", "method"]
+    parts = [test(sides, columns, by, large).select(*names)
+             for test, columns in ((drift_numeric, numbers), (drift_categories, others)) if columns]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def drift_verdict(tests: DataFrame, rules: DriftRules = DriftRules()) -> DataFrame:
     """Mark drifted columns: low p-values, or large distances; a missing score never drifts."""
     is_p = F.lower("method").contains("p_value") | F.lower("method").contains("p-value")

@@ -165,7 +165,7 @@ def with_sql(names: str, body: str) -> str:
             parts += [f"observed AS ({_BASE['observed']})", OBSERVED_SQL]
         else:
             parts.append(f"{name} AS ({_BASE[name]})")
-    return f"WITH RECURSIVE {', '.join(parts)} {body}"
+    return f"WITH RECURSIVE {', '.join(dict.fromkeys(parts))} {body}"
 
 
 class Tables:

@@ -341,6 +341,29 @@ def drift_predictions(t: Tables):
     return rounded(found, "statistic", "score").drop("method", "threshold")
 
 
+@query("drift_candidates", with_sql("samples", f""", edge AS (SELECT max(ts) - INTERVAL 10 DAY AS edge_at FROM samples),
+    sd AS (SELECT CASE WHEN ts < edge_at THEN 'reference' ELSE 'current' END AS side, value AS latency, result, value > 60e0 AND event_id % 3 = 0 AS failed FROM samples, edge),
+    melted AS (SELECT side, 'latency' AS "column", CAST(latency AS DOUBLE) AS value FROM sd), {ks_sql('melted')},
+    spread AS (SELECT stddev_pop(value) AS spread FROM melted WHERE side='reference'),
+    area AS (SELECT sum(area) AS area FROM (SELECT abs(ca/CAST(ta AS DOUBLE) - cb/CAST(tb AS DOUBLE)) * (lead(value) OVER (ORDER BY value) - value) AS area FROM cum)),
+    cats AS (SELECT side, 'result' AS "column", result AS value FROM sd UNION ALL SELECT side, 'failed', CAST(failed AS VARCHAR) FROM sd),
+    kc AS (SELECT "column", value, CAST(sum(CASE WHEN side='reference' THEN 1 ELSE 0 END) AS DOUBLE) AS a, CAST(sum(CASE WHEN side='current' THEN 1 ELSE 0 END) AS DOUBLE) AS b FROM cats GROUP BY 1,2),
+    kx AS (SELECT *, sum(a) OVER (PARTITION BY "column") AS ta, sum(b) OVER (PARTITION BY "column") AS tb FROM kc),
+    kt AS (SELECT "column", max(ta) AS ta, count(*)-1 AS k, sum(pow(a*sqrt(tb/ta)-b*sqrt(ta/tb),2)/(a+b)) AS x, sqrt(greatest(sum((CASE WHEN a=0 THEN 0e0 ELSE a/ta*ln(a/ta/((a/ta+b/tb)/2)) END)
+      + (CASE WHEN b=0 THEN 0e0 ELSE b/tb*ln(b/tb/((a/ta+b/tb)/2)) END))/2, 0e0)) AS js FROM kx GROUP BY 1),
+    every AS (SELECT "column", reference_rows > 1000 AS large, CASE WHEN reference_rows > 1000 THEN area / greatest(spread, 0.001e0) ELSE score END AS score FROM ks, area, spread
+      UNION ALL SELECT "column", ta > 1000, CASE WHEN ta > 1000 THEN js WHEN k < 1 OR x <= 0 THEN 1e0 ELSE least(greatest(1e0 - list_sum(list_transform(range(2000), lambda n:
+        exp((k/2e0+n)*ln(x/2)-x/2-lgamma(k/2e0+n+1)))), 0e0), 1e0) END FROM kt)
+    SELECT "column", large, round(score,6)+0e0 AS score, CASE WHEN large THEN score >= 0.1e0 ELSE score <= 0.05e0 END AS drifted FROM every"""))
+def drift_candidates(t: Tables):
+    """A log without a column named like a prediction: every number, text or truth value that is no key or time is tested by its kind."""
+    log = t.samples.select(F.col("ts").alias("timestamp"), F.col("event_id").alias("request_id"), F.col("value").alias("latency"), "result",
+                           ((F.col("value") > 60.0) & (F.col("event_id") % 3 == 0)).alias("failed"))
+    sides = settle(ev.time_split(log, 10, "timestamp", "request_id"), "sides")
+    found = rounded(d.drift_verdict(d.drift_predictions(sides)), "score")
+    return found.select("column", (F.col("reference_rows") > d.LARGE_SAMPLE).alias("large"), "score", "drifted")
+
+
 GAUGE_PART = REPORT_SQL + f""", hd AS (SELECT spot_id, {_HEADER} FROM verdict GROUP BY spot_id),
     gauges AS (SELECT spot_id AS dataset, 'dataset' AS "column", 'threshold' AS metric, 0.15e0 AS value FROM hd
       UNION ALL SELECT spot_id, 'dataset', 'drifted_column_count', drifted_column_count FROM hd

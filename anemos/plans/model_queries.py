@@ -86,6 +86,53 @@ def train_one_tree(t: Tables):
     return out
 
 
+# A model of one split has predictions that SQL can state: the means of the training rows on both sides.
+_SPLIT_COLUMNS = ("strong", "constant")
+
+
+def one_split(rows):
+    """Rows with a column of two values and one of a single value, and the forest of one tree with one split over them."""
+    marked = rows.select(*[c for c in rows.columns if c not in MODEL_FEATURES],
+                         (F.col("wind_speed_10m") >= 40.0).cast("double").alias("strong"), F.lit(1.0).alias("constant"))
+    return marked, ml.build_model(columns=_SPLIT_COLUMNS, trees=1, depth=1, bootstrap=False)
+
+
+def fitted_once_split(t: Tables):
+    rows = settle(training_rows(t), "training")
+    marked, pipeline = one_split(ml.holdout_split(rows, ("spot_id", "event_id")))
+    model, _ = store.fit_once(settle(marked.where("split = 'train'").drop("split"), "marked"), pipeline)
+    return marked, model
+
+
+_MEANS = _TRAIN_SQL + _SPLIT_SQL.lstrip() + """, marked AS (SELECT ts.*, split, wind_speed_10m >= 40e0 AS strong FROM ts JOIN sp USING (spot_id, event_id)),
+    means AS (SELECT strong, avg(quality_index) AS prediction FROM marked WHERE split = 'train' GROUP BY 1) """
+
+
+@query("score_one_split", with_sql("features labelled ahead", _MEANS + """SELECT spot_id, event_id, time, round(prediction, 6)+0e0 AS quality_index
+    FROM ahead_ready a JOIN means ON means.strong = (a.wind_speed_10m >= 40e0)"""))
+def score_one_split(t: Tables):
+    """Batch scoring of the hours ahead by the one-split model, so that its values can be checked."""
+    _, model = fitted_once_split(t)
+    ready, _ = one_split(t.ahead.select("spot_id", "time", "event_id", *MODEL_FEATURES))
+    return ml.score(model, ready).select("spot_id", "event_id", "time", r6("prediction").alias("quality_index"))
+
+
+@query("evaluate_one_split", with_sql("features labelled", _MEANS + """, tested AS (SELECT quality_index AS a, prediction AS p FROM marked JOIN means USING (strong) WHERE split = 'test'),
+    c AS (SELECT a, CASE WHEN least(greatest(round_even(p,0),0),5) = a THEN 1e0 ELSE 0e0 END AS hit FROM tested),
+    m AS (SELECT 'mae' AS metric, avg(abs(p-a)) AS value FROM tested UNION ALL SELECT 'rmse', sqrt(avg(pow(p-a,2))) FROM tested
+      UNION ALL SELECT 'r2', 1-avg(pow(p-a,2))/var_pop(a) FROM tested UNION ALL SELECT 'class_accuracy_' || a, avg(hit) FROM c GROUP BY a
+      UNION ALL SELECT 'overall_class_accuracy', avg(hit) FROM c UNION ALL SELECT 'importance_strong', 1e0 UNION ALL SELECT 'importance_constant', 0e0)
+    SELECT metric, round(value, 6)+0e0 AS value FROM m"""))
+def evaluate_one_split(t: Tables):
+    """Metrics on the test part and importances of the one-split model."""
+    marked, model = fitted_once_split(t)
+    tested = settle(ml.score(model, marked.where("split = 'test'")).select("quality_index", "prediction"), "tested")
+    importance = ml.feature_importance(model, marked, _SPLIT_COLUMNS)
+    return rounded(h.regression_metrics(tested, "quality_index", "prediction").unpivot([], ["mae", "rmse", "r2"], "metric", "value").unionByName(
+        h.class_accuracy(tested, "quality_index", "prediction").select("metric", "value")).unionByName(
+        importance.select(F.concat(F.lit("importance_"), "feature").alias("metric"), F.col("importance").alias("value"))), "value")
+
+
 @query("feature_importance")
 def feature_importance(t: Tables):
     split, model = fitted(t)
