@@ -54,13 +54,14 @@ class SliceStore:
     limit: int = LIMIT
     keys: tuple[str, str] = ("dataset_name", "spot_id")
 
-    def buckets(self) -> tuple[int, list[Bucket]]:
-        """Number of the current version and its buckets; version 0 is the empty store."""
+    def buckets(self, version: int | None = None) -> tuple[int, list[Bucket]]:
+        """Number of the current version (or the one asked for) and its buckets; version 0 is the empty store."""
         found = stored_table(self.spark, f"{self.path}/manifest", "json", f"{BUCKETS}, version long")
-        version = None if found is None else found.agg(F.max("version")).first()[0]
-        if version is None:
+        if found is not None and version is None:
+            version = found.agg(F.max("version")).first()[0]
+        if found is None or not version:
             return 0, []
-        lines = found.where(F.col("version") == version).drop("version").collect()
+        lines = found.where((F.col("version") == version) & F.col("prefix").isNotNull()).drop("version").collect()
         return version, [Bucket(**line.asDict()) for line in lines]
 
     def _read(self, buckets: list[Bucket]) -> DataFrame | None:
@@ -96,15 +97,36 @@ class SliceStore:
             own += [f"_d{n}", f"_p{n}"]
         return out.withColumn("_prefix", found).drop(*own)
 
-    def replace(self, df: DataFrame) -> int:
-        """Replace exactly the slices present in ``df`` (a stored table, it is read twice); the number of the new version."""
+    def _added(self, slices: DataFrame, buckets: list[Bucket]) -> dict[tuple[str, str], int]:
+        """Datasets and prefixes of the buckets that some slices belong to, with the slices' rows (``_n``)."""
+        dataset = self.keys[0]
+        owners = self._owned(slices, [(b.dataset_name, b.prefix) for b in buckets])
+        return {(r[dataset], r["_prefix"]): r["n"] for r in owners.groupBy(
+            dataset, F.coalesce("_prefix", F.lit("")).alias("_prefix")).agg(F.sum("_n").alias("n")).collect()}
+
+    def read_for(self, df: DataFrame, version: int | None = None) -> DataFrame | None:
+        """The stored rows of the slices in ``df``; only their buckets are read."""
+        slices = settle(df.groupBy(*self.keys).agg(F.count("*").alias("_n")), "slices")
+        _, buckets = self.buckets(version)
+        added = self._added(slices, buckets)
+        stored = self._read([b for b in buckets if (b.dataset_name, b.prefix) in added])
+        return None if stored is None else stored.join(slices.drop("_n"), list(self.keys), "left_semi")
+
+    def replace(self, df: DataFrame, base: int | None = None) -> int:
+        """Replace exactly the slices present in ``df`` (a stored table, it is read twice); the number of the new version.
+
+        With a version given as ``base`` the new one follows on it, and takes the place of one that did so before: a
+        batch that is repeated starts from the same state and gives the same version.
+        """
         dataset, spot = self.keys
         require_columns(df, self.keys, "slice write")
-        version, buckets = self.buckets()
+        version, buckets = self.buckets(base)
+        mode = "errorifexists" if base is None else "overwrite"
         slices = settle(df.groupBy(dataset, spot).agg(F.count("*").alias("_n")), "slices")
-        owners = self._owned(slices, [(b.dataset_name, b.prefix) for b in buckets])
-        added = {(r[dataset], r["_prefix"]): r["n"] for r in owners.groupBy(
-            dataset, F.coalesce("_prefix", F.lit("")).alias("_prefix")).agg(F.sum("_n").alias("n")).collect()}
+        added = self._added(slices, buckets)
+        if not added:
+            self._commit(base or version, buckets, None, mode)
+            return (base or version) + 1
         touched = [b for b in buckets if (b.dataset_name, b.prefix) in added]
         names = list(added)
         rows = self._owned(df, names)
@@ -122,17 +144,20 @@ class SliceStore:
         folder = f"data/{uuid.uuid4().hex}"
         target.hint("rebalance", F.col("_bucket")).sortWithinPartitions("_bucket", spot).write.partitionBy("_bucket").parquet(
             f"{self.path}/{folder}")
-        self._commit(version, [b for b in buckets if (b.dataset_name, b.prefix) not in added], folder)
-        return version + 1
+        self._commit(base or version, [b for b in buckets if (b.dataset_name, b.prefix) not in added], folder, mode)
+        return (base or version) + 1
 
-    def _commit(self, version: int, kept: list[Bucket], folder: str) -> None:
+    def _commit(self, version: int, kept: list[Bucket], folder: str | None, mode: str = "errorifexists") -> None:
         """Name the new buckets beside the kept ones in the manifest of the next version."""
-        written = stored_table(self.spark, f"{self.path}/{folder}")
-        shape = hashlib.sha256(written.drop("_bucket").schema.json().encode()).hexdigest()[:16]
-        found = written.groupBy("_bucket").agg(F.first(self.keys[0]).alias("d"), F.count("*").alias("n")).collect()
-        live = kept + [Bucket(r["d"], r["_bucket"][1:].partition("-")[0], f"{folder}/_bucket={r['_bucket']}", r["n"], shape) for r in found]
-        lines = self.spark.createDataFrame([(b.dataset_name, b.prefix, b.folder, b.rows, b.shape) for b in live], BUCKETS)
-        lines.coalesce(1).write.mode("errorifexists").json(f"{self.path}/manifest/version={version + 1}")
+        live = list(kept)
+        if folder is not None:
+            written = stored_table(self.spark, f"{self.path}/{folder}")
+            shape = hashlib.sha256(written.drop("_bucket").schema.json().encode()).hexdigest()[:16]
+            found = written.groupBy("_bucket").agg(F.first(self.keys[0]).alias("d"), F.count("*").alias("n")).collect()
+            live += [Bucket(r["d"], r["_bucket"][1:].partition("-")[0], f"{folder}/_bucket={r['_bucket']}", r["n"], shape) for r in found]
+        # A version without a bucket has a line without a prefix.
+        lines = self.spark.createDataFrame([(b.dataset_name, b.prefix, b.folder, b.rows, b.shape) for b in live] or [(None,) * 5], BUCKETS)
+        lines.coalesce(1).write.mode(mode).option("ignoreNullFields", False).json(f"{self.path}/manifest/version={version + 1}")
 
 
 # --- the latest row of each spot, kept up by ranges -----------------------------------------
@@ -163,9 +188,9 @@ class LatestView:
         inside = F.col(self.time) <= F.lit(end)
         rows = source.where(inside if start is None else inside & (F.col(self.time) > F.lit(start)))
         best = settle(latest_per_key(rows.withColumn(dataset, F.lit(self.dataset)), (spot,), self.order), "latest")
-        stored = self.store.read(self.dataset)
+        stored = self.store.read_for(best)
         if stored is not None:
-            both = best.unionByName(stored.join(best.select(spot), spot, "left_semi"), allowMissingColumns=True)
+            both = best.unionByName(stored, allowMissingColumns=True)
             best = settle(latest_per_key(both, (spot,), self.order), "latest")
         count = best.count()
         version = self.store.replace(best) if count else self.store.buckets()[0]

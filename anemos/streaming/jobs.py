@@ -9,7 +9,8 @@ from anemos.operators.features import wind_steadiness
 from anemos.operators.ordered import Series
 from anemos.operators.ranking import latest_per_key
 from anemos.params import LATENCY_BOUNDS
-from anemos.session import fresh_path
+from anemos.session import fresh_path, settle
+from anemos.sources.slicestore import SliceStore
 
 EVENT_KEY = ("prediction_timestamp", "model_version", "spot_id", "forecast_time")
 
@@ -134,11 +135,6 @@ def run_to_table(stream: DataFrame, name: str, out: str | None = None, state: st
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def _newest(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """State written by the batch before; a repeated batch reads the same version again."""
-    return spark.read.parquet(f"{path}/version={batch_id - 1}") if batch_id > 0 else None
-
-
 def _run_batches(stream: DataFrame, step, state: str) -> None:
     query = stream.writeStream.foreachBatch(step).option("checkpointLocation", state).trigger(availableNow=True).start()
     query.awaitTermination()
@@ -151,9 +147,10 @@ def steadiness_feed(readings: DataFrame, rows: int = 3, rows_per_segment: int |
     Kept per spot are the rows newer than ``delay`` before its newest one, and the ``rows - 1``
     before these as context. A late row changes the rows after it, so all kept rows from the
     earliest new one on are computed and written anew; the newest version of a row counts. Rows
-    older than the context can't be placed: they go to ``late_readings``. Versions are
-    written per micro-batch; a batch that is repeated rewrites its own. With ``out`` and
-    ``state`` given, a later call goes on where this one stopped.
+    older than the context can't be placed: they go to ``late_readings``. What is kept lies in a slice store:
+    a micro-batch reads and rewrites the buckets of its own spots only, as the store's next version; a batch
+    that is repeated starts from the same version and rewrites its own. With ``out`` and ``state`` given, a later call
+    goes on where this one stopped.
     """
     spark = readings.sparkSession
     out, state = out or fresh_path(spark, "steadiness"), state or fresh_path(spark, "steadiness-checkpoint")
@@ -161,10 +158,13 @@ def steadiness_feed(readings: DataFrame, rows: int = 3, rows_per_segment: int |
     place = F.struct(*order)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        previous = _newest(batch.sparkSession, f"{out}/tail", batch_id)
-        fresh, old = batch.withColumn("_state", F.lit("new")), None
-        if previous is not None:
-            old = previous
+        store = SliceStore(batch.sparkSession, f"{out}/tail")
+        batch = settle(batch.withColumn("dataset_name", F.lit("tail")), "batch")
+        old = store.read_for(batch, batch_id)
+        batch = batch.drop("dataset_name")
+        fresh = batch.withColumn("_state", F.lit("new"))
+        if old is not None:
+            old = old.drop("dataset_name")
             last = old.where("_state = 'context'").groupBy("spot_id").agg(F.max(place).alias("_last"))
             placed = fresh.join(last, "spot_id", "left")
             fits = F.col("_last").isNull() | (place > F.col("_last"))
@@ -181,7 +181,8 @@ def steadiness_feed(readings: DataFrame, rows: int = 3, rows_per_segment: int |
         newest = Window.partitionBy("spot_id").orderBy(*[F.desc(c) for c in order])
         context = split.where("time <= _edge").withColumn("_rn", F.row_number().over(newest)).where(
             F.col("_rn") < rows).drop("_rn").withColumn("_state", F.lit("context"))
-        young.unionByName(context).drop("_edge").write.mode("overwrite").parquet(f"{out}/tail/version={batch_id}")
+        kept = young.unionByName(context).drop("_edge").withColumn("dataset_name", F.lit("tail"))
+        store.replace(settle(kept, "kept"), batch_id)
 
     _run_batches(readings, step, state)
     versions = spark.read.parquet(f"{out}/rows")
@@ -197,15 +198,17 @@ def late_readings(spark: SparkSession, out: str) -> DataFrame:
 
 def online_latest_feed(features: DataFrame, keys=("spot_id",), order=("time", "event_id"), out: str | None = None,
                        state: str | None = None) -> DataFrame:
-    """Latest row per spot, merged per micro-batch into a new table version; resumable like the others."""
+    """Latest row per spot, merged per micro-batch into the buckets of its spots; resumable like the others."""
     spark = features.sparkSession
+    name, spot = "dataset_name", keys[0]
     out, state = out or fresh_path(spark, "online"), state or fresh_path(spark, "online-checkpoint")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        previous = _newest(batch.sparkSession, out, batch_id)
-        rows = batch if previous is None else batch.unionByName(previous)
-        latest_per_key(rows, keys, order).write.mode("overwrite").parquet(f"{out}/version={batch_id}")
+        store = SliceStore(batch.sparkSession, out, keys=(name, spot))
+        best = settle(latest_per_key(batch.withColumn(name, F.lit("online")), keys, order), "latest")
+        stored = store.read_for(best, batch_id)
+        rows = best if stored is None else latest_per_key(best.unionByName(stored), keys, order)
+        store.replace(settle(rows, "latest"), batch_id)
 
     _run_batches(features, step, state)
-    versions = spark.read.parquet(out)
-    return versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")
+    return SliceStore(spark, out, keys=(name, spot)).read("online").drop(name)

@@ -146,3 +146,43 @@ def test_online_latest(feed):
     out = jobs.online_latest_feed(shape(stream()))
     twin = static.groupBy("user_id").agg(F.max_by("event_id", "ts").alias("event_id"))
     assert rows(out, "event_id") == rows(twin, "event_id")
+
+
+def test_a_repeated_batch_starts_from_the_same_state(spark, tmp_path):
+    """A batch whose checkpoint was lost after its state was written gives the same rows again."""
+    import shutil
+
+    paths = {"out": str(tmp_path / "out"), "state": str(tmp_path / "state"), "delay": "1 DAY"}
+    stream = lambda: spark.readStream.schema(
+        "spot_id string, time timestamp_ntz, event_id long, wind_speed_10m double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    batches(spark, tmp_path / "in", [(1, 3, 4), (2, 5)])
+    jobs.steadiness_feed(stream(), **paths)
+    shutil.copytree(tmp_path / "state", tmp_path / "saved")
+    batches(spark, tmp_path / "in", [(6, 30), (29, 31)])
+    jobs.steadiness_feed(stream(), **paths)
+    out = jobs.steadiness_feed(stream(), out=paths["out"], delay="1 DAY", state=str(tmp_path / "saved"))  # both batches again
+    twin = wind_steadiness(spark.read.parquet(str(tmp_path / "in")), Series(("spot_id",), ("time", "event_id")))
+    got, want = ({r.event_id: r.wind_steadiness for r in x.collect()} for x in (out, twin))
+    assert got.keys() == want.keys()
+    assert all(got[k] == (None if v is None else pytest.approx(v, abs=1e-12)) for k, v in want.items())
+
+
+def test_a_batch_rewrites_the_buckets_of_its_spots_only(spark, tmp_path, monkeypatch):
+    from conftest import at
+
+    from anemos.sources import slicestore
+
+    monkeypatch.setattr(jobs, "SliceStore", lambda spark, path, **kw: slicestore.SliceStore(spark, path, limit=20, **kw))
+    kind = "spot_id string, time timestamp_ntz, event_id long"
+    folder = tmp_path / "in"
+    stream = lambda: spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    paths = {"out": str(tmp_path / "out"), "state": str(tmp_path / "state")}
+    land = lambda data: spark.createDataFrame(data, kind).coalesce(1).write.mode("append").parquet(str(folder))
+    land([(f"s{i}", at(i % 7), i) for i in range(400)])
+    jobs.online_latest_feed(stream(), **paths)
+    before = {b.folder for b in slicestore.SliceStore(spark, paths["out"]).buckets()[1]}
+    land([("s5", at(100), 1000), ("s5", at(99), 999)])
+    out = jobs.online_latest_feed(stream(), **paths)
+    after = {b.folder for b in slicestore.SliceStore(spark, paths["out"]).buckets()[1]}
+    assert len(before) > 10 and len(before - after) == 1
+    assert rows(out, "spot_id", "event_id") == sorted([(f"s{i}", 1000 if i == 5 else i) for i in range(400)])
