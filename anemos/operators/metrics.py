@@ -11,9 +11,8 @@ from anemos.params import LATENCY_BOUNDS
 # The text exposition format: a name, labels in braces, a value, an optional time in milliseconds. A label's
 # value is quoted and may hold braces, commas and escaped quotes, backslashes and line ends.
 _NAME, _KEY = "[a-zA-Z_:][a-zA-Z0-9_:]*", "[a-zA-Z_][a-zA-Z0-9_]*"
-_QUOTED = r'"((?:[^"\\\\]|\\\\.)*)"'.replace("\\\\", "\\")
-_LABEL = rf"({_KEY})[ \t]*=[ \t]*{_QUOTED}"
-_BARE_LABEL = _LABEL.replace("(?:", "\0").replace("(", "(?:").replace("\0", "(?:")
+_LABEL = rf'({_KEY})[ \t]*=[ \t]*"((?:[^"\\]|\\.)*)"'
+_BARE_LABEL = rf'{_KEY}[ \t]*=[ \t]*"(?:[^"\\]|\\.)*"'
 _LABELS = rf"[ \t]*(?:{_BARE_LABEL}[ \t]*(?:,[ \t]*|(?=\}})))*"
 _LINE = rf"^[ \t]*({_NAME})(?:[ \t]*\{{({_LABELS})\}}[ \t]*|[ \t]+)([^ \t]+)(?:[ \t]+(-?[0-9]+))?[ \t]*$"
 

@@ -30,8 +30,6 @@ def local_session(app: str = "anemos", cores: str = "8", memory: str = "8g") ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        # Sessions of one busy key are merged on the map side before they are shuffled.
-        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     )
     return checked(builder.getOrCreate())
 

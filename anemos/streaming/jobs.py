@@ -60,13 +60,38 @@ def error_rate(requests: DataFrame, limit: float, delay: str = "10 minutes") ->
                         "endpoint", "errors", "requests", rate.alias("rate"), (rate > limit).alias("firing"))
 
 
+def breach_spans(samples: DataFrame, breach: Column, gap: str, delay: str = "10 minutes") -> DataFrame:
+    """Breaching samples as spans: per endpoint and tumbling window as wide as the gap one first and last time, and a count.
+
+    All samples of a window belong to one session. They are counted on the map side and then dealt by endpoint and
+    window, so an endpoint that holds all samples is spread over as many tasks as there are windows.
+    """
+    spans = _watermark(samples, "ts", delay, breach).groupBy(F.window("ts", gap).alias("w"), "endpoint").agg(
+        F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("n"))
+    return spans.select(F.window_time("w").alias("closed"), "endpoint", F.struct("first", "last", "n").alias("span"))
+
+
 def alert_sessions(samples: DataFrame, breach: Column, gap: str, hold_minutes: int, delay: str = "10 minutes") -> DataFrame:
-    """Sessions of breaching samples that lasted at least the hold time."""
-    found = _watermark(samples, "ts", delay, breach).groupBy(F.session_window("ts", gap), "endpoint").agg(
-        F.min("ts").alias("breach_start"), F.max("ts").alias("breach_end"), F.count("*").alias("samples"))
+    """Sessions of breaching samples that lasted at least the hold time.
+
+    Samples become spans; those of neighbouring windows form a run, which is the open end kept as state (a span a
+    gap of breach time, whatever the samples). A run lies open until the window after its last one has been read, so no span that could
+    join it comes later; then it is cut where two spans lie a gap or more apart.
+    """
+    runs = breach_spans(samples, breach, gap, delay).groupBy(
+        F.session_window("closed", f"{gap} 1 microsecond").alias("run"), "endpoint").agg(
+        F.array_sort(F.collect_list("span")).alias("spans"))
+    apart = lambda s, i: (i == 0) | (
+        s["first"] >= F.element_at("spans", F.greatest(i, F.lit(1)))["last"] + F.expr(f"INTERVAL '{gap}'"))
+    # A session goes from a span that lies apart to the one before the next such.
+    firsts = F.filter(F.transform("spans", lambda s, i: F.when(apart(s, i), i)), lambda i: i.isNotNull())
+    whole = F.transform("firsts", lambda at, k: F.slice(
+        "spans", at + 1, F.coalesce(F.get("firsts", k + 1), F.size("spans")) - at))
+    found = runs.withColumn("firsts", firsts).select("endpoint", F.explode(whole).alias("s")).select(
+        "endpoint", F.element_at("s", 1)["first"].alias("breach_start"), F.element_at("s", -1)["last"].alias("breach_end"),
+        F.aggregate("s", F.lit(0).cast("long"), lambda n, x: n + x["n"]).alias("samples"))
     held = F.col("breach_end") >= F.col("breach_start") + F.expr(f"INTERVAL {hold_minutes} MINUTES")
-    return found.where(held).select("endpoint", "breach_start", "breach_end", "samples",
-                                    F.col("session_window.end").alias("window_end"))
+    return found.where(held).withColumn("window_end", F.col("breach_end") + F.expr(f"INTERVAL '{gap}'"))
 
 
 def late_truth(predictions: DataFrame, observed: DataFrame, lag_hours: int = 120, delay: str = "2 hours") -> DataFrame:

@@ -54,6 +54,72 @@ def test_windows_to_the_end(spark, feed, job, names):
     assert rows(out, *names) == rows(twin, *names) and out.count() > 5
 
 
+def plain_sessions(samples, gap, hold):
+    """Sessions by the row: (endpoint, start, end, samples)."""
+    out = []
+    for endpoint, ts in sorted(samples):
+        if out and out[-1][0] == endpoint and ts < out[-1][2] + gap:
+            out[-1] = (endpoint, out[-1][1], ts, out[-1][3] + 1)
+        else:
+            out.append((endpoint, ts, ts, 1))
+    return [s for s in out if s[2] - s[1] >= hold]
+
+
+SAMPLE = "ts timestamp, endpoint string, value double"
+
+
+def hot_samples():
+    """One endpoint holds nearly all samples; gaps a little below, at and above half an hour, and ties."""
+    import random
+    from datetime import timedelta
+
+    from conftest import START
+
+    rng, minute, out, ts = random.Random(3), timedelta(minutes=1), [], START
+    for _ in range(600):
+        ts += rng.choice([0, 1, 7, 29, 30, 31, 59, 60, 61, 200]) * minute + rng.choice([-1, 0, 0, 1]) * timedelta(microseconds=1)
+        out += [("hot", ts)] * rng.choice([1, 1, 5])
+    return out + [("cold", START + i * 29 * minute) for i in range(9)] + [("cold", START + 500 * minute)]
+
+
+@pytest.mark.parametrize("files", [None, 12])
+def test_sessions_of_a_hot_endpoint(spark, tmp_path, files):
+    """Static and as a stream whose batches cut sessions anywhere, with rows out of order inside the delay."""
+    import random
+    from datetime import timedelta
+
+    half = timedelta(minutes=30)
+    samples = sorted(hot_samples(), key=lambda s: s[1])
+    job = lambda df: jobs.alert_sessions(df, F.col("value") > 20, "30 minutes", 15, delay="3 hours")
+    quiet = [("hot", ts + half / 2, 1.0) for _, ts in samples[::50]]
+    rows_in = [(ts, e, 21.0) for e, ts in samples] + [(ts, e, v) for e, ts, v in quiet]
+    if files is None:
+        out = job(spark.createDataFrame(rows_in, SAMPLE))
+    else:
+        rng = random.Random(files)
+        rows_in.sort(key=lambda r: (r[0] + rng.random() * timedelta(hours=2), r[1]))  # at most two hours late
+        size = len(rows_in) // files + 1
+        for i in range(files):
+            part = rows_in[i * size:(i + 1) * size]
+            spark.createDataFrame(part, SAMPLE).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(SAMPLE).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        end = jobs.end_folder(spark)
+        out = jobs.run_to_table(job(jobs.with_end(stream, "ts", end)), "t-hot", end=end)
+    want = plain_sessions(samples, half, half / 2)
+    assert rows(out, "endpoint", "breach_start", "breach_end", "samples") == sorted(want) and len(want) > 50
+
+
+def test_a_hot_endpoint_is_spread(spark):
+    """Spans of the endpoint that holds all samples lie in every task."""
+    df = spark.createDataFrame([(ts, "hot", 21.0) for _, ts in hot_samples()], SAMPLE)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = jobs.breach_spans(df, F.col("value") > 20, "30 minutes").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert tasks == 4
+
+
 def test_windows_after_a_restart(spark, feed, tmp_path):
     """Half of the files, a stop, then the rest with the same folders: the batch twin's answer."""
     static, _ = feed
