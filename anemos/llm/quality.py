@@ -9,8 +9,9 @@ digits, other signs; runs shortened) and whether a word repeats the one before;
 occurrence adds to its hashed feature, and the sum is divided by the root of the number
 of words. Whole texts are read.
 
-The fit uses at most ``RATED`` rated texts, those whose hashed ids are smallest, so its
-cost does not grow with the corpus. Defined results: a null or empty text has no feature,
+The fit uses at most ``RATED`` rated texts, those whose hashed ids are smallest, and of these no more, in
+the same order, than hold ``ENTRIES`` distinct features together (the first is always used), so neither its cost nor the driver's memory
+grows with the corpus or with the length of its texts. Defined results: a null or empty text has no feature,
 so its score is 0; without ratings (or with one grade only) every text gets null
 probabilities and is kept; ratings with a null are not used; repeated rows get equal results.
 """
@@ -26,10 +27,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anemos.llm.textarrays import _BYTE, Texts, chunks, mix, span_sums, word_hashes, words
+from anemos.session import settle
 
-#: Rated texts to fit on at most; hashed features; rated texts that must hold a feature for it to get a weight; steps of
+#: Rated texts to fit on at most, and distinct features that they may hold in all; hashed features; rated texts that must hold a feature for it to get a weight; steps of
 #: the fit; pull to zero, shared by all rated texts; tail to keep.
-RATED, FEATURES, COMMON, STEPS, PULL, KEEP = 6000, 1 << 18, 20, 300, 0.06, 0.4
+RATED, ENTRIES, FEATURES, COMMON, STEPS, PULL, KEEP = 6000, 8_000_000, 1 << 18, 20, 300, 0.06, 0.4
 _SHAPE = np.array([3 if b >= 128 else 1 if 65 <= b <= 90 else 0 if 97 <= b <= 122 else 2 if 48 <= b <= 57 else b
                    for b in range(256)], dtype=np.uint8)
 
@@ -110,10 +112,10 @@ def fit_ordinal(at: np.ndarray, value: np.ndarray, bounds: np.ndarray, grades: n
 
 
 def rated_features(texts: DataFrame) -> DataFrame:
-    """Summed features of each text: grade, at (array<int>), value (array<float>). ``texts``: grade, text."""
+    """Summed features of each text: place, grade, at (array<int>), value (array<float>). ``texts``: place, grade, text."""
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own in chunks(batch.column(1)):
+            for own in chunks(batch.column(2)):
                 found, bounds = features(own)
                 at, value = [], []
                 for low, high in zip(bounds[:-1], bounds[1:], strict=True):
@@ -121,21 +123,29 @@ def rated_features(texts: DataFrame) -> DataFrame:
                     at.append(places)
                     value.append(counts / np.sqrt(max(1, (high - low) / 3)))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(own.first, len(own)), pa.array(at, pa.list_(pa.int32())),
-                    pa.array(value, pa.list_(pa.float32()))], names=["grade", "at", "value"])
+                    *(batch.column(k).slice(own.first, len(own)) for k in (0, 1)), pa.array(at, pa.list_(pa.int32())),
+                    pa.array(value, pa.list_(pa.float32()))], names=["place", "grade", "at", "value"])
 
-    return texts.select(F.col("grade").cast("int").alias("grade"), "text").mapInArrow(
-        sums, "grade int, at array<int>, value array<float>")
+    return texts.select("place", F.col("grade").cast("int").alias("grade"), "text").mapInArrow(
+        sums, "place long, grade int, at array<int>, value array<float>")
 
 
-def fit(docs: DataFrame, ratings: DataFrame, rated: int = RATED) -> Model | None:
-    """Fit on at most ``rated`` rated documents. ``docs``: doc_id, text; ``ratings``: doc_id, grade (from 0)."""
+def bounded(rows: DataFrame, entries: int) -> DataFrame:
+    """The rows of ``rated_features`` that are used: by place, while they hold at most ``entries`` features together."""
+    # One number a row, and at most ``rated`` rows.
+    sizes = rows.select("place", F.size("at").alias("n")).orderBy("place", "n").toPandas()
+    fits = int((sizes["n"].cumsum() <= entries).sum())
+    return rows if fits == len(sizes) else rows.where(F.col("place") <= int(sizes["place"].iloc[max(0, fits - 1)]))
+
+
+def fit(docs: DataFrame, ratings: DataFrame, rated: int = RATED, entries: int = ENTRIES) -> Model | None:
+    """Fit on at most ``rated`` rated documents with ``entries`` features. ``docs``: doc_id, text; ``ratings``: doc_id, grade (from 0)."""
     usable = ratings.select("doc_id", "grade").where("doc_id IS NOT NULL AND grade IS NOT NULL")
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(rated)
     # At most ``rated`` rows are sent, and as many texts come back: of documents that share an id, the smallest text.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id").groupBy(
-        "doc_id", "grade").agg(F.min("text").alias("text"))
-    rows = rated_features(texts).toArrow().combine_chunks()
+        "doc_id", "grade").agg(F.min("text").alias("text")).withColumn("place", F.xxhash64("doc_id"))
+    rows = bounded(settle(rated_features(texts), "rated"), entries).toArrow().combine_chunks()
     grades = rows.column("grade").to_numpy()
     if len(np.unique(grades)) < 2:
         return None

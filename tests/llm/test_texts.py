@@ -140,6 +140,78 @@ def test_language_of_odd_texts(spark):
         assert [r["score"] for r in got[3:]] == [float(want == "a")] * 3
 
 
+def letters(text):
+    """The bytes a language is told from: lower case, other signs than letters a space."""
+    data = list((text or "").encode())
+    out = []
+    for i, b in enumerate(data):
+        b = b + 32 if 65 <= b <= 90 else b
+        if i and data[i - 1] == 0xC3 and 0x80 <= b <= 0x9E:
+            b += 32
+        out.append(b if b >= 128 or chr(b).isalpha() else 32)
+    return out
+
+
+def plain_grams(text):
+    """Pairs and triples that hold no two spaces side by side, as hashed numbers."""
+    data, out = letters(text), Counter()
+    for n, factor in ((2, 0x9E3779B1), (3, 0x85EBCA77)):
+        for i in range(len(data) - n + 1):
+            part = data[i:i + n]
+            if (32, 32) not in zip(part, part[1:]):
+                code = 0
+                for b in part:
+                    code = code << 8 | b
+                out[(code * factor & 0xFFFFFFFF) >> 16] += 1
+    return out
+
+
+def plain_language(lessons, text):
+    """Loss of each language by the definition: classifiers per bit, losses weighted by reliance, summed."""
+    languages = sorted({lang for lang, t in lessons if lang and plain_grams(t)})
+    shares = []
+    for lang in languages:
+        counts = sum((plain_grams(t) for own, t in lessons if own == lang), Counter())
+        total = sum(counts.values()) + langid.FEATURES / 2
+        shares.append([(counts[f] + 0.5) / total for f in range(langid.FEATURES)])
+    shares = np.array(shares)
+    code = langid.codewords(len(languages))
+    found = plain_grams(text)
+    n, losses, reliances = sum(found.values()), np.zeros(len(languages)), []
+    for bit in code.T:
+        one, zero = shares[bit == 1].mean(axis=0), shares[bit == -1].mean(axis=0)
+        weights = np.log(one / zero)
+        reliances.append(np.sqrt(((one - zero) * weights).sum()))
+        margin = sum(weights[f] * k for f, k in found.items()) / np.sqrt(n) if n else 0
+        losses += [reliances[-1] * np.log1p(np.exp(-margin * b)) for b in bit]
+    losses /= np.mean(reliances)
+    best = int(np.argmin(losses))
+    return languages[best], 1 / sum(np.exp(losses[best] - x) for x in losses), losses
+
+
+def test_language_against_a_plain_version(spark):
+    """Counts and loss-weighted decoding, with rows repeated, texts of one sign, and a clashing column."""
+    from pyspark.sql import functions as F
+
+    lessons = [("a", "the then that this, 12 "), ("a", "with other things"), ("b", "der die das  und ein"), ("b", "der die das  und ein"),
+               ("c", "le la les des \u00c9T\u00c9 pr\u00e8s"), ("d", "el los una que, por"), (None, "zzz"), ("d", None), ("b", "")]
+    df = spark.createDataFrame([(*x, i, i) for i, x in enumerate(lessons)], "lang string, text string, feature int, n int").repartition(3)
+    counted = {(r["lang"], r["feature"]): r["n"] for r in langid.count_grams(df).collect()}
+    want = Counter()
+    for lang, text in lessons:
+        if lang:
+            want.update({(lang, f): n for f, n in plain_grams(text).items()})
+    assert counted == want
+    asked = ["the other", "DER und das", "\u00e9t\u00e9", "que", "x", "a b", "die that"]
+    predict = langid.predict_with(spark, langid.fit(df))
+    got = spark.createDataFrame([(t,) for t in asked], "text string").select("text", predict(F.col("text")).alias("p")).collect()
+    for row in got:
+        lang, score, losses = plain_language(lessons, row["text"])
+        gap = np.sort(losses)[1] - losses.min()
+        assert row["p"]["lang"] == lang and row["p"]["score"] == pytest.approx(score, rel=1e-4)
+        assert row["p"]["ambiguous"] == (gap < langid.CLEAR)
+
+
 def test_codewords():
     for n in range(12):
         code = langid.codewords(n)
@@ -206,6 +278,76 @@ def test_quality_without_ratings(spark):
     assert got[1] == got[2] and 0 <= got[0]["tail_probability"] <= 1
 
 
+def plain_shape(word):
+    """Letters, capitals, digits and other signs of a word, runs of one kind shortened."""
+    out = []
+    for b in word.encode():
+        kind = "x" if b >= 128 else "A" if 65 <= b <= 90 else "a" if 97 <= b <= 122 else "0" if 48 <= b <= 57 else chr(b)
+        if not out or out[-1] != kind:
+            out.append(kind)
+    return tuple(out)
+
+
+def plain_features(text):
+    """Counts of (word), (shape) and (repeats the word before)."""
+    out, before = Counter(), None
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), word)
+        out.update([("word", lower), ("shape", plain_shape(word)), ("same", lower == before)])
+        before = lower
+    return out
+
+
+def odd_texts():
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("aBc1.-\u00e9") for _ in range(rng.randrange(1, 6)))
+    texts = [" ".join(word() for _ in range(rng.randrange(1, 40))) for _ in range(30)]
+    return [None, "", " \t", "one", "One one ONE", *texts, texts[0], "Word 12 " * 100_000]
+
+
+def test_quality_features_and_scores_against_a_plain_version(spark):
+    """Numbers of features differ by hash only: one number per plain feature, with its count over the root of the words."""
+    texts = odd_texts()
+    df = spark.createDataFrame([(i, i % 3, t, "x") for i, t in enumerate(texts)], "place long, grade int, text string, at string").repartition(4)
+    names = {}
+    rows = {r["place"]: dict(zip(r["at"], r["value"], strict=True)) for r in quality.rated_features(df).collect()}
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        plain, n = plain_features(text), len((text or "").split())
+        assert len(rows[i]) == len(plain)
+        assert sorted(rows[i].values()) == pytest.approx(sorted(c / np.sqrt(n) for c in plain.values()), rel=1e-6)
+        for f in plain:  # a plain feature has the same number in every text
+            names.setdefault(f, set(rows[i])).intersection_update(rows[i])
+    assert all(names.values())
+    model = quality.Model(np.random.default_rng(0).normal(size=quality.FEATURES) * 0.1, np.array([-0.5, 0.75]))
+    got = df.select("place", quality.rate_with(spark, model)("text").alias("r")).collect()
+    for row in got:
+        score = sum(model.weights[f] * v for f, v in rows[row["place"]].items())
+        tails = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+        assert row["r"]["expected_grade"] == pytest.approx(sum(tails), abs=1e-4)
+        assert row["r"]["tail_probability"] == pytest.approx(tails[1], abs=1e-4)
+        assert row["r"]["selected"] == (row["r"]["tail_probability"] >= quality.KEEP)
+
+
+def test_quality_fit_of_repeated_rows_and_bounded_features(spark):
+    """Rows that repeat change nothing; beyond the bound the rated texts that come first by hash are used."""
+    texts = odd_texts()
+    rows = [(i, t, i) for i, t in enumerate(texts)]
+    kind = "doc_id long, text string, place int"
+    rated = spark.createDataFrame([(i, i % 3) for i in range(len(texts))], "doc_id long, grade int")
+    one = quality.fit(spark.createDataFrame(rows, kind), rated)
+    two = quality.fit(spark.createDataFrame(rows + rows[::2], kind).repartition(3), rated.union(rated))
+    # The order of rows is Spark's, so sums differ in the last places.
+    assert np.allclose(one.thresholds, two.thresholds, atol=1e-6) and np.allclose(one.weights, two.weights, atol=1e-6)
+    df = spark.createDataFrame([(i, i % 3, t) for i, t in enumerate(texts)], "place long, grade int, text string")
+    sizes = [len(plain_features(t)) for t in texts]
+    features = quality.rated_features(df).cache()
+    for bound in (-1, 0, sizes[3] + sizes[4], 100, sum(sizes) - 1, sum(sizes)):
+        used = sorted(r["place"] for r in quality.bounded(features, bound).select("place").collect())
+        want = [i for i in range(len(texts)) if sum(sizes[:i + 1]) <= bound] or [0]
+        assert used == want
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     odd = docs.limit(3).union(spark.createDataFrame(
