@@ -54,7 +54,7 @@ PLACES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1",
 @query
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every url: the longest place rule that fits, else the method's own rules, else allow."""
-    rules = [urlfilter.place_rule(*p) for p in PLACES] + urlfilter.SPAM_RULES
+    rules = [urlfilter.place_rule(*p) for p in PLACES] + urlfilter.OWN_RULES
     out = urlfilter.filter_urls(table(spark, sf_dir, "pages"), "page_id", rules)
     named = F.col("rule").isin([p for p, _ in PLACES])
     return out.select("page_id", "host", "path", F.when(named, F.col("rule")).alias("rule"), "verdict",
@@ -63,7 +63,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _places_sql() -> str:
     rows = ", ".join(f"('{h}', '/{p}', '{h}/{p}', '{v}')" for place, v in PLACES for h, _, p in [place.partition("/")])
-    words = ", ".join(f"'{w}'" for w in urlfilter.SPAM_WORDS)
+    own = ", ".join(f"CASE WHEN regexp_matches(host || path, '{r.pattern}') THEN '{r.name}' END" for r in urlfilter.OWN_RULES)
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return f"""
 WITH places(rule_host, rule_path, rule, verdict) AS (VALUES {rows}),
@@ -74,8 +74,7 @@ split AS (SELECT n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{upper
 fits AS (SELECT n, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
     FROM split JOIN places ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
     GROUP BY n),
-words AS (SELECT n, min('host word ' || w) AS own_rule FROM split, (SELECT unnest([{words}]) AS w)
-    WHERE regexp_matches(host, '\\b' || w || '\\b') GROUP BY n)
+words AS (SELECT n, list_min([{own}]) AS own_rule FROM split)
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN own_rule IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
     CASE WHEN rule IS NULL THEN own_rule END AS own_rule
 FROM split LEFT JOIN fits USING (n) LEFT JOIN words USING (n)"""

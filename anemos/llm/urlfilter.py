@@ -108,6 +108,22 @@ def filter_urls(rows: DataFrame, key: str, rules: list[Rule], url_col: str = "ur
         F.coalesce("verdict", F.lit(otherwise)).alias("verdict"))
 
 
-#: The method's own rules: words that stand alone in a host name.
+#: The method's own rules: words that stand alone in a host name, and pages that hold no prose. Each pattern's tokens
+#: are whole in everything that it matches, and behind the last one the place ends or another sign follows.
 SPAM_WORDS = ("spam", "pills", "bets", "casino", "porn", "xxx", "viagra", "escorts", "payday", "jackpot")
+EMPTY_PAGES = (
+    ("login page", r"/wp-login\.php\z", ("wp", "login", "php")),
+    ("user login", r"/user/login(?:/|\z)", ("user", "login")),
+    ("script folder", r"^[^/]*/cgi-bin/", ("cgi", "bin")),
+    ("checkout", r"/cart/checkout(?:/|\z)", ("cart", "checkout")),
+    ("calendar day", r"/calendar/[0-9]{4}/[0-9]{2}(?:/|\z)", ("calendar",)),
+    ("search result", r"/search/results(?:/|\z)", ("search", "results")),
+    ("tag listing", r"/tag/[^/]+/page/[0-9]+(?:/|\z)", ("tag", "page")),
+    ("member profile", r"/forum/(?:[^/]+/)*profile/[0-9]+(?:/|\z)", ("forum", "profile")),
+    ("printed copy", r"/print/[0-9]+\.html\z", ("print", "html")),
+    ("session number", r";jsessionid=[0-9A-Fa-f]{32}(?:[./]|\z)", ("jsessionid",)),
+    ("free download", r"^[^/]*\bfree\b[^/]*/download(?:/|\z)", ("free", "download")),
+    ("torrent", r"\.torrent\z", ("torrent",)),
+)
 SPAM_RULES = [Rule(f"host word {w}", "block", rf"^[^/]*\b{w}\b", (w,), -1) for w in SPAM_WORDS]
+OWN_RULES = SPAM_RULES + [Rule(name, "block", pattern, own, -1) for name, pattern, own in EMPTY_PAGES]
