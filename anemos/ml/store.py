@@ -12,14 +12,15 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemos.session import shared_dir
+from anemos.session import fresh_path, settle, shared_dir
 from anemos.sources.writers import stored_table, table_fingerprint
 
 INDEX = "key string, path string, created string, rows long, algorithm string, parameters string"
@@ -39,8 +40,12 @@ def parameters(pipeline: Pipeline) -> dict[str, str]:
 def model_key(rows: DataFrame, pipeline: Pipeline) -> tuple[str, int]:
     """Key and number of training rows; the rows' order and partitions don't matter."""
     found = table_fingerprint(rows, rows.columns).first()
-    text = json.dumps([rows.columns, found["digest"], parameters(pipeline), rows.sparkSession.version], sort_keys=True)
-    return hashlib.sha256(text.encode()).hexdigest(), found["rows"]
+    return _key(rows, found["digest"], pipeline), found["rows"]
+
+
+def _key(rows: DataFrame, digest: str, pipeline: Pipeline) -> str:
+    text = json.dumps([rows.columns, digest, parameters(pipeline), rows.sparkSession.version], sort_keys=True)
+    return hashlib.sha256(text.encode()).hexdigest()
 
 
 def _log(spark: SparkSession, path: str, schema: str, /, **line) -> None:
@@ -56,9 +61,14 @@ def index(spark: SparkSession, root: str) -> DataFrame:
 
 def load(spark: SparkSession, root: str, key: str) -> PipelineModel | None:
     """The stored model of a key; None where there is none, or where its folder has gone."""
+    path = _path(spark, root, key)
+    return None if path is None else PipelineModel.load(path)
+
+
+def _path(spark: SparkSession, root: str, key: str) -> str | None:
     for line in reversed(index(spark, root).where(F.col("key") == key).collect()):
         if stored_table(spark, f"{line['path']}/metadata", "text") is not None:
-            return PipelineModel.load(line["path"])
+            return line["path"]
     return None
 
 
@@ -85,6 +95,65 @@ def fit_once(rows: DataFrame, pipeline: Pipeline, root: str | None = None,
     return model, key
 
 
+@dataclass(frozen=True)
+class PartedForest:
+    """A forest stored in parts, each a forest of some of its trees: its prediction is the mean over all trees.
+
+    One part at a time is in memory. Trees grow with their rows, so a whole forest may not fit into the driver.
+    """
+
+    spark: SparkSession
+    paths: tuple[str, ...]
+
+    def _parts(self) -> Iterator[PipelineModel]:
+        for path in self.paths:
+            yield PipelineModel.load(path)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Rows with their ``prediction``; they are stored once, and each part adds one number per row."""
+        if len(self.paths) == 1:
+            return PipelineModel.load(self.paths[0]).transform(df)
+        rows = settle(df.withColumn("_row", F.monotonically_increasing_id()), "unscored")
+        out = fresh_path(self.spark, "parts")
+        for i, part in enumerate(self._parts()):
+            trees = part.stages[-1].getNumTrees
+            part.transform(rows).select("_row", F.lit(i).alias("_part"), F.lit(trees).alias("_trees"), "prediction").write.mode(
+                "append").parquet(out)
+        # Added in the order of the parts, so that a sum does not depend on the order of files.
+        listed = F.array_sort(F.collect_list(F.struct("_part", (F.col("prediction") * F.col("_trees")).alias("_sum"))))
+        mean = F.aggregate(listed, F.lit(0.0), lambda a, x: a + x["_sum"]) / F.sum("_trees")
+        sums = self.spark.read.parquet(out).groupBy("_row").agg(mean.alias("prediction"))
+        return rows.join(sums, "_row").drop("_row")
+
+    def importances(self) -> list[float]:
+        """Importance per input: the mean over the trees that split, as Spark ML has it for one forest."""
+        total: list[float] = []
+        for part in self._parts():
+            forest = part.stages[-1]
+            split = sum(tree.numNodes > 1 for tree in forest.trees)
+            values = [float(v) * split for v in forest.featureImportances.toArray()]
+            total = [a + b for a, b in zip(total, values)] if total else values
+        whole = sum(total)
+        return [v / whole for v in total] if whole else total
+
+
+def fit_parts(rows: DataFrame, plan: Callable[[int], Sequence[Pipeline]], root: str | None = None) -> PartedForest:
+    """The forest whose parts ``plan`` gives for the number of rows; parts that are stored are not fitted again.
+
+    ``rows`` is read more than once and should be a stored table.
+    """
+    spark = rows.sparkSession
+    root = root or default_root(spark)
+    found = table_fingerprint(rows, rows.columns).first()
+    paths = []
+    for pipeline in plan(found["rows"]):
+        key = _key(rows, found["digest"], pipeline)
+        if _path(spark, root, key) is None:
+            save(spark, root, key, pipeline.fit(rows), found["rows"], pipeline)
+        paths.append(_path(spark, root, key))
+    return PartedForest(spark, tuple(paths))
+
+
 def set_alias(spark: SparkSession, root: str, alias: str, key: str) -> None:
     """Let an alias name a stored model from now on."""
     if index(spark, root).where(F.col("key") == key).isEmpty():

@@ -17,6 +17,12 @@ from anemos.schemas import require_columns
 
 TARGET = "quality_index"
 BUCKET_DIGITS = 5  # 16^5 = 1 048 576 digest buckets
+#: Trees times rows that one fit holds. Deep trees have nodes in proportion to their rows, and a fit keeps all its trees in the driver.
+FIT_ROWS = 8_000_000
+#: Megabytes of split statistics that a task of a fit holds; more nodes than fit into them take another pass.
+FIT_MB = 128
+#: Distance of the parts' seeds. Spark draws a partition's rows with seed + partition, so it is wider than any number of partitions.
+SEED_STEP = 1_000_003
 
 
 def training_set(features: DataFrame, series: Series, minimum_kn, columns=MODEL_FEATURES,
@@ -74,7 +80,7 @@ def build_model(algorithm: str = "random_forest", columns=MODEL_FEATURES, seed:
     shared = dict(featuresCol="features_vector", labelCol=TARGET, predictionCol="prediction", seed=seed)
     if algorithm == "random_forest":
         tree = RandomForestRegressor(numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", bootstrap=bootstrap,
-                                     cacheNodeIds=True, maxMemoryInMB=1024, **shared)
+                                     cacheNodeIds=True, maxMemoryInMB=FIT_MB, **shared)
     elif algorithm == "gradient_boosting":
         tree = GBTRegressor(maxIter=rounds, maxDepth=min(depth, 3), **shared)
     else:
@@ -82,6 +88,13 @@ def build_model(algorithm: str = "random_forest", columns=MODEL_FEATURES, seed:
     return Pipeline(stages=[assembler, tree])
 
 
+def forest_parts(rows: int, trees: int = 200, seed: int = 42, **parameters) -> list[Pipeline]:
+    """A forest as fits of as many trees as go with this many rows; a small table has one."""
+    share = max(1, min(trees, FIT_ROWS // max(rows, 1)))
+    return [build_model(seed=seed + SEED_STEP * i, trees=min(share, trees - first), **parameters)
+            for i, first in enumerate(range(0, trees, share))]
+
+
 def score(model, df: DataFrame) -> DataFrame:
     """Predictions of all spots in one pass."""
     return model.transform(df).drop("features_vector")
@@ -89,7 +102,7 @@ def score(model, df: DataFrame) -> DataFrame:
 
 def feature_importance(model, df: DataFrame, columns=MODEL_FEATURES) -> DataFrame:
     """Importance per feature, ascending: one row per model input."""
-    values = model.stages[-1].featureImportances.toArray()
+    values = model.importances() if hasattr(model, "importances") else model.stages[-1].featureImportances.toArray()
     rows = [(c, float(v)) for c, v in zip(columns, values)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy("importance", "feature")
 

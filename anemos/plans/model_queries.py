@@ -48,7 +48,10 @@ def fitted(t: Tables, algorithm: str = "random_forest"):
     """Settled, split training set and the model of its training part: fitted once, then loaded from the model store."""
     rows = settle(training_rows(t), "training")
     split = ml.holdout_split(rows, ("spot_id", "event_id"))
-    model, _ = store.fit_once(split.where("split = 'train'").drop("split"), ml.build_model(algorithm))
+    train = split.where("split = 'train'").drop("split")
+    if algorithm == "random_forest":
+        return split, store.fit_parts(train, ml.forest_parts)
+    model, _ = store.fit_once(train, ml.build_model(algorithm))
     return split, model
 
 

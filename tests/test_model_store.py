@@ -73,3 +73,28 @@ def test_aliases(spark, data, tmp_path):
     assert ml.score(store.load_alias(spark, root, "candidate"), data).count() == 60
     with pytest.raises(KeyError):
         store.set_alias(spark, root, "champion", "unknown")
+
+
+def test_a_forest_in_parts_is_the_mean_of_its_trees(spark, data, tmp_path, monkeypatch):
+    monkeypatch.setattr(ml, "FIT_ROWS", 120)
+    plan = lambda rows: ml.forest_parts(rows, trees=5, columns=SPACE, depth=3)
+    root = str(tmp_path)
+    forest = store.fit_parts(data, plan, root)
+    parts = [store.PipelineModel.load(p).stages[-1] for p in forest.paths]
+    assert [p.getNumTrees for p in parts] == [2, 2, 1]
+    scored = ml.score(forest, data)
+    assert scored.columns == [*data.columns, "prediction"]
+    got = {r.id: r.prediction for r in scored.collect()}
+    vector = store.PipelineModel.load(forest.paths[0]).stages[0].transform(data).collect()
+    assert got == {r.id: pytest.approx(sum(t.predict(r.features_vector) for p in parts for t in p.trees) / 5) for r in vector}
+    ranked = {r.feature: r.importance for r in ml.feature_importance(forest, data, SPACE).collect()}
+    assert ranked == {"f0": pytest.approx(1.0), "f1": 0.0}
+    assert store.fit_parts(data.repartition(3), plan, root) == forest and store.index(spark, root).count() == 3
+
+
+def test_the_parts_of_a_forest_hold_all_its_trees():
+    few, many = ml.forest_parts(8_000), ml.forest_parts(470_000)
+    trees = lambda parts: [p.getStages()[-1].getNumTrees() for p in parts]
+    assert trees(few) == [200] and sum(trees(many)) == 200
+    assert max(trees(many)) * 470_000 <= ml.FIT_ROWS and trees(ml.forest_parts(10**9)) == [1] * 200
+    assert len({p.getStages()[-1].getSeed() for p in many}) == len(many) and few[0].getStages()[-1].getSeed() == 42
