@@ -31,14 +31,17 @@ def _watermark(df: DataFrame, column: str, delay: str, wanted: Column | None = N
     return df.withWatermark(column, delay).where(F.when(before_end, F.lit(True) if wanted is None else wanted))
 
 
-def ingest_events(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Typed events without repeats. Rows without a prediction time can't be tracked: all of them pass."""
+def ingest_events(events: DataFrame, delay: str = "1 day", key=EVENT_KEY) -> DataFrame:
+    """Typed events without repeats, which agree in ``key``. Rows without a prediction time can't be tracked: all of them pass.
+
+    A log that numbers its events has the number in its key: of two events that only share model, spot and times both stay.
+    """
     timed = events.where(F.col("prediction_timestamp").isNotNull())
     untimed = events.where(F.col("prediction_timestamp").isNull())
     if events.isStreaming:
-        once = timed.withWatermark("prediction_timestamp", delay).dropDuplicatesWithinWatermark(list(EVENT_KEY))
+        once = timed.withWatermark("prediction_timestamp", delay).dropDuplicatesWithinWatermark(list(key))
     else:
-        once = timed.dropDuplicates(list(EVENT_KEY))
+        once = timed.dropDuplicates(list(key))
     return once.unionByName(untimed)
 
 

@@ -8,6 +8,7 @@ from anemos.operators.features import wind_steadiness
 from anemos.operators.ordered import Series
 from anemos.plans import stream_queries as sq
 from anemos.plans.bindings import READINGS
+from anemos.plans.catalog import QUERIES
 from anemos.streaming import jobs
 
 
@@ -37,6 +38,16 @@ def test_ingest(feed):
     assert twin.where("prediction_timestamp IS NULL").count() > 0
 
 
+def test_different_events_of_one_time_model_and_spot_stay(spark, tmp_path):
+    events = spark.read.parquet(f"{SMALL}/events.parquet").where("event_id < 60")
+    events.unionAll(events.withColumns({"event_id": F.col("event_id") + 100_000, "user_id": F.col("user_id") + 1500})).coalesce(1).write.parquet(
+        str(tmp_path / "written"))
+    (part,) = (tmp_path / "written").glob("*.parquet")
+    (tmp_path / "events.parquet").write_bytes(part.read_bytes())
+    got = QUERIES["stream_event_ingest"](spark, str(tmp_path)).where("prediction_timestamp IS NOT NULL")
+    assert sorted(r.seq for r in got.collect()) == [n for k in (0, 100_000) for n in range(k, k + 60) if n % 101]
+
+
 def sessions(df):
     return jobs.alert_sessions(df, F.col("value") > 20, "2 hours", 15)
 
