@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ NUMERIC = ("double", "float", "integer", "long", "short", "byte", "decimal")
 LARGE_SAMPLE = 1000
 #: Product of both sides' rows up to which the Kolmogorov-Smirnov p-value is exact.
 EXACT_PATHS = 10_000
+#: Rows of a task that counts values per group, before they are melted to a row per column.
+ROWS_PER_TASK = 25_000
+#: Tasks at most; beyond, they hold more rows.
+MOST_TASKS = 20_000
 
 
 def shared_columns(reference: DataFrame, current: DataFrame, allowed=None) -> list[str]:
@@ -73,11 +79,15 @@ def _walked(df: DataFrame, columns, by, rows_per_segment: int | None) -> tuple[D
 
     Rows are counted per distinct value before anything is ordered. The running
     counts then go through the cut series, so a column with billions of
-    distinct values does not end up in one task.
+    distinct values does not end up in one task. Small groups are dealt out whole before they are
+    melted: all later steps then stay in their task, whose rows don't grow with the table.
     """
-    melted = _melt(df, columns, by, "double")
     # A group has at least as many rows as any of its columns has values.
-    largest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    found = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"), F.sum("n").alias("rows")).first()
+    largest = found["largest"] or 0
+    if by and largest <= min(ROWS_PER_TASK, rows_per_segment or ordered.ROWS_PER_SEGMENT):
+        df = df.repartition(min(MOST_TASKS, ceil((found["rows"] or 1) / ROWS_PER_TASK)), *by)
+    melted = _melt(df, columns, by, "double")
     series = Series((*by, "column"), ("value",))
     if largest > (rows_per_segment or ordered.ROWS_PER_SEGMENT):
         series = Series.measure(melted, series.keys, series.order, rows_per_segment)

@@ -117,3 +117,16 @@ def test_categories_by_size(spark):
     small = d.drift_verdict(d.drift_categories(df, ["v"])).first()
     assert abs(small.score - plain_chi_square_p(small.statistic, 2)) < 1e-12 and small.drifted and small.threshold == 0.05
     assert rows(d.drift_categories(df.where("v = 'a'"), ["v"]), "score") == [(1.0,)]
+
+
+def test_small_groups_are_dealt_out_by_rows(spark, monkeypatch):
+    """A task has as many rows whatever the table's size, and one shuffle serves counting and ordering."""
+    df = spark.range(400).select((F.col("id") % 40).alias("g"), F.when(F.col("id") < 200, "reference").otherwise("current").alias("side"),
+                                 (F.col("id") * 7 % 13).cast("double").alias("x"), (F.col("id") * 5 % 11).cast("double").alias("y"))
+    names = ("g", "column", "statistic", "reference_rows", "current_rows", "score")
+    whole = rows(d.drift_ks(df, ("x", "y"), ("g",), rows_per_segment=5), *names)  # cut groups go the other way
+    monkeypatch.setattr(d, "ROWS_PER_TASK", 20)
+    walked = d._walked(df, ("x", "y"), ("g",), None)[0]
+    assert walked.rdd.getNumPartitions() == 20
+    assert walked._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+    assert rows(d.drift_ks(df, ("x", "y"), ("g",)), *names) == whole
