@@ -122,3 +122,8 @@ def test_a_null_key_is_cut_like_any_other(spark):
     plain = o.Series(("spot_id",), ("time", "event_id"))
     gaps = df.withColumn("v", F.when(F.col("event_id") % 50 == 0, F.col("v")))
     assert rows(o.fill(gaps, series, {"x": "v"}), "event_id", "x") == rows(o.fill(gaps, plain, {"x": "v"}), "event_id", "x")
+
+
+def test_a_key_of_millions_of_rows_is_cut(spark):
+    """The rows of a segment, some 300 bytes each in an as-of join, must fit a task."""
+    assert o.Series.measure(spark.range(3_000_000).withColumn("k", F.lit(0)), ("k",), ("id",)).is_cut
