@@ -19,7 +19,7 @@ from anemos.plans.event_queries import GAUGE_PART, PAIRS_SQL, SPOT_PART, _melt_s
 from anemos.plans.join_queries import _CHECKED, _NULLS, GRID_SQL, _violation_sql
 from anemos.plans.metric_queries import _SUMMARY
 from anemos.plans.registry import query, rounded
-from anemos.plans.source_queries import land_entities
+from anemos.plans.source_queries import land_deliveries
 from anemos.session import fresh_path, settle
 from anemos.sources import readers, writers
 from anemos.sources.slicestore import SliceStore
@@ -95,15 +95,11 @@ def landed_units(t: Tables) -> DataFrame:
 
 
 def ingest(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Readings from one landed file per spot whose units are known, and what became of every spot's delivery."""
+    """Readings from landed files of many spots, where their units are known, and what became of every spot's delivery."""
     path, documents = fresh_path(t.spark, "entity"), fresh_path(t.spark, "documents")
-    landed = t.readings.withColumnRenamed("spot_id", "spot")
-    good = landed.where(f"NOT ({_BROKEN})")
-    land_entities(good, path)
-    landed.where(_BROKEN).select(F.concat("spot", F.lit(".parquet")).alias("file"), F.lit("not parquet").alias("value")).write.mode(
-        "append").partitionBy("file").text(path)
+    manifest = land_deliveries(t.readings, _BROKEN, path)
     landed_units(t).write.text(documents)
-    rows, report = readers.read_isolated(t.spark, path, good.drop("spot").schema)
+    rows, report = readers.read_isolated(t.spark, path, t.readings.schema, manifest)
     units = q.unit_contract(readers.hourly_units(readers.read_hourly_payloads(t.spark, documents, one_per_file=False)), ("spot_id",))
     refused = settle(units.where("status = 'rejected'").select("spot_id").distinct().withColumn("refused", F.lit(True)), "refused")
     status = readers.entity_status(t.spots.select("spot_id"), report).join(refused, "spot_id", "left")

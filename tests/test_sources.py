@@ -224,3 +224,34 @@ def test_delivered_files_hold_all_events(spark):
     signed = {r["user_id"] for r in events if r["event_type"] == "signup"}
     want = sum(r["user_id"] in signed and r["user_id"] % 4 != 0 for r in events)
     assert delivered(Tables(spark, SMALL))[0].count() == want > sum(r["event_type"] == "signup" for r in events)
+
+
+def test_bad_files_of_many_spots_take_their_spots_along(spark, tmp_path):
+    for delivery, spots in (("one", "ab"), ("two", "cd"), ("three", "de"), ("four", "f")):
+        spark.createDataFrame([(s, float(i)) for s in spots for i in range(3)], "spot_id string, v double").coalesce(1).write.parquet(
+            str(tmp_path / f"{delivery}.parquet"))
+    for part in (tmp_path / "three.parquet").glob("part-*"):
+        part.write_text("this is no parquet file")
+    spark.createDataFrame([("f", 9.0)], "spot_id string, v double").coalesce(1).write.parquet(str(tmp_path / "five.parquet"))
+    next((tmp_path / "four.parquet").glob("part-*")).with_name("part-more.parquet").write_text("nothing")
+    manifest = spark.createDataFrame([("one", "a"), ("one", "b"), ("two", "c"), ("two", "d"), ("three", "d"), ("three", "e"), ("six", "g")],
+                                     "delivery string, spot_id string")
+    schema = spark.createDataFrame([], "spot_id string, v double").schema
+    found, report = readers.read_isolated(spark, str(tmp_path), schema, manifest)
+    # The manifest says that d and e were in the broken file; f is named nowhere, but stands in a folder with a broken file.
+    assert rows(found.groupBy("spot_id").agg(F.count("*").alias("n")), "spot_id", "n") == [("a", 3), ("b", 3), ("c", 3)]
+    spots = spark.createDataFrame([(s,) for s in "abcdefgh"], "spot_id string")
+    assert rows(readers.entity_status(spots, report), "spot_id", "status") == [
+        ("a", "delivered"), ("b", "delivered"), ("c", "delivered"), ("d", "foreign"), ("e", "foreign"), ("f", "foreign"), ("g", "absent"), ("h", "absent")]
+
+
+def test_files_grow_with_rows_not_with_spots(spark, tmp_path, monkeypatch):
+    from anemos.plans import source_queries
+
+    monkeypatch.setattr(source_queries, "SPOTS_PER_FILE", 50)
+    events = spark.range(0, 1200, 1, 6).select(F.concat(F.lit("s"), F.col("id") % 300).alias("spot_id"), (F.col("id") % 300).alias("user_id"))
+    manifest = source_queries.land_deliveries(events, "user_id % 4 = 0", str(tmp_path / "landed"))
+    files = [f for f in (tmp_path / "landed").rglob("part-*") if f.is_file()]
+    assert len(files) <= 12 and manifest.count() == 300
+    found, report = readers.read_isolated(spark, str(tmp_path / "landed"), events.schema, manifest)
+    assert found.count() == 900 and rows(report.groupBy("reason").count(), "reason", "count") == [("foreign", 75), ("ok", 225)]
