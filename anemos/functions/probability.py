@@ -59,19 +59,23 @@ def band_exit_p(gap: Column, n: Column, m: Column) -> Column:
     """Probability that a random path of n steps right and m steps up leaves the band |i m - j n| < gap.
 
     This is the exact two-sample Kolmogorov-Smirnov p-value for gap = statistic n m. Paths are followed one
-    diagonal (i + j = t) after the other: a path at (i, j) came from the left with probability i / t.
+    diagonal (i + j = t) after the other: a path at (i, j) came from the left with probability i / t. Of a diagonal
+    only the places about the band are followed.
     """
-    places = F.sequence(F.lit(0).cast("long"), n)
+    def first(t: Column) -> Column:
+        return F.greatest(F.lit(0).cast("long"), t - m, F.floor((t * n - gap) / (n + m)))
+
+    def last(t: Column) -> Column:
+        return F.least(n, t, F.ceil((t * n + gap) / (n + m)))
 
     def diagonal(before: Column, t: Column) -> Column:
         def at(i: Column) -> Column:
             j = t - i
-            left, down = (F.coalesce(F.get(before, k.cast("int")), F.lit(0.0)) for k in (i - 1, i))
+            left, down = (F.coalesce(F.get(before, (k - first(t - 1)).cast("int")), F.lit(0.0)) for k in (i - 1, i))
             outside = (j < 0) | (j > m) | (F.abs(i * m - j * n) >= gap)
             return F.when(outside, 0.0).otherwise(i / t * left + j / t * down)
 
-        return F.transform(places, at)
+        return F.transform(F.sequence(first(t), last(t)), at)
 
-    start = F.transform(places, lambda i: F.when(i == 0, 1.0).otherwise(0.0))
-    inside = F.aggregate(F.sequence(F.lit(1).cast("long"), n + m), start, diagonal, lambda last: F.element_at(last, -1))
+    inside = F.aggregate(F.sequence(F.lit(1).cast("long"), n + m), F.array(F.lit(1.0)), diagonal, lambda end: F.element_at(end, -1))
     return F.when(gap <= 0, 1.0).otherwise(F.least(F.greatest(1.0 - inside, F.lit(0.0)), F.lit(1.0)))

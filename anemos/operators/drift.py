@@ -26,6 +26,8 @@ LARGE_SAMPLE = 1000
 EXACT_PATHS = 10_000
 #: Rows of a task that counts values per group, before they are melted to a row per column.
 ROWS_PER_TASK = 25_000
+#: Cases of the exact Kolmogorov-Smirnov test that a task follows.
+CASES_PER_TASK = 200
 #: Tasks at most; beyond, they hold more rows.
 MOST_TASKS = 20_000
 
@@ -116,7 +118,10 @@ def _ks_score(tested: DataFrame, by) -> DataFrame:
     # Many groups share sizes and statistic: each such case is followed once.
     tested = settle(tested.withColumn("_gap", F.when(small, gap)), "tested")
     names = ["_gap", "reference_rows", "current_rows"]
-    cases = tested.where("_gap IS NOT NULL").select(*names).distinct().withColumn("_exact", band_exit_p(F.col("_gap"), n, m))
+    cases = settle(tested.where("_gap IS NOT NULL").select(*names).distinct(), "cases")
+    # A case is a few bytes and milliseconds of work: by its size, all of them would be one task.
+    tasks = min(MOST_TASKS, max(1, ceil(cases.count() / CASES_PER_TASK)))
+    cases = cases.repartition(tasks, *names).withColumn("_exact", band_exit_p(F.col("_gap"), n, m))
     return tested.join(cases, names, "left").withColumn("score", F.coalesce("_exact", asymptotic)).drop("_gap", "_exact")
 
 

@@ -130,3 +130,29 @@ def test_small_groups_are_dealt_out_by_rows(spark, monkeypatch):
     assert walked.rdd.getNumPartitions() == 20
     assert walked._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
     assert rows(d.drift_ks(df, ("x", "y"), ("g",)), *names) == whole
+
+
+def test_exact_cases_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(d, "CASES_PER_TASK", 3)
+    tested = spark.createDataFrame([(f"g{i}", i / 20, 20, 30 + i) for i in range(1, 19)], "g string, statistic double, reference_rows long, current_rows long")
+    found = d._ks_score(tested, ("g",))
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+    for r in found.collect():
+        assert abs(r.score - plain_band_exit(round(r.statistic * r.reference_rows * r.current_rows), r.reference_rows, r.current_rows)) < 1e-12
+
+
+def plain_band_exit(gap: int, n: int, m: int) -> float:
+    """All cells of the lattice, one diagonal after the other."""
+    inside = {(0, 0): 1.0}
+    for t in range(1, n + m + 1):
+        for i in range(max(0, t - m), min(n, t) + 1):
+            j = t - i
+            inside[i, j] = 0.0 if abs(i * m - j * n) >= gap else i / t * inside.get((i - 1, j), 0.0) + j / t * inside.get((i, j - 1), 0.0)
+    return min(max(1 - inside[n, m], 0.0), 1.0)
+
+
+def test_narrow_and_wide_bands(spark):
+    cases = [(gap, n, m) for n, m in ((1, 1), (1, 9), (9, 1), (7, 13), (40, 3), (30, 31), (100, 100)) for gap in (1, 2, n, m, n * m // 3 + 1, n * m, n * m + 1)]
+    df = spark.createDataFrame(cases, "g long, n long, m long")
+    for r in df.withColumn("p", prob.band_exit_p(F.col("g"), F.col("n"), F.col("m"))).collect():
+        assert r.p == plain_band_exit(r.g, r.n, r.m)
