@@ -21,6 +21,8 @@ BUCKET_DIGITS = 5  # 16^5 = 1 048 576 digest buckets
 FIT_ROWS = 8_000_000
 #: Megabytes of split statistics that a task of a fit holds; more nodes than fit into them take another pass.
 FIT_MB = 128
+#: Rows that a task passes over in a pass of boosting, at most and (where the table is small) at least.
+MOST_PASSED, LEAST_PASSED = 1_000_000, 10_000
 #: Distance of the parts' seeds. Spark draws a partition's rows with seed + partition, so it is wider than any number of partitions.
 SEED_STEP = 1_000_003
 
@@ -95,6 +97,17 @@ def forest_parts(rows: int, trees: int = 200, seed: int = 42, **parameters) -> l
             for i, first in enumerate(range(0, trees, share))]
 
 
+def dealt(rows: DataFrame, keys, count: int) -> DataFrame:
+    """About ``count`` rows in equal parts, as many for every core.
+
+    Boosting passes over its rows three times a round, and each pass waits for its largest part. Parts of a stored table are as its
+    files are: uneven, and one more than there are cores takes twice the time.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = min(cores * max(1, math.ceil(count / (cores * MOST_PASSED))), max(1, count // LEAST_PASSED))
+    return rows.repartition(parts, *keys)
+
+
 def score(model, df: DataFrame) -> DataFrame:
     """Predictions of all spots in one pass."""
     return model.transform(df).drop("features_vector")

@@ -47,11 +47,13 @@ def training_counts(t: Tables):
 def fitted(t: Tables, algorithm: str = "random_forest"):
     """Settled, split training set and the model of its training part: fitted once, then loaded from the model store."""
     rows = settle(training_rows(t), "training")
-    split = ml.holdout_split(rows, ("spot_id", "event_id"))
+    keys = ("spot_id", "event_id")
+    split = ml.holdout_split(rows, keys)
     train = split.where("split = 'train'").drop("split")
     if algorithm == "random_forest":
         return split, store.fit_parts(train, ml.forest_parts)
-    model, _ = store.fit_once(train, ml.build_model(algorithm))
+    pipeline = ml.build_model(algorithm)
+    model, _ = store.fit_once(train, pipeline, fit=lambda found: pipeline.fit(ml.dealt(found, keys, rows.count())))
     return split, model
 
 

@@ -51,3 +51,12 @@ def test_unknown_algorithm():
 def test_counts(data):
     r = ml.training_counts(ml.holdout_split(data, ("id",)), SPACE).first()
     assert tuple(r) == (400, 3, 320, 80)
+
+
+def test_boosting_rows_are_dealt_out_evenly(spark):
+    """A table of one large and several small parts: every core gets about the same number of rows, none gets lost."""
+    uneven = spark.range(0, 40_000, 1, 1).unionAll(spark.range(40_000, 41_000, 1, 4))
+    parts = [n for n in ml.dealt(uneven, ("id",), 41_000).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()]
+    assert len(parts) == spark.sparkContext.defaultParallelism and sum(parts) == 41_000
+    assert max(parts) < 1.1 * 41_000 / len(parts)
+    assert ml.dealt(uneven, ("id",), 100).rdd.getNumPartitions() == 1
