@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anemos.functions.probability import band_exit_p, chi_square_p
@@ -76,19 +76,29 @@ def _side_counts(melted: DataFrame, by) -> DataFrame:
         F.count_if(F.col("side") == "current").alias("_b"))
 
 
-def _walked(df: DataFrame, columns, by, rows_per_segment: int | None) -> tuple[DataFrame, DataFrame, Series]:
-    """Values per column (and group) with counts and running counts of both sides, the melted rows, and their series.
+def _dealt(df: DataFrame, by, rows_per_segment: int | None) -> tuple[DataFrame, int, bool]:
+    """The rows, those of the largest group, and whether groups are small: then they are dealt out whole.
 
-    Rows are counted per distinct value before anything is ordered. The running
-    counts then go through the cut series, so a column with billions of
-    distinct values does not end up in one task. Small groups are dealt out whole before they are
-    melted: all later steps then stay in their task, whose rows don't grow with the table.
+    Small groups are dealt out before they are melted: all later steps then stay in their task, whose rows don't grow with the table.
     """
     # A group has at least as many rows as any of its columns has values.
     found = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"), F.sum("n").alias("rows")).first()
     largest = found["largest"] or 0
-    if by and largest <= min(ROWS_PER_TASK, rows_per_segment or ordered.ROWS_PER_SEGMENT):
+    small = bool(by) and largest <= min(ROWS_PER_TASK, rows_per_segment or ordered.ROWS_PER_SEGMENT)
+    if small:
         df = df.repartition(min(MOST_TASKS, ceil((found["rows"] or 1) / ROWS_PER_TASK)), *by)
+    return df, largest, small
+
+
+def _walked(df: DataFrame, columns, by, rows_per_segment: int | None,
+            dealt: tuple[DataFrame, int, bool] | None = None) -> tuple[DataFrame, DataFrame, Series]:
+    """Values per column (and group) with counts and running counts of both sides, the melted rows, and their series.
+
+    Rows are counted per distinct value before anything is ordered. The running
+    counts then go through the cut series, so a column with billions of
+    distinct values does not end up in one task.
+    """
+    df, largest, _ = dealt or _dealt(df, by, rows_per_segment)
     melted = _melt(df, columns, by, "double")
     series = Series((*by, "column"), ("value",))
     if largest > (rows_per_segment or ordered.ROWS_PER_SEGMENT):
@@ -107,6 +117,24 @@ def _largest_gap() -> tuple[Column, ...]:
     return F.max(_gap()).alias("statistic"), F.max("_ta").alias("reference_rows"), F.max("_tb").alias("current_rows")
 
 
+def _small_gaps(dealt: DataFrame, columns, by) -> DataFrame:
+    """Largest gap per column of small groups that are dealt out whole.
+
+    Their rows are ordered at once, without counting values first: equal values are peers of one range frame. Columns are numbers
+    until there is one row of each, as most of the time goes into sorting.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("_at"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)])
+    melted = dealt.select(*by, "side", F.inline(cells)).where(F.col("value").isNotNull())
+    w = Window.partitionBy(*by, "_at").orderBy("value")
+    up_to, whole = w.rangeBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    a, b = (F.when(F.col("side") == side, 1) for side in ("reference", "current"))
+    walked = melted.withColumns({"_ca": F.count(a).over(up_to), "_cb": F.count(b).over(up_to),
+                                 "_ta": F.count(a).over(whole), "_tb": F.count(b).over(whole)})
+    names = F.array(*[F.lit(c) for c in columns])
+    return walked.groupBy(*by, "_at").agg(*_largest_gap()).select(
+        *by, F.get(names, "_at").alias("column"), "statistic", "reference_rows", "current_rows")
+
+
 def _ks_score(tested: DataFrame, by) -> DataFrame:
     """Add the p-value of a Kolmogorov-Smirnov statistic: exact where both sides are small, else asymptotic."""
     n, m = F.col("reference_rows"), F.col("current_rows")
@@ -127,8 +155,12 @@ def _ks_score(tested: DataFrame, by) -> DataFrame:
 
 def drift_ks(df: DataFrame, columns, by=(), rows_per_segment: int | None = None) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per column (and group)."""
-    walked, _, _ = _walked(df, columns, by, rows_per_segment)
-    tested = walked.groupBy(*by, "column").agg(*_largest_gap())
+    dealt = rows, _, small = _dealt(df, by, rows_per_segment)
+    if small:
+        tested = _small_gaps(rows, columns, by)
+    else:
+        walked, _, _ = _walked(df, columns, by, rows_per_segment, dealt)
+        tested = walked.groupBy(*by, "column").agg(*_largest_gap())
     return _ks_score(tested, by).withColumn("method", F.lit("ks p_value"))
 
 

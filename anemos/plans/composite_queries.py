@@ -188,8 +188,10 @@ def metrics_rollup(t: Tables):
             F.when(whole, F.col("dataset")).otherwise(F.concat_ws(".", "dataset", "column")).alias("label"), "value"))
         .unionByName(summary_metrics_long(t.runs).select(F.col("metric").alias("name"), F.col("run_id").alias("label"), "value"))
     )
-    stored = settle(table.withColumn("labels", F.create_map(F.lit("key"), F.col("label"))), "samples")
-    worst = aggregate_samples(select_samples(stored, "drift_share_of_drifted_columns"), "max")
-    return stored.drop("labels").unionByName(
+    # The label map repeats the label: only the selection reads it, so it is not stored.
+    stored = settle(table, "samples")
+    labelled = stored.withColumn("labels", F.create_map(F.lit("key"), F.col("label")))
+    worst = aggregate_samples(select_samples(labelled, "drift_share_of_drifted_columns"), "max")
+    return stored.unionByName(
         worst.select(F.lit("max by drift_share").alias("name"), none.alias("label"), "value")).withColumn(
         "value", F.round("value", 4) + F.lit(0.0))
