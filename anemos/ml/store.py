@@ -17,9 +17,10 @@ from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from anemos.ml import forest, growing
 from anemos.session import fresh_path, settle, shared_dir
 from anemos.sources.writers import stored_table, table_fingerprint
 
@@ -43,8 +44,8 @@ def model_key(rows: DataFrame, pipeline: Pipeline) -> tuple[str, int]:
     return _key(rows, found["digest"], pipeline), found["rows"]
 
 
-def _key(rows: DataFrame, digest: str, pipeline: Pipeline) -> str:
-    text = json.dumps([rows.columns, digest, parameters(pipeline), rows.sparkSession.version], sort_keys=True)
+def _key(rows: DataFrame, digest: str, pipeline: Pipeline, *how: str) -> str:
+    text = json.dumps([rows.columns, digest, parameters(pipeline), rows.sparkSession.version, *how], sort_keys=True)
     return hashlib.sha256(text.encode()).hexdigest()
 
 
@@ -73,8 +74,16 @@ def _path(spark: SparkSession, root: str, key: str) -> str | None:
 
 
 def save(spark: SparkSession, root: str, key: str, model: PipelineModel, rows: int, pipeline: Pipeline) -> None:
-    path = f"{root}/{key[:16]}-{uuid.uuid4().hex}"
+    path = _new_path(root, key)
     model.write().save(path)
+    _named(spark, root, key, path, rows, pipeline)
+
+
+def _new_path(root: str, key: str) -> str:
+    return f"{root}/{key[:16]}-{uuid.uuid4().hex}"
+
+
+def _named(spark: SparkSession, root: str, key: str, path: str, rows: int, pipeline: Pipeline) -> None:
     _log(spark, f"{root}/index", INDEX, key=key, path=path, created=datetime.now(UTC).isoformat(), rows=rows,
          algorithm=type(pipeline.getStages()[-1]).__name__, parameters=json.dumps(parameters(pipeline), sort_keys=True))
 
@@ -142,11 +151,13 @@ def fit_parts(rows: DataFrame, plan: Callable[[int], Sequence[Pipeline]], root:
 
     ``rows`` is read more than once and should be a stored table.
     """
-    spark = rows.sparkSession
-    root = root or default_root(spark)
     found = table_fingerprint(rows, rows.columns).first()
-    paths = []
-    for pipeline in plan(found["rows"]):
+    return _fit_parts(rows, found, plan(found["rows"]), root or default_root(rows.sparkSession))
+
+
+def _fit_parts(rows: DataFrame, found: Row, pipelines: Sequence[Pipeline], root: str) -> PartedForest:
+    spark, paths = rows.sparkSession, []
+    for pipeline in pipelines:
         key = _key(rows, found["digest"], pipeline)
         if _path(spark, root, key) is None:
             save(spark, root, key, pipeline.fit(rows), found["rows"], pipeline)
@@ -154,6 +165,25 @@ def fit_parts(rows: DataFrame, plan: Callable[[int], Sequence[Pipeline]], root:
     return PartedForest(spark, tuple(paths))
 
 
+def fit_forest(rows: DataFrame, plan: Callable[[int], Sequence[Pipeline]], whole: Pipeline, root: str | None = None) -> PartedForest | forest.GrownForest:
+    """The forest of these rows: Spark ML's fit where ``plan`` has one part, else ``whole`` grown from packed rows; loaded if stored.
+
+    ``rows`` is read more than once and should be a stored table.
+    """
+    spark = rows.sparkSession
+    root = root or default_root(spark)
+    found = table_fingerprint(rows, rows.columns).first()
+    parts = plan(found["rows"])
+    if len(parts) == 1 or found["rows"] > growing.MOST_ROWS:
+        return _fit_parts(rows, found, parts, root)
+    key = _key(rows, found["digest"], whole, "grown")
+    if _path(spark, root, key) is None:
+        path = _new_path(root, key)
+        forest.write(rows, whole, found["rows"], path)
+        _named(spark, root, key, path, found["rows"], whole)
+    return forest.GrownForest(spark, _path(spark, root, key))
+
+
 def set_alias(spark: SparkSession, root: str, alias: str, key: str) -> None:
     """Let an alias name a stored model from now on."""
     if index(spark, root).where(F.col("key") == key).isEmpty():

@@ -51,7 +51,7 @@ def fitted(t: Tables, algorithm: str = "random_forest"):
     split = ml.holdout_split(rows, keys)
     train = split.where("split = 'train'").drop("split")
     if algorithm == "random_forest":
-        return split, store.fit_parts(train, ml.forest_parts)
+        return split, store.fit_forest(train, ml.forest_parts, ml.build_model(algorithm))
     pipeline = ml.build_model(algorithm)
     model, _ = store.fit_once(train, pipeline, fit=lambda found: pipeline.fit(ml.dealt(found, keys, rows.count())))
     return split, model
