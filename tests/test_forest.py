@@ -110,6 +110,13 @@ def test_rows_that_cannot_be_packed_are_an_error(data, tmp_path, column, value):
         grown(store.settle(spoilt, "spoilt"), tmp_path)
 
 
+def test_tables_beyond_exact_sums_are_fitted_in_parts(data, tmp_path, monkeypatch):
+    monkeypatch.setattr(growing, "MOST_ROWS", 699)
+    whole = ml.build_model(columns=SPACE, trees=2, depth=2)
+    model = store.fit_forest(data, lambda n: [ml.build_model(columns=SPACE, trees=1, depth=2, seed=s) for s in (1, 2)], whole, str(tmp_path))
+    assert isinstance(model, store.PartedForest) and len(model.paths) == 2
+
+
 def test_no_rows_to_score(data, tmp_path):
     assert ml.score(grown(data, tmp_path), data.where("false")).count() == 0
 
@@ -144,15 +151,22 @@ def test_equal_means_are_no_split():
     assert list(tree.column) == [-1] and tree.value[0] == .5
 
 
+def test_sums_of_the_largest_tree_are_exact():
+    most = growing.MOST_ROWS * 1.001  # what is drawn may be a little more
+    assert most * growing.MOST_GRADE < growing.HIGH and most * growing.HIGH < 2**53 and most * most * growing.MOST_GRADE < 2**53
+
+
 def test_many_rows_and_nodes_are_cut_into_pieces(monkeypatch):
     rng = np.random.default_rng(6)
     bins, grades, weights = rng.integers(0, 32, (4, 5000)).astype(np.uint8), rng.integers(0, 6, 5000).astype(np.uint8), rng.poisson(1, 5000).astype(np.uint8)
     whole = growing.grow(bins, grades, weights)
     monkeypatch.setattr(growing, "ROWS_AT_ONCE", 64)
     monkeypatch.setattr(growing, "NODES_AT_ONCE", 3)
-    cut = growing.grow(bins, grades, weights)
-    assert all(np.array_equal(getattr(whole, c), getattr(cut, c)) for c in ("column", "last", "value"))
-    assert whole.importance == pytest.approx(cut.importance)
+    for kept in (growing.KEPT, 20, 0):  # histograms taken from the parents' at all levels, at the upper ones, nowhere
+        monkeypatch.setattr(growing, "KEPT", kept)
+        cut = growing.grow(bins, grades, weights)
+        assert all(np.array_equal(getattr(whole, c), getattr(cut, c)) for c in ("column", "last", "value"))
+        assert whole.importance == pytest.approx(cut.importance)
     # Rows that nothing tells apart share a leaf: their weighted mean is its value.
     told, seen = whole.predict(bins), weights > 0
     for key in {tuple(c) for c in bins[:, seen].T[:200]}:
